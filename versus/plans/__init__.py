@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_CATALOGS = ("catalog_merge", "catalog_pregame")
+_CATALOGS = ("catalog_merge", "catalog_pregame", "catalog_eval")
 
 
 def load_catalog():
