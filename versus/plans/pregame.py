@@ -46,3 +46,62 @@ def pregame_dataset(matches: DataFrame, participants: DataFrame, stats: DataFram
     merged = join_left_dimension(merged, matches)
     merged = merged.withColumn("n_bans", F.coalesce(F.col("n_bans"), F.lit(0)).cast("bigint"))
     return with_side_flag(merged)
+
+
+def _present(df: DataFrame, prefix: str, n: int = MAX_DRAFT_SLOTS) -> list[str]:
+    return [f"{prefix}_{i}" for i in range(1, n + 1) if f"{prefix}_{i}" in df.columns]
+
+
+def add_pregame_features(df: DataFrame, pick, prior: float, platform_codes: DataFrame | None,
+                         season_codes: DataFrame | None) -> DataFrame:
+    """Draft features (#72-#74, #99-#101) and three opponent differences (#102).
+
+    ``df`` already carries the ``*_winrate_te`` columns of the fitted target
+    encoding; ``pick`` is the fitted pick-rate encoding, ``prior`` the target
+    encoding prior.
+    """
+    from ..operators.encoders import apply_category_codes, apply_pick_rate
+    from ..operators.features import diff_vs_opponent
+    from ..operators.reshape import role_diversity, row_counts, row_stats
+
+    champ = _present(df, "champion")
+    bans = _present(df, "banned_champion")
+    roles = _present(df, "role")
+    out = apply_pick_rate(df, pick)
+    te = [f"{c}_winrate_te" for c in champ if f"{c}_winrate_te" in out.columns]
+    picks = [f"{c}_pick_rate" for c in champ if f"{c}_pick_rate" in out.columns]
+    ban_te = [f"{c}_winrate_te" for c in bans if f"{c}_winrate_te" in out.columns]
+    if te:
+        out = row_stats(out, te, "_wr").select(
+            *out.columns, F.col("_wr_avg").alias("team_avg_champ_wr"), F.col("_wr_min").alias("team_min_champ_wr"),
+            F.col("_wr_max").alias("team_max_champ_wr"), F.col("_wr_std").alias("team_std_champ_wr"),
+            F.col("_wr_span").alias("team_champ_wr_span"))
+    else:
+        out = out.select("*", *[F.lit(prior).alias(c) for c in ("team_avg_champ_wr", "team_min_champ_wr",
+                                                                 "team_max_champ_wr")],
+                         F.lit(0.0).alias("team_std_champ_wr"), F.lit(0.0).alias("team_champ_wr_span"))
+    if picks:
+        out = row_stats(out, picks, "_pr").select(
+            *out.columns, F.col("_pr_avg").alias("team_avg_pick_rate"), F.col("_pr_max").alias("team_max_pick_rate"),
+            F.col("_pr_min").alias("team_min_pick_rate"))
+    else:
+        out = out.select("*", *[F.lit(pick.prior).alias(c) for c in ("team_avg_pick_rate", "team_max_pick_rate",
+                                                                      "team_min_pick_rate")])
+    if ban_te:
+        out = row_stats(out, ban_te, "_bw").select(
+            *out.columns, F.col("_bw_avg").alias("avg_banned_champ_wr"), F.col("_bw_max").alias("max_banned_champ_wr"))
+    if champ:
+        out = row_counts(out, champ)
+    else:
+        out = out.select("*", F.lit(0).alias("draft_size"), F.lit(0).alias("has_full_draft"),
+                         F.lit(0).alias("unique_champion_count"))
+    if roles:
+        out = role_diversity(out, roles)
+    if "n_bans" in out.columns:
+        out = out.withColumn("n_bans", F.coalesce(F.col("n_bans").cast("double"), F.lit(0.0)))
+        out = out.withColumn("has_ban_data", (F.col("n_bans") > 0).cast("int"))
+    if platform_codes is not None:
+        out = apply_category_codes(out, "platformid", "platform_code", platform_codes)
+    if season_codes is not None:
+        out = apply_category_codes(out, "seasonid", "season_code", season_codes)
+    return diff_vs_opponent(out, ["team_avg_champ_wr", "team_max_champ_wr", "team_avg_pick_rate"])
