@@ -106,31 +106,39 @@ def ordered_rank(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     bins: int | None = None, name_col: str = "feature") -> DataFrame:
-    """Exact linearly interpolated quantiles of each column, distributed.
-
-    Returns (feature, p, value). Values are counted per distinct value first,
-    then ranked by ``ordered_prefix`` per feature; the interpolation endpoints
-    are the values holding 0-based ranks floor(h) and ceil(h), h = (n - 1) p.
-    NULL / NaN values are ignored.
-    """
+    """Exact linearly interpolated quantiles of each column -> (feature, p, value)."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias(name_col), F.col(c).cast("double").alias("v")) for c in columns])).alias("_s")
-    ).select("_s.*").where(F.col("v").isNotNull() & ~F.isnan("v"))
-    counted = long.groupBy(name_col, "v").agg(F.count(F.lit(1)).alias("n"))
-    pref = ordered_prefix(counted, ["v"], ["n"], [name_col], bins=bins)
-    # rows hold ranks [cum - n, cum - 1]
+    ).select("_s.*")
+    return quantile_table(long, name_col, "v", probs, bins)
+
+
+def quantile_table(long: DataFrame, key: str, value: str, probs: Sequence[float],
+                   bins: int | None = None) -> DataFrame:
+    """Exact quantiles of ``value`` per ``key`` in a long frame, distributed.
+
+    Values are counted per distinct (key, value) first, then ranked by
+    ``ordered_prefix`` per key; the interpolation endpoints are the values
+    holding 0-based ranks floor(h) and ceil(h), h = (n - 1) p. NULL / NaN
+    values are ignored. Returns (key, p, value).
+    """
+    v = F.col(value).cast("double")
+    clean = long.select(F.col(key), v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    counted = clean.groupBy(key, "v").agg(F.count(F.lit(1)).alias("n"))
+    pref = ordered_prefix(counted, ["v"], ["n"], [key], bins=bins)
+    # a row holds ranks [cum - n, cum - 1]
     ps = F.array(*[F.lit(float(p)) for p in probs])
-    with_p = pref.select(name_col, "v", "n", "cum_n", "tot_n", F.explode(ps).alias("p"))
+    with_p = pref.select(key, "v", "n", "cum_n", "tot_n", F.explode(ps).alias("p"))
     h = (F.col("tot_n") - 1) * F.col("p")
     lo, hi = F.floor(h), F.ceil(h)
     start = F.col("cum_n") - F.col("n")
     end = F.col("cum_n") - 1
     picks = with_p.select(
-        name_col, "p", h.alias("h"),
+        key, "p", h.alias("h"),
         F.when((lo >= start) & (lo <= end), F.col("v")).alias("lo_v"),
         F.when((hi >= start) & (hi <= end), F.col("v")).alias("hi_v")
     ).where(F.col("lo_v").isNotNull() | F.col("hi_v").isNotNull())
-    agg = picks.groupBy(name_col, "p").agg(F.max("lo_v").alias("lo_v"), F.max("hi_v").alias("hi_v"),
-                                          F.max("h").alias("h"))
-    value = F.col("lo_v") + (F.col("h") - F.floor("h")) * (F.col("hi_v") - F.col("lo_v"))
-    return agg.select(name_col, "p", value.alias("value"))
+    agg = picks.groupBy(key, "p").agg(F.max("lo_v").alias("lo_v"), F.max("hi_v").alias("hi_v"),
+                                     F.max("h").alias("h"))
+    out = F.col("lo_v") + (F.col("h") - F.floor("h")) * (F.col("hi_v") - F.col("lo_v"))
+    return agg.select(key, "p", out.alias("value"))
