@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_CATALOGS = ("catalog_merge", "catalog_pregame", "catalog_eval", "catalog_features", "catalog_stats")
+_CATALOGS = ("catalog_merge", "catalog_pregame", "catalog_eval", "catalog_features", "catalog_stats", "catalog_scalar")
 
 
 def load_catalog():
