@@ -200,8 +200,9 @@ def meaningful_drop(full: DataFrame, ablated: DataFrame, on: Sequence[str],
     a = ablated.select(*on, F.col("accuracy").alias("ablated_accuracy"),
                        F.col("roc_auc").alias("ablated_roc_auc"))
     j = f.join(a, list(on), "inner")
-    acc_drop = F.coalesce(F.col("full_accuracy"), F.lit(0.0)) - F.coalesce(F.col("ablated_accuracy"), F.lit(0.0))
-    auc_drop = F.coalesce(F.col("full_roc_auc"), F.lit(0.0)) - F.coalesce(F.col("ablated_roc_auc"), F.lit(0.0))
-    return j.select(*on, (-acc_drop).alias("delta_accuracy"), (-auc_drop).alias("delta_roc_auc"),
+    fa, aa = F.coalesce(F.col("full_accuracy"), F.lit(0.0)), F.coalesce(F.col("ablated_accuracy"), F.lit(0.0))
+    fr, ar = F.coalesce(F.col("full_roc_auc"), F.lit(0.0)), F.coalesce(F.col("ablated_roc_auc"), F.lit(0.0))
+    acc_drop, auc_drop = fa - aa, fr - ar
+    return j.select(*on, (aa - fa).alias("delta_accuracy"), (ar - fr).alias("delta_roc_auc"),
                     ((acc_drop >= min_accuracy_drop) | (auc_drop >= min_roc_auc_drop)).cast("int")
                     .alias("meaningful_drop"))
