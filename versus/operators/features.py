@@ -16,6 +16,9 @@ from ..constants import OBJECTIVE_COLUMNS, RELATIVE_FEATURES
 from ..functions.scalars import safe_ratio, side_flag
 
 
+POSITIVE = "versus.positive"  # column metadata: every value is known to be > 0
+
+
 def first_present(df: DataFrame, options: Sequence[str]) -> str | None:
     """First of ``options`` that is a column (plan-time)."""
     cols = set(df.columns)
@@ -29,7 +32,8 @@ def _num0(c: str):
 def match_minutes(df: DataFrame) -> DataFrame:
     """max(duration, 60) / 60, missing duration counts as 0 (#85)."""
     dur = _num0("duration") if "duration" in df.columns else F.lit(0.0)
-    return df.withColumn("match_minutes", F.greatest(dur, F.lit(60.0)) / 60.0)
+    minutes = (F.greatest(dur, F.lit(60.0)) / 60.0).alias("match_minutes", metadata={POSITIVE: True})
+    return df.select(*[c for c in df.columns if c != "match_minutes"], minutes)
 
 
 def phase_flags(df: DataFrame) -> DataFrame:
@@ -124,7 +128,8 @@ def objective_control(df: DataFrame, check_minutes: bool = True) -> DataFrame:
     out = df.withColumn("objective_control_score", score)
     if "match_minutes" in df.columns:
         minutes = _num0("match_minutes")
-        if "duration" in df.columns and check_minutes and \
+        known_positive = df.schema["match_minutes"].metadata.get(POSITIVE, False)
+        if "duration" in df.columns and check_minutes and not known_positive and \
                 len(df.where(F.col("match_minutes") > 0).limit(1).take(1)) == 0:
             minutes = _num0("duration") / 60.0
     elif "duration" in df.columns:

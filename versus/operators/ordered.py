@@ -61,7 +61,8 @@ def quantile_bins(df: DataFrame, col: str, partition: Sequence[str] = (), bins:
 
 def ordered_prefix(df: DataFrame, order: Sequence[str], sums: Sequence[str],
                    partition: Sequence[str] = (), descending: bool = False,
-                   bins: int | None = None, prefix: str = "cum_", totals: bool = True) -> DataFrame:
+                   bins: int | None = None, prefix: str = "cum_", totals: bool = True,
+                   materialize: bool = True) -> DataFrame:
     """Inclusive running sums of ``sums`` in ``order`` within ``partition``.
 
     ``order`` columns are numeric; the first one drives the binning. With
@@ -70,7 +71,9 @@ def ordered_prefix(df: DataFrame, order: Sequence[str], sums: Sequence[str],
     """
     partition = list(partition)
     lead = order[0]
-    work = df
+    # the input feeds three jobs (edges, bin totals, running sums): cut its
+    # lineage once with a reliable checkpoint instead of recomputing it
+    work = df.checkpoint(eager=True) if materialize else df
     if descending:
         work = work.withColumn("_lead", -F.col(lead).cast("double"))
         order_cols = [F.col("_lead")] + [F.col(c).desc() for c in order[1:]]

@@ -130,17 +130,31 @@ def aggregate_sides(df: DataFrame, keys: Sequence[str] = KEYS, target: str = TAR
     """``x_sum`` / ``x_mean`` of every numeric feature, ``b_rate`` of binary ones,
     and the side label, in ONE aggregate (#37, #42, #44, #45).
 
-    ``binary=None`` detects binary columns with one extra single-row job (#43).
+    ``binary=None`` detects binary columns (#43) from per-side probe counts
+    over the checkpointed aggregate, so the member rows are scanned once.
     """
     feats = feature_columns_for_aggregation(df, excluded)
-    if binary is None:
-        binary = detect_binary(df, feats)
     exprs = [F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_sum") for c in feats]
     exprs += [F.avg(c).alias(f"{c}_mean") for c in feats]
-    exprs += [F.avg(c).alias(f"{c}_rate") for c in feats if c in set(binary)]
     if with_label:
         exprs += label_columns(target)
-    return df.groupBy(*keys).agg(*exprs)
+    if binary is not None:
+        exprs += [F.avg(c).alias(f"{c}_rate") for c in feats if c in set(binary)]
+        return df.groupBy(*keys).agg(*exprs)
+    # Detection without a second scan of the member rows: each side also counts
+    # its non-NULL and non-{0,1} values; the aggregate is materialized once and
+    # the global test runs over that (much smaller) table.
+    probes = []
+    for i, c in enumerate(feats):
+        v = F.col(c).cast("double")
+        probes += [F.count(v).alias(f"_n{i}"), F.count_if(v.isNotNull() & ~v.isin(0.0, 1.0)).alias(f"_b{i}")]
+    agg = df.groupBy(*keys).agg(*exprs, *probes).checkpoint(eager=True)
+    row = agg.agg(*[F.sum(f"_n{i}").alias(f"n{i}") for i in range(len(feats))],
+                  *[F.sum(f"_b{i}").alias(f"b{i}") for i in range(len(feats))]).first()
+    found = [c for i, c in enumerate(feats) if (row[f"n{i}"] or 0) > 0 and (row[f"b{i}"] or 0) == 0]
+    rates = [F.col(f"{c}_mean").alias(f"{c}_rate") for c in found]
+    base = [c for c in agg.columns if not c.startswith(("_n", "_b"))]
+    return agg.select(*base, *rates)
 
 
 def derive_group_label(df: DataFrame, keys: Sequence[str] = KEYS, target: str = TARGET) -> DataFrame:

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def gram(df: DataFrame, columns: Sequence[str], fill: dict | None = None) -> Gra
     """
     cols = list(columns)
     k = len(cols)
-    x = _finite_filled(df, cols, fill).dropna()
+    x = _finite_filled(df, cols, fill).dropna().persist(StorageLevel.MEMORY_AND_DISK)
     names = [f"c{i}" for i in range(k)]
     head = x.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in names]).first()
     n = int(head["n"])
@@ -89,6 +90,7 @@ def gram(df: DataFrame, columns: Sequence[str], fill: dict | None = None) -> Gra
 
     sums = (x.mapInPandas(block, "i int, j int, s double")
             .groupBy("i", "j").agg(F.sum("s").alias("s")).collect())  # k*k + k rows
+    x.unpersist()
     acc = np.zeros((k, k))
     s1 = np.zeros(k)
     for r in sums:
@@ -255,9 +257,11 @@ def fit_transform_splits(frame: DataFrame, feature_cols: Sequence[str], target:
     artifact DataFrame, summary dict).
     """
     from .relational import numeric_columns
-    train = frame.where(F.col(split_col) == "train")
     numeric = set(numeric_columns(frame))
     candidate = [c for c in feature_cols if c in numeric]
+    # every fit statistic below reads only the training rows of these columns:
+    # cut the lineage once (reliable checkpoint in spark.checkpoint.dir)
+    train = frame.where(F.col(split_col) == "train").select(*candidate, target).checkpoint(eager=True)
     # the correlation test is pairwise on all rows with values (NULLs skipped per row here)
     g = gram(train, candidate)
     corr_keep, corr_drop = drop_high_correlation(g, correlation_threshold)

@@ -258,9 +258,11 @@ enc AS (
 
 
 def _stage_pregame_split(spark, sf):
+    """The curated pre-game frame with its split, materialized once (it feeds
+    every encoder fit and the apply step)."""
     t = tables(spark, sf)
     pg = pregame_dataset(t["matches"], t["participants"], t["stats"], t["teambans"], DEFAULT_SLOTS)
-    return SP.split_grouped(pg)
+    return SP.split_grouped(pg).checkpoint(eager=True)
 
 
 def _fit_all(spark, sf):
