@@ -29,11 +29,20 @@ def pivot_slots(df: DataFrame, slot_col: str, value_col: str, prefix: str, n: in
 def role_columns(role_col: str = "canonical_role", value_col: str = "championid",
                  order_col: str = "draft_slot", roles: Sequence[str] = tuple(ROLE_ORDER)) -> list[Column]:
     """``<role>_championid`` = value of the first member (by ``order_col``) with that role (#64, #69)."""
-    out = []
-    for r in roles:
-        first = F.min(F.when(F.col(role_col) == r, F.struct(F.col(order_col), F.col(value_col))))
-        out.append(first[value_col].alias(f"{r}_{value_col}"))
-    return out
+    # min_by keeps fixed-width buffers, so the aggregate stays a codegen'd HashAggregate
+    return [F.min_by(F.col(value_col), F.when(F.col(role_col) == r, F.col(order_col))).alias(f"{r}_{value_col}")
+            for r in roles]
+
+
+def code_slot_columns(slot_col: str, code_col: str, labels: dict, prefix: str, n: int,
+                      default: str) -> list[Column]:
+    """Like ``slot_columns`` for a string that is a function of an integer code:
+    the aggregate keeps the integer (hash aggregate) and the label is mapped
+    back afterwards with a literal map."""
+    lut = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), F.lit(v))])
+    return [F.coalesce(F.element_at(lut, F.max(F.when(F.col(slot_col) == i, F.col(code_col)))),
+                       F.when(F.max(F.when(F.col(slot_col) == i, F.col(code_col))).isNotNull(), F.lit(default))
+                       ).alias(f"{prefix}_{i}") for i in range(1, n + 1)]
 
 
 def pivot_role(df: DataFrame, keys: Sequence[str] = KEYS, **kw) -> DataFrame:

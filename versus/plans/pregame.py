@@ -11,19 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import KEYS, MAX_DRAFT_SLOTS
+from ..constants import KEYS, MAX_DRAFT_SLOTS, ROLE_ORDER, UNKNOWN_ROLE
 from ..operators.relational import (derive_group_label, join_inner_stats, join_left_dimension,
                                     with_side_flag, assign_sides)
-from ..operators.reshape import role_columns, slot_columns
+from ..operators.reshape import code_slot_columns, role_columns, slot_columns
 from ..operators.windows import ban_slot, draft_slot
 
 
 def draft_frame(members: DataFrame, slots_per_side: int = 5, max_slots: int = MAX_DRAFT_SLOTS) -> DataFrame:
     """Per side: champion_1..n, role_1..n and <role>_championid (#62, #64, #68, #69)."""
     drafted = draft_slot(members, slots_per_side, max_slots)
+    # role_rank is a code for canonical_role (known roles 0..4, anything else
+    # 99 = 'unknown'), so the role slots aggregate integers and map back
     return drafted.groupBy(*KEYS).agg(
         *slot_columns("draft_slot", "championid", "champion", max_slots),
-        *slot_columns("draft_slot", "canonical_role", "role", max_slots),
+        *code_slot_columns("draft_slot", "role_rank", {v: k for k, v in ROLE_ORDER.items()}, "role",
+                           max_slots, UNKNOWN_ROLE),
         *role_columns())
 
 
