@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_CATALOGS = ("catalog_merge", "catalog_pregame", "catalog_eval", "catalog_features", "catalog_stats", "catalog_scalar", "catalog_models", "catalog_io")
+_CATALOGS = ("catalog_merge", "catalog_pregame", "catalog_eval", "catalog_features", "catalog_stats", "catalog_scalar", "catalog_models", "catalog_io", "catalog_pipeline")
 
 
 def load_catalog():
