@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import ENCODER_CANDIDATES, TARGET, TE_SMOOTHING
-from .relational import lookup_with_default
+from .relational import inline_lookup, lookup_strategy, lookup_with_default
 
 
 @dataclass
@@ -61,10 +61,19 @@ def apply_encoding(df: DataFrame, enc: Encoding, suffix: str = "_winrate_te",
     """``<col><suffix>`` per encoded column, unseen/NULL -> prior; when nothing
     was encoded a constant ``fallback`` column holds the prior (#98)."""
     out = df
-    for c in enc.columns:
-        t = enc.table.where(F.col("feature") == c).select("category", "value")
-        out = lookup_with_default(out.withColumn("_cat", F.col(c).cast("string")), "_cat", t,
-                                  c + suffix, enc.prior).drop("_cat")
+    n = enc.table.count() if enc.columns else 0
+    if enc.columns and lookup_strategy(n) == "inline":
+        # one small collect of the fitted table, then pure projections
+        per: dict = {}
+        for r in enc.table.collect():
+            per.setdefault(r["feature"], {})[r["category"]] = r["value"]
+        out = out.select("*", *[inline_lookup(F.col(c).cast("string"), per.get(c, {}), enc.prior).alias(c + suffix)
+                                for c in enc.columns])
+    else:
+        for c in enc.columns:
+            t = enc.table.where(F.col("feature") == c).select("category", "value")
+            out = lookup_with_default(out.withColumn("_cat", F.col(c).cast("string")), "_cat", t,
+                                      c + suffix, enc.prior).drop("_cat")
     if not enc.columns:
         out = out.withColumn(fallback, F.lit(enc.prior))
     return out
@@ -88,9 +97,16 @@ def fit_pick_rate(train: DataFrame, columns: Sequence[str]) -> Encoding:
 
 def apply_pick_rate(df: DataFrame, enc: Encoding, suffix: str = "_pick_rate") -> DataFrame:
     out = df
+    if not enc.columns:
+        return out
+    n = enc.table.count()
+    if lookup_strategy(n) == "inline":
+        entries = {r["category"]: r["value"] for r in enc.table.collect()}
+        return out.select("*", *[inline_lookup(F.col(c).cast("double").cast("string"), entries, enc.prior)
+                                 .alias(c + suffix) for c in enc.columns])
     for c in enc.columns:
         out = lookup_with_default(out.withColumn("_cat", F.col(c).cast("double").cast("string")), "_cat",
-                                  enc.table, c + suffix, enc.prior).drop("_cat")
+                                  enc.table, c + suffix, enc.prior, n_entries=n).drop("_cat")
     return out
 
 

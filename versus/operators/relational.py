@@ -212,13 +212,42 @@ def left_join_on_condition(runs: DataFrame, params: DataFrame, metrics: DataFram
             .join(m, runs.run_id == m._m_run, "left").drop("_p_run", "_m_run"))
 
 
+INLINE_LOOKUP_MAX = 10_000       # entries: literal map, no join
+BROADCAST_LOOKUP_MAX = 2_000_000  # entries: explicit broadcast join; above: shuffle join
+
+
+def lookup_strategy(n_entries: int) -> str:
+    if n_entries <= INLINE_LOOKUP_MAX:
+        return "inline"
+    if n_entries <= BROADCAST_LOOKUP_MAX:
+        return "broadcast"
+    return "shuffle"
+
+
+def inline_lookup(column, entries: dict, default):
+    """``coalesce(map[key], default)`` over a literal map built from a small fitted table."""
+    if not entries:
+        return F.lit(default)
+    m = F.create_map(*[x for k, v in entries.items() for x in (F.lit(k), F.lit(v))])
+    return F.coalesce(F.element_at(m, column), F.lit(default))
+
+
 def lookup_with_default(df: DataFrame, column: str, table: DataFrame, output: str,
-                        default, key_col: str = "category", value_col: str = "value") -> DataFrame:
+                        default, key_col: str = "category", value_col: str = "value",
+                        n_entries: int | None = None) -> DataFrame:
     """Map ``column`` through a fitted (key, value) table; unseen or NULL -> default (#38).
 
-    A left join: AQE broadcasts the table when its measured size is small and
-    falls back to a shuffle join otherwise.
+    The table size is checked first (one count of a small, usually
+    checkpointed table): up to 10k entries become a literal map (a projection,
+    no join); up to 2M an explicit broadcast join; beyond that a shuffle join.
     """
     t = table.select(F.col(key_col).alias("_lk"), F.col(value_col).alias("_lv"))
-    joined = df.join(t, df[column].cast(t.schema["_lk"].dataType) == t["_lk"], "left")
+    n = t.count() if n_entries is None else n_entries
+    key = df[column].cast(t.schema["_lk"].dataType)
+    strategy = lookup_strategy(n)
+    if strategy == "inline":
+        entries = {r["_lk"]: r["_lv"] for r in t.collect()}
+        return df.withColumn(output, inline_lookup(key, entries, default))
+    right = F.broadcast(t) if strategy == "broadcast" else t
+    joined = df.join(right, key == right["_lk"], "left")
     return joined.withColumn(output, F.coalesce(F.col("_lv"), F.lit(default))).drop("_lk", "_lv")

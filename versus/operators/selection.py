@@ -40,6 +40,11 @@ class Gram:
     def raw(self) -> np.ndarray:
         return self.centred + self.n * np.outer(self.mean, self.mean)
 
+    def subset(self, columns: Sequence[str]) -> "Gram":
+        """The Gram of a column subset over the same rows (exact sub-block)."""
+        idx = [self.columns.index(c) for c in columns]
+        return Gram(list(columns), self.n, self.mean[idx], self.centred[np.ix_(idx, idx)])
+
     def correlation(self) -> np.ndarray:
         d = np.sqrt(np.diag(self.centred))
         with np.errstate(invalid="ignore", divide="ignore"):
@@ -194,14 +199,19 @@ def scaling_artifact(train: DataFrame, columns: Sequence[str], iqr_factor: float
     """
     spark = train.sparkSession
     cols = list(columns)
-    binary = set(binary_columns(train, cols))
+    # one aggregate: binary detection, mean and population std of every column
+    exprs = []
+    for i, c in enumerate(cols):
+        v = F.col(c).cast("double")
+        exprs += [F.count(v).alias(f"n{i}"), F.count_if(v.isNotNull() & ~v.isin(0.0, 1.0)).alias(f"x{i}"),
+                  F.avg(v).alias(f"m{i}"), F.stddev_pop(v).alias(f"s{i}")]
+    one = train.agg(*exprs).first() if cols else None
+    binary = {c for i, c in enumerate(cols) if one[f"n{i}"] > 0 and one[f"x{i}"] == 0}
     numeric = [c for c in cols if c not in binary]
+    pos = {c: i for i, c in enumerate(cols)}
     rows = []
     if numeric:
         q = {(r["feature"], r["p"]): r["value"] for r in exact_quantiles(train, numeric, [0.25, 0.5, 0.75]).collect()}
-        one = train.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(numeric)],
-                        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(numeric)],
-                        *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(numeric)]).first()
         # outlier share with the fences as literals (k numbers from the quantile table)
         exprs = []
         for i, c in enumerate(numeric):
@@ -221,7 +231,7 @@ def scaling_artifact(train: DataFrame, columns: Sequence[str], iqr_factor: float
                 iqr = (q3 - q1) if (q1 is not None and q3 is not None) else 0.0
                 rows.append((c, "robust", med, med, iqr if iqr else 1.0))
             else:
-                mean, sd = one[f"m{i}"], one[f"s{i}"]
+                mean, sd = one[f"m{pos[c]}"], one[f"s{pos[c]}"]
                 rows.append((c, "standard", med, mean, sd if sd else 1.0))
     bins = [c for c in cols if c in binary]
     if bins:
@@ -262,14 +272,22 @@ def fit_transform_splits(frame: DataFrame, feature_cols: Sequence[str], target:
     # every fit statistic below reads only the training rows of these columns:
     # cut the lineage once (reliable checkpoint in spark.checkpoint.dir)
     train = frame.where(F.col(split_col) == "train").select(*candidate, target).checkpoint(eager=True)
-    # the correlation test is pairwise on all rows with values (NULLs skipped per row here)
+    # NULL / NaN / inf per candidate: when none, every Gram below is a sub-block
+    # of the first one (same rows), so one pass serves correlation, VIF and PCA
+    bad = train.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+                                 | (F.abs(F.col(c).cast("double")) == float("inf"))).alias(f"z{i}")
+                      for i, c in enumerate(candidate)]).first() if candidate else None
+    has_null = {c: bool(bad[f"z{i}"]) for i, c in enumerate(candidate)} if candidate else {}
     g = gram(train, candidate)
     corr_keep, corr_drop = drop_high_correlation(g, correlation_threshold)
-    # VIF on NULL -> median filled data, matching the reference imputation
-    med = {r["feature"]: r["value"] for r in exact_quantiles(train, corr_keep, [0.5]).collect()} if corr_keep else {}
-    g2 = gram(train, corr_keep, fill={c: (med.get(c) if med.get(c) is not None else 0.0) for c in corr_keep})
+    if any(has_null[c] for c in corr_keep):
+        # VIF on NULL -> median filled data, matching the reference imputation
+        med = {r["feature"]: r["value"] for r in exact_quantiles(train, corr_keep, [0.5]).collect()}
+        g2 = gram(train, corr_keep, fill={c: (med.get(c) if med.get(c) is not None else 0.0) for c in corr_keep})
+    else:
+        g2 = g.subset(corr_keep)
     vif_keep, vif_drop, scores = drop_high_vif(g2, vif_threshold, min_features_after_vif)
-    g3 = gram(train, vif_keep, fill={c: (med.get(c) if med.get(c) is not None else 0.0) for c in vif_keep})
+    g3 = g2.subset(vif_keep)
     pca = pca_components_95(g3)
     artifact = scaling_artifact(train, vif_keep)
     rows = artifact.collect()  # one row per selected feature
