@@ -144,11 +144,14 @@ def vif_scores(g: Gram, centred: bool = False) -> dict:
         m = g.correlation()[np.ix_(usable, usable)]
     else:
         m = g.raw[np.ix_(usable, usable)]
-    rank = np.linalg.matrix_rank(m)
-    inv = np.linalg.pinv(m)
+    # per column: regress on the others with the k x k block; VIF = G_ii / SSR_i
+    # (equals G_ii * (G^-1)_ii at full rank; SSR ~ 0 means exactly collinear -> inf)
+    k = len(usable)
     for pos, i in enumerate(usable):
-        v = float(m[pos, pos] * inv[pos, pos])
-        out[cols[i]] = float("inf") if rank < len(usable) and v > 1e12 else v
+        rest = [j for j in range(k) if j != pos]
+        b = m[rest, pos]
+        ssr = float(m[pos, pos] - b @ np.linalg.pinv(m[np.ix_(rest, rest)]) @ b)
+        out[cols[i]] = float("inf") if ssr <= 1e-10 * abs(m[pos, pos]) else float(m[pos, pos] / ssr)
     return out
 
 
