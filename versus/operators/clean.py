@@ -97,10 +97,15 @@ def binarize_columns(df: DataFrame, columns: Sequence[str] = BINARY_COLUMNS) ->
 
 
 def min_duration_filter(df: DataFrame, min_seconds: int | None, column: str = "duration") -> DataFrame:
-    """Keep rows with duration >= threshold; NULL never kept (#19)."""
+    """Keep rows with duration >= threshold; NULL never kept (#19).
+
+    A numeric column is compared as is, so the predicate can reach the Parquet
+    scan (PushedFilters); text columns are parsed first.
+    """
     if min_seconds is None or column not in df.columns:
         return df
-    return df.where(F.col(column).try_cast("double") >= min_seconds)
+    c = F.col(column) if column in numeric_columns(df) else F.col(column).try_cast("double")
+    return df.where(c >= min_seconds)
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -222,10 +227,19 @@ def frame_summary(df: DataFrame, target: str = TARGET, dp: int = 6) -> DataFrame
 def clean_dataset(df: DataFrame, min_duration_seconds: int | None = None,
                   **integrity_kw) -> DataFrame:
     """#11 -> #14 -> #15 -> #16 -> #17 -> #18 -> #19 -> #46 (#105)."""
-    out = normalize_columns(df).transform(drop_exact_duplicates)
+    out = normalize_columns(df)
+    early = (min_duration_seconds is not None and min_duration_seconds > 0
+             and "duration" in numeric_columns(out))
+    if early:
+        # equivalent to filtering after the fill and clip (both only touch NULL
+        # and negative values, which fail a positive threshold either way), and
+        # a plain comparison on the raw column is pushed into the scan
+        out = min_duration_filter(out, min_duration_seconds)
+    out = out.transform(drop_exact_duplicates)
     numeric_before = numeric_columns(out)
     out = fill_numeric(out).transform(fill_string)
     out = clip_non_negative(out, numeric_before=numeric_before)
     out = binarize_columns(out)
-    out = min_duration_filter(out, min_duration_seconds)
+    if not early:
+        out = min_duration_filter(out, min_duration_seconds)
     return group_integrity_filter(out, **integrity_kw)

@@ -137,22 +137,35 @@ def kde_grid(df: DataFrame, column: str, group: str, gridsize: int = 200, cut: f
 
 def schema_profile(df: DataFrame, samples: int = 3) -> DataFrame:
     """Per column: type, non-NULL count, NULL %, distinct count and the
-    ``samples`` smallest distinct values as text (#50). One aggregate."""
+    ``samples`` smallest distinct values as text (#50).
+
+    Counts are one aggregate; the samples come from the distinct (column,
+    value) pairs ranked with ``row_number() <= samples`` per column, which
+    Spark pre-limits per map partition, so no task gathers a column's values.
+    """
     n = F.count(F.lit(1))
     exprs = [n.alias("_rows")]
     for i, f in enumerate(df.schema.fields):
         c = F.col(f.name)
-        exprs += [F.count(c).alias(f"nn{i}"), F.count_distinct(c).alias(f"d{i}"),
-                  F.slice(F.array_sort(F.collect_set(c.cast("string"))), 1, samples).alias(f"s{i}")]
+        exprs += [F.count(c).alias(f"nn{i}"), F.count_distinct(c).alias(f"d{i}")]
     one = df.agg(*exprs)
     stack = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("dtype"),
                                F.col(f"nn{i}").cast("bigint").alias("non_null"),
-                               F.col(f"d{i}").cast("bigint").alias("distinct"),
-                               F.concat_ws(", ", F.col(f"s{i}")).alias("samples"))
+                               F.col(f"d{i}").cast("bigint").alias("distinct"))
                       for i, f in enumerate(df.schema.fields)])
-    return one.select("_rows", F.explode(stack).alias("r")).select(
+    counts = one.select("_rows", F.explode(stack).alias("r")).select(
         "r.column_name", "r.dtype", "r.non_null",
-        F.round((1 - F.col("r.non_null") / F.col("_rows")) * 100, 2).alias("null_pct"), "r.distinct", "r.samples")
+        F.round((1 - F.col("r.non_null") / F.col("_rows")) * 100, 2).alias("null_pct"), "r.distinct")
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(f.name).alias("column_name"),
+                                                  F.col(f.name).cast("string").alias("v"))
+                                         for f in df.schema.fields])).alias("s")).select("s.*") \
+        .where(F.col("v").isNotNull()).distinct()
+    w = Window.partitionBy("column_name").orderBy("v")
+    first = long.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= samples)
+    picked = first.groupBy("column_name").agg(
+        F.concat_ws(", ", F.transform(F.array_sort(F.collect_list(F.struct("_r", "v"))), lambda x: x["v"]))
+        .alias("samples"))  # at most ``samples`` rows per column reach this aggregate
+    return counts.join(picked, "column_name", "left")
 
 
 def corr_with_target(df: DataFrame, columns: Sequence[str], target: str, top: int = 20) -> DataFrame:
