@@ -42,9 +42,9 @@ def test_matches_duckdb(spark, con, key):
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_queries_run(spark, key):
     df = QUERIES[key](spark, SMALL)
-    first = df.schema
+    names = df.columns
+    assert names and len(names) == len(set(names))
     assert df.count() >= 0
-    assert QUERIES[key](spark, SMALL).schema == first
 
 
 def test_entry_smoke(spark):
