@@ -203,3 +203,13 @@ def test_group_split_keeps_groups_whole(spark):
     df = spark.range(2000).select((F.col("id") % 500).alias("matchid"), F.col("id"))
     out = SP.split_grouped(df).groupBy("matchid").agg(F.countDistinct("split").alias("k"))
     assert out.where("k > 1").count() == 0
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from versus.operators.stats import describe_percentiles
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame(pd.DataFrame({"x": rng.normal(size=5000)}))
+    ex = describe_percentiles(df, ["x"]).first()
+    ap = describe_percentiles(df, ["x"], approx=True).first()
+    for k in ("p05", "p25", "p50", "p75", "p95"):
+        assert abs(ex[k] - ap[k]) < 0.05

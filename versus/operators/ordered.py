@@ -108,11 +108,23 @@ def ordered_rank(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    bins: int | None = None, name_col: str = "feature") -> DataFrame:
-    """Exact linearly interpolated quantiles of each column -> (feature, p, value)."""
+                    bins: int | None = None, name_col: str = "feature", approx: bool = False,
+                    accuracy: int = 10000) -> DataFrame:
+    """Linearly interpolated quantiles of each column -> (feature, p, value).
+
+    Exact by default (distributed ranks); ``approx=True`` uses the
+    ``percentile_approx`` sketch instead (one aggregate, relative rank error
+    1 / ``accuracy``, no interpolation).
+    """
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias(name_col), F.col(c).cast("double").alias("v")) for c in columns])).alias("_s")
     ).select("_s.*")
+    if approx:
+        ps = [float(p) for p in probs]
+        clean = long.where(F.col("v").isNotNull() & ~F.isnan("v"))
+        agg = clean.groupBy(name_col).agg(F.percentile_approx("v", ps, accuracy).alias("_q"))
+        return agg.select(name_col, F.posexplode("_q").alias("_i", "value")).select(
+            name_col, F.element_at(F.array(*[F.lit(p) for p in ps]), F.col("_i") + 1).alias("p"), "value")
     return quantile_table(long, name_col, "v", probs, bins)
 
 

@@ -2,7 +2,7 @@
 
 Quantiles are exact and distributed (``ordered.exact_quantiles``); the
 approximate sketch (``percentile_approx``) is available through ``approx=True``
-where an exact answer is not needed.
+on the quantile-based operators where an exact answer is not needed.
 """
 
 from __future__ import annotations
@@ -17,14 +17,14 @@ from .ordered import exact_quantiles, quantile_table
 
 
 def describe_percentiles(df: DataFrame, columns: Sequence[str],
-                         probs: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95)) -> DataFrame:
+                         probs: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95), approx: bool = False) -> DataFrame:
     """count / mean / sample std / min / max and the given percentiles per column (#51)."""
     moments = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns])).alias("_s")
     ).select("_s.*").groupBy("feature").agg(
         F.count("v").cast("bigint").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"))
-    q = exact_quantiles(df, columns, probs)
+    q = exact_quantiles(df, columns, probs, approx=approx)
     wide = q.groupBy("feature").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"p{int(round(p * 100)):02d}")
                                       for p in probs])
     return moments.join(wide, "feature", "left")
@@ -71,13 +71,13 @@ def rate_by_level(df: DataFrame, level: str, target: str) -> DataFrame:
 
 
 def trimmed_histogram(df: DataFrame, column: str, bins: int = 15, lower: float = 0.01,
-                      upper: float = 0.99) -> DataFrame:
+                      upper: float = 0.99, approx: bool = False) -> DataFrame:
     """Equal-width histogram inside the [lower, upper] quantile range (#56).
 
     The two bounds are exact quantiles (one small table); the binning is one
     aggregate. The top edge belongs to the last bin.
     """
-    q = exact_quantiles(df, [column], [lower, upper])
+    q = exact_quantiles(df, [column], [lower, upper], approx=approx)
     bounds = q.groupBy().agg(F.max(F.when(F.col("p") == lower, F.col("value"))).alias("_lo"),
                              F.max(F.when(F.col("p") == upper, F.col("value"))).alias("_hi"))
     x = F.col(column).cast("double")
