@@ -213,3 +213,16 @@ def test_approx_quantiles_close_to_exact(spark):
     ap = describe_percentiles(df, ["x"], approx=True).first()
     for k in ("p05", "p25", "p50", "p75", "p95"):
         assert abs(ex[k] - ap[k]) < 0.05
+
+
+def test_group_rank_hot_group_matches_window(spark):
+    from pyspark.sql import Window
+    from versus.operators.ordered import group_rank
+    rng = np.random.default_rng(11)
+    g = np.where(rng.random(3000) < 0.5, 0, rng.integers(1, 50, 3000))  # group 0 holds half of all rows
+    pdf = pd.DataFrame({"g": g, "a": rng.integers(0, 20, 3000), "b": rng.random(3000)})
+    df = spark.createDataFrame(pdf)
+    got = group_rank(df, "g", ["a", "b"], "r", hot_threshold=500, bins=6)
+    exp = df.withColumn("e", F.row_number().over(Window.partitionBy("g").orderBy("a", "b")))
+    j = got.join(exp, ["g", "a", "b"])
+    assert j.count() == 3000 and j.where("r != e").count() == 0

@@ -157,3 +157,27 @@ def quantile_table(long: DataFrame, key: str, value: str, probs: Sequence[float]
                                      F.max("h").alias("h"))
     out = F.col("lo_v") + (F.col("h") - F.floor("h")) * (F.col("hi_v") - F.col("lo_v"))
     return agg.select(key, "p", out.alias("value"))
+
+
+def group_rank(df: DataFrame, group: str | Sequence[str], order: Sequence, name: str = "rank1",
+               hot_threshold: int = 5_000_000, bins: int | None = None) -> DataFrame:
+    """1-based ``row_number`` within ``group`` by ``order`` that survives hot groups.
+
+    Groups up to ``hot_threshold`` rows use an ordinary window (one task per
+    group is fine at that size). Larger groups - at most rows / threshold of
+    them, counted before use, so the key list has a proven bound and is
+    broadcast - are ranked with ``ordered_prefix`` (quantile bins of the leading
+    order column), which spreads one group over many tasks. ``order`` holds
+    column names; the first must be numeric.
+    """
+    from pyspark.sql import Window
+    keys = [group] if isinstance(group, str) else list(group)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.where(F.col("_n") > hot_threshold).select(*keys)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    if hot.limit(1).count() == 0:
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    hot = F.broadcast(hot.checkpoint(eager=True))
+    cold = df.join(hot, keys, "left_anti").withColumn(name, F.row_number().over(w).cast("bigint"))
+    ranked = ordered_rank(df.join(hot, keys, "left_semi"), list(order), keys, name="_r0", bins=bins)
+    return cold.unionByName(ranked.withColumn(name, (F.col("_r0") + 1).cast("bigint")).drop("_r0"))

@@ -14,12 +14,20 @@ from pyspark.sql import functions as F
 
 from ..constants import KEYS, MAX_DRAFT_SLOTS, SIDES
 from ..functions.scalars import normalize_role, role_rank, team_player_slot
+from .ordered import group_rank
 from .relational import coerce_int_columns
 
 
 def ranked_slot(df: DataFrame, keys: Sequence[str], order: Sequence, name: str,
                 max_slots: int | None) -> DataFrame:
-    """Position inside each key by ``order`` (1-based); keep the first ``max_slots``."""
+    """Position inside each key by ``order`` (1-based); keep the first ``max_slots``.
+
+    With a limit, ``row_number() <= k`` becomes a partial WindowGroupLimit
+    before the shuffle. Without one, an order given as column names (ascending)
+    goes through ``group_rank`` so hot keys are spread over many tasks.
+    """
+    if not max_slots and all(isinstance(o, str) for o in order):
+        return group_rank(df, list(keys), list(order), name).withColumn(name, F.col(name).cast("int"))
     w = Window.partitionBy(*keys).orderBy(*order)
     out = df.withColumn(name, F.row_number().over(w))
     return out.where(F.col(name) <= max_slots) if max_slots else out

@@ -81,8 +81,9 @@ def q_team_player_slot(spark, sf):
 
 @query("role_rank", with_fixture(ROLES_SQL + "\nSELECT id, canonical_role, role_rank FROM pmr"))
 def q_role_rank(spark, sf):
-    d = W.draft_slot(_members(spark, sf), DEFAULT_SLOTS, None)
-    return d.select("id", "canonical_role", role_rank("canonical_role").alias("role_rank"))
+    m = _members(spark, sf)
+    role = normalize_role("position", "role", slot="player", slots_per_side=DEFAULT_SLOTS)
+    return m.select("id", role.alias("canonical_role"), role_rank(role).alias("role_rank"))
 
 
 @query("draft_slot", with_fixture(ROLES_SQL + """

@@ -9,7 +9,7 @@ oracle. Both must stay in step.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
@@ -37,12 +37,19 @@ def _case(col, mapping: dict, default=None):
     return expr.otherwise(F.lit(default))
 
 
-def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item with its member slot inside the order."""
-    w = Window.partitionBy("l_orderkey").orderBy(*_MEMBER_ORDER)
-    return read_table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("matchid"),
-        F.row_number().over(w).cast("bigint").alias("player"),
+def members(spark: SparkSession, sf_dir: str, hot_threshold: int = 5_000_000) -> DataFrame:
+    """One row per line item with its member slot inside the order.
+
+    The slot is a per-order rank; ``group_rank`` keeps an order holding a
+    large share of all lines from landing in one task.
+    """
+    from ..operators.ordered import group_rank
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
+    ranked = group_rank(li, "l_orderkey", list(_MEMBER_ORDER), "player", hot_threshold)
+    return ranked.select(
+        F.col("l_orderkey").alias("matchid"), "player",
         "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_linenumber", "l_returnflag", "l_linestatus")
 
