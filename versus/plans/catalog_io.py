@@ -37,14 +37,15 @@ def q_write_compressed(spark, sf):
 
 
 @query("union_align", with_fixture("""
-SELECT id, win, kills, deaths, assists, goldearned, goldspent, firstbloodkill FROM stats WHERE id % 2 = 0
-UNION ALL SELECT id, win, kills, deaths, CAST(NULL AS DOUBLE), goldearned, goldspent, firstbloodkill FROM stats WHERE id % 2 = 1"""))
+SELECT id, win, kills, deaths, assists, goldearned, goldspent, firstbloodkill FROM stats WHERE win = 1
+UNION ALL SELECT id, win, kills, deaths, CAST(NULL AS DOUBLE), goldearned, goldspent, firstbloodkill FROM stats WHERE win <> 1"""))
 def q_union_align(spark, sf):
-    """Two statistic parts; the second lacks a column and has an extra one,
-    and is aligned to the first part's columns (#2)."""
+    """The statistics table as two parts (winning and other rows, together the
+    whole table); the second lacks a column and has an extra one and is
+    aligned to the first part's columns (#2)."""
     s = tables(spark, sf)["stats"]
-    part1 = s.where(F.col("id") % 2 == 0)
-    part2 = s.where(F.col("id") % 2 == 1).drop("assists").withColumn("extra", F.lit(1))
+    part1 = s.where(F.col("win") == 1)
+    part2 = s.where(F.col("win") != 1).drop("assists").withColumn("extra", F.lit(1))
     return IO.union_align(part1, part2)
 
 
