@@ -30,6 +30,9 @@ def test_every_query_is_registered_once():
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_duckdb(spark, con, key):
     sdf = QUERIES[key](spark, SMALL)
+    plan = sdf._sc._jvm.PythonSQLUtils.explainString(sdf._jdf.queryExecution(), "simple")
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert node not in plan, f"{key}: {node} in plan"
     srows = [tuple(r) for r in sdf.collect()]
     res = con.execute(ORACLE[key])
     dcols = [d[0] for d in res.description]

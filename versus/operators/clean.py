@@ -174,26 +174,25 @@ def violation_counts(df: DataFrame, group: str = "matchid", side: str = "teamid"
                      expected_sides: int = SIDES_PER_GROUP) -> DataFrame:
     """One row of grain-violation counts for a side-level frame (#47, #48).
 
-    Two-level aggregate: per (group, side) key, then per group; NULL sides count
-    as a distinct side, NULL targets as 0, NULL groups are not groups.
+    One chain of aggregates, no join: per (group, side) key, then per group
+    (the NULL group is kept as its own row so its rows still count), then one
+    row. NULL sides count as a distinct side, NULL targets as 0.
     """
     keyed = df.select(F.col(group), F.col(side).try_cast("double").alias(side),
                       F.coalesce(F.col(target).try_cast("double"), F.lit(0.0)).alias("_t"))
+    bad_side = F.col(side).isNull() | ~F.col(side).isin(*[float(x) for x in sides])
     per_key = keyed.groupBy(group, side).agg(F.count(F.lit(1)).alias("_n"), F.sum("_t").alias("_t"))
-    per_key = per_key.withColumn("_pid", F.lit(0))
-    key_stats = per_key.groupBy("_pid").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_match_team_rows"),
-        F.coalesce(F.sum(F.when(F.col(side).isNull() | ~F.col(side).isin(*[float(s) for s in sides]),
-                                F.col("_n"))), F.lit(0)).cast("bigint").alias("invalid_teamid_rows"))
-    per_group = per_key.where(F.col(group).isNotNull()).groupBy(group).agg(
-        F.count(F.lit(1)).alias("_sides"), F.sum("_t").alias("_wins")).withColumn("_pid", F.lit(0))
-    group_stats = per_group.groupBy("_pid").agg(
-        F.count(F.lit(1)).cast("bigint").alias("unique_matches"),
-        F.count_if(F.col("_sides") != expected_sides).cast("bigint").alias("invalid_match_team_count"),
-        F.count_if(F.col("_wins") != 1).cast("bigint").alias("invalid_winner_matches"))
-    # one row joined to one row on a constant key
-    return key_stats.join(group_stats, "_pid", "left").drop("_pid").fillna(0)
+    per_group = per_key.groupBy(group).agg(
+        F.count(F.lit(1)).alias("_sides"), F.sum("_t").alias("_wins"), F.sum("_n").alias("_rows"),
+        F.sum(F.col("_n") - 1).alias("_dups"), F.sum(F.when(bad_side, F.col("_n")).otherwise(0)).alias("_bad"))
+    real = F.col(group).isNotNull()
+    return per_group.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("rows"),
+        F.coalesce(F.sum("_dups"), F.lit(0)).cast("bigint").alias("duplicate_match_team_rows"),
+        F.coalesce(F.sum("_bad"), F.lit(0)).cast("bigint").alias("invalid_teamid_rows"),
+        F.count_if(real).cast("bigint").alias("unique_matches"),
+        F.count_if(real & (F.col("_sides") != expected_sides)).cast("bigint").alias("invalid_match_team_count"),
+        F.count_if(real & (F.col("_wins") != 1)).cast("bigint").alias("invalid_winner_matches"))
 
 
 def assert_group_frame(df: DataFrame, name: str = "frame", **kw) -> dict:

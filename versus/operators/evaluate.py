@@ -90,15 +90,42 @@ def rank_metrics(df: DataFrame, label: str = "label", score: str = "score",
 
 def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pred",
                            score: str | None = "score", group: Sequence[str] = ()) -> DataFrame:
-    """Full metric row per group (#136): counting metrics joined to rank metrics
-    (both are one row per group)."""
-    counting = counting_metrics(df, label, pred, score, group)
+    """Full metric row per group (#136) from ONE aggregation chain.
+
+    Rows collapse to one bucket per (group, clipped score) carrying positives,
+    negatives and the additive pieces of every counting metric (tp, fp, fn,
+    correct, Brier and log-loss sums); running counts over the buckets give
+    AUC and average precision; a final per-group aggregate sums everything.
+    No join between metric families.
+    """
     if not score:
-        return counting
-    ranks = rank_metrics(df, label, score, group)
-    if group:
-        return counting.join(ranks, list(group), "left")
-    return counting.withColumn("_k", F.lit(0)).join(ranks.withColumn("_k", F.lit(0)), "_k").drop("_k")
+        return counting_metrics(df, label, pred, None, group)
+    y, p = F.col(label).cast("double"), F.col(pred).cast("double")
+    s = clip_probability(score)
+    buckets = df.groupBy(*group, s.alias("s")).agg(
+        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"),
+        F.sum(y * p).alias("tp"), F.sum((1 - y) * p).alias("fp"), F.sum(y * (1 - p)).alias("fn"),
+        F.sum(F.when(y == p, 1.0).otherwise(0.0)).alias("correct"),
+        F.sum((s - y) * (s - y)).alias("sq"), F.sum(y * F.log(s) + (1 - y) * F.log(1 - s)).alias("ll"))
+    c = ordered_prefix(buckets, ["s"], ["pos", "neg"], group, descending=True)
+    neg_below = F.col("tot_neg") - F.col("cum_neg")
+    precision_at = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
+    agg = c.groupBy(*group).agg(
+        F.sum("tp").alias("_tp"), F.sum("fp").alias("_fp"), F.sum("fn").alias("_fn"),
+        F.sum("correct").alias("_ok"), F.sum(F.col("pos") + F.col("neg")).alias("_n"),
+        F.sum("sq").alias("_sq"), F.sum("ll").alias("_ll"),
+        F.sum(F.col("pos") * (neg_below + 0.5 * F.col("neg"))).alias("_u"),
+        F.sum(F.col("pos") * precision_at).alias("_ap"),
+        F.max("tot_pos").alias("_p"), F.max("tot_neg").alias("_q"))
+    tp, fp, fn = F.col("_tp"), F.col("_fp"), F.col("_fn")
+    both = (F.col("_p") > 0) & (F.col("_q") > 0)
+    return agg.select(
+        *group, (F.col("_ok") / F.col("_n")).alias("accuracy"),
+        _safe_div(tp, tp + fp).alias("precision"), _safe_div(tp, tp + fn).alias("recall"),
+        _safe_div(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        (F.col("_sq") / F.col("_n")).alias("brier_score"), (-F.col("_ll") / F.col("_n")).alias("log_loss"),
+        F.when(both, F.col("_u") / (F.col("_p") * F.col("_q"))).alias("roc_auc"),
+        F.when(both, F.col("_ap") / F.col("_p")).alias("pr_auc"))
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score",

@@ -201,6 +201,16 @@ def anti_disjoint_check(a: DataFrame, b: DataFrame, key: str = "matchid") -> Dat
     return a.select(key).where(F.col(key).isNotNull()).intersect(b.select(key))
 
 
+def split_overlap_counts(df: DataFrame, key: str, split_col: str, splits: Sequence[str]) -> DataFrame:
+    """Keys present in each pair of splits, one row (#41 at scale): per key one
+    flag per split (a partial + final aggregate), then pair counts."""
+    flags = df.where(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.max((F.col(split_col) == s_).cast("int")).alias(f"_in_{s_}") for s_ in splits])
+    pairs = [(a, b) for i, a in enumerate(splits) for b in splits[i + 1:]]
+    return flags.agg(*[F.count_if((F.col(f"_in_{a}") == 1) & (F.col(f"_in_{b}") == 1)).cast("bigint")
+                       .alias(f"{a}_{b}") for a, b in pairs])
+
+
 def left_join_on_condition(runs: DataFrame, params: DataFrame, metrics: DataFrame,
                            param_key: str, metric_key: str) -> DataFrame:
     """runs LEFT JOIN params ON id AND key = param_key LEFT JOIN metrics ON id AND key = metric_key (#40)."""

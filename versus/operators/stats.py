@@ -31,11 +31,11 @@ def describe_percentiles(df: DataFrame, columns: Sequence[str],
 
 
 def value_counts(df: DataFrame, column: str, name: str = "value") -> DataFrame:
-    """Count and share per distinct value (#52); the share uses a one-row total."""
+    """Count and share per distinct value (#52); the total is one count job and
+    enters the plan as a literal (no join, no global window)."""
+    total = df.count()
     counts = df.groupBy(F.col(column).alias(name)).agg(F.count(F.lit(1)).cast("bigint").alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("_total")).withColumn("_k", F.lit(0))
-    return (counts.withColumn("_k", F.lit(0)).join(total, "_k")
-            .select(name, "count", (F.col("count") / F.col("_total")).alias("share")))
+    return counts.select(name, "count", (F.col("count") / F.lit(float(max(total, 1)))).alias("share"))
 
 
 def category_outcome_rate(members: DataFrame, category: str, target: str, names: DataFrame | None = None,
@@ -77,20 +77,17 @@ def trimmed_histogram(df: DataFrame, column: str, bins: int = 15, lower: float =
     The two bounds are exact quantiles (one small table); the binning is one
     aggregate. The top edge belongs to the last bin.
     """
-    q = exact_quantiles(df, [column], [lower, upper], approx=approx)
-    bounds = q.groupBy().agg(F.max(F.when(F.col("p") == lower, F.col("value"))).alias("_lo"),
-                             F.max(F.when(F.col("p") == upper, F.col("value"))).alias("_hi"))
+    q = {r["p"]: r["value"] for r in exact_quantiles(df, [column], [lower, upper], approx=approx).collect()}
+    lo, hi = q.get(lower), q.get(upper)  # two numbers
     x = F.col(column).cast("double")
-    # bounds is one row: joined on a constant key, broadcast by AQE from its measured size
-    joined = df.select(x.alias("x")).withColumn("_k", F.lit(0)).join(bounds.withColumn("_k", F.lit(0)), "_k")
-    inside = joined.where((F.col("x") >= F.col("_lo")) & (F.col("x") <= F.col("_hi")))
-    width = (F.col("_hi") - F.col("_lo"))
-    idx = F.least(F.floor((F.col("x") - F.col("_lo")) * (F.lit(float(bins)) / width)), F.lit(bins - 1))
-    idx = F.when(width == 0, F.lit(0)).otherwise(idx).cast("int")
-    return inside.groupBy(idx.alias("bin")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("count"),
-        F.max("_lo").alias("lo"),
-        F.max("_hi").alias("hi"))
+    if lo is None or hi is None:
+        return df.sparkSession.createDataFrame([], "bin int, count bigint, lo double, hi double")
+    inside = df.select(x.alias("x")).where((F.col("x") >= lo) & (F.col("x") <= hi))
+    width = hi - lo
+    idx = F.lit(0) if width == 0 else F.least(F.floor((F.col("x") - F.lit(lo)) * F.lit(float(bins) / width)),
+                                              F.lit(bins - 1))
+    return inside.groupBy(idx.cast("int").alias("bin")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("count"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
 
 
 def box_stats(df: DataFrame, column: str, group: str) -> DataFrame:

@@ -37,17 +37,11 @@ SELECT CAST((SELECT COUNT(*) FROM (SELECT matchid FROM s WHERE split = 'train' I
        CAST((SELECT COUNT(*) FROM (SELECT matchid FROM s WHERE split = 'train' INTERSECT SELECT matchid FROM s WHERE split = 'test')) AS BIGINT) AS train_test,
        CAST((SELECT COUNT(*) FROM (SELECT matchid FROM s WHERE split = 'val' INTERSECT SELECT matchid FROM s WHERE split = 'test')) AS BIGINT) AS val_test"""))
 def q_anti_disjoint_check(spark, sf):
-    """Overlapping group keys between each pair of splits; all zero when disjoint (#41)."""
-    from ..operators.relational import anti_disjoint_check
+    """Group keys shared by each pair of splits; all zero when disjoint (#41).
+    One aggregate per key with split-membership flags, then one row."""
+    from ..operators.relational import split_overlap_counts
     s = SP.split_grouped(stage_cleaned(spark, sf)).select("matchid", "split")
-    part = {k: s.where(F.col("split") == k) for k in ("train", "val", "test")}
-    pairs = [("train", "val"), ("train", "test"), ("val", "test")]
-    counts = [anti_disjoint_check(part[a], part[b]).agg(F.count(F.lit(1)).alias(f"{a}_{b}")).withColumn("_k", F.lit(0))
-              for a, b in pairs]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.join(c, "_k")  # one-row frames joined on a constant
-    return out.drop("_k")
+    return split_overlap_counts(s, "matchid", "split", ("train", "val", "test"))
 
 
 @query("split_stratified", with_fixture(POST + f"""

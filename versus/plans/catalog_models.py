@@ -264,20 +264,28 @@ def q_ablation_progressive(spark, sf):
     return TR.ablation_progressive(frame, "logistic_regression", run_all=True)
 
 
-@query("meaningful_drop", """
-WITH ev AS (SELECT CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS label, value, user_id FROM events),
-p AS (SELECT 'full' AS run, label, CASE WHEN value / (value + 50.0) >= 0.5 THEN 1 ELSE 0 END AS pred FROM ev
-      UNION ALL SELECT 'ablated', label, CASE WHEN user_id % 2 = 0 THEN 0 ELSE 1 END FROM ev),
-m AS (SELECT run, SUM(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END) / COUNT(*) AS accuracy FROM p GROUP BY run)
-SELECT 'all' AS split, ROUND(CAST(a.accuracy - f.accuracy AS DOUBLE), 6) AS delta_accuracy, CAST(0.0 AS DOUBLE) AS delta_roc_auc,
+_SAMPLE_SQL = ("CASE WHEN CAST(('0x' || SUBSTR(MD5(CAST(event_id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) "
+               "/ 4294967296.0 < 0.5 THEN 'in_sample' ELSE 'out_of_sample' END")
+
+
+@query("meaningful_drop", f"""
+WITH ev AS (SELECT event_id, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS label, value, user_id FROM events),
+p AS (SELECT 'full' AS run, {_SAMPLE_SQL} AS sample, label,
+             CASE WHEN value / (value + 50.0) >= 0.5 THEN 1 ELSE 0 END AS pred FROM ev
+      UNION ALL SELECT 'ablated', {_SAMPLE_SQL}, label, CASE WHEN user_id % 2 = 0 THEN 0 ELSE 1 END FROM ev),
+m AS (SELECT run, sample, SUM(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END) / COUNT(*) AS accuracy FROM p GROUP BY run, sample)
+SELECT f.sample, ROUND(CAST(a.accuracy - f.accuracy AS DOUBLE), 6) AS delta_accuracy, CAST(0.0 AS DOUBLE) AS delta_roc_auc,
        CASE WHEN f.accuracy - a.accuracy >= 0.03 THEN 1 ELSE 0 END AS meaningful_drop
-FROM m f JOIN m a ON f.run = 'full' AND a.run = 'ablated'""")
+FROM m f JOIN m a ON f.run = 'full' AND a.run = 'ablated' AND f.sample = a.sample""")
 def q_meaningful_drop(spark, sf):
-    """Accuracy drop >= 0.03 or AUC drop >= 0.005; missing metrics count as 0 (#159)."""
+    """Accuracy drop >= 0.03 or AUC drop >= 0.005 per sample; missing metrics
+    count as 0 (#159)."""
     from ..sources.predictions import predictions
     from ..operators.evaluate import counting_metrics, meaningful_drop
-    p = predictions(spark, sf)
-    full = counting_metrics(p.where("model = 'value_ratio'"), score=None).withColumn("roc_auc", F.lit(None).cast("double"))
-    abl = counting_metrics(p.where("model = 'user_parity'"), score=None).withColumn("roc_auc", F.lit(None).cast("double"))
-    out = meaningful_drop(full.withColumn("split", F.lit("all")), abl.withColumn("split", F.lit("all")), ["split"])
-    return round_doubles(out)
+    from .catalog_eval import _event_split
+    p = predictions(spark, sf).withColumn("sample", _event_split())
+    full = counting_metrics(p.where("model = 'value_ratio'"), score=None, group=["sample"])
+    abl = counting_metrics(p.where("model = 'user_parity'"), score=None, group=["sample"])
+    full = full.withColumn("roc_auc", F.lit(None).cast("double"))
+    abl = abl.withColumn("roc_auc", F.lit(None).cast("double"))
+    return round_doubles(meaningful_drop(full, abl, ["sample"]))
