@@ -272,9 +272,11 @@ def fit_transform_splits(frame: DataFrame, feature_cols: Sequence[str], target:
     from .relational import numeric_columns
     numeric = set(numeric_columns(frame))
     candidate = [c for c in feature_cols if c in numeric]
-    # every fit statistic below reads only the training rows of these columns:
-    # cut the lineage once (reliable checkpoint in spark.checkpoint.dir)
-    train = frame.where(F.col(split_col) == "train").select(*candidate, target).checkpoint(eager=True)
+    # the fit statistics read the training rows, the transform reads all rows:
+    # cut the lineage of the narrow projection once (reliable checkpoint in
+    # spark.checkpoint.dir) and derive both from it
+    frame = frame.select(*id_cols, split_col, *candidate, target).checkpoint(eager=True)
+    train = frame.where(F.col(split_col) == "train").select(*candidate, target)
     # NULL / NaN / inf per candidate: when none, every Gram below is a sub-block
     # of the first one (same rows), so one pass serves correlation, VIF and PCA
     bad = train.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
