@@ -17,6 +17,8 @@ _JOB_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of lineage cuts are removed once their DataFrames are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
