@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..constants import ENCODER_CANDIDATES, TARGET, TE_SMOOTHING
 from .relational import inline_lookup, lookup_strategy, lookup_with_default
+from ..session import cut_lineage
 
 
 @dataclass
@@ -52,7 +53,7 @@ def fit_target_encoding(train: DataFrame, columns: Sequence[str] = ENCODER_CANDI
         F.avg(F.col(target).cast("double")).alias("_mean"), F.count(F.lit(1)).alias("_n"))
     value = (F.col("_mean") * F.col("_n") + F.lit(prior * smoothing)) / (F.col("_n") + F.lit(smoothing))
     # fitted state: materialized once, so every apply-join reads the small table
-    fitted = table.select("feature", "category", value.alias("value")).checkpoint(eager=True)
+    fitted = cut_lineage(table.select("feature", "category", value.alias("value")))
     return Encoding(fitted, prior, used)
 
 
@@ -90,7 +91,7 @@ def fit_pick_rate(train: DataFrame, columns: Sequence[str]) -> Encoding:
     stats = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("total")).first()
     if not stats["k"]:
         return Encoding(train.sparkSession.createDataFrame([], "category string, value double"), 0.0, cols)
-    table = counts.select("category", (F.col("_n") / F.lit(float(stats["total"]))).alias("value")).checkpoint(eager=True)
+    table = cut_lineage(counts.select("category", (F.col("_n") / F.lit(float(stats["total"]))).alias("value")))
     prior = 1.0 / stats["k"]
     return Encoding(table, prior, cols)
 
@@ -117,8 +118,8 @@ def fit_category_codes(train: DataFrame, column: str, unknown: str = "unknown",
     Levels are few by nature (one code per level); the rank runs over the
     distinct levels only and refuses more than ``max_levels``.
     """
-    levels = train.select(F.coalesce(F.col(column).cast("string"), F.lit(unknown)).alias("category")).distinct() \
-        .checkpoint(eager=True)
+    levels = cut_lineage(
+        train.select(F.coalesce(F.col(column).cast("string"), F.lit(unknown)).alias("category")).distinct())
     n = levels.count()
     if n > max_levels:
         raise ValueError(f"{column}: {n} levels exceed max_levels={max_levels}")

@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from ..session import cut_lineage
 
 
 def default_bins(df: DataFrame) -> int:
@@ -73,7 +74,7 @@ def ordered_prefix(df: DataFrame, order: Sequence[str], sums: Sequence[str],
     lead = order[0]
     # the input feeds three jobs (edges, bin totals, running sums): cut its
     # lineage once with a reliable checkpoint instead of recomputing it
-    work = df.checkpoint(eager=True) if materialize else df
+    work = cut_lineage(df) if materialize else df
     if descending:
         work = work.withColumn("_lead", -F.col(lead).cast("double"))
         order_cols = [F.col("_lead")] + [F.col(c).desc() for c in order[1:]]
@@ -177,7 +178,7 @@ def group_rank(df: DataFrame, group: str | Sequence[str], order: Sequence, name:
     w = Window.partitionBy(*keys).orderBy(*order)
     if hot.limit(1).count() == 0:
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    hot = F.broadcast(hot.checkpoint(eager=True))
+    hot = F.broadcast(cut_lineage(hot))
     cold = df.join(hot, keys, "left_anti").withColumn(name, F.row_number().over(w).cast("bigint"))
     ranked = ordered_rank(df.join(hot, keys, "left_semi"), list(order), keys, name="_r0", bins=bins)
     return cold.unionByName(ranked.withColumn(name, (F.col("_r0") + 1).cast("bigint")).drop("_r0"))

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..constants import AGG_EXCLUDED, KEYS, SIDES, TARGET
 from ..functions.scalars import binarize, coerce_int, fill_side, side_flag
+from ..session import cut_lineage
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -148,7 +149,7 @@ def aggregate_sides(df: DataFrame, keys: Sequence[str] = KEYS, target: str = TAR
     for i, c in enumerate(feats):
         v = F.col(c).cast("double")
         probes += [F.count(v).alias(f"_n{i}"), F.count_if(v.isNotNull() & ~v.isin(0.0, 1.0)).alias(f"_b{i}")]
-    agg = df.groupBy(*keys).agg(*exprs, *probes).checkpoint(eager=True)
+    agg = cut_lineage(df.groupBy(*keys).agg(*exprs, *probes))
     row = agg.agg(*[F.sum(f"_n{i}").alias(f"n{i}") for i in range(len(feats))],
                   *[F.sum(f"_b{i}").alias(f"b{i}") for i in range(len(feats))]).first()
     found = [c for i, c in enumerate(feats) if (row[f"n{i}"] or 0) > 0 and (row[f"b{i}"] or 0) == 0]

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..constants import (CORRELATION_THRESHOLD, MIN_FEATURES_AFTER_VIF, OUTLIER_IQR_FACTOR,
                          ROBUST_OUTLIER_SHARE, VIF_THRESHOLD)
 from .ordered import exact_quantiles
+from ..session import cut_lineage
 
 
 @dataclass
@@ -275,7 +276,7 @@ def fit_transform_splits(frame: DataFrame, feature_cols: Sequence[str], target:
     # the fit statistics read the training rows, the transform reads all rows:
     # cut the lineage of the narrow projection once (reliable checkpoint in
     # spark.checkpoint.dir) and derive both from it
-    frame = frame.select(*id_cols, split_col, *candidate, target).checkpoint(eager=True)
+    frame = cut_lineage(frame.select(*id_cols, split_col, *candidate, target))
     train = frame.where(F.col(split_col) == "train").select(*candidate, target)
     # NULL / NaN / inf per candidate: when none, every Gram below is a sub-block
     # of the first one (same rows), so one pass serves correlation, VIF and PCA

@@ -16,6 +16,7 @@ from .common import rnd, round_doubles
 from .pregame import add_pregame_features, pregame_dataset
 from .registry import query, tables, with_fixture
 from .sqlparts import CLEANED, MERGED, PM, SIDES
+from ..session import cut_lineage
 
 U_MATCH = "(CAST(('0x' || SUBSTR(MD5(CAST(matchid AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) / 4294967296.0)"
 U_ROW = ("(CAST(('0x' || SUBSTR(MD5(CAST(matchid AS VARCHAR) || ':' || CAST(teamid AS VARCHAR) || ':42'), 1, 8))"
@@ -256,7 +257,7 @@ def _stage_pregame_split(spark, sf):
     every encoder fit and the apply step)."""
     t = tables(spark, sf)
     pg = pregame_dataset(t["matches"], t["participants"], t["stats"], t["teambans"], DEFAULT_SLOTS)
-    return SP.split_grouped(pg).checkpoint(eager=True)
+    return cut_lineage(SP.split_grouped(pg))
 
 
 def _fit_all(spark, sf):

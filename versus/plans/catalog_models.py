@@ -20,7 +20,7 @@ from ..operators import training as TR
 from ..operators.evaluate import classification_metrics
 from ..operators.scoring import score_batch
 from ..functions.columns import select_candidates
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..streaming.scoring import read_scored, score_stream
 from .catalog_merge import stage_cleaned
 from .catalog_stats import TRAIN, post_feature_frame
@@ -40,7 +40,7 @@ def processed(spark, sf):
         frame = post_feature_frame(spark, sf)
         feats = select_candidates(frame.drop("split"))
         out, artifact, summary = SEL.fit_transform_splits(frame, feats, "win")
-        _CACHE[key] = (out.checkpoint(eager=True), artifact.collect(), summary, feats)
+        _CACHE[key] = (cut_lineage(out), artifact.collect(), summary, feats)
     return _CACHE[key]
 
 

@@ -22,6 +22,7 @@ from ..operators.training import write_summary
 from ..sources import io as IO
 from .postgame import postgame_dataset
 from .pregame import add_pregame_features, pregame_dataset
+from ..session import cut_lineage
 
 PREGAME_SELECTED = [
     "team_avg_champ_wr", "team_min_champ_wr", "team_max_champ_wr", "team_std_champ_wr", "team_champ_wr_span",
@@ -42,7 +43,7 @@ def _write(spark: SparkSession, out: DataFrame, summary: dict, out_dir: str, sco
 def build_postgame_features(spark: SparkSession, t: dict, out_dir: str, slots_per_side: int = 5,
                             target: str = "win") -> tuple[DataFrame, dict]:
     merged = postgame_dataset(t["matches"], t["participants"], t["stats"], t["teamstats"], slots_per_side)
-    curated = SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS)).checkpoint(eager=True)
+    curated = cut_lineage(SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS)))
     enriched = FE.team_features(FE.player_features(curated))
     enc = EN.fit_target_encoding(enriched.where(F.col("split") == "train"), target=target)
     enriched = EN.apply_encoding(enriched, enc)
@@ -56,7 +57,7 @@ def build_postgame_features(spark: SparkSession, t: dict, out_dir: str, slots_pe
 def build_pregame_features(spark: SparkSession, t: dict, out_dir: str, slots_per_side: int = 5,
                            target: str = "win") -> tuple[DataFrame, dict]:
     merged = pregame_dataset(t["matches"], t["participants"], t["stats"], t["teambans"], slots_per_side)
-    curated = SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS)).checkpoint(eager=True)
+    curated = cut_lineage(SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS)))
     train = curated.where(F.col("split") == "train")
     champ = [f"champion_{i}" for i in range(1, 6) if f"champion_{i}" in curated.columns]
     te = EN.fit_target_encoding(train, target=target)

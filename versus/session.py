@@ -60,3 +60,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def cut_lineage(df):
+    """Reliable checkpoint (eager) into the shared ``spark.checkpoint.dir``.
+
+    Used wherever one input feeds several jobs; never ``localCheckpoint``, so a
+    lost executor does not lose the materialized data.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
