@@ -28,6 +28,9 @@ from .ordered import exact_quantiles
 from ..session import cut_lineage
 
 
+SQL_GRAM_MAX_PRODUCTS = 300  # up to k = 24 columns the Gram is k(k+1)/2 SQL sums
+
+
 @dataclass
 class Gram:
     """Sufficient statistics of a k-column block: n, column means, centred
@@ -80,6 +83,22 @@ def gram(df: DataFrame, columns: Sequence[str], fill: dict | None = None) -> Gra
     n = int(head["n"])
     shift = np.array([head[c] if head[c] is not None else 0.0 for c in names], dtype="float64")
 
+    if k * (k + 1) // 2 <= SQL_GRAM_MAX_PRODUCTS:
+        # few columns: shifted cross-products as plain JVM aggregates (codegen, no Python)
+        d = [F.col(c) - F.lit(float(m)) for c, m in zip(names, shift)]
+        prods = [F.sum(d[i] * d[j]).alias(f"p{i}_{j}") for i in range(k) for j in range(i, k)]
+        row = x.agg(*prods, *[F.sum(d[i]).alias(f"s{i}") for i in range(k)]).first()
+        x.unpersist()
+        acc = np.zeros((k, k))
+        for i in range(k):
+            for j in range(i, k):
+                acc[i, j] = acc[j, i] = row[f"p{i}_{j}"] or 0.0
+        s1 = np.array([row[f"s{i}"] or 0.0 for i in range(k)])
+        if n == 0:
+            return Gram(cols, 0, shift, acc)
+        dm = s1 / n
+        return Gram(cols, n, shift + dm, acc - n * np.outer(dm, dm))
+
     def block(batches):
         acc = np.zeros((k, k))
         s1 = np.zeros(k)
