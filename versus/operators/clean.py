@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..constants import (BINARY_COLUMNS, KEYS, NON_NEGATIVE_COLUMNS, SIDES, SIDES_PER_GROUP,
                          TARGET)
-from ..functions.scalars import binarize, coerce_int, finite_or_null
+from ..functions.scalars import binarize, finite_or_null
 from .relational import coerce_int_columns, numeric_columns, string_columns
 
 _FLOATING = (T.DoubleType, T.FloatType)

@@ -10,7 +10,7 @@ from ..operators import windows as W
 from ..operators.relational import assign_sides, join_inner_stats
 from ..operators.reshape import pivot_role, pivot_slots
 from ..sources.fixture import DEFAULT_SLOTS
-from .pregame import ban_frame, draft_frame, pregame_dataset
+from .pregame import ban_frame, pregame_dataset
 from .registry import query, tables, with_fixture
 from .sqlparts import PM
 
