@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, table_path
+from ..session import cut_lineage, ensure_checkpoint_dir, table_path
 
-__all__ = ["cut_lineage", "read", "id_text", "crc_mod", "unit_hash", "sized_batches"]
+__all__ = ["cut_lineage", "read", "shared_folder", "long_array", "id_text", "crc_mod", "unit_hash", "sized_batches"]
 
 #: Documents are handed to NumPy in pieces of about this many characters, so that
 #: a task's working set does not follow the Arrow batch (10,000 rows of any length).
@@ -55,3 +55,8 @@ def sized_batches(texts: Iterable[str | None], limit: int = CHUNK_CHARS) -> Iter
 
 def long_array(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values, dtype=np.int64))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share (``spark.checkpoint.dir``)."""
+    return ensure_checkpoint_dir(spark).rstrip("/")
