@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, simhash
+from . import langid, mixing, sharding, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,12 +23,36 @@ def query(fn):
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from labelled rows that are not held out, scores every document."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.training_rows(docs), read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model)
+
+
 @query
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, links at four or fewer differing bits."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4).drop("fp")
 
 
+@query
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty shards under the law ``bytes``."""
+    placed = sharding.shard(read(spark, sf_dir, "documents"), 40)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources weighed 5, 2, 1; documents by the quality labels."""
+    return mixing.mix(read(spark, sf_dir, "documents"), mixing.quality_weights(read(spark, sf_dir, "labels")))
+
+
+ORACLE["op8_mixing"] = mixing.ORACLE
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted on the rows that are not held out, predicted for every document."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ensure_checkpoint_dir, table_path
 
-__all__ = ["cut_lineage", "read", "shared_folder", "long_array", "id_text", "crc_mod", "unit_hash", "sized_batches"]
+__all__ = ["cut_lineage", "with_small", "read", "shared_folder", "long_array", "id_text", "crc_mod", "unit_hash", "sized_batches"]
 
 #: Documents are handed to NumPy in pieces of about this many characters, so that
 #: a task's working set does not follow the Arrow batch (10,000 rows of any length).
@@ -60,3 +60,18 @@ def long_array(values: np.ndarray) -> pa.Array:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``)."""
     return ensure_checkpoint_dir(spark).rstrip("/")
+
+
+#: A side of a join is broadcast up to this many rows (its rows are a few numbers wide).
+BROADCAST_ROWS = 200_000
+
+
+def with_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join an aggregated table whose rows are counted first: within ``BROADCAST_ROWS`` it is
+    broadcast, beyond it the same join is left to the planner.  Keys match null-safely."""
+    small = cut_lineage(small)
+    side = small.select(*[F.col(k).alias(f"__{k}") for k in on], *[c for c in small.columns if c not in on])
+    if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        side = F.broadcast(side)
+    cond = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in on]
+    return df.join(side, cond, how).drop(*[f"__{k}" for k in on])
