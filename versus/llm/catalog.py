@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, sharding, simhash, toxicity
+from . import langid, lcp, mixing, sharding, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,12 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4).drop("fp")
 
 
+@query
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text against its edited text and the next document."""
+    return lcp.edit_likeness(read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forty shards under the law ``bytes``."""
