@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, lcp, mixing, sharding, simhash, toxicity
+from . import langid, lcp, mixing, pieces, sharding, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted on the rows that are not held out, predicted for every document."""
     docs = read(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fit(langid.training_rows(docs)))
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, one row a part, and length and checksum of what they decode to."""
+    parts = pieces.encode(read(spark, sf_dir, "documents"))
+    text = pieces.decode_column(F.col("part"), F.col("ids"))
+    return (parts.withColumn("text", text)
+            .select("doc_id", "part", "ids", F.size("ids").alias("n_tokens"), F.char_length("text").alias("decoded_chars"), F.crc32(F.col("text").cast("binary")).alias("decoded_crc32")))
