@@ -43,6 +43,7 @@ FAN = 64
 _UNKNOWN = -10.0  # below the lowest score, for each unknown character
 _SPACE = "▁"
 _NO = float("-inf")
+_REMEMBER = 150_000
 
 
 @dataclass
@@ -57,9 +58,11 @@ class Vocabulary:
     unknown: float
     _cut: re.Pattern | None = field(default=None, repr=False)
     _memo: dict = field(default_factory=dict, repr=False)
+    _older: dict = field(default_factory=dict, repr=False)
+    _trie: dict = field(default_factory=dict, repr=False)  # beginnings of pieces: None, or (score, id as int32 bytes)
 
     def __getstate__(self):
-        return {**self.__dict__, "_memo": {}}
+        return {**self.__dict__, "_memo": {}, "_older": {}}
 
     # ---- stretches ----
 
@@ -94,27 +97,46 @@ class Vocabulary:
                     best[i + k], back[i + k] = v, (k, ids)
         return best, back
 
-    def segment(self, s: str, begin: int, end: int) -> tuple[float, list[int]]:
-        """Best segmentation of ``s[begin:end]``."""
-        s = s[begin:end]
-        best, back = self.forward(s, [0.0], len(s))
-        ids: list[int] = []
-        i = len(s)
-        while i:
-            k, own = back[i]
-            ids[:0] = own
-            i -= k
-        return best[len(s)], ids
+    def segment(self, s: str) -> tuple[float, bytes]:
+        """Score and ids (as int32 bytes) of the best segmentation of a text."""
+        n, get = len(s), self._trie.get
+        best, back = [0.0] + [_NO] * n, [None] * (n + 1)
+        for i in range(n):
+            here = best[i]
+            step = get(s[i:i + 1], False)
+            if not step:  # no piece has just this character
+                v = here + self.unknown
+                if v >= best[i + 1]:
+                    best[i + 1], back[i + 1] = v, (1, np.array(self.byte_ids(s[i]), np.int32).tobytes())
+                if step is False:
+                    continue
+            j = i
+            while True:
+                j += 1
+                if step:
+                    v = here + step[0]
+                    if v >= best[j]:  # ties: the shorter last piece, which comes later
+                        best[j], back[j] = v, (j - i, step[1])
+                if j == n:
+                    break
+                step = get(s[i:j + 1], False)
+                if step is False:
+                    break
+        ids = []
+        while n:
+            k, own = back[n]
+            ids.append(own)
+            n -= k
+        return best[-1], b"".join(ids[::-1])
 
     def remembered(self, s: str) -> tuple[float, bytes]:
-        """Score and ids (as int32 bytes) of the best segmentation of a stretch."""
+        """``segment`` of a stretch; short ones are remembered, in two generations."""
         got = self._memo.get(s)
         if got is None:
-            score, ids = self.segment(s, 0, len(s))
-            got = (score, np.array(ids, np.int32).tobytes())
+            got = self._older.get(s) or self.segment(s)
             if len(s) <= 32:
-                if len(self._memo) >= 300_000:
-                    self._memo.clear()
+                if len(self._memo) >= _REMEMBER:
+                    self._older, self._memo = self._memo, {}
                 self._memo[s] = got
         return got
 
@@ -123,8 +145,8 @@ class Vocabulary:
 
     def encode(self, s: str) -> np.ndarray:
         """Ids of a text that begins and ends at free borders."""
-        memo, rest = self._memo, self.remembered
-        return np.frombuffer(b"".join([(memo.get(w) or rest(w))[1] for w in self.stretches(s)]), np.int32)
+        get, rest = self._memo.get, self.remembered
+        return np.frombuffer(b"".join([(get(w) or rest(w))[1] for w in self.stretches(s)]), np.int32)
 
     def decode(self, ids) -> bytes:
         text = self.text
@@ -154,6 +176,29 @@ class Vocabulary:
         return m
 
 
+def _free_borders(pieces: dict[str, tuple[int, float]]) -> re.Pattern:
+    """A pattern whose matches are the stretches between borders that no piece crosses:
+    before a space that follows another character, on both sides of white space that no
+    piece has, and between letters or digits and other characters.  Characters that some
+    piece joins to a letter count as letters; where spaces follow others, nothing is cut."""
+    pairs = {(a, b) for p in pieces for a, b in zip(p, p[1:])}
+    if any(a != " " and b == " " for a, b in pairs):
+        return re.compile(r"(?s).+")
+    letters: set[str] = set()
+    while True:
+        word = lambda c: c.isalnum() or c in letters
+        mixed = {c for pair in pairs if " " not in pair and word(pair[0]) != word(pair[1]) for c in pair if not word(c)}
+        if not mixed:
+            break
+        letters |= mixed
+    known = set("".join(pieces))
+    alone = "".join(re.escape(c) for c in "\n\t\r\f\v" if c not in known)
+    joined = "".join(re.escape(c) for c in sorted(letters))
+    inside = rf"(?:[^\W_]|[{joined}])" if joined else r"[^\W_]"
+    outside = rf"(?:(?!{inside})[^ {alone}])"
+    return re.compile(rf"(?s) *{inside}+| *{outside}+| +" + (f"|[{alone}]" if alone else ""))
+
+
 @lru_cache(maxsize=4)
 def vocabulary(path: str = MODEL) -> Vocabulary:
     """Pieces and scores of a SentencePiece model file with byte pieces."""
@@ -176,14 +221,11 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     if min(bytes_at) < 0:
         raise ValueError("the vocabulary has no byte pieces")
     vocab = Vocabulary(pieces, bytes_at, text, max(map(len, pieces)), min(s for _, s in pieces.values()) + _UNKNOWN)
-    # borders that no piece crosses: before a space that follows another character, if no
-    # piece has that, and on both sides of white space that no piece has
-    if any(a != " " and b == " " for p in pieces for a, b in zip(p, p[1:])):
-        vocab._cut = re.compile(r"(?s).+")
-    else:
-        known = set("".join(pieces))
-        alone = "".join(re.escape(c) for c in "\n\t\r\f\v" if c not in known)
-        vocab._cut = re.compile(rf"[{alone}]| *[^ {alone}]+| +" if alone else r" *[^ ]+| +")
+    vocab._cut = _free_borders(pieces)
+    for piece, (i, score) in pieces.items():
+        for k in range(1, len(piece)):
+            vocab._trie.setdefault(piece[:k], None)
+        vocab._trie[piece] = (score, np.array([i], np.int32).tobytes())
     return vocab
 
 
