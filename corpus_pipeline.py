@@ -3,7 +3,8 @@
 ``STAGES`` is a list of (name, function); each function takes
 ``(spark, docs, sf_dir)``, where ``docs`` has the columns of ``documents``, and
 returns a DataFrame that is stored as Parquet and read again as the next one's
-``docs``.  ``run`` applies them to ``documents``.
+``docs``.  ``run`` applies them to ``documents``.  Further columns of ``docs`` pass
+through all stages but the last; a column whose name begins with ``__`` may not be there.
 """
 
 from __future__ import annotations
@@ -13,20 +14,79 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versus.llm import langid
-from versus.llm.common import read, shared_folder
+from versus.llm import langid, mixing, pieces, simhash, toxicity
+from versus.llm.common import cut_lineage, read, shared_folder, with_small
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents in which no language can be found (null texts and texts without
-    a letter, predicted ``und``); the others pass unchanged."""
+    """Rejects documents in which no language can be found: null texts and texts without a
+    letter (predicted ``und``).  Everything passes if no labelled row is there to learn from."""
     model = langid.fit(langid.training_rows(docs))
+    if not model.langs:
+        return docs
     found = docs.withColumn("__lang", langid.predict_column(spark, model, F.col("text")))
     return found.filter(F.col("__lang.lang_pred") != langid.UND).drop("__lang")
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents whose toxicity score is a half or more."""
+    model = toxicity.fit(toxicity.training_rows(docs), read(spark, sf_dir, "labels"))
+    found = docs.withColumn("__tox", toxicity.score_column(spark, model, F.col("text")))
+    return found.filter(F.col("__tox.score") < 0.5).drop("__tox")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each group of near duplicates (four-word
+    shingles, four bits), one row of it where the id repeats.  Rows without an id cannot be
+    named a copy of another and stay."""
+    groups = simhash.near_duplicates(docs, shingle=4, max_bits=4)
+    kept = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count().withColumnsRenamed({"doc_id": "__id", "count": "__rows"})
+    named = docs.join(kept, F.col("doc_id") == F.col("__id")).drop("__id")
+    once = named.filter("__rows = 1").drop("__rows")
+    repeated = kept.filter("__rows > 1")
+    unnamed = docs.filter(F.col("doc_id").isNull())
+    if repeated.isEmpty():
+        return once.unionByName(unnamed)
+    more = named.filter("__rows > 1").drop("__rows").dropDuplicates(["doc_id"])
+    return once.unionByName(more).unionByName(unnamed)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats each document as often as the mix takes it; documents not taken go.  Documents
+    without words count nothing and go.  Rows that share an id and source share its copies
+    as evenly as possible."""
+    labels = mixing.quality_weights(read(spark, sf_dir, "labels"))
+    taken = mixing.mix(docs, labels).groupBy("doc_id", "source", "size").agg(F.count("*").alias("__rows"), F.sum("copies").alias("__copies"))
+    taken = cut_lineage(taken.filter("__copies > 0").withColumnsRenamed({"doc_id": "__id", "source": "__source", "size": "__size"}))
+    same = [F.col("doc_id").eqNullSafe(F.col("__id")), F.col("source").eqNullSafe(F.col("__source")), mixing.word_count(F.col("text")) == F.col("__size")]
+    found = docs.join(taken, same).drop("__id", "__source", "__size")
+    single = found.filter("__rows = 1").withColumn("__times", F.col("__copies"))
+    every = F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))).alias("__copy")
+    if taken.filter("__rows > 1").isEmpty():
+        return single.select(*docs.columns, every).drop("__copy")
+    # rows told apart by place only: each takes its share, the first ones one more
+    from pyspark.sql import Window
+
+    place = F.row_number().over(Window.partitionBy("doc_id", "source", "__rows", "__copies").orderBy(F.xxhash64("text")))
+    shared = found.filter("__rows > 1").withColumn("__place", place)
+    times = F.floor(F.col("__copies") / F.col("__rows")) + F.when(F.col("__place") <= F.col("__copies") % F.col("__rows"), 1).otherwise(0)
+    shared = shared.withColumn("__times", times).filter("__times > 0").drop("__place")
+    return single.unionByName(shared).select(*docs.columns, every).drop("__copy")
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, a row for each part, with the checksum of what they decode to."""
+    parts = pieces.encode(docs)
+    text = pieces.decode_column(F.col("part"), F.col("ids"))
+    return parts.select("doc_id", "part", "ids", F.size("ids").alias("n_tokens"), F.crc32(text.cast("binary")).alias("decoded_crc32"))
+
+
 STAGES = [
     ("language_id", language_id),
+    ("toxicity", toxic),
+    ("near_dedup", near_dedup),
+    ("mixing", mix),
+    ("sentencepiece", tokenize),
 ]
 
 #: Stages that learn a model or tokenize are beyond SQL; ``tests/llm`` holds them against brute force.

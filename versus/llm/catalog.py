@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extract, langid, lcp, mixing, pieces, sharding, simhash, toxicity
+from . import ann, extract, langid, lcp, mixing, pieces, sharding, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,12 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(read(spark, sf_dir, "pages"))
 
 
+@query
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 of largest inner product for every 20th vector."""
+    return ann.nearest(read(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources weighed 5, 2, 1; documents by the quality labels."""
