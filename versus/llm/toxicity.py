@@ -3,8 +3,10 @@
 *Token scores.*  Words and their leading 3 to 6 letters are units.  A unit's score is
 its log-odds ratio between toxic and clean training documents under informative
 Dirichlet priors (Monroe, Colaresi and Quinn, "Fightin' Words", 2008), shrunk to the
-near end of its confidence interval; units whose interval holds zero score nothing.
-A word takes its unit of largest |z|, any other word the drift ``-DRIFT``.
+near end of its confidence interval; units that then stay under ``LEAST`` score nothing,
+nor do leading letters that one word accounts for.
+A word takes its unit of largest shrunk score.  Counts are of documents, so a word
+scores where a text first has it; all other words have the drift ``-DRIFT``.
 
 *Passages.*  One linear scan (Ruzzo and Tompa, 1999) finds all disjoint maximal
 scoring segments of a text.
@@ -13,7 +15,8 @@ scoring segments of a text.
 about ``K n exp(-lambda S)`` segments of score S or more (Karlin and Altschul, 1990).
 The sum statistic of its best segments gives the text an extreme-value p-value, and a
 one-variable logistic fit on training documents kept out of the counting turns
-``-log p`` into the score.
+``log(1 - log p)`` into the score (the outer logarithm keeps a few mislabelled texts of
+extreme evidence from flattening the curve).
 
 At scale: fitting reads a bounded sample of the labelled rows (``per_class``); the
 units that matter are a few thousand.  Scoring is one pass without a shuffle.
@@ -38,6 +41,7 @@ from .common import crc_mod, cut_lineage, sized_batches, unit_hash
 #: Labelled documents of each class that are fitted, about (chosen by a hash of the id).
 PER_CLASS = 6000
 DRIFT = 0.1
+LEAST = 0.5
 _PREFIXES = (3, 4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -78,26 +82,25 @@ def segments(hits: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[
 class _WordScores(dict):
     """Score of a word, worked out once."""
 
-    def __init__(self, units: dict[str, tuple[float, float]]):
+    def __init__(self, units: dict[str, float]):
         self.units = units
 
     def __missing__(self, word: str) -> float:
-        found = [self.units[u] for u in units_of(word) if u in self.units]
-        s = max(found, key=lambda x: abs(x[1]))[0] if found else 0.0
+        s = max((self.units[u] for u in units_of(word) if u in self.units), key=abs, default=0.0)
         self[word] = s
         return s
 
 
 @dataclass
 class ToxicityModel:
-    """``units``: unit -> (score, z); ``lam``, ``k``: extreme-value parameters of the
-    clean distribution; ``a``, ``b``: logistic calibration of -log p."""
+    """``units``: unit -> score; ``lam``, ``k``: extreme-value parameters of the
+    clean distribution; ``a``, ``b``: logistic calibration of log(1 - log p)."""
 
-    units: dict[str, tuple[float, float]]
+    units: dict[str, float]
     lam: float = 1.0
     k: float = 0.1
     a: float = -2.0
-    b: float = 0.5
+    b: float = 1.2
     drift: float = DRIFT
     _scores: _WordScores | None = field(default=None, repr=False)
 
@@ -107,8 +110,12 @@ class ToxicityModel:
     def hits(self, words: list[str]) -> list[tuple[int, float]]:
         if self._scores is None or len(self._scores) > 400_000:
             self._scores = _WordScores(self.units)
-        score = self._scores
-        return [(i, s) for i, s in enumerate([score[w] for w in words]) if s]
+        score, seen, out = self._scores, set(), []
+        for i, s in enumerate([score[w] for w in words]):
+            if s and words[i] not in seen:
+                seen.add(words[i])
+                out.append((i, s))
+        return out
 
     def passages(self, text: str | None) -> tuple[float, list[tuple[float, int, int]]]:
         """-log p of the text, and its segments that are significant on their own (expected
@@ -129,16 +136,24 @@ class ToxicityModel:
         return best, [x for x in found if self.lam * x[0] >= limit]
 
     def score(self, evidence: float) -> float:
-        return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, self.a + self.b * min(evidence, 100.0)))))
+        return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, self.a + self.b * math.log1p(evidence)))))
 
 
-def _log_odds(t: Column, c: Column, nt: int, nc: int, prior: float, z: float) -> tuple[Column, Column]:
-    """Shrunk score and z of a unit in ``t`` of ``nt`` toxic and ``c`` of ``nc`` clean documents."""
+def _log_odds(t: Column, c: Column, nt: int, nc: int, prior: float, z: float) -> Column:
+    """Shrunk score of a unit in ``t`` of ``nt`` toxic and ``c`` of ``nc`` clean documents."""
     share = (t + c) / F.lit(float(nt + nc)) * prior
     t1, c1 = t + share, c + share
-    delta = F.log(t1 / (F.lit(nt + prior) - t1)) - F.log(c1 / (F.lit(nc + prior) - c1))
+    rest = prior + 0.5  # half a document more, as a unit may be in every document
+    delta = F.log(t1 / (F.lit(nt + rest) - t1)) - F.log(c1 / (F.lit(nc + rest) - c1))
     sd = F.sqrt(1 / t1 + 1 / c1)
-    return F.signum(delta) * F.greatest(F.abs(delta) - z * sd, F.lit(0.0)), delta / sd
+    return F.signum(delta) * F.greatest(F.abs(delta) - z * sd, F.lit(0.0))
+
+
+def _families(scores: dict[str, float], toxic: dict[str, int]) -> dict[str, float]:
+    """Without the leading letters that one word accounts for: half of their toxic
+    documents or more have that word, so they say nothing of others that begin alike."""
+    alone = {u for w in scores if not w.endswith("*") for u in units_of(w)[1:] if u in scores and 2 * toxic[w] >= toxic[u]}
+    return {u: s for u, s in scores.items() if u not in alone}
 
 
 def _extreme_value(probs: np.ndarray, scores: np.ndarray) -> float:
@@ -248,11 +263,11 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
         whole = counted.filter("unit = ''").first()
         if whole is None or not whole.t or not whole.c:
             return ToxicityModel({})
-        score, at = _log_odds(F.col("t"), F.col("c"), whole.t, whole.c, prior, z)
-        units = counted.filter("unit != ''").select("unit", score.alias("s"), at.alias("z")).filter("s != 0").toPandas()
+        score = _log_odds(F.col("t"), F.col("c"), whole.t, whole.c, prior, z)
+        units = counted.filter("unit != ''").select("unit", "t", score.alias("s")).filter(F.abs("s") >= LEAST).toPandas()
     finally:
         counted.unpersist()
-    model = ToxicityModel(dict(zip(units["unit"], zip(units["s"].astype(float), units["z"].astype(float)))))
+    model = ToxicityModel(_families(dict(zip(units["unit"], units["s"].astype(float))), dict(zip(units["unit"], units["t"]))))
 
     shared = spark.sparkContext.broadcast(model)
 
@@ -272,7 +287,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     dist = clean.groupBy("s").agg(F.sum("n").alias("n")).toPandas()
     n = dist["n"].to_numpy(float)
     s = np.where(dist["s"] == 0, -DRIFT, dist["s"] / 100.0)
-    positive = max((x for x, _ in model.units.values()), default=0.0)
+    positive = max(model.units.values(), default=0.0)
     if positive > 0 and n.sum():
         # a top unit may be unseen in clean text: it counts once there
         model.lam = _extreme_value(np.append(n, 1.0) / (n.sum() + 1.0), np.append(s, positive))
@@ -287,7 +302,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     if len(rest) and rest["toxic"].nunique() == 2:
         y = rest["toxic"].to_numpy(float)
         weight = np.where(y == 1, max(1.0, sizes[1] / per_class), max(1.0, sizes[0] / per_class))
-        model.a, model.b = _logistic(np.minimum(rest["x"].to_numpy(float), 100.0), y, weight)
+        model.a, model.b = _logistic(np.log1p(rest["x"].to_numpy(float)), y, weight)
     return model
 
 
