@@ -43,7 +43,7 @@ FAN = 64
 _UNKNOWN = -10.0  # below the lowest score, for each unknown character
 _SPACE = "▁"
 _NO = float("-inf")
-_REMEMBER = 150_000
+_REMEMBER = 100_000
 
 
 @dataclass
@@ -59,11 +59,27 @@ class Vocabulary:
     _cut: re.Pattern | None = field(default=None, repr=False)
     _memo: dict = field(default_factory=dict, repr=False)
     _older: dict = field(default_factory=dict, repr=False)
+    _score_of_id: np.ndarray | None = field(default=None, repr=False)
     _trie: dict = field(default_factory=dict, repr=False)  # beginnings of pieces: None, or (score, id as int32 bytes)
 
     def __getstate__(self):
         return {**self.__dict__, "_memo": {}, "_older": {}}
 
+    @property
+    def scores(self) -> np.ndarray:
+        """Score by id; the bytes of an unknown character cost its price with the first byte
+        (UTF-8's continuation bytes are free)."""
+        out = np.zeros(len(self.text))
+        for i, score in self.pieces.values():
+            out[i] = score
+        for byte, i in enumerate(self.bytes_at):
+            out[i] = 0.0 if 0x80 <= byte < 0xC0 else self.unknown
+        return out
+
+    def forget(self) -> None:
+        """Give back what is remembered; at the end of a task, as its process lives on."""
+        self._memo, self._older = {}, {}
+
     # ---- stretches ----
 
     def byte_ids(self, char: str) -> list[int]:
@@ -129,24 +145,29 @@ class Vocabulary:
             n -= k
         return best[-1], b"".join(ids[::-1])
 
-    def remembered(self, s: str) -> tuple[float, bytes]:
-        """``segment`` of a stretch; short ones are remembered, in two generations."""
-        got = self._memo.get(s)
+    def remembered(self, s: str) -> bytes:
+        """Ids of a stretch that is not in the memory; short ones go there, in two generations."""
+        got = self._older.get(s)
         if got is None:
-            got = self._older.get(s) or self.segment(s)
-            if len(s) <= 32:
-                if len(self._memo) >= _REMEMBER:
-                    self._older, self._memo = self._memo, {}
-                self._memo[s] = got
+            got = self.segment(s)[1]
+        if len(s) <= 32:
+            if len(self._memo) >= _REMEMBER:
+                self._older, self._memo = self._memo, {}
+            self._memo[s] = got
         return got
 
+    def total(self, s: str) -> float:
+        """Best score of a text that begins and ends at free borders."""
+        ids = self.encode(s)
+        return float(self._score_of_id[ids].sum())
+
     def stretches(self, s: str) -> list[str]:
         return self._cut.findall(s)
 
     def encode(self, s: str) -> np.ndarray:
         """Ids of a text that begins and ends at free borders."""
         get, rest = self._memo.get, self.remembered
-        return np.frombuffer(b"".join([(get(w) or rest(w))[1] for w in self.stretches(s)]), np.int32)
+        return np.frombuffer(b"".join([get(w) or rest(w) for w in self.stretches(s)]), np.int32)
 
     def decode(self, ids) -> bytes:
         text = self.text
@@ -163,7 +184,7 @@ class Vocabulary:
         free = [0, *ends[ends <= size].tolist()]
         head = next((e for e in free if e >= min(k - 1, size)), size)  # beyond every entry state
         tail = max((e for e in free if e >= head), default=size)
-        middle = sum(self.remembered(w)[0] for w in self.stretches(s[head:tail]))
+        middle = self.total(s[head:tail])
         base, _ = self.forward(s[tail:], [0.0], size - tail)
         out = [base[size - tail + j] if size - tail + j < len(base) else _NO for j in range(k)]
         for i in range(min(k, size + 1)):
@@ -179,24 +200,25 @@ class Vocabulary:
 def _free_borders(pieces: dict[str, tuple[int, float]]) -> re.Pattern:
     """A pattern whose matches are the stretches between borders that no piece crosses:
     before a space that follows another character, on both sides of white space that no
-    piece has, and between letters or digits and other characters.  Characters that some
-    piece joins to a letter count as letters; where spaces follow others, nothing is cut."""
-    pairs = {(a, b) for p in pieces for a, b in zip(p, p[1:])}
+    piece has, and between a letter or digit and another character, unless one of them
+    is a character that some piece joins across.  Where pieces have a space behind another
+    character, nothing is cut."""
+    pairs = {(a, b) for p in pieces for a, b in zip(p, p[1:]) if b == " " or a != " "}
     if any(a != " " and b == " " for a, b in pairs):
         return re.compile(r"(?s).+")
-    letters: set[str] = set()
-    while True:
-        word = lambda c: c.isalnum() or c in letters
-        mixed = {c for pair in pairs if " " not in pair and word(pair[0]) != word(pair[1]) for c in pair if not word(c)}
-        if not mixed:
-            break
-        letters |= mixed
+    pairs = {(a, b) for a, b in pairs if a != " "}
+    mixed = [sorted(pair, key=str.isalnum) for pair in pairs if pair[0].isalnum() != pair[1].isalnum()]
+    glue = sorted({word if not word.isalpha() else other for other, word in mixed})
     known = set("".join(pieces))
     alone = "".join(re.escape(c) for c in "\n\t\r\f\v" if c not in known)
-    joined = "".join(re.escape(c) for c in sorted(letters))
-    inside = rf"(?:[^\W_]|[{joined}])" if joined else r"[^\W_]"
-    outside = rf"(?:(?!{inside})[^ {alone}])"
-    return re.compile(rf"(?s) *{inside}+| *{outside}+| +" + (f"|[{alone}]" if alone else ""))
+    joined = "".join(map(re.escape, glue))
+    word, other = rf"[^\W_{joined}]+", rf"(?:[^\w {alone}{joined}]" + ("" if "_" in glue else "|_") + ")+"
+    run = f"(?:{word}|{other})"
+    if joined:
+        more = f"(?:[{joined}]+{run}?)"
+        word, other = f"(?:{run}{more}*|{more}+)", ""
+    body = f"(?:{word}|{other})" if other else word
+    return re.compile(rf"(?s) *{body}| +" + (f"|[{alone}]" if alone else ""))
 
 
 @lru_cache(maxsize=4)
@@ -222,6 +244,7 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
         raise ValueError("the vocabulary has no byte pieces")
     vocab = Vocabulary(pieces, bytes_at, text, max(map(len, pieces)), min(s for _, s in pieces.values()) + _UNKNOWN)
     vocab._cut = _free_borders(pieces)
+    vocab._score_of_id = vocab.scores
     for piece, (i, score) in pieces.items():
         for k in range(1, len(piece)):
             vocab._trie.setdefault(piece[:k], None)
@@ -283,6 +306,7 @@ def _giant_states(chunks: DataFrame, path: str, k: int) -> DataFrame:
             for key, part, size, s in zip(*(c.to_pylist() for c in batch.columns)):
                 m = vocab.transfer(s, size).ravel()
                 yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([part], pa.int32()), pa.array([m.tolist()], pa.list_(pa.float64()))], ["key", "at", "m"])
+        vocab.forget()
 
     shape = "key string, at int, m array<double>"
     levels = [cut_lineage(chunks.select("key", "part", "size", "piece").mapInArrow(transfers, shape))]
@@ -336,6 +360,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         v = vocabulary(path)
         for batch in batches:
             yield from _listed(batch, 0, [pa.array([0] * batch.num_rows, pa.int32())], lambda r: v.encode(r.as_py()), 1)
+        v.forget()
 
     small = rows.filter(~giant).mapInArrow(whole, f"doc_id {dict(rows.dtypes)['doc_id']}, part int, ids array<int>")
 
@@ -353,6 +378,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             for key, part, size, enter, leave, s in zip(*(c.to_pylist() for c in batch.columns)):
                 ids = v.encode(s[enter:size + leave])
                 yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([part], pa.int32()), pa.array([ids], pa.list_(pa.int32()))], ["key", "part", "ids"])
+        v.forget()
 
     encoded = placed.mapInArrow(between, "key string, part int, ids array<int>")
     return small.unionByName(large.select("doc_id", "key").join(encoded, "key").select("doc_id", "part", "ids"))
