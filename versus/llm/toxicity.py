@@ -108,7 +108,7 @@ class ToxicityModel:
         return {**self.__dict__, "_scores": None}
 
     def hits(self, words: list[str]) -> list[tuple[int, float]]:
-        if self._scores is None or len(self._scores) > 400_000:
+        if self._scores is None or len(self._scores) > 100_000:
             self._scores = _WordScores(self.units)
         score, seen, out = self._scores, set(), []
         for i, s in enumerate([score[w] for w in words]):
@@ -321,6 +321,7 @@ def score_column(spark, model: ToxicityModel, text: Column) -> Column:
                     x, found = m.passages(t)
                     rows.append((m.score(x), [{"score": a, "first": b, "last": c} for a, b, c in found]))
             yield pd.DataFrame(rows, columns=["score", "passages"])
+        m._scores = None  # the process lives on
 
     return run(text)
 
