@@ -125,3 +125,36 @@ def test_trials_are_seeded_and_in_range(spark):
     assert all(100 <= r["n_estimators"] <= 800 and r["n_estimators"] % 50 == 0 for r in a)
     lr = [r["learning_rate"] for r in TR.sample_trials(spark, "xgboost", 50).collect()]
     assert all(0.001 <= v <= 0.3 for v in lr)
+
+
+def test_gram_is_pairwise_with_gaps_and_tiny_scales(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame(rng.normal(size=(800, 4)), columns=list("abcd"))
+    pdf["b"] = pdf["a"] * 0.5 + pdf["b"]
+    pdf["d"] = pdf["d"] * 1e-9 + 3e-9
+    pdf.loc[rng.random(800) < 0.3, "a"] = np.nan
+    pdf.loc[rng.random(800) < 0.2, "c"] = np.nan
+    pdf["e"] = np.nan  # all gaps
+    g = SEL.gram(spark.createDataFrame(pdf), list("abcde"))
+    want = pdf.corr().to_numpy()
+    got = g.correlation()
+    np.testing.assert_allclose(got[:4, :4], want[:4, :4], atol=1e-9)
+    assert np.isnan(got[4]).all()
+    assert SEL.drop_high_correlation(g, 0.3)[1] == ["b"]
+
+
+def test_vif_of_tiny_collinear_columns_and_median_fill(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=500) * 1e-7
+    pdf = pd.DataFrame({"x": x, "y": 2 * x, "k": 5.0, "z": rng.normal(size=500)})
+    df = spark.createDataFrame(pdf)
+    v = SEL.vif_scores(SEL.gram(df, ["x", "y", "k"]))
+    assert v["x"] == v["y"] == float("inf") and v["k"] == 1.0
+    pdf.loc[rng.random(500) < 0.4, "z"] = np.nan
+    df = spark.createDataFrame(pdf)
+    assert SEL.medians(df, ["z"])["z"] == pytest.approx(pdf["z"].median())
+    filled = pdf.fillna({"z": pdf["z"].median()})[["x", "z"]].to_numpy()
+    inv = np.linalg.inv(filled.T @ filled)
+    want = np.diag(filled.T @ filled) * np.diag(inv)
+    got = SEL.vif_scores(SEL.gram(df, ["x", "z"], fill=SEL.medians(df, ["x", "z"])))
+    np.testing.assert_allclose([got["x"], got["z"]], want, rtol=1e-9)

@@ -70,7 +70,7 @@ def test_integrity_filter_rules(spark):
 
 def test_integrity_filter_raises_on_duplicate_keys(spark):
     df = spark.createDataFrame([(1, 100, 1), (1, 100, 0), (1, 200, 0)], "matchid long, teamid long, win int")
-    with pytest.raises(Exception, match="Duplicate"):
+    with pytest.raises(Exception, match="more than once"):
         C.group_integrity_filter(df).collect()
 
 
@@ -193,10 +193,63 @@ def test_category_codes_unseen_minus_one(spark):
     assert sorted(got) == [-1, 0, 2]
 
 
-def test_class_quotas():
-    assert SP.class_quotas({0: 900, 1: 100}, 100) == {0: 90, 1: 10}
-    q = SP.class_quotas({0: 1, 1: 1000}, 10)
-    assert q[0] == 1 and sum(q.values()) == 10
+@pytest.mark.parametrize("counts, cap, want", [
+    ({0: 900, 1: 100}, 100, {0: 90, 1: 10}),
+    ({0: 1, 1: 1000}, 10, {0: 1, 1: 9}),           # a class keeps one row, the largest gives it
+    ({0: 500}, 7, {0: 7}),                         # a single class
+    ({0: 3, 1: 3, 2: 3}, 8, {0: 3, 1: 3, 2: 2}),   # what the floors leave goes by room
+    ({0: 50, None: 50}, 10, {0: 5, None: 5}),      # a NULL class is a class
+])
+def test_class_quotas(spark, counts, cap, want):
+    df = spark.createDataFrame(list(counts.items()), "y int, count long")
+    assert {r.y: r.quota for r in SP.class_quotas(df, "y", cap).collect()} == want
+
+
+def test_stratified_cap_and_split_with_null_class(spark):
+    rows = [(i, None if i % 10 == 0 else i % 2) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, y int")
+    kept = SP.stratified_cap(df, "y", ["id"], 100)
+    got = {r.y: r["count"] for r in kept.groupBy("y").count().collect()}
+    assert got == {None: 10, 0: 40, 1: 50}
+    split = SP.split_stratified(df, "y", ["id"]).groupBy("y", "split").count().collect()
+    n = {(r.y, r.split): r["count"] for r in split}
+    assert n[None, "test"] == 20 and n[None, "val"] == 10 and n[None, "train"] == 70
+
+
+def test_ordered_prefix_tied_hot_group_and_null_keys(spark):
+    from versus.operators.ordered import ordered_rank, range_bins
+    rng = np.random.default_rng(3)
+    rows = [(None if i % 3 == 0 else 1 if i % 3 == 1 else int(rng.integers(5)), int(rng.integers(2)), f"t{int(rng.integers(10**9)):010d}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g int, a int, b string, id long")
+    got = {r.id: r.r for r in ordered_rank(df, ["a", "b", "id"], ["g"], name="r", bins=16).collect()}
+    by: dict = {}
+    for g, a, b, i in rows:
+        by.setdefault(g, []).append((a, b, i))
+    for own in by.values():
+        for k, (_, _, i) in enumerate(sorted(own)):
+            assert got[i] == k
+    sizes = [r["count"] for r in range_bins(df, ["g"], ["a", "b", "id"], 16).groupBy("_bin").count().collect()]
+    assert len(sizes) >= 14 and max(sizes) < 3 * 6000 / 16  # ties of (g, a) are cut
+
+
+def test_lookup_sizes_duplicates_and_nulls(spark):
+    from versus.operators.relational import lookup_with_default
+    df = spark.createDataFrame([("k1",), ("k1",), ("zz",), (None,), ("k9999",)], "k string")
+    for n in (10, 20_000):
+        table = spark.createDataFrame([(f"k{i}", float(i)) for i in range(n)] + [("k1", 7.0), (None, 5.0)], "category string, value double")
+        got = sorted((r.k or "", r.v) for r in lookup_with_default(df, "k", table, "v", -1.0).collect())
+        assert got == [("", -1.0), ("k1", 1.0), ("k1", 1.0), ("k9999", 9999.0 if n > 9999 else -1.0), ("zz", -1.0)]
+
+
+def test_integrity_filter_more_than_two_sides(spark):
+    from versus.operators.clean import group_integrity_filter
+    rows = [(1, s, int(s == 2)) for s in (1, 2, 3)] + [(2, 1, 1), (2, 3, 0)] + [(3, s, 1) for s in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "matchid long, teamid long, win int")
+    out = group_integrity_filter(df, sides=(1, 2, 3), expected_sides=3)
+    assert sorted((r.matchid, r.teamid) for r in out.collect()) == [(1, 1), (1, 2), (1, 3)]
+    twice = spark.createDataFrame([(1, 1, 1), (1, 1, 0), (1, 2, 0)], "matchid long, teamid long, win int")
+    with pytest.raises(Exception, match="more than once"):
+        group_integrity_filter(twice, sides=(1, 2)).collect()
 
 
 def test_group_split_keeps_groups_whole(spark):

@@ -145,28 +145,25 @@ def group_integrity_filter(df: DataFrame, group: str = "matchid", side: str = "t
     """Keep groups with exactly ``expected_sides`` sides and exactly one winner (#46).
 
     Keys are coerced, the target and side flag binarized, NULL / foreign side
-    ids dropped. Per group one partial+final aggregate computes rows, distinct
-    sides (from min/max: the side set is {100, 200} after the filter) and
-    winners; a left-semi join keeps the valid groups. A duplicate (group,
-    side) key raises at execution time via ``raise_error`` in the group filter.
+    ids dropped. A side-level frame has a few rows per group, so rows, distinct
+    sides and winners are window aggregates over the group (no self join); they
+    sit on the partitioning of a preceding join by group. A duplicate (group,
+    side) key raises at execution time via ``raise_error``.
     """
     out = coerce_int_columns(df, [group, side]).withColumn(target, binarize(target))
     if "is_blue_side" in out.columns:
         out = out.withColumn("is_blue_side", binarize("is_blue_side"))
     out = out.dropna(subset=[group, side]).where(F.col(side).isin(*sides))
-    stats = out.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        (F.lit(1) + (F.max(side) > F.min(side)).cast("int")).alias("n_sides"),
-        F.sum(target).alias("n_wins"))
-    dup = F.col("n_rows") > F.col("n_sides")
-    ok = (F.col("n_sides") == expected_sides) & (F.col("n_wins") == 1)
+    names = out.columns
+    w = Window.partitionBy(group)
+    present = [F.max((F.col(side) == s).cast("int")).over(w) for s in sides]
+    out = out.withColumns({"_rows": F.count(F.lit(1)).over(w), "_sides": sum(present[1:], present[0]),
+                           "_wins": F.sum(target).over(w)})
+    ok = (F.col("_sides") == expected_sides) & (F.col("_wins") == 1)
     if fail_on_duplicates:
-        guard = F.coalesce(F.when(dup, F.raise_error(F.lit(
-            "Duplicate match/team keys found in merged dataframe"))).cast("boolean"), F.lit(True))
-        valid = stats.where(guard & ok)
-    else:
-        valid = stats.where(ok)
-    return out.join(valid.select(group), group, "left_semi")
+        twice = F.raise_error(F.lit("a side occurs more than once in its group")).cast("boolean")
+        ok = F.when(F.col("_rows") > F.col("_sides"), twice).otherwise(ok)
+    return out.where(ok).select(*names)
 
 
 def violation_counts(df: DataFrame, group: str = "matchid", side: str = "teamid",

@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ENCODER_CANDIDATES, TARGET, TE_SMOOTHING
-from .relational import inline_lookup, lookup_strategy, lookup_with_default
+from .ordered import ordered_rank
+from .relational import lookup_with_default
 from ..session import cut_lineage
 
 
@@ -62,19 +63,11 @@ def apply_encoding(df: DataFrame, enc: Encoding, suffix: str = "_winrate_te",
     """``<col><suffix>`` per encoded column, unseen/NULL -> prior; when nothing
     was encoded a constant ``fallback`` column holds the prior (#98)."""
     out = df
-    n = enc.table.count() if enc.columns else 0
-    if enc.columns and lookup_strategy(n) == "inline":
-        # one small collect of the fitted table, then pure projections
-        per: dict = {}
-        for r in enc.table.collect():
-            per.setdefault(r["feature"], {})[r["category"]] = r["value"]
-        out = out.select("*", *[inline_lookup(F.col(c).cast("string"), per.get(c, {}), enc.prior).alias(c + suffix)
-                                for c in enc.columns])
-    else:
-        for c in enc.columns:
-            t = enc.table.where(F.col("feature") == c).select("category", "value")
-            out = lookup_with_default(out.withColumn("_cat", F.col(c).cast("string")), "_cat", t,
-                                      c + suffix, enc.prior).drop("_cat")
+    sizes = {r["feature"]: r["count"] for r in enc.table.groupBy("feature").count().collect()}  # one row per column
+    for c in enc.columns:
+        t = enc.table.where(F.col("feature") == c).select("category", "value")
+        out = lookup_with_default(out.withColumn("_cat", F.col(c).cast("string")), "_cat", t,
+                                  c + suffix, enc.prior, n_entries=sizes.get(c, 0)).drop("_cat")
     if not enc.columns:
         out = out.withColumn(fallback, F.lit(enc.prior))
     return out
@@ -101,29 +94,17 @@ def apply_pick_rate(df: DataFrame, enc: Encoding, suffix: str = "_pick_rate") ->
     if not enc.columns:
         return out
     n = enc.table.count()
-    if lookup_strategy(n) == "inline":
-        entries = {r["category"]: r["value"] for r in enc.table.collect()}
-        return out.select("*", *[inline_lookup(F.col(c).cast("double").cast("string"), entries, enc.prior)
-                                 .alias(c + suffix) for c in enc.columns])
     for c in enc.columns:
         out = lookup_with_default(out.withColumn("_cat", F.col(c).cast("double").cast("string")), "_cat",
                                   enc.table, c + suffix, enc.prior, n_entries=n).drop("_cat")
     return out
 
 
-def fit_category_codes(train: DataFrame, column: str, unknown: str = "unknown",
-                       max_levels: int = 1_000_000) -> DataFrame:
-    """Sorted distinct strings (NULL -> 'unknown') -> codes 0..n-1 (#100).
-
-    Levels are few by nature (one code per level); the rank runs over the
-    distinct levels only and refuses more than ``max_levels``.
-    """
-    levels = cut_lineage(
-        train.select(F.coalesce(F.col(column).cast("string"), F.lit(unknown)).alias("category")).distinct())
-    n = levels.count()
-    if n > max_levels:
-        raise ValueError(f"{column}: {n} levels exceed max_levels={max_levels}")
-    return levels.select("category", (F.row_number().over(Window.orderBy("category")) - 1).alias("value"))
+def fit_category_codes(train: DataFrame, column: str, unknown: str = "unknown") -> DataFrame:
+    """Sorted distinct strings (NULL -> 'unknown') -> codes 0..n-1 (#100); the rank of
+    the levels is a binned one, so their number is not limited."""
+    levels = train.select(F.coalesce(F.col(column).cast("string"), F.lit(unknown)).alias("category")).distinct()
+    return ordered_rank(levels, ["category"], name="value").select("category", F.col("value").cast("int").alias("value"))
 
 
 def apply_category_codes(df: DataFrame, column: str, output: str, codes: DataFrame,

@@ -205,29 +205,33 @@ def fit_linear_regression_classifier(train: DataFrame, features: Sequence[str],
 
 
 def fit_random_forest(train: DataFrame, features: Sequence[str], target: str, n_estimators: int = 200,
-                      max_depth: int = 12, min_samples_leaf: int = 1, class_weight: str | None = "balanced_subsample",
-                      seed: int = SEED, **_) -> FittedModel:
+                      max_depth: int = 12, min_samples_split: int = 2, min_samples_leaf: int = 1,
+                      class_weight: str | None = "balanced_subsample", seed: int = SEED) -> FittedModel:
+    """Spark bounds a node by its children, so ``min_samples_split`` rows in a node are
+    asked for as half of them in each child (#127)."""
+    least = max(min_samples_leaf, -(-min_samples_split // 2))
     data = balanced_weight(train, target) if class_weight else train.withColumn("weight", F.lit(1.0))
     rf = RandomForestClassifier(featuresCol="features", labelCol=target, weightCol="weight", numTrees=n_estimators,
-                                maxDepth=max_depth, minInstancesPerNode=min_samples_leaf, seed=seed,
+                                maxDepth=max_depth, minInstancesPerNode=least, seed=seed,
                                 featureSubsetStrategy="sqrt")
     return FittedModel("random_forest", list(features), ml_model=rf.fit(_assembled(data, features)))
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], target: str, val: DataFrame | None = None,
             n_estimators: int = 300, learning_rate: float = 0.05, max_depth: int = 6, subsample: float = 0.8,
-            colsample_bytree: float = 0.8, min_child_samples: int = 1, num_leaves: int | None = None,
-            seed: int = SEED, name: str = "xgboost", **_) -> FittedModel:
+            colsample_bytree: float = 0.8, min_child_samples: int = 1, min_child_weight: float = 1.0,
+            gamma: float = 0.0, num_leaves: int | None = None, seed: int = SEED, name: str = "xgboost") -> FittedModel:
     """Gradient-boosted trees with validation-based early stopping (#128, #129).
-    A leaf budget maps to depth ceil(log2(leaves)); L1/L2 leaf penalties have
-    no counterpart in Spark."""
+    A leaf budget maps to depth ceil(log2(leaves)), the weight of a child to its
+    rows and the least loss reduction to the least gain; L1/L2 leaf penalties
+    have no counterpart in Spark."""
     depth = int(np.ceil(np.log2(num_leaves))) if num_leaves else max_depth
     data = train.withColumn("_is_val", F.lit(False))
     if val is not None:
         data = data.unionByName(val.withColumn("_is_val", F.lit(True)), allowMissingColumns=True)
     gbt = GBTClassifier(featuresCol="features", labelCol=target, maxIter=n_estimators, stepSize=learning_rate,
                         maxDepth=depth, subsamplingRate=subsample, featureSubsetStrategy=str(colsample_bytree),
-                        minInstancesPerNode=min_child_samples, seed=seed,
+                        minInstancesPerNode=max(min_child_samples, int(np.ceil(min_child_weight))), minInfoGain=gamma, seed=seed,
                         validationIndicatorCol="_is_val" if val is not None else None, validationTol=0.01)
     return FittedModel(name, list(features), ml_model=gbt.fit(_assembled(data, features)))
 

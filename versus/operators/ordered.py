@@ -4,97 +4,69 @@
 precision, ROC / PR curves), exact quantiles, stratified splits and exact
 samples. Plan:
 
-1. approximate quantile boundaries of the leading order column per partition
-   key (one sketch aggregate; the boundaries are at most keys x bins values);
-2. bin = number of boundaries below the value, so every bin is a contiguous
-   slice of the order and equal values share a bin;
-3. per-bin totals (keys x bins rows) -> exclusive offsets by a window over
-   that small table;
-4. running sum inside each (key, bin) window plus the bin offset.
-
-Bins are balanced by construction (quantiles), so no task receives more than
-about rows / bins rows even when the order has one dominant key value only if
-callers pre-aggregate duplicates (they do: metrics group by score first).
+1. rows are dealt into range partitions of (partition keys, whole order) and
+   stored once with a reliable checkpoint, each with its partition number as
+   its bin. Range sampling balances the bins whatever the keys: a hot key, a
+   tied leading column or a NULL key is cut like any other;
+2. per (keys, bin) totals - at most bins + distinct keys rows - become
+   exclusive offsets by a window over that small table;
+3. running sum inside each (keys, bin) window plus the offset, matched
+   null-safely.
+
+The cost per row does not depend on the number of bins. Only rows equal in
+every order column stay together; callers pre-aggregate those (metrics group
+by score first).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+
 from ..session import cut_lineage
 
 
-def default_bins(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(4 * parts, 4096))
-
-
-def _key_string(cols: Sequence[str]) -> Column:
-    return F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols])
-
-
-def quantile_bins(df: DataFrame, col: str, partition: Sequence[str] = (), bins: int | None = None,
-                  accuracy: int = 10000) -> Column:
-    """Column expression: bin index of ``col`` under per-key approximate quantile edges."""
-    bins = bins or default_bins(df)
-    probs = [i / bins for i in range(1, bins)]
-    edges = F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("_edges")
-    if partition:
-        rows = df.groupBy(*partition).agg(edges).select(_key_string(partition).alias("_k"), "_edges").collect()
-        lookup = {r["_k"]: sorted(set(x for x in (r["_edges"] or []) if x is not None)) for r in rows}
-        if not lookup:
-            return F.lit(0)
-        items = []
-        for k, v in lookup.items():
-            items.extend([F.lit(k), F.array(*[F.lit(float(x)) for x in v]) if v else F.array().cast("array<double>")])
-        arr = F.element_at(F.create_map(*items), _key_string(partition))
-    else:
-        row = df.agg(edges).first()
-        v = sorted(set(x for x in (row["_edges"] or []) if x is not None)) if row else []
-        if not v:
-            return F.lit(0)
-        arr = F.array(*[F.lit(float(x)) for x in v])
-    x = F.col(col).cast("double")
-    return F.size(F.filter(arr, lambda e: e < x))
+def range_bins(df: DataFrame, keys: Sequence[str], order: Sequence[str], bins: int | None = None,
+               name: str = "_bin") -> DataFrame:
+    """``df`` stored in range partitions of ``keys`` then ``order``, numbered by ``name``.
+
+    ``bins`` asks for that many partitions; by default the session's shuffle
+    partitions, which adaptive execution merges where they are small.
+    """
+    by = [F.col(c) for c in (*keys, *order)]
+    dealt = df.repartitionByRange(bins, *by) if bins else df.repartitionByRange(*by)
+    return cut_lineage(dealt.withColumn(name, F.spark_partition_id()))
 
 
 def ordered_prefix(df: DataFrame, order: Sequence[str], sums: Sequence[str],
                    partition: Sequence[str] = (), descending: bool = False,
-                   bins: int | None = None, prefix: str = "cum_", totals: bool = True,
-                   materialize: bool = True) -> DataFrame:
+                   bins: int | None = None, prefix: str = "cum_", totals: bool = True) -> DataFrame:
     """Inclusive running sums of ``sums`` in ``order`` within ``partition``.
 
-    ``order`` columns are numeric; the first one drives the binning. With
-    ``descending`` the order is reversed. Adds ``cum_<c>`` and, with
-    ``totals``, ``tot_<c>`` (the partition total) for every summed column.
+    Order columns may be of any sortable type; with ``descending`` the whole
+    order is reversed (NULLs first ascending, last descending). NULL partition
+    keys are keys like any other. Adds ``cum_<c>`` and, with ``totals``,
+    ``tot_<c>`` (the partition total) for every summed column.
     """
     partition = list(partition)
-    lead = order[0]
-    # the input feeds three jobs (edges, bin totals, running sums): cut its
-    # lineage once with a reliable checkpoint instead of recomputing it
-    work = cut_lineage(df) if materialize else df
-    if descending:
-        work = work.withColumn("_lead", -F.col(lead).cast("double"))
-        order_cols = [F.col("_lead")] + [F.col(c).desc() for c in order[1:]]
-    else:
-        work = work.withColumn("_lead", F.col(lead).cast("double"))
-        order_cols = [F.col("_lead")] + [F.col(c).asc() for c in order[1:]]
-    work = work.withColumn("_bin", quantile_bins(work, "_lead", partition, bins))
+    work = range_bins(df, partition, order, bins)
     per_bin = work.groupBy(*partition, "_bin").agg(*[F.sum(c).alias(f"_b_{c}") for c in sums])
-    wb = Window.partitionBy(*partition).orderBy("_bin") if partition else Window.orderBy("_bin")
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
-    off_cols = [F.coalesce(F.sum(f"_b_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums]
+    whole = Window.partitionBy(*partition)
+    step = F.col("_bin").desc() if descending else F.col("_bin").asc()
+    before = whole.orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    small = [F.coalesce(F.sum(f"_b_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums]
     if totals:
-        off_cols += [F.sum(f"_b_{c}").over(whole).alias(f"{'tot_'}{c}") for c in sums]
-    offsets = per_bin.select(*partition, "_bin", *off_cols)
-    joined = work.join(offsets, [*partition, "_bin"], "left")
-    w = Window.partitionBy(*partition, "_bin").orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    out = joined.select("*", *[(F.col(f"_o_{c}") + F.sum(c).over(w)).alias(f"{prefix}{c}") for c in sums])
-    return out.drop("_lead", "_bin", *[f"_o_{c}" for c in sums])
+        small += [F.sum(f"_b_{c}").over(whole).alias(f"tot_{c}") for c in sums]
+    offsets = per_bin.select(*[F.col(c).alias(f"_k_{c}") for c in partition], F.col("_bin").alias("_k__bin"), *small)
+    sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    inside = Window.partitionBy(*partition, "_bin").orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = work.select("*", *[F.sum(c).over(inside).alias(f"_w_{c}") for c in sums])
+    match = [F.col("_bin") == F.col("_k__bin"), *[F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in partition]]
+    out = running.join(offsets, match)
+    names = [*df.columns, *([f"tot_{c}" for c in sums] if totals else [])]
+    return out.select(*names, *[(F.col(f"_o_{c}") + F.col(f"_w_{c}")).alias(f"{prefix}{c}") for c in sums])
 
 
 def ordered_rank(df: DataFrame, order: Sequence[str], partition: Sequence[str] = (),
@@ -160,25 +132,27 @@ def quantile_table(long: DataFrame, key: str, value: str, probs: Sequence[float]
     return agg.select(key, "p", out.alias("value"))
 
 
-def group_rank(df: DataFrame, group: str | Sequence[str], order: Sequence, name: str = "rank1",
+def has_hot_group(df: DataFrame, keys: Sequence[str], threshold: int) -> bool:
+    """Whether any group has more than ``threshold`` rows (one aggregate on the keys)."""
+    return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold).isEmpty()
+
+
+def group_rank(df: DataFrame, group: str | Sequence[str], order: Sequence[str], name: str = "rank1",
                hot_threshold: int = 5_000_000, bins: int | None = None) -> DataFrame:
     """1-based ``row_number`` within ``group`` by ``order`` that survives hot groups.
 
-    Groups up to ``hot_threshold`` rows use an ordinary window (one task per
-    group is fine at that size). Larger groups - at most rows / threshold of
-    them, counted before use, so the key list has a proven bound and is
-    broadcast - are ranked with ``ordered_prefix`` (quantile bins of the leading
-    order column), which spreads one group over many tasks. ``order`` holds
-    column names; the first must be numeric.
+    Groups up to ``hot_threshold`` rows are ranked by an ordinary window. Larger
+    ones (at most rows / threshold of them, counted first) take the binned
+    ranks of ``ordered_rank``; both give the same numbers for every column type,
+    NULL groups included, so the threshold only chooses the plan.
     """
-    from pyspark.sql import Window
     keys = [group] if isinstance(group, str) else list(group)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.where(F.col("_n") > hot_threshold).select(*keys)
+    hot = cut_lineage(sizes.where(F.col("_n") > hot_threshold).select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
     w = Window.partitionBy(*keys).orderBy(*order)
-    if hot.limit(1).count() == 0:
+    if hot.isEmpty():
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    hot = F.broadcast(cut_lineage(hot))
-    cold = df.join(hot, keys, "left_anti").withColumn(name, F.row_number().over(w).cast("bigint"))
-    ranked = ordered_rank(df.join(hot, keys, "left_semi"), list(order), keys, name="_r0", bins=bins)
+    match = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
+    cold = df.join(hot, match, "left_anti").withColumn(name, F.row_number().over(w).cast("bigint"))
+    ranked = ordered_rank(df.join(hot, match, "left_semi"), list(order), keys, name="_r0", bins=bins)
     return cold.unionByName(ranked.withColumn(name, (F.col("_r0") + 1).cast("bigint")).drop("_r0"))

@@ -4,8 +4,8 @@ A suite is a list of ``Expectation`` specs. ``run_suite`` answers every
 row-level expectation (not-null, between, in-set) of a suite with ONE
 aggregate over the frame, every uniqueness check with one
 ``groupBy(key).count`` aggregate (partial + final, so a hot key is
-pre-aggregated), and every schema check at plan time without a job. The
-result is a long table: one row per expectation.
+pre-aggregated), a learnt set with a join of value counts, and all schema
+checks with one row count. The result is a long table: one row per expectation.
 """
 
 from __future__ import annotations
@@ -13,13 +13,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RESULT_SCHEMA = ("suite string, expectation string, column_name string, success int, "
-                 "unexpected_count bigint, element_count bigint")
-
-
 @dataclass
 class Expectation:
     kind: str                      # not_null | between | in_set | unique | compound_unique |
@@ -29,6 +25,7 @@ class Expectation:
     min_value: float | None = None
     max_value: float | None = None
     values: Sequence = ()
+    learned: DataFrame | None = None
     mostly: float = 1.0
     extra: dict = field(default_factory=dict)
 
@@ -42,6 +39,9 @@ def expect_between(c, min_value=None, max_value=None, mostly=1.0):
 
 
 def expect_in_set(c, values, mostly=1.0):
+    """``values``: a sequence, or a learnt set (one-column frame), which is joined."""
+    if isinstance(values, DataFrame):
+        return Expectation("in_set", c, learned=values, mostly=mostly)
     return Expectation("in_set", c, values=list(values), mostly=mostly)
 
 
@@ -65,20 +65,17 @@ def expect_columns_match_set(cols):
     return Expectation("columns_match_set", None, columns=list(cols))
 
 
-def learned_set(df: DataFrame, column: str, limit: int = 10_000) -> list:
-    """Allowed values learnt from the data (#167): distinct non-NULL values,
-    refused when more than ``limit`` (a set expectation needs a small set)."""
-    vals = df.select(F.col(column)).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(vals) > limit:
-        raise ValueError(f"{column}: more than {limit} distinct values")
-    return sorted(r[0] for r in vals)
+def learned_set(df: DataFrame, column: str) -> DataFrame:
+    """Allowed values learnt from the data (#167): the distinct non-NULL values, as a
+    one-column frame of any size."""
+    return df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct()
 
 
 def forbid_columns(df: DataFrame, forbidden: Sequence[str]) -> None:
     """Raise when any outcome-like column is present (#168)."""
     present = [c for c in forbidden if c in df.columns]
     if present:
-        raise ValueError("Data leakage columns found in processed features: " + ", ".join(present))
+        raise ValueError("columns that give the outcome away: " + ", ".join(present))
 
 
 def _row_level(e: Expectation):
@@ -100,28 +97,43 @@ def _row_level(e: Expectation):
 
 def run_suite(df: DataFrame, suite: Sequence[Expectation], name: str = "suite") -> DataFrame:
     """One row per expectation: success, unexpected and element counts (#169)."""
-    spark: SparkSession = df.sparkSession
     cols = set(df.columns)
-    static, row_level, unique = [], [], []
+    static, row_level, unique, learned = [], [], [], []
     for i, e in enumerate(suite):
         if e.kind == "exists":
-            static.append((name, e.kind, e.column, int(e.column in cols), 0 if e.column in cols else 1, 1))
+            static.append((e.kind, e.column, 0 if e.column in cols else 1))
         elif e.kind == "column_count_between":
             n = len(df.columns)
             ok = (e.min_value is None or n >= e.min_value) and (e.max_value is None or n <= e.max_value)
-            static.append((name, e.kind, None, int(ok), 0 if ok else 1, n))
+            static.append((e.kind, None, 0 if ok else 1))
         elif e.kind == "columns_match_set":
-            ok = set(e.columns) == cols
-            static.append((name, e.kind, None, int(ok), len(set(e.columns) ^ cols), len(cols)))
+            static.append((e.kind, None, len(set(e.columns) ^ cols)))
         elif e.kind in ("unique", "compound_unique"):
             unique.append((i, e))
         elif e.column not in cols:
-            static.append((name, e.kind, e.column, 0, 0, 0))
+            static.append((e.kind, e.column, 1))
+        elif e.learned is not None:
+            learned.append(e)
         else:
             row_level.append((i, e))
     parts = []
     if static:
-        parts.append(spark.createDataFrame(static, RESULT_SCHEMA))
+        # what the schema decides, for the rows it was decided for
+        cells = F.array(*[F.struct(F.lit(kind).alias("expectation"), F.lit(col).cast("string").alias("column_name"),
+                                   F.lit(int(bad == 0)).alias("success"), F.lit(bad).cast("bigint").alias("unexpected_count"))
+                          for kind, col, bad in static])
+        rows = df.agg(F.count(F.lit(1)).alias("element_count")).select(F.explode(cells).alias("r"), "element_count")
+        parts.append(rows.select(F.lit(name).alias("suite"), "r.expectation", "r.column_name", "r.success", "r.unexpected_count",
+                                 "element_count"))
+    for e in learned:
+        counts = df.where(F.col(e.column).isNotNull()).groupBy(F.col(e.column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+        known = e.learned.select(F.col(e.learned.columns[0]).alias("_k")).distinct()
+        res = counts.join(known, F.col("_v") == F.col("_k"), "left").agg(
+            F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).cast("bigint").alias("unexpected_count"),
+            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("element_count"))
+        share = 1 - F.col("unexpected_count") / F.greatest(F.col("element_count"), F.lit(1))
+        parts.append(res.select(F.lit(name).alias("suite"), F.lit(e.kind).alias("expectation"), F.lit(e.column).alias("column_name"),
+                                (share >= e.mostly).cast("int").alias("success"), "unexpected_count", "element_count"))
     if row_level:
         exprs = []
         for i, e in row_level:

@@ -121,7 +121,7 @@ def feature_columns_for_aggregation(df: DataFrame, excluded: Iterable[str] = AGG
     excluded = set(excluded)
     cols = [c for c in numeric_columns(df) if c not in excluded]
     if not cols:
-        raise ValueError("No numeric member-level features available for aggregation.")
+        raise ValueError("nothing to aggregate: no numeric member column is left")
     return cols
 
 
@@ -131,31 +131,17 @@ def aggregate_sides(df: DataFrame, keys: Sequence[str] = KEYS, target: str = TAR
     """``x_sum`` / ``x_mean`` of every numeric feature, ``b_rate`` of binary ones,
     and the side label, in ONE aggregate (#37, #42, #44, #45).
 
-    ``binary=None`` detects binary columns (#43) from per-side probe counts
-    over the checkpointed aggregate, so the member rows are scanned once.
+    ``binary=None`` detects binary columns (#43) with one pruned probe over the
+    member rows (two counts per column); the result itself stays lazy.
     """
     feats = feature_columns_for_aggregation(df, excluded)
+    rates = set(detect_binary(df, feats) if binary is None else binary)
     exprs = [F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_sum") for c in feats]
     exprs += [F.avg(c).alias(f"{c}_mean") for c in feats]
     if with_label:
         exprs += label_columns(target)
-    if binary is not None:
-        exprs += [F.avg(c).alias(f"{c}_rate") for c in feats if c in set(binary)]
-        return df.groupBy(*keys).agg(*exprs)
-    # Detection without a second scan of the member rows: each side also counts
-    # its non-NULL and non-{0,1} values; the aggregate is materialized once and
-    # the global test runs over that (much smaller) table.
-    probes = []
-    for i, c in enumerate(feats):
-        v = F.col(c).cast("double")
-        probes += [F.count(v).alias(f"_n{i}"), F.count_if(v.isNotNull() & ~v.isin(0.0, 1.0)).alias(f"_b{i}")]
-    agg = cut_lineage(df.groupBy(*keys).agg(*exprs, *probes))
-    row = agg.agg(*[F.sum(f"_n{i}").alias(f"n{i}") for i in range(len(feats))],
-                  *[F.sum(f"_b{i}").alias(f"b{i}") for i in range(len(feats))]).first()
-    found = [c for i, c in enumerate(feats) if (row[f"n{i}"] or 0) > 0 and (row[f"b{i}"] or 0) == 0]
-    rates = [F.col(f"{c}_mean").alias(f"{c}_rate") for c in found]
-    base = [c for c in agg.columns if not c.startswith(("_n", "_b"))]
-    return agg.select(*base, *rates)
+    exprs += [F.avg(c).alias(f"{c}_rate") for c in feats if c in rates]
+    return df.groupBy(*keys).agg(*exprs)
 
 
 def derive_group_label(df: DataFrame, keys: Sequence[str] = KEYS, target: str = TARGET) -> DataFrame:
@@ -223,42 +209,28 @@ def left_join_on_condition(runs: DataFrame, params: DataFrame, metrics: DataFram
             .join(m, runs.run_id == m._m_run, "left").drop("_p_run", "_m_run"))
 
 
-INLINE_LOOKUP_MAX = 10_000       # entries: literal map, no join
-BROADCAST_LOOKUP_MAX = 2_000_000  # entries: explicit broadcast join; above: shuffle join
-
-
-def lookup_strategy(n_entries: int) -> str:
-    if n_entries <= INLINE_LOOKUP_MAX:
-        return "inline"
-    if n_entries <= BROADCAST_LOOKUP_MAX:
-        return "broadcast"
-    return "shuffle"
+BROADCAST_LOOKUP_ROWS = 200_000  # (key, value) rows that are sent to every task; more meet in a shuffle
 
 
-def inline_lookup(column, entries: dict, default):
-    """``coalesce(map[key], default)`` over a literal map built from a small fitted table."""
-    if not entries:
-        return F.lit(default)
-    m = F.create_map(*[x for k, v in entries.items() for x in (F.lit(k), F.lit(v))])
-    return F.coalesce(F.element_at(m, column), F.lit(default))
+def with_small(df: DataFrame, small: DataFrame, on: str) -> DataFrame:
+    """Inner join to a small table (one row per key), counted first and broadcast only up to
+    ``BROADCAST_LOOKUP_ROWS``; beyond that the same join is left to the planner."""
+    small = cut_lineage(small)
+    few = small.limit(BROADCAST_LOOKUP_ROWS + 1).count() <= BROADCAST_LOOKUP_ROWS
+    return df.join(F.broadcast(small) if few else small, on)
 
 
-def lookup_with_default(df: DataFrame, column: str, table: DataFrame, output: str,
-                        default, key_col: str = "category", value_col: str = "value",
-                        n_entries: int | None = None) -> DataFrame:
+def lookup_with_default(df: DataFrame, column: str, table: DataFrame, output: str, default,
+                        key_col: str = "category", value_col: str = "value", n_entries: int | None = None) -> DataFrame:
     """Map ``column`` through a fitted (key, value) table; unseen or NULL -> default (#38).
 
-    The table size is checked first (one count of a small, usually
-    checkpointed table): up to 10k entries become a literal map (a projection,
-    no join); up to 2M an explicit broadcast join; beyond that a shuffle join.
+    One left join. NULL keys of the table are dropped and a repeated key counts
+    once (smallest value), so every input row appears exactly once. The table is
+    counted first (``n_entries`` if known) and broadcast only up to
+    ``BROADCAST_LOOKUP_ROWS``; the result does not depend on it.
     """
-    t = table.select(F.col(key_col).alias("_lk"), F.col(value_col).alias("_lv"))
-    n = t.count() if n_entries is None else n_entries
-    key = df[column].cast(t.schema["_lk"].dataType)
-    strategy = lookup_strategy(n)
-    if strategy == "inline":
-        entries = {r["_lk"]: r["_lv"] for r in t.collect()}
-        return df.withColumn(output, inline_lookup(key, entries, default))
-    right = F.broadcast(t) if strategy == "broadcast" else t
-    joined = df.join(right, key == right["_lk"], "left")
+    t = table.where(F.col(key_col).isNotNull()).groupBy(F.col(key_col).alias("_lk")).agg(F.min(value_col).alias("_lv"))
+    n = table.count() if n_entries is None else n_entries
+    right = F.broadcast(t) if n <= BROADCAST_LOOKUP_ROWS else t
+    joined = df.join(right, df[column].cast(t.schema["_lk"].dataType) == right["_lk"], "left")
     return joined.withColumn(output, F.coalesce(F.col("_lv"), F.lit(default))).drop("_lk", "_lv")

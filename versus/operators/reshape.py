@@ -68,23 +68,19 @@ def stack_columns(df: DataFrame, columns: Sequence[str], name: str = "value") ->
     return df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias(name))
 
 
-def _present(cols: Sequence[str]) -> Column:
-    return F.filter(F.array(*[F.col(c).cast("double") for c in cols]), lambda x: x.isNotNull())
-
-
 def row_stats(df: DataFrame, columns: Sequence[str], prefix: str, std_fill: float = 0.0) -> DataFrame:
-    """Row-wise mean, min, max, sample std (NULL -> ``std_fill``) and span, NULLs skipped (#72)."""
-    vals = _present(columns)
-    n = F.size(vals)
-    total = F.aggregate(vals, F.lit(0.0), lambda a, x: a + x)
-    mean = F.when(n > 0, total / n)
-    sq = F.aggregate(vals, F.lit(0.0), lambda a, x: a + (x - total / n) * (x - total / n))
-    std = F.when(n > 1, F.sqrt(sq / (n - 1))).otherwise(F.lit(std_fill))
-    mx = F.greatest(*[F.col(c).cast("double") for c in columns]) if len(columns) > 1 else F.col(columns[0]).cast("double")
-    mn = F.least(*[F.col(c).cast("double") for c in columns]) if len(columns) > 1 else F.col(columns[0]).cast("double")
-    return df.select("*", mean.alias(f"{prefix}_avg"), mn.alias(f"{prefix}_min"),
-                     mx.alias(f"{prefix}_max"), std.alias(f"{prefix}_std"),
-                     (mx - mn).alias(f"{prefix}_span"))
+    """Row-wise mean, min, max, sample std (NULL -> ``std_fill``) and span, NULLs skipped (#72);
+    plain arithmetic over the fixed columns, so it stays in generated code."""
+    x = [F.col(c).cast("double") for c in columns]
+    names = df.columns
+    n = sum((v.isNotNull().cast("int") for v in x), F.lit(0))
+    total = sum((F.coalesce(v, F.lit(0.0)) for v in x), F.lit(0.0))
+    out = df.withColumns({"_n": n, "_total": total}).withColumn("_mean", F.when(F.col("_n") > 0, F.col("_total") / F.col("_n")))
+    out = out.withColumn("_sq", sum((F.coalesce((v - F.col("_mean")) * (v - F.col("_mean")), F.lit(0.0)) for v in x), F.lit(0.0)))
+    std = F.when(F.col("_n") > 1, F.sqrt(F.col("_sq") / (F.col("_n") - 1))).otherwise(F.lit(std_fill))
+    high, low = (F.greatest(*x), F.least(*x)) if len(x) > 1 else (x[0], x[0])
+    return out.select(*names, F.col("_mean").alias(f"{prefix}_avg"), low.alias(f"{prefix}_min"),
+                      high.alias(f"{prefix}_max"), std.alias(f"{prefix}_std"), (high - low).alias(f"{prefix}_span"))
 
 
 def row_counts(df: DataFrame, columns: Sequence[str], size_name: str = "draft_size",

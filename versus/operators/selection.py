@@ -1,10 +1,11 @@
 """Feature selection and split-safe preprocessing (#106-#116).
 
 One Gram pass serves correlation, VIF and the PCA diagnostic: every task
-folds its rows into a k x k block of centred cross-products (NumPy inside
+folds its rows into k x k blocks of pairwise sums (NumPy inside
 ``mapInPandas``, Arrow batches), the blocks are summed with one
 ``groupBy(i, j)``, and only the k x k result (bounded by the feature count,
 never by the rows) reaches the driver for the small linear algebra.
+Correlation is pairwise complete; VIF and PCA take median-filled columns.
 
 Scaling artifacts are one long table (feature, kind, impute, center, scale)
 fitted on the training rows with exact distributed quantiles, then applied to
@@ -18,7 +19,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,33 +28,59 @@ from .ordered import exact_quantiles
 from ..session import cut_lineage
 
 
-SQL_GRAM_MAX_PRODUCTS = 300  # up to k = 24 columns the Gram is k(k+1)/2 SQL sums
-
-
 @dataclass
 class Gram:
-    """Sufficient statistics of a k-column block: n, column means, centred
-    cross-products C = sum (x - m)(x - m)^T, and the raw Gram G = X^T X."""
+    """Pairwise sufficient statistics of k columns, each shifted by ``shift``.
+
+    ``count[i, j]`` rows have both i and j; over them ``total[i, j]`` sums i,
+    ``square[i, j]`` its square and ``cross[i, j]`` the product. Without gaps
+    every row counts for every pair. ``constant`` marks columns whose smallest
+    value is their largest.
+    """
     columns: list
-    n: int
-    mean: np.ndarray
-    centred: np.ndarray
+    shift: np.ndarray
+    count: np.ndarray
+    total: np.ndarray
+    square: np.ndarray
+    cross: np.ndarray
+    constant: np.ndarray
+
+    @property
+    def n(self) -> int:
+        return int(self.count.max()) if self.count.size else 0
+
+    @property
+    def mean(self) -> np.ndarray:
+        own = np.diag(self.count)
+        return self.shift + np.diag(self.total) / np.maximum(own, 1)
+
+    @property
+    def centred(self) -> np.ndarray:
+        """Cross-products about the pair's own means."""
+        return self.cross - self.total * self.total.T / np.maximum(self.count, 1)
 
     @property
     def raw(self) -> np.ndarray:
-        return self.centred + self.n * np.outer(self.mean, self.mean)
+        """X^T X over the rows that have both columns."""
+        m = self.shift
+        return self.cross + self.total * m[None, :] + self.total.T * m[:, None] + self.count * np.outer(m, m)
 
     def subset(self, columns: Sequence[str]) -> "Gram":
-        """The Gram of a column subset over the same rows (exact sub-block)."""
-        idx = [self.columns.index(c) for c in columns]
-        return Gram(list(columns), self.n, self.mean[idx], self.centred[np.ix_(idx, idx)])
+        """The statistics of some of the columns (exact sub-blocks)."""
+        at = [self.columns.index(c) for c in columns]
+        grid = np.ix_(at, at)
+        return Gram(list(columns), self.shift[at], self.count[grid], self.total[grid], self.square[grid],
+                    self.cross[grid], self.constant[at])
 
     def correlation(self) -> np.ndarray:
-        d = np.sqrt(np.diag(self.centred))
+        """Pairwise-complete Pearson r; NaN where a side does not vary."""
+        n = np.maximum(self.count, 1)
+        var = self.square - self.total * self.total / n
+        flat = var <= 1e-13 * self.square
+        flat |= self.constant[:, None]
         with np.errstate(invalid="ignore", divide="ignore"):
-            r = self.centred / np.outer(d, d)
-        r[~np.isfinite(r)] = np.nan
-        return r
+            r = self.centred / np.sqrt(np.where(flat, np.nan, var) * np.where(flat, np.nan, var).T)
+        return np.clip(r, -1.0, 1.0)
 
 
 def _finite_filled(df: DataFrame, columns: Sequence[str], fill: dict | None) -> DataFrame:
@@ -69,65 +95,45 @@ def _finite_filled(df: DataFrame, columns: Sequence[str], fill: dict | None) ->
 
 
 def gram(df: DataFrame, columns: Sequence[str], fill: dict | None = None) -> Gram:
-    """One distributed pass: per-partition centred Gram blocks, summed by (i, j).
+    """Two jobs whatever the number of columns: means and ranges, then per-partition
+    blocks of pairwise sums (NumPy on Arrow batches), added up by (i, j).
 
-    Rows with a NULL in any column are skipped unless ``fill`` gives a value per
-    column (NaN and +/-inf count as NULL). Two jobs: the shift (column means)
-    and the block sums.
+    NULL, NaN and +/-inf are gaps: a row counts for the pairs of columns it has.
+    ``fill`` (a value per column, 0 by default) closes the gaps first.
     """
     cols = list(columns)
     k = len(cols)
-    x = _finite_filled(df, cols, fill).dropna().persist(StorageLevel.MEMORY_AND_DISK)
+    x = _finite_filled(df, cols, fill)
     names = [f"c{i}" for i in range(k)]
-    head = x.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in names]).first()
-    n = int(head["n"])
-    shift = np.array([head[c] if head[c] is not None else 0.0 for c in names], dtype="float64")
-
-    if k * (k + 1) // 2 <= SQL_GRAM_MAX_PRODUCTS:
-        # few columns: shifted cross-products as plain JVM aggregates (codegen, no Python)
-        d = [F.col(c) - F.lit(float(m)) for c, m in zip(names, shift)]
-        prods = [F.sum(d[i] * d[j]).alias(f"p{i}_{j}") for i in range(k) for j in range(i, k)]
-        row = x.agg(*prods, *[F.sum(d[i]).alias(f"s{i}") for i in range(k)]).first()
-        x.unpersist()
-        acc = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                acc[i, j] = acc[j, i] = row[f"p{i}_{j}"] or 0.0
-        s1 = np.array([row[f"s{i}"] or 0.0 for i in range(k)])
-        if n == 0:
-            return Gram(cols, 0, shift, acc)
-        dm = s1 / n
-        return Gram(cols, n, shift + dm, acc - n * np.outer(dm, dm))
+    stats = [f(F.col(c)).alias(f"{name}_{c}") for c in names for name, f in (("m", F.avg), ("lo", F.min), ("hi", F.max))]
+    head = x.agg(F.count(F.lit(1)).alias("n"), *stats).first()
+    shift = np.array([0.0 if head[f"m_{c}"] is None else head[f"m_{c}"] for c in names])
+    constant = np.array([head[f"lo_{c}"] == head[f"hi_{c}"] for c in names], bool)
 
     def block(batches):
-        acc = np.zeros((k, k))
-        s1 = np.zeros(k)
-        m = 0
+        acc = np.zeros((4, k, k))
         for pdf in batches:
             a = pdf[names].to_numpy(dtype="float64") - shift
-            acc += a.T @ a
-            s1 += a.sum(axis=0)
-            m += len(a)
-        if m:
-            ii, jj = np.indices((k, k))
-            yield pd.DataFrame({"i": ii.ravel(), "j": jj.ravel(), "s": acc.ravel()})
-            yield pd.DataFrame({"i": np.arange(k), "j": np.full(k, -1), "s": s1})
-
-    sums = (x.mapInPandas(block, "i int, j int, s double")
-            .groupBy("i", "j").agg(F.sum("s").alias("s")).collect())  # k*k + k rows
-    x.unpersist()
-    acc = np.zeros((k, k))
-    s1 = np.zeros(k)
-    for r in sums:
-        if r["j"] < 0:
-            s1[r["i"]] = r["s"]
-        else:
-            acc[r["i"], r["j"]] = r["s"]
-    if n == 0:
-        return Gram(cols, 0, shift, acc)
-    d = s1 / n  # mean offset from the shift
-    centred = acc - n * np.outer(d, d)
-    return Gram(cols, n, shift + d, centred)
+            here = np.isfinite(a)
+            a = np.where(here, a, 0.0)
+            w = here.astype("float64")
+            acc += np.stack([w.T @ w, a.T @ w, (a * a).T @ w, a.T @ a])
+        i, j = np.indices((k, k))
+        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "w": acc[0].ravel(), "t": acc[1].ravel(),
+                            "q": acc[2].ravel(), "p": acc[3].ravel()})
+
+    out = np.zeros((4, k, k))
+    if k:
+        sums = x.mapInPandas(block, "i int, j int, w double, t double, q double, p double").groupBy("i", "j")
+        for r in sums.agg(*[F.sum(c).alias(c) for c in "wtqp"]).collect():  # k * k rows
+            out[:, r["i"], r["j"]] = r["w"], r["t"], r["q"], r["p"]
+    return Gram(cols, shift, *out, constant)
+
+
+def medians(df: DataFrame, columns: Sequence[str]) -> dict:
+    """Exact median of each column (0 where a column is all gaps)."""
+    got = {r["feature"]: r["value"] for r in exact_quantiles(df, columns, [0.5]).collect()}  # one row per column
+    return {c: 0.0 if got.get(c) is None else got[c] for c in columns}
 
 
 def correlation_matrix(spark, g: Gram) -> DataFrame:
@@ -152,18 +158,21 @@ def vif_scores(g: Gram, centred: bool = False) -> dict:
     the inverse correlation matrix (``centred``) (#108, #109).
 
     Constant columns score 1.0; fewer than two usable columns -> all 1.0;
-    exactly collinear columns -> +inf (pseudo-inverse with a rank test).
+    exactly collinear columns -> +inf (pseudo-inverse with a rank test). Take the
+    Gram of filled columns: pairwise sums of gappy ones need not be a Gram matrix.
     """
     cols = g.columns
-    var = np.diag(g.centred)
-    usable = [i for i in range(len(cols)) if var[i] > 1e-12 * max(1.0, g.n)]
+    usable = [i for i in range(len(cols)) if not g.constant[i] and g.count[i, i] > 0]
     out = {c: 1.0 for c in cols}
     if len(usable) < 2:
         return out
     if centred:
         m = g.correlation()[np.ix_(usable, usable)]
     else:
+        # unit diagonal: VIF does not depend on the columns' scales, rank tests do
         m = g.raw[np.ix_(usable, usable)]
+        size = np.sqrt(np.diag(m))
+        m = m / np.outer(size, size)
     # per column: regress on the others with the k x k block; VIF = G_ii / SSR_i
     # (equals G_ii * (G^-1)_ii at full rank; SSR ~ 0 means exactly collinear -> inf)
     k = len(usable)
@@ -297,18 +306,14 @@ def fit_transform_splits(frame: DataFrame, feature_cols: Sequence[str], target:
     # spark.checkpoint.dir) and derive both from it
     frame = cut_lineage(frame.select(*id_cols, split_col, *candidate, target))
     train = frame.where(F.col(split_col) == "train").select(*candidate, target)
-    # NULL / NaN / inf per candidate: when none, every Gram below is a sub-block
-    # of the first one (same rows), so one pass serves correlation, VIF and PCA
-    bad = train.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
-                                 | (F.abs(F.col(c).cast("double")) == float("inf"))).alias(f"z{i}")
-                      for i, c in enumerate(candidate)]).first() if candidate else None
-    has_null = {c: bool(bad[f"z{i}"]) for i, c in enumerate(candidate)} if candidate else {}
+    # without gaps every Gram below is a sub-block of the first one (same rows),
+    # so one pass serves correlation, VIF and PCA
     g = gram(train, candidate)
     corr_keep, corr_drop = drop_high_correlation(g, correlation_threshold)
-    if any(has_null[c] for c in corr_keep):
-        # VIF on NULL -> median filled data, matching the reference imputation
-        med = {r["feature"]: r["value"] for r in exact_quantiles(train, corr_keep, [0.5]).collect()}
-        g2 = gram(train, corr_keep, fill={c: (med.get(c) if med.get(c) is not None else 0.0) for c in corr_keep})
+    gappy = {c for c, n in zip(g.columns, np.diag(g.count)) if n < g.n or not n}
+    if any(c in gappy for c in corr_keep):
+        # VIF on NULL -> median filled data
+        g2 = gram(train, corr_keep, fill=medians(train, corr_keep))
     else:
         g2 = g.subset(corr_keep)
     vif_keep, vif_drop, scores = drop_high_vif(g2, vif_threshold, min_features_after_vif)

@@ -9,10 +9,9 @@ with ``ordered_rank`` (no single-partition window).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import SEED, TEST_SIZE, VAL_SIZE
@@ -39,7 +38,8 @@ def split_grouped(df: DataFrame, group_col: str = "matchid", test_size: float =
 def split_stratified(df: DataFrame, target: str, id_cols: Sequence[str], test_size: float = TEST_SIZE,
                      val_size: float = VAL_SIZE, seed: int = SEED, name: str = "split") -> DataFrame:
     """Per class: the first round(n*test) rows by hash are test, the next
-    round((n - n_test) * val/(1-test)) val, the rest train (#120)."""
+    round((n - n_test) * val/(1-test)) val, the rest train; a NULL class is split
+    like any other (#120)."""
     h = df.withColumn("_h", hash_unit(*id_cols, seed=seed))
     ranked = ordered_rank(h, ["_h", *id_cols], [target], name="_r", with_count="_n")
     n_test = F.floor(F.col("_n") * test_size + 0.5)
@@ -48,51 +48,42 @@ def split_stratified(df: DataFrame, target: str, id_cols: Sequence[str], test_si
     return ranked.withColumn(name, s).drop("_h", "_r", "_n")
 
 
-def class_quotas(counts: dict, cap: int) -> dict:
-    """Per-class quota for a capped sample: floor(share * cap) but at least 1,
-    trimmed from the largest quota while over cap, topped up where the most
-    rows remain while under cap. Pure driver arithmetic on class counts."""
-    classes = sorted(counts)
-    total = sum(counts.values())
-    target = {c: max(1, math.floor(counts[c] / total * cap)) for c in classes}
-    while sum(target.values()) > cap:
-        largest = max(classes, key=lambda c: (target[c], -classes.index(c)))
-        if target[largest] <= 1:
-            break
-        target[largest] -= 1
-    while sum(target.values()) < cap:
-        room = max(classes, key=lambda c: (counts[c] - target[c], -classes.index(c)))
-        target[room] += 1
-    return {c: min(target[c], counts[c]) for c in classes}
+def class_quotas(counts: DataFrame, target: str, cap: int, count: str = "count") -> DataFrame:
+    """(target, quota) for a sample of ``cap`` rows from one row per class.
+
+    Every class starts with the floor of its share, one row at least. What that
+    leaves of the cap goes one row each to the classes by falling room; what it
+    takes beyond the cap is taken back one row each by falling quota. A single
+    class, or a NULL class, is a class like any other.
+    """
+    whole, n = Window.partitionBy(), F.col(count)
+    base = counts.select(target, n, F.greatest(F.lit(1), F.floor(n * cap / F.sum(n).over(whole))).alias("_base"))
+    by_room = Window.orderBy((n - F.col("_base")).desc(), F.col(target).asc_nulls_last())
+    by_size = Window.orderBy(F.col("_base").desc(), F.col(target).asc_nulls_last())
+    free = F.lit(cap) - F.sum("_base").over(whole)
+    ranked = base.select("*", free.alias("_free"), F.row_number().over(by_room).alias("_room"), F.row_number().over(by_size).alias("_size"))
+    step = (F.when(F.col("_room") <= F.col("_free"), 1)
+            .when((F.col("_size") <= -F.col("_free")) & (F.col("_base") > 1), -1).otherwise(0))
+    return ranked.select(target, F.least(n, F.col("_base") + step).alias("quota"))
 
 
 def stratified_cap(df: DataFrame, target: str, id_cols: Sequence[str], cap: int | None,
                    seed: int = SEED) -> DataFrame:
     """Keep at most ``cap`` rows with class shares preserved (#121); no-op when
     ``cap`` is None / <= 0 or the frame is already small."""
-    if cap is None or cap <= 0:
-        return df
-    counts = {r[0]: r[1] for r in df.groupBy(target).count().collect()}  # one row per class
-    if sum(counts.values()) <= cap:
+    if cap is None or cap <= 0 or df.limit(cap + 1).count() <= cap:
         return df
-    quotas = class_quotas(counts, cap)
-    quota_map = F.create_map(*[x for c, q in quotas.items() for x in (F.lit(c), F.lit(q))])
+    quotas = class_quotas(df.groupBy(target).count(), target, cap).withColumnRenamed(target, "_class")
     h = df.withColumn("_h", hash_unit(*id_cols, seed=seed))
     ranked = ordered_rank(h, ["_h", *id_cols], [target], name="_r")
-    return ranked.where(F.col("_r") < F.element_at(quota_map, F.col(target))).drop("_h", "_r")
+    kept = ranked.join(quotas, [F.col(target).eqNullSafe(F.col("_class")), F.col("_r") < F.col("quota")], "left_semi")
+    return kept.drop("_h", "_r")
 
 
-def sample_rows(df: DataFrame, n: int, id_cols: Sequence[str], seed: int = SEED,
-                small: int = 100_000) -> DataFrame:
-    """Exactly min(n, rows) rows without replacement, seed-stable (#122).
-
-    Small ``n``: top-n by hash (per-partition top-k, then one merge of n rows).
-    Large ``n``: global hash rank with ``ordered_rank`` and a filter, so no task
-    ever holds the sample.
-    """
+def sample_rows(df: DataFrame, n: int, id_cols: Sequence[str], seed: int = SEED) -> DataFrame:
+    """Exactly min(n, rows) rows without replacement, seed-stable (#122): the first
+    ``n`` of the binned hash order, so no task ever holds the sample."""
     h = df.withColumn("_h", hash_unit(*id_cols, seed=seed))
-    if n <= small:
-        return h.orderBy("_h", *id_cols).limit(n).drop("_h")
     return ordered_rank(h, ["_h", *id_cols], name="_r").where(F.col("_r") < n).drop("_h", "_r")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordered import exact_quantiles, quantile_table
+from .relational import with_small
 
 
 def describe_percentiles(df: DataFrame, columns: Sequence[str],
@@ -98,7 +99,7 @@ def box_stats(df: DataFrame, column: str, group: str) -> DataFrame:
                                     F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("median"),
                                     F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
     wide = wide.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = long.join(wide, "feature")
+    j = with_small(long, wide, "feature")
     lo_fence = F.col("q1") - 1.5 * F.col("iqr")
     hi_fence = F.col("q3") + 1.5 * F.col("iqr")
     whisk = j.groupBy("feature").agg(
@@ -121,7 +122,7 @@ def kde_grid(df: DataFrame, column: str, group: str, gridsize: int = 200, cut: f
     stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     stats = stats.withColumn("lo", F.col("mn") - cut * F.col("bw")).withColumn("hi", F.col("mx") + cut * F.col("bw"))
     counted = base.groupBy("g", "x").agg(F.count(F.lit(1)).alias("c"))
-    j = counted.join(stats, "g")
+    j = with_small(counted, stats, "g")
     step = (F.col("hi") - F.col("lo")) / (gridsize - 1)
     pts = j.select("g", "x", "c", "n", "bw", "lo", step.alias("step"),
                    F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("i"))

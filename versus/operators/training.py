@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..constants import MIN_ACCURACY_DROP, MIN_ROC_AUC_DROP, SEED
 from ..session import ensure_checkpoint_dir
 from . import models as M
+from ..sources.io import read_existing
 from .clean import drop_by_pattern
 from .evaluate import classification_metrics
 
@@ -53,12 +54,20 @@ ABLATION_PROFILES = (
 SEARCH_SPACES = {
     "random_forest": {"n_estimators": ("int", 100, 800, 50, False), "max_depth": ("int", 4, 20, 1, False),
                       "min_samples_split": ("int", 2, 10, 1, False), "min_samples_leaf": ("int", 1, 5, 1, False)},
+    "xgboost": {"n_estimators": ("int", 200, 1200, 50, False), "learning_rate": ("float", 0.001, 0.3, None, True),
+                "max_depth": ("int", 3, 12, 1, False), "subsample": ("float", 0.6, 1.0, None, False),
+                "colsample_bytree": ("float", 0.6, 1.0, None, False),
+                "min_child_weight": ("float", 0.5, 10.0, None, True), "gamma": ("float", 0.0, 5.0, None, False)},
+    "lightgbm": {"n_estimators": ("int", 200, 1200, 50, False), "learning_rate": ("float", 0.001, 0.3, None, True),
+                 "num_leaves": ("int", 15, 127, 1, False), "subsample": ("float", 0.6, 1.0, None, False),
+                 "colsample_bytree": ("float", 0.6, 1.0, None, False), "min_child_samples": ("int", 5, 100, 1, False)},
+    "svm_linear": {"C": ("float", 0.001, 100.0, None, True)},
     "svm_rbf": {"C": ("float", 0.001, 100.0, None, True), "gamma": ("float", 0.0001, 10.0, None, True)},
-    "xgboost": {"learning_rate": ("float", 0.001, 0.3, None, True), "max_depth": ("int", 3, 12, 1, False),
-                "n_estimators": ("int", 200, 1200, 50, False)},
-    "lightgbm": {"learning_rate": ("float", 0.001, 0.3, None, True), "num_leaves": ("int", 15, 127, 1, False),
-                 "n_estimators": ("int", 200, 1200, 50, False)},
 }
+# fixed values: models and trials of a full search, and the learning curve's shares of the training rows
+TUNED_MODELS = ("random_forest", "svm_rbf", "xgboost", "lightgbm")
+TRIALS = 30
+CURVE_FRACTIONS = (0.1, 0.2, 0.4, 0.6, 0.8, 1.0)
 
 
 def artifact_root(spark: SparkSession) -> str:
@@ -225,7 +234,13 @@ def holdout_objective(frame: DataFrame, model_name: str, params: dict, target: s
     return float(row["roc_auc"]) if row["roc_auc"] is not None else float(row["f1"])
 
 
-def tuning_run(frame: DataFrame, model_name: str, n_trials: int, target: str = "win",
+def tune_models(frame: DataFrame, models: Sequence[str] = TUNED_MODELS, n_trials: int = TRIALS, **kw) -> dict:
+    """The full search: ``n_trials`` trials of every model, the best one by validation (#156)."""
+    runs = [tuning_run(frame, m, n_trials, **kw) for m in models]
+    return max(runs, key=lambda r: r["best_value"])
+
+
+def tuning_run(frame: DataFrame, model_name: str, n_trials: int = TRIALS, target: str = "win",
                log_path: str | None = None, features: Sequence[str] | None = None) -> dict:
     """Budgeted random search with resume: trials already in the log are
     skipped (left-anti on trial number); best = max_by over the log; refit with
@@ -234,10 +249,7 @@ def tuning_run(frame: DataFrame, model_name: str, n_trials: int, target: str = "
     trials = sample_trials(spark, model_name, n_trials)
     done = None
     if log_path:
-        try:
-            done = spark.read.parquet(log_path)
-        except Exception:  # noqa: BLE001 - no log yet
-            done = None
+        done = read_existing(spark, log_path)
     todo = trials.join(done.select("trial"), "trial", "left_anti") if done is not None else trials
     params = list(SEARCH_SPACES[model_name])
     for row in todo.orderBy("trial").collect():  # n_trials rows: the budget, not the data
@@ -289,7 +301,7 @@ def ablation_progressive(frame: DataFrame, model_name: str, target: str = "win",
                                        "meaningful_drop int")
 
 
-def learning_curve(frame: DataFrame, model_name: str, fractions: Sequence[float] = tuple(i / 10 for i in range(1, 11)),
+def learning_curve(frame: DataFrame, model_name: str, fractions: Sequence[float] = CURVE_FRACTIONS,
                    target: str = "win", id_cols: Sequence[str] = ("matchid", "teamid"), **params) -> DataFrame:
     """For each fraction: fit on max(64, n*f) lowest-hash training rows (nested
     samples), report train and validation error (#123)."""

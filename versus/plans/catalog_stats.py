@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import leakage_table, select_candidates
+from ..functions.columns import column_profile, leakage_table, select_candidates
 from ..operators import quality as Q
 from ..operators import selection as SEL
 from ..operators import split as SP
@@ -26,9 +26,9 @@ STATS_SUITE = [Q.expect_column_exists(c) for c in ("id", "win", "kills", "deaths
     Q.expect_between(c, min_value=0) for c in ("kills", "deaths", "assists", "goldearned")]
 
 
-def _static(suite, exp, col, ok):
+def _static(suite, exp, col, ok, src):
     return (f"SELECT '{suite}' AS suite, '{exp}' AS expectation, {('NULL' if col is None else repr(col))} AS column_name, "
-            f"{int(ok)} AS success, CAST({0 if ok else 1} AS BIGINT) AS unexpected_count, CAST(1 AS BIGINT) AS element_count")
+            f"{int(ok)} AS success, CAST({0 if ok else 1} AS BIGINT) AS unexpected_count, COUNT(*) AS element_count FROM {src}")
 
 
 def _count_row(suite, exp, col, bad, n, src):
@@ -47,7 +47,7 @@ def _unique_row(suite, exp, name, keys, src):
 
 
 STATS_SUITE_SQL = with_fixture("\n" + " UNION ALL ".join(
-    [_static("raw_stats", "exists", c, True) for c in ("id", "win", "kills", "deaths", "assists", "goldearned")]
+    [_static("raw_stats", "exists", c, True, "stats") for c in ("id", "win", "kills", "deaths", "assists", "goldearned")]
     + [_count_row("raw_stats", "not_null", "id", "id IS NULL", "*", "stats"),
        _unique_row("raw_stats", "unique", "id", ["id"], "stats"),
        _count_row("raw_stats", "in_set", "win", "win IS NOT NULL AND win NOT IN (0, 1)", "win", "stats")]
@@ -102,12 +102,12 @@ MATCH_COLS = ["id", "platformid", "seasonid", "duration"]
 
 
 @query("expect_schema", with_fixture("\n" + " UNION ALL ".join([
-    _static("raw_matches", "columns_match_set", None, True).replace("CAST(1 AS BIGINT) AS element_count", "CAST(4 AS BIGINT) AS element_count"),
-    _static("raw_matches", "exists", "duration", True),
-    _static("raw_matches", "exists", "gameid", False),
-    _static("raw_matches", "column_count_between", None, False).replace("CAST(1 AS BIGINT) AS element_count", "CAST(4 AS BIGINT) AS element_count")])))
+    _static("raw_matches", "columns_match_set", None, True, "matches"),
+    _static("raw_matches", "exists", "duration", True, "matches"),
+    _static("raw_matches", "exists", "gameid", False, "matches"),
+    _static("raw_matches", "column_count_between", None, False, "matches")])))
 def q_expect_schema(spark, sf):
-    """Column set, column existence and column count checks; plan-time, no job (#160-#162)."""
+    """Column set, column existence and column count checks (#160-#162)."""
     m = tables(spark, sf)["matches"]
     suite = [Q.expect_columns_match_set(MATCH_COLS), Q.expect_column_exists("duration"),
              Q.expect_column_exists("gameid"), Q.expect_column_count_between(10)]
@@ -406,17 +406,26 @@ def q_fit_transform_splits(spark, sf):
     return out
 
 
-@query("split_leaky_columns")
+LEAKY_HERE = ("win", "participant_win_consistency", "participant_win_inconsistent", "firstblood")
+_NULLS = "(UNPIVOT (SELECT COUNT(*) - COUNT(COLUMNS('(.*)')) AS '\\1' FROM cleaned) ON COLUMNS(*) INTO NAME column_name VALUE nulls)"
+
+
+@query("split_leaky_columns", with_fixture(POST + f"""
+SELECT column_name, (SELECT COUNT(*) FROM cleaned) AS rows, nulls,
+       CASE WHEN column_name IN {LEAKY_HERE} THEN 1 ELSE 0 END AS leaky FROM {_NULLS} u"""))
 def q_split_leaky_columns(spark, sf):
-    """Leak classification of every column name of the feature frame (#26)."""
-    return leakage_table(spark, post_feature_frame(spark, sf).columns)
+    """Every column of the cleaned frame with its rows, NULLs and leak classification (#26)."""
+    return leakage_table(stage_cleaned(spark, sf))
 
 
-@query("select_candidates")
+@query("select_candidates", with_fixture(POST + f"""
+SELECT column_name AS feature, (SELECT COUNT(*) FROM cleaned) - nulls AS non_null FROM {_NULLS} u
+WHERE column_name NOT IN {LEAKY_HERE} AND column_name NOT IN ('matchid', 'teamid', 'platformid', 'seasonid', 'duration')"""))
 def q_select_candidates(spark, sf):
-    """Numeric, non-reserved, non-leaky feature names (#27)."""
-    frame = post_feature_frame(spark, sf)
-    return spark.createDataFrame([(c,) for c in select_candidates(frame)], "feature string")
+    """Numeric, non-reserved, non-leaky columns of the cleaned frame with their non-NULL rows (#27)."""
+    frame = stage_cleaned(spark, sf)
+    profile = column_profile(frame).where(F.col("column_name").isin(*select_candidates(frame)))
+    return profile.select(F.col("column_name").alias("feature"), (F.col("rows") - F.col("nulls")).alias("non_null"))
 
 
 @query("drop_by_pattern", with_fixture(POST + "\nSELECT matchid, teamid, win, " + ", ".join(rnd(c) + " AS " + c for c in ("deaths_sum", "goldearned_sum", "goldspent_sum")) + " FROM cleaned"))

@@ -4,11 +4,11 @@ plus, where the operator is SQL-expressible, the equivalent DuckDB SQL text.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.fixture import DEFAULT_SLOTS, domain_tables, fixture_sql
+from ..sources.fixture import DEFAULT_SLOTS, DomainTables, fixture_sql
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -28,29 +28,26 @@ def query(key: str, sql: str | None = None):
     return deco
 
 
-_DOMAIN: dict = {}
-
-
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six domain tables, derived from the driver tables once per session
-    and stored as Parquet in the shared artifact folder (an ETL step: the
-    modelled pipeline also starts from stored domain tables). Later queries
-    scan them with filter pushdown and column pruning."""
-    import os
-    import uuid
-
-    from ..operators.training import artifact_root
-    stamp = tuple(sorted((f, os.stat(os.path.join(sf_dir, f)).st_mtime_ns) for f in os.listdir(sf_dir)
-                         if f.endswith(".parquet"))) if os.path.isdir(sf_dir) else ()
-    key = (id(spark), sf_dir, stamp)
-    if key not in _DOMAIN:
-        root = f"{artifact_root(spark)}/domain/{uuid.uuid4().hex[:12]}"
-        out = {}
-        for name, df in domain_tables(spark, sf_dir, DEFAULT_SLOTS).items():
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-            out[name] = spark.read.parquet(f"{root}/{name}")
-        _DOMAIN[key] = out
-    return dict(_DOMAIN[key])
+def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """The six domain tables as lazy projections of the driver tables: a query plans
+    and reads only those it names, straight from the given Parquet."""
+    return DomainTables(spark, sf_dir, DEFAULT_SLOTS)
+
+
+def data_stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """(file, bytes, modification time) of everything in ``sf_dir``, listed by the file
+    system that Spark reads it with."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)))
+
+
+def fitted_once(spark: SparkSession, sf_dir: str, kept: dict, make, *more):
+    """``make()``, kept in ``kept`` for this application and these very files."""
+    key = (spark.sparkContext.applicationId, sf_dir, data_stamp(spark, sf_dir), *more)
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
 
 
 def with_fixture(body: str) -> str:

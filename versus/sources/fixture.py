@@ -2,14 +2,16 @@
 
 A group (match) is an order, a member row (participant) is a line item, a
 category (champion) is the part brand and a ban is a returned line.
-``domain_tables`` builds the six domain tables lazily with the DataFrame API;
+``DomainTables`` plans the six domain tables lazily with the DataFrame API;
 ``fixture_sql`` is the same mapping as a SQL ``WITH`` prefix for the DuckDB
 oracle. Both must stay in step.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import table_path
@@ -37,17 +39,28 @@ def _case(col, mapping: dict, default=None):
     return expr.otherwise(F.lit(default))
 
 
+#: Whether a table has an order beyond the threshold; decides between equal plans only.
+_HOT: dict[tuple, bool] = {}
+
+
 def members(spark: SparkSession, sf_dir: str, hot_threshold: int = 5_000_000) -> DataFrame:
     """One row per line item with its member slot inside the order.
 
     The slot is a per-order rank; ``group_rank`` keeps an order holding a
     large share of all lines from landing in one task.
     """
-    from ..operators.ordered import group_rank
+    from ..operators.ordered import group_rank, has_hot_group
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
-    ranked = group_rank(li, "l_orderkey", list(_MEMBER_ORDER), "player", hot_threshold)
+    key = (sf_dir, hot_threshold)
+    if key not in _HOT:
+        _HOT[key] = has_hot_group(li, ["l_orderkey"], hot_threshold)
+    if _HOT[key]:
+        ranked = group_rank(li, "l_orderkey", list(_MEMBER_ORDER), "player", hot_threshold)
+    else:
+        w = Window.partitionBy("l_orderkey").orderBy(*_MEMBER_ORDER)
+        ranked = li.withColumn("player", F.row_number().over(w).cast("bigint"))
     return ranked.select(
         F.col("l_orderkey").alias("matchid"), "player",
         "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -62,48 +75,76 @@ def _side_of(player, slots):
     return F.when(player <= slots, F.lit(100)).otherwise(F.lit(200)).cast("bigint")
 
 
-def domain_tables(spark: SparkSession, sf_dir: str, slots: int = DEFAULT_SLOTS) -> dict[str, DataFrame]:
-    base = members(spark, sf_dir)
-    part = read_table(spark, sf_dir, "part").select(
-        "p_partkey", _brand_number().alias("championid"), "p_type", "p_brand")
-    with_part = base.join(part, base.l_partkey == part.p_partkey, "inner")
-
-    participants = with_part.select(
-        (F.col("matchid") * 100 + F.col("player")).alias("id"), "matchid", "player", "championid",
-        _case(F.col("p_type"), POSITION_BY_TYPE, "none").alias("position"),
-        _case(F.col("l_returnflag"), ROLE_BY_FLAG, None).cast("string").alias("role"))
-
-    stats = base.select(
-        (F.col("matchid") * 100 + F.col("player")).alias("id"),
-        (F.col("l_linestatus") == "O").cast("int").alias("win"),
-        F.col("l_quantity").alias("kills"),
-        F.col("l_linenumber").cast("double").alias("deaths"),
-        F.round(F.col("l_tax") * 100).cast("double").alias("assists"),
-        F.col("l_extendedprice").alias("goldearned"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("goldspent"),
-        (F.col("l_returnflag") == "A").cast("double").alias("firstbloodkill"))
-
-    matches = read_table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_orderpriority").alias("platformid"),
-        F.year("o_orderdate").cast("bigint").alias("seasonid"),
-        (F.floor("o_totalprice").cast("bigint") % 3600).alias("duration"))
-
-    side = _side_of(F.col("player"), slots)
-    teamstats = base.groupBy("matchid", side.alias("teamid")).agg(
-        F.max((F.col("player") == 1).cast("int")).alias("firstblood"),
-        F.sum((F.col("l_returnflag") == "A").cast("bigint")).alias("towerkills"),
-        F.sum((F.col("l_returnflag") == "R").cast("bigint")).alias("dragonkills"),
-        F.sum((F.col("l_returnflag") == "N").cast("bigint")).alias("baronkills"))
-
-    teambans = with_part.where(F.col("l_returnflag") == "A").select(
-        "matchid", side.alias("teamid"), "championid", F.col("player").alias("banturn"))
-
-    champs = read_table(spark, sf_dir, "part").select(
-        _brand_number().alias("id"), F.col("p_brand").alias("name")).distinct()
-
-    return {"matches": matches, "participants": participants, "stats": stats,
-            "teamstats": teamstats, "teambans": teambans, "champs": champs}
+class DomainTables(Mapping):
+    """The domain tables by name, each planned when it is first asked for."""
+
+    NAMES = ("matches", "participants", "stats", "teamstats", "teambans", "champs")
+
+    def __init__(self, spark: SparkSession, sf_dir: str, slots: int = DEFAULT_SLOTS):
+        self.spark, self.sf_dir, self.slots = spark, sf_dir, slots
+        self._made: dict[str, DataFrame] = {}
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self):
+        return len(self.NAMES)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        if name not in self._made:
+            self._made[name] = getattr(self, f"_{name}")()
+        return self._made[name]
+
+    def _base(self) -> DataFrame:
+        return members(self.spark, self.sf_dir)
+
+    def _with_part(self) -> DataFrame:
+        part = read_table(self.spark, self.sf_dir, "part").select(
+            "p_partkey", _brand_number().alias("championid"), "p_type", "p_brand")
+        base = self._base()
+        return base.join(part, base.l_partkey == part.p_partkey, "inner")
+
+    def _participants(self) -> DataFrame:
+        return self._with_part().select(
+            (F.col("matchid") * 100 + F.col("player")).alias("id"), "matchid", "player", "championid",
+            _case(F.col("p_type"), POSITION_BY_TYPE, "none").alias("position"),
+            _case(F.col("l_returnflag"), ROLE_BY_FLAG, None).cast("string").alias("role"))
+
+    def _stats(self) -> DataFrame:
+        return self._base().select(
+            (F.col("matchid") * 100 + F.col("player")).alias("id"),
+            (F.col("l_linestatus") == "O").cast("int").alias("win"),
+            F.col("l_quantity").alias("kills"),
+            F.col("l_linenumber").cast("double").alias("deaths"),
+            F.round(F.col("l_tax") * 100).cast("double").alias("assists"),
+            F.col("l_extendedprice").alias("goldearned"),
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("goldspent"),
+            (F.col("l_returnflag") == "A").cast("double").alias("firstbloodkill"))
+
+    def _matches(self) -> DataFrame:
+        return read_table(self.spark, self.sf_dir, "orders").select(
+            F.col("o_orderkey").alias("id"),
+            F.col("o_orderpriority").alias("platformid"),
+            F.year("o_orderdate").cast("bigint").alias("seasonid"),
+            (F.floor("o_totalprice").cast("bigint") % 3600).alias("duration"))
+
+    def _teamstats(self) -> DataFrame:
+        side = _side_of(F.col("player"), self.slots)
+        return self._base().groupBy("matchid", side.alias("teamid")).agg(
+            F.max((F.col("player") == 1).cast("int")).alias("firstblood"),
+            F.sum((F.col("l_returnflag") == "A").cast("bigint")).alias("towerkills"),
+            F.sum((F.col("l_returnflag") == "R").cast("bigint")).alias("dragonkills"),
+            F.sum((F.col("l_returnflag") == "N").cast("bigint")).alias("baronkills"))
+
+    def _teambans(self) -> DataFrame:
+        return self._with_part().where(F.col("l_returnflag") == "A").select(
+            "matchid", _side_of(F.col("player"), self.slots).alias("teamid"), "championid", F.col("player").alias("banturn"))
+
+    def _champs(self) -> DataFrame:
+        return read_table(self.spark, self.sf_dir, "part").select(
+            _brand_number().alias("id"), F.col("p_brand").alias("name")).distinct()
 
 
 def fixture_sql(slots: int = DEFAULT_SLOTS) -> str:

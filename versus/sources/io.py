@@ -12,17 +12,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 NULL_TOKEN = "\\N"
 
 
+def read_existing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None if nothing is there; any other error is raised."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def read_csv_nulltoken(spark: SparkSession, path: str, schema, nrows: int | None = None,
-                       null_token: str = NULL_TOKEN) -> DataFrame:
+                       null_token: str = NULL_TOKEN, mode: str = "FAILFAST") -> DataFrame:
     """Header CSV, ``\\N`` -> NULL, explicit schema, optional row limit (#1).
-    A missing path raises (Spark fails the read at analysis time)."""
+    A missing path raises (Spark fails the read at analysis time), and so does a
+    malformed record unless ``mode`` says otherwise."""
     df = (spark.read.schema(schema).option("header", True).option("nullValue", null_token)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .option("mode", "PERMISSIVE").csv(path))
+          .option("mode", mode).csv(path))
     return df.limit(nrows) if nrows is not None else df
 
 
@@ -52,12 +64,9 @@ def load_tables(spark: SparkSession, paths: dict, fmt: str = "parquet", optional
     """Read every named table; optional ones are skipped when absent (#3)."""
     out = {}
     for name, path in paths.items():
-        try:
-            out[name] = spark.read.format(fmt).load(path)
-        except Exception:  # noqa: BLE001 - analysis error on a missing path
-            if name in optional:
-                continue
-            raise
+        found = read_existing(spark, path, fmt) if name in optional else spark.read.format(fmt).load(path)
+        if found is not None:
+            out[name] = found
     return out
 
 
