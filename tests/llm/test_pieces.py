@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -112,7 +113,10 @@ def test_encode_decode_tables(spark, chunk, monkeypatch):
 def test_documents_round_trip(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts: dict = {}
-    for r in pieces.decode(pieces.encode(docs, chunk=1000)).collect():
+    enc = pieces.encode(docs, chunk=1000, verify=True)
+    checks = {(r.doc_id, r.part): (r.decoded_chars, r.decoded_crc32) for r in enc.collect()}
+    for r in pieces.decode(enc).collect():
         texts.setdefault(r.doc_id, []).append((r.part, r.text))
+        assert checks[r.doc_id, r.part] == (len(r.text), zlib.crc32(r.text.encode()))
     for r in docs.collect():
         assert "".join(x for _, x in sorted(texts[r.doc_id])) == r.text

@@ -25,6 +25,7 @@ ranks, and the result is then the segmentation of best total rank, not the merge
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -173,6 +174,16 @@ class Vocabulary:
         text = self.text
         return b"".join([text[i] for i in ids])
 
+    def part_text(self, part: int, ids) -> str:
+        """The text of a part: without the leading space if it is the first."""
+        raw = self.decode(ids).decode("utf-8", "replace")
+        return raw[1:] if part == 0 else raw
+
+    def check(self, part: int, ids: np.ndarray) -> tuple[int, int]:
+        """Characters and checksum of the text that ids decode to."""
+        text = self.part_text(part, ids.tolist())
+        return len(text), zlib.crc32(text.encode())
+
     # ---- chunks ----
 
     def transfer(self, s: str, size: int) -> np.ndarray:
@@ -341,8 +352,11 @@ def _giant_states(chunks: DataFrame, path: str, k: int) -> DataFrame:
     return known.withColumnRenamed("up", "part")
 
 
-def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL, chunk: int = CHUNK) -> DataFrame:
-    """``(doc_id, part, ids)``: the ids of every text, the parts of a text in order.
+def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL, chunk: int = CHUNK,
+           verify: bool = False) -> DataFrame:
+    """``(doc_id, part, ids)``: the ids of every text, the parts of a text in order; with
+    ``verify`` also ``decoded_chars`` and ``decoded_crc32`` (UTF-8) of the text that the ids of
+    a part decode to, worked out where the ids are.
 
     One row for a text of fewer than ``2 * chunk`` characters, else one for each chunk
     (a giant text's ids never sit in one row).  A null or empty text has
@@ -359,10 +373,11 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            yield from _listed(batch, 0, [pa.array([0] * batch.num_rows, pa.int32())], lambda r: v.encode(r.as_py()), 1)
+            yield from _listed(v, batch, verify)
         v.forget()
 
-    small = rows.filter(~giant).mapInArrow(whole, f"doc_id {dict(rows.dtypes)['doc_id']}, part int, ids array<int>")
+    shape = "part int, ids array<int>" + (", decoded_chars int, decoded_crc32 long" if verify else "")
+    small = rows.filter(~giant).mapInArrow(whole, f"doc_id {dict(rows.dtypes)['doc_id']}, {shape}")
 
     # giant texts are known by their content: equal ones are encoded once
     large = rows.filter(giant).withColumn("key", F.sha2("text", 256))
@@ -377,25 +392,37 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         for batch in batches:
             for key, part, size, enter, leave, s in zip(*(c.to_pylist() for c in batch.columns)):
                 ids = v.encode(s[enter:size + leave])
-                yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([part], pa.int32()), pa.array([ids], pa.list_(pa.int32()))], ["key", "part", "ids"])
+                cols = [pa.array([key]), pa.array([part], pa.int32()), pa.array([ids], pa.list_(pa.int32()))]
+                if verify:
+                    chars, crc = v.check(part, ids)
+                    cols += [pa.array([chars], pa.int32()), pa.array([crc], pa.int64())]
+                yield pa.RecordBatch.from_arrays(cols, ["key", *names])
         v.forget()
 
-    encoded = placed.mapInArrow(between, "key string, part int, ids array<int>")
-    return small.unionByName(large.select("doc_id", "key").join(encoded, "key").select("doc_id", "part", "ids"))
+    names = [c.split()[0] for c in shape.split(", ")]
+    encoded = placed.mapInArrow(between, f"key string, {shape}")
+    return small.unionByName(large.select("doc_id", "key").join(encoded, "key").select("doc_id", *names))
 
 
-def _listed(batch, id_at, more, ids_of, text_at) -> Iterator[pa.RecordBatch]:
-    """Record batches of (id, *more, ids) of about a million ids each."""
-    ids, begin, total = [], 0, 0
-    for i in range(batch.num_rows):
-        ids.append(ids_of(batch.column(text_at)[i]))
+def _listed(v: Vocabulary, batch: pa.RecordBatch, verify: bool) -> Iterator[pa.RecordBatch]:
+    """Encoded rows ``(id, text)``, in record batches of about a million ids."""
+    ids, checks, begin, total = [], [], 0, 0
+    for i, text in enumerate(batch.column(1)):
+        ids.append(v.encode(text.as_py()))
+        if verify:
+            checks.append(v.check(0, ids[-1]))
         total += len(ids[-1])
         if total >= 1 << 20 or i == batch.num_rows - 1:
             n = len(ids)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
-            yield pa.RecordBatch.from_arrays([batch.column(id_at).slice(begin, n), *[m.slice(begin, n) for m in more], values], ["doc_id", "part", "ids"])
-            ids, begin, total = [], i + 1, 0
+            cols = [batch.column(0).slice(begin, n), pa.array([0] * n, pa.int32()), values]
+            names = ["doc_id", "part", "ids"]
+            if verify:
+                cols += [pa.array([c for c, _ in checks], pa.int32()), pa.array([c for _, c in checks], pa.int64())]
+                names += ["decoded_chars", "decoded_crc32"]
+            yield pa.RecordBatch.from_arrays(cols, names)
+            ids, checks, begin, total = [], [], i + 1, 0
 
 
 # ---- decoding ----------------------------------------------------------------
@@ -410,8 +437,7 @@ def decode_column(part: Column, ids: Column, path: str = MODEL) -> Column:
         for parts, lists in series:
             out = []
             for p, own in zip(parts, lists):
-                raw = v.decode(own.tolist() if own is not None else ()).decode("utf-8", "replace")
-                out.append(raw[1:] if p == 0 else raw)
+                out.append(v.part_text(p, own.tolist() if own is not None else ()))
             yield pd.Series(out, dtype=object)
 
     return run(part, ids)
