@@ -76,9 +76,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, a row for each part, with the checksum of what they decode to."""
-    parts = pieces.encode(docs)
-    text = pieces.decode_column(F.col("part"), F.col("ids"))
-    return parts.select("doc_id", "part", "ids", F.size("ids").alias("n_tokens"), F.crc32(text.cast("binary")).alias("decoded_crc32"))
+    parts = pieces.encode(docs, verify=True)
+    return parts.select("doc_id", "part", "ids", F.size("ids").alias("n_tokens"), "decoded_crc32")
 
 
 STAGES = [
