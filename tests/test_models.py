@@ -127,6 +127,21 @@ def test_trials_are_seeded_and_in_range(spark):
     assert all(0.001 <= v <= 0.3 for v in lr)
 
 
+def test_scaling_is_fitted_on_median_filled_values(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"s": rng.normal(3, 2, 1500), "r": rng.normal(0, 1, 1500), "b": rng.integers(0, 2, 1500).astype(float), "n": np.nan})
+    pdf.loc[rng.random(1500) < 0.1, "r"] = 40.0
+    for c in "srb":
+        pdf.loc[rng.random(1500) < 0.25, c] = np.nan
+    got = {r.feature: r for r in SEL.scaling_artifact(spark.createDataFrame(pdf), list("srbn")).collect()}
+    s = pdf["s"].fillna(pdf["s"].median())
+    r = pdf["r"].fillna(pdf["r"].median())
+    assert (got["s"].kind, got["r"].kind, got["b"].kind, got["n"].kind) == ("standard", "robust", "binary", "standard")
+    np.testing.assert_allclose([got["s"].impute, got["s"].center, got["s"].scale], [pdf["s"].median(), s.mean(), s.std(ddof=0)])
+    np.testing.assert_allclose([got["r"].center, got["r"].scale], [pdf["r"].median(), r.quantile(0.75) - r.quantile(0.25)])
+    assert (got["n"].impute, got["n"].scale) == (0.0, 1.0)
+
+
 def test_gram_is_pairwise_with_gaps_and_tiny_scales(spark):
     rng = np.random.default_rng(8)
     pdf = pd.DataFrame(rng.normal(size=(800, 4)), columns=list("abcd"))

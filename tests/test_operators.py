@@ -258,6 +258,20 @@ def test_group_split_keeps_groups_whole(spark):
     assert out.where("k > 1").count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 50, 1125, 30_000])
+def test_exact_quantiles_of_any_size(spark, n):
+    rng = np.random.default_rng(n)
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.integers(0, 3, n).astype(float), "c": rng.lognormal(size=n), "e": 7.0, "z": np.nan})
+    pdf.loc[rng.random(n) < 0.3, "c"] = np.nan
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {(r.feature, r.p): r.value for r in exact_quantiles(spark.createDataFrame(pdf), list("abcez"), probs).collect()}
+    for c in "abce":
+        for p in probs:
+            want = pdf[c].quantile(p)
+            assert np.isnan(want) and (c, p) not in got or got[c, p] == pytest.approx(want, abs=1e-12)
+    assert not any(c == "z" for c, _ in got)
+
+
 def test_approx_quantiles_close_to_exact(spark):
     from versus.operators.stats import describe_percentiles
     rng = np.random.default_rng(5)

@@ -82,23 +82,56 @@ def ordered_rank(df: DataFrame, order: Sequence[str], partition: Sequence[str] =
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     bins: int | None = None, name_col: str = "feature", approx: bool = False,
-                    accuracy: int = 10000) -> DataFrame:
+                    accuracy: int = 10000, materialize: bool = True) -> DataFrame:
     """Linearly interpolated quantiles of each column -> (feature, p, value).
 
-    Exact by default (distributed ranks); ``approx=True`` uses the
-    ``percentile_approx`` sketch instead (one aggregate, relative rank error
-    1 / ``accuracy``, no interpolation).
+    Exact by default, without exploding the rows: a sketch of all columns (one
+    aggregate) brackets every wanted rank in a narrow band of values, a second
+    aggregate counts the values below each band, and only the values inside
+    bands (about 6 / ``accuracy`` of the rows for each p) become rows and are
+    ranked. NULL and NaN are ignored. ``approx=True`` returns the sketch itself
+    (relative rank error 1 / ``accuracy``, no interpolation). ``materialize``
+    stores the columns first, as they are read three times.
     """
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias(name_col), F.col(c).cast("double").alias("v")) for c in columns])).alias("_s")
-    ).select("_s.*")
+    spark, cols, ps = df.sparkSession, list(columns), [float(p) for p in probs]
+    v = [F.col(c).cast("double") for c in cols]
+    clean = df.select(*[F.when(~F.isnan(x), x).alias(f"c{i}") for i, x in enumerate(v)])
+    if materialize and not approx:
+        clean = cut_lineage(clean)
+    names = [f"c{i}" for i in range(len(cols))]
+    sizes = clean.agg(*[F.count(c).alias(c) for c in names]).first() if names else {}
+    # the sketch is off by up to 1 / accuracy of the rows, and its ranks by up to two from (n - 1) p
+    slack = {i: 3.0 / accuracy + 2.0 / sizes[c] for i, c in enumerate(names) if sizes[c]}
+    if not slack:
+        return spark.createDataFrame([], f"{name_col} string, p double, value double")
+    ends = {i: ps if approx else [min(max(q, 0.0), 1.0) for p in ps for q in (p - s, p + s)] for i, s in slack.items()}
+    head = clean.agg(*[F.percentile_approx(f"c{i}", e, accuracy).alias(f"qc{i}") for i, e in ends.items()]).first()  # a few numbers per column
+    found = [(i, j) for i in slack for j in range(len(ps))]
     if approx:
-        ps = [float(p) for p in probs]
-        clean = long.where(F.col("v").isNotNull() & ~F.isnan("v"))
-        agg = clean.groupBy(name_col).agg(F.percentile_approx("v", ps, accuracy).alias("_q"))
-        return agg.select(name_col, F.posexplode("_q").alias("_i", "value")).select(
-            name_col, F.element_at(F.array(*[F.lit(p) for p in ps]), F.col("_i") + 1).alias("p"), "value")
-    return quantile_table(long, name_col, "v", probs, bins)
+        rows = [(cols[i], ps[j], head[f"qc{i}"][j]) for i, j in found]
+        return spark.createDataFrame(rows, f"{name_col} string, p double, value double")
+    # the outermost ranks have no value beyond them: their bands are open
+    band = {}
+    for i, j in found:
+        low, high = head[f"qc{i}"][2 * j: 2 * j + 2]
+        band[i, j] = (float("-inf") if ps[j] <= slack[i] else low, float("inf") if ps[j] >= 1 - slack[i] else high)
+    below = clean.agg(F.lit(0).alias("z"), *[F.count_if(F.col(f"c{i}") < lo).alias(f"b{i}_{j}") for (i, j), (lo, _) in band.items()]).first()
+    cells = F.array(*[F.when((F.col(f"c{i}") >= lo) & (F.col(f"c{i}") <= hi),
+                             F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"c{i}").alias("v"))) for (i, j), (lo, hi) in band.items()])
+    inside = clean.select(F.explode(F.array_compact(cells)).alias("s")).groupBy("s.i", "s.j", "s.v").agg(F.count(F.lit(1)).alias("n"))
+    ranked = ordered_prefix(inside, ["v"], ["n"], ["i", "j"], bins=bins)
+    aims = []
+    for i, j in band:
+        h = (sizes[f"c{i}"] - 1) * ps[j]
+        aims.append((i, j, cols[i], ps[j], h - int(h), int(h) - below[f"b{i}_{j}"], -int(-h // 1) - below[f"b{i}_{j}"]))
+    aim = F.broadcast(spark.createDataFrame(aims, f"ai int, aj int, {name_col} string, p double, part double, lo long, hi long"))  # columns x probs rows
+    hit = ranked.join(aim, (F.col("i") == F.col("ai")) & (F.col("j") == F.col("aj")))
+
+    def at(rank):
+        return F.max(F.when((F.col(rank) < F.col("cum_n")) & (F.col(rank) >= F.col("cum_n") - F.col("n")), F.col("v")))
+
+    picked = hit.groupBy(name_col, "p").agg(at("lo").alias("lo_v"), at("hi").alias("hi_v"), F.max("part").alias("part"))
+    return picked.select(name_col, "p", (F.col("lo_v") + F.col("part") * (F.col("hi_v") - F.col("lo_v"))).alias("value"))
 
 
 def quantile_table(long: DataFrame, key: str, value: str, probs: Sequence[float],

@@ -225,53 +225,60 @@ def scaling_artifact(train: DataFrame, columns: Sequence[str], iqr_factor: float
 
     Returns (feature, kind, impute, center, scale): binary columns impute the
     most frequent value (smallest on ties) and pass through; columns with more
-    than ``robust_share`` outside the 1.5 IQR fences get robust scaling
-    (median, IQR); the rest standard scaling (mean, population std). Zero
-    scales become 1.
+    than ``robust_share`` of all rows outside the 1.5 IQR fences of the observed
+    values get robust scaling (median, IQR); the rest standard scaling (mean,
+    population std). Both scalings are fitted on median-filled values. NaN
+    counts as NULL; zero scales become 1; an all-NULL column is filled with 0.
     """
     spark = train.sparkSession
     cols = list(columns)
-    # one aggregate: binary detection, mean and population std of every column
-    exprs = []
-    for i, c in enumerate(cols):
-        v = F.col(c).cast("double")
-        exprs += [F.count(v).alias(f"n{i}"), F.count_if(v.isNotNull() & ~v.isin(0.0, 1.0)).alias(f"x{i}"),
-                  F.avg(v).alias(f"m{i}"), F.stddev_pop(v).alias(f"s{i}")]
-    one = train.agg(*exprs).first() if cols else None
-    binary = {c for i, c in enumerate(cols) if one[f"n{i}"] > 0 and one[f"x{i}"] == 0}
+    clean = train.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    clean = cut_lineage(clean)  # read by several aggregates
+    at = {c: f"c{i}" for i, c in enumerate(cols)}
+    # one aggregate: rows, binary detection, mean and sum of squares about it
+    exprs = [F.count(F.lit(1)).alias("rows")]
+    for v in at.values():
+        exprs += [F.count(v).alias(f"n{v}"), F.count_if(~F.col(v).isin(0.0, 1.0)).alias(f"x{v}"),
+                  F.avg(v).alias(f"m{v}"), F.var_pop(v).alias(f"v{v}")]
+    one = clean.agg(*exprs).first()
+    binary = [c for c in cols if one[f"n{at[c]}"] and not one[f"x{at[c]}"]]
     numeric = [c for c in cols if c not in binary]
-    pos = {c: i for i, c in enumerate(cols)}
+
+    def quartiles(df, names, probs=(0.25, 0.5, 0.75)):
+        if not names:
+            return {}
+        got = exact_quantiles(df, [at[c] for c in names], list(probs), materialize=False).collect()  # three rows per column
+        return {(r["feature"], r["p"]): r["value"] for r in got}
+
+    q = quartiles(clean, numeric)
+    fences = {}
+    for c in numeric:
+        q1, q3 = q.get((at[c], 0.25)), q.get((at[c], 0.75))
+        if q1 is not None and q3 is not None and q3 > q1:
+            fences[c] = (q1 - iqr_factor * (q3 - q1), q3 + iqr_factor * (q3 - q1))
+    out = [F.count_if((F.col(at[c]) < lo) | (F.col(at[c]) > hi)).alias(at[c]) for c, (lo, hi) in fences.items()]
+    outside = clean.agg(*out).first() if out else {}
+    robust = [c for c in fences if outside[at[c]] > robust_share * one["rows"]]
+    fill = {c: q.get((at[c], 0.5)) or 0.0 for c in numeric}
+    gappy = [c for c in robust if one[f"n{at[c]}"] < one["rows"]]
+    filled = clean.select(*[F.coalesce(at[c], F.lit(fill[c])).alias(at[c]) for c in gappy])
+    q.update(quartiles(filled, gappy, (0.25, 0.75)))
+    modes = clean.agg(*[F.mode(at[c], True).alias(at[c]) for c in binary]).first() if binary else {}
+
     rows = []
-    if numeric:
-        q = {(r["feature"], r["p"]): r["value"] for r in exact_quantiles(train, numeric, [0.25, 0.5, 0.75]).collect()}
-        # outlier share with the fences as literals (k numbers from the quantile table)
-        exprs = []
-        for i, c in enumerate(numeric):
-            q1, q3 = q.get((c, 0.25)), q.get((c, 0.75))
-            if q1 is None or q3 is None or q3 - q1 == 0:
-                exprs.append(F.lit(None).cast("double").alias(f"o{i}"))
-                continue
-            lo, hi = q1 - iqr_factor * (q3 - q1), q3 + iqr_factor * (q3 - q1)
-            v = F.col(c).cast("double")
-            exprs.append((F.count_if((v < lo) | (v > hi)) / F.count(F.lit(1))).alias(f"o{i}"))
-        outl = train.agg(*exprs).first()
-        for i, c in enumerate(numeric):
-            med = q.get((c, 0.5))
-            q1, q3 = q.get((c, 0.25)), q.get((c, 0.75))
-            share = outl[f"o{i}"]
-            if share is not None and share > robust_share:
-                iqr = (q3 - q1) if (q1 is not None and q3 is not None) else 0.0
-                rows.append((c, "robust", med, med, iqr if iqr else 1.0))
-            else:
-                mean, sd = one[f"m{pos[c]}"], one[f"s{pos[c]}"]
-                rows.append((c, "standard", med, mean, sd if sd else 1.0))
-    bins = [c for c in cols if c in binary]
-    if bins:
-        modes = train.agg(*[F.mode(F.col(c).cast("double"), True).alias(f"b{i}") for i, c in enumerate(bins)]).first()
-        for i, c in enumerate(bins):
-            rows.append((c, "binary", modes[f"b{i}"], 0.0, 1.0))
-    order = {c: i for i, c in enumerate(cols)}
-    rows.sort(key=lambda r: order[r[0]])
+    for c in cols:
+        v = at[c]
+        if c in binary:
+            rows.append((c, "binary", modes[v], 0.0, 1.0))
+        elif c in robust:
+            rows.append((c, "robust", fill[c], fill[c], (q[v, 0.75] - q[v, 0.25]) or 1.0))
+        else:
+            # mean and variance after gaps of the median join n observed values
+            n, total = one[f"n{v}"], max(one["rows"], 1)
+            mean0, var0, gaps = one[f"m{v}"] or 0.0, one[f"v{v}"] or 0.0, one["rows"] - n
+            mean = (n * mean0 + gaps * fill[c]) / total
+            var = (n * (var0 + (mean0 - mean) ** 2) + gaps * (fill[c] - mean) ** 2) / total
+            rows.append((c, "standard", fill[c], mean, float(np.sqrt(var)) or 1.0))
     return spark.createDataFrame(rows, "feature string, kind string, impute double, center double, scale double")
 
 
