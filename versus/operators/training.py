@@ -172,6 +172,17 @@ def load_model(spark: SparkSession, path: str) -> M.FittedModel:
     return fm
 
 
+def save_preprocessor(spark: SparkSession, rows: Sequence, path: str) -> str:
+    """The fitted scaling artifact (one row per feature) as Parquet (#8)."""
+    spark.createDataFrame(list(rows), "feature string, kind string, impute double, center double, scale double") \
+        .write.mode("overwrite").parquet(path)
+    return path
+
+
+def load_preprocessor(spark: SparkSession, path: str) -> list:
+    return spark.read.parquet(path).orderBy("feature").collect()  # one row per feature
+
+
 def log_run(spark: SparkSession, root: str, run_id: str, experiment: str, model_name: str, scope: str,
             params: dict, metrics: DataFrame, fit_seconds: float) -> None:
     """Append the run, its parameters and its metrics (long) to Parquet tables (#9)."""

@@ -110,12 +110,15 @@ def q_save_load_model(spark, sf):
 
 @query("evaluate_scope")
 def q_evaluate_scope(spark, sf):
-    """Load the persisted model and preprocessor, align raw test rows, score,
-    metrics (#150). Raw rows are transformed exactly once."""
+    """Persist a model and its preprocessor, load both, align raw test rows (missing columns
+    0), transform once, score, metrics (#150)."""
     out, rows, _, _ = processed(spark, sf)
-    res = TR.train_run(out, "logistic_regression", "win")
+    root = f"{TR.artifact_root(spark)}/scopes/{uuid.uuid4().hex[:12]}"
+    TR.save_model(spark, TR.train_run(out, "logistic_regression", "win").model, f"{root}/model", "win", "postgame")
+    TR.save_preprocessor(spark, rows, f"{root}/preprocessor")
+    model, fitted = TR.load_model(spark, f"{root}/model"), TR.load_preprocessor(spark, f"{root}/preprocessor")
     raw = post_feature_frame(spark, sf).where(F.col("split") == "test")
-    scored = score_batch(raw, res.model, rows, None, keep=["matchid", "teamid", "win"])
+    scored = score_batch(raw, model, fitted, [r["feature"] for r in fitted], keep=["matchid", "teamid", "win"])
     return classification_metrics(scored.withColumnRenamed("label", "pred").withColumnRenamed("probability", "score"),
                                   "win", "pred", "score")
 
@@ -134,8 +137,7 @@ def q_save_preprocessor(spark, sf):
     """The scaling artifact written as Parquet and read back (#8)."""
     _, rows, _, _ = processed(spark, sf)
     path = f"{TR.artifact_root(spark)}/preprocessor/{uuid.uuid4().hex[:12]}"
-    spark.createDataFrame(rows, "feature string, kind string, impute double, center double, scale double") \
-        .write.mode("overwrite").parquet(path)
+    TR.save_preprocessor(spark, rows, path)
     return spark.read.parquet(path)
 
 
@@ -150,12 +152,15 @@ def q_write_summary(spark, sf):
 
 @query("evaluation_summary")
 def q_evaluation_summary(spark, sf):
-    """Champion (best validation roc_auc of two baselines) and its test metrics (#10)."""
+    """Champion (best validation roc_auc of two baselines) and its metrics on every split,
+    written as one JSON document and read back (#10)."""
     frame = processed(spark, sf)[0]
     runs = {n: TR.train_run(frame, n, "win") for n in ("logistic_regression", "linear_regression_classifier")}
     best = max(runs, key=lambda n: runs[n].metrics.where("split = 'val'").first()["roc_auc"] or 0)
-    summary = TR.evaluation_summary(runs[best].metrics, best)
-    return spark.createDataFrame([(json.dumps(summary, sort_keys=True),)], "summary string")
+    splits = {s: TR.evaluation_summary(runs[best].metrics, best, s) for s in ("train", "val", "test")}
+    path = f"{TR.artifact_root(spark)}/evaluation/{uuid.uuid4().hex[:12]}"
+    TR.write_summary(spark, {"champion": best, "splits": splits}, path)
+    return spark.read.text(path).withColumnRenamed("value", "summary")
 
 
 @query("learning_curve")

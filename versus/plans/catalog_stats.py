@@ -10,6 +10,7 @@ from ..operators import selection as SEL
 from ..operators import split as SP
 from ..operators import stats as ST
 from ..operators.clean import align_schema, drop_by_pattern
+from ..session import cut_lineage
 from .catalog_merge import stage_cleaned, stage_members, stage_merged
 from .common import rnd, round_doubles
 from .registry import query, tables, with_fixture
@@ -114,29 +115,80 @@ def q_expect_schema(spark, sf):
     return Q.run_suite(m, suite, "raw_matches")
 
 
-@query("quality_report")
+NO_OUTCOME = ("winner", "result", "bluewins", "match_result", "final_result")
+SIDE_CHECKS = [Q.expect_in_set("win", [0, 1]), Q.expect_in_set("teamid", [100, 200]), Q.expect_in_set("is_blue_side", [0, 1]),
+               Q.expect_compound_unique(["matchid", "teamid"])]
+PROCESSED_COLS = ("matchid", "teamid", "win", "kills_sum", "deaths_sum", "goldearned_sum", "towerkills", "duration",
+                  "is_blue_side", "platformid")
+
+
+def _side_rows(suite, src):
+    sets = [_count_row(suite, "in_set", c, f"{c} IS NOT NULL AND {c} NOT IN ({v})", c, src)
+            for c, v in (("win", "0, 1"), ("teamid", "100, 200"), ("is_blue_side", "0, 1"))]
+    return sets + [_unique_row(suite, "compound_unique", "matchid,teamid", ["matchid", "teamid"], src)]
+
+
+def _grain_row(suite, src):
+    return f"""SELECT '{suite}' AS suite, 'grain' AS expectation, NULL AS column_name,
+  CASE WHEN bad = 0 AND dup = 0 THEN 1 ELSE 0 END AS success, CAST(broken AS BIGINT) AS unexpected_count, CAST(n AS BIGINT) AS element_count
+  FROM (SELECT SUM(r) AS n, SUM(r - s) AS dup, SUM(b) AS bad, SUM(CASE WHEN s <> 2 THEN 1 ELSE 0 END) + SUM(CASE WHEN w <> 1 THEN 1 ELSE 0 END) AS broken
+        FROM (SELECT matchid, COUNT(*) AS r, COUNT(DISTINCT teamid) AS s, SUM(win) AS w,
+                     COUNT(CASE WHEN teamid IS NULL OR teamid NOT IN (100, 200) THEN 1 END) AS b FROM {src} GROUP BY matchid) g) z"""
+
+
+_REPORT = " UNION ALL ".join(
+    [_static("raw_stats", "exists", c, True, "stats") for c in ("id", "win", "kills", "deaths", "assists", "goldearned")]
+    + [_count_row("raw_stats", "not_null", "id", "id IS NULL", "*", "stats"), _unique_row("raw_stats", "unique", "id", ["id"], "stats"),
+       _count_row("raw_stats", "in_set", "win", "win IS NOT NULL AND win NOT IN (0, 1)", "win", "stats")]
+    + [_count_row("raw_stats", "between", c, f"{c} IS NOT NULL AND {c} < 0", c, "stats") for c in ("kills", "deaths", "assists", "goldearned")]
+    + [_count_row("raw_matches", "not_null", "id", "id IS NULL", "*", "matches"), _unique_row("raw_matches", "unique", "id", ["id"], "matches"),
+       _count_row("raw_matches", "between", "duration", "duration IS NOT NULL AND (duration < 0 OR duration > 7200)", "duration", "matches"),
+       _count_row("merged", "not_null", "matchid", "matchid IS NULL", "*", "merged"), _count_row("merged", "not_null", "teamid", "teamid IS NULL", "*", "merged"),
+       _count_row("merged", "between", "duration", "duration IS NOT NULL AND (duration < 300 OR duration > 7200)", "duration", "merged"),
+       *_side_rows("merged", "merged"), _grain_row("merged", "merged"),
+       *[_static("processed", "exists", c, True, "cleaned") for c in ("matchid", "teamid", "win")],
+       _static("processed", "column_count_between", None, True, "cleaned"), *_side_rows("processed", "cleaned"),
+       *[_count_row("processed", "not_null", c, f"{c} IS NULL", "*", "cleaned") for c in PROCESSED_COLS], _grain_row("processed", "cleaned"),
+       """SELECT 'raw_matches' AS suite, 'short_duration_monitor' AS expectation, 'duration' AS column_name, 1 AS success,
+  CAST(COUNT(CASE WHEN duration < 300 THEN 1 END) AS BIGINT) AS unexpected_count, COUNT(*) AS element_count FROM matches"""])
+
+
+@query("quality_report", with_fixture(POST + f""", report AS ({_REPORT})
+SELECT * FROM report UNION ALL
+SELECT 'all' AS suite, 'all_checkpoints_passed' AS expectation, NULL AS column_name, MIN(success) AS success,
+       CAST(SUM(1 - success) AS BIGINT) AS unexpected_count, COUNT(*) AS element_count FROM report"""))
 def q_quality_report(spark, sf):
-    """Suites for raw statistics, raw groups and the merged frame plus the
-    grain report; overall pass is the minimum success (#170)."""
+    """The four checkpoints (raw statistics, raw groups, merged, processed features) with row
+    counts, grain reports, the short-duration monitor and the overall pass (#170)."""
     from ..operators.clean import violation_counts
     t = tables(spark, sf)
-    merged = stage_merged(spark, sf)
-    Q.forbid_columns(merged, ["winner", "result", "bluewins", "match_result", "final_result"])
+    merged, done = stage_merged(spark, sf), stage_cleaned(spark, sf).select(*PROCESSED_COLS)
+    for frame in (merged, done):
+        Q.forbid_columns(frame, NO_OUTCOME)
+
+    def grain(frame, suite):
+        return violation_counts(frame).select(
+            F.lit(suite).alias("suite"), F.lit("grain").alias("expectation"), F.lit(None).cast("string").alias("column_name"),
+            ((F.col("duplicate_match_team_rows") + F.col("invalid_teamid_rows")) == 0).cast("int").alias("success"),
+            (F.col("invalid_match_team_count") + F.col("invalid_winner_matches")).alias("unexpected_count"), F.col("rows").alias("element_count"))
+
+    monitor = Q.short_rows_monitor(t["matches"]).select(
+        F.lit("raw_matches").alias("suite"), F.lit("short_duration_monitor").alias("expectation"), F.lit("duration").alias("column_name"),
+        F.lit(1).alias("success"), F.col("short_rows").alias("unexpected_count"), F.col("rows").alias("element_count"))
     parts = [Q.run_suite(t["stats"], STATS_SUITE, "raw_stats"),
-             Q.run_suite(t["matches"], [Q.expect_not_null("id"), Q.expect_unique("id"),
-                                        Q.expect_between("duration", 0, 7200)], "raw_matches"),
-             Q.run_suite(merged, [Q.expect_not_null("matchid"), Q.expect_not_null("teamid"),
-                                  Q.expect_in_set("teamid", [100, 200]), Q.expect_in_set("win", [0, 1]),
-                                  Q.expect_in_set("is_blue_side", [0, 1]),
-                                  Q.expect_compound_unique(["matchid", "teamid"])], "merged")]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    v = violation_counts(merged)
-    grain = v.select(F.lit("merged").alias("suite"), F.lit("grain").alias("expectation"),
-                     F.lit(None).cast("string").alias("column_name"),
-                     ((F.col("duplicate_match_team_rows") + F.col("invalid_teamid_rows")) == 0).cast("int").alias("success"),
-                     (F.col("invalid_match_team_count") + F.col("invalid_winner_matches")).alias("unexpected_count"),
-                     F.col("rows").alias("element_count"))
-    return out.unionByName(grain)
+             Q.run_suite(t["matches"], [Q.expect_not_null("id"), Q.expect_unique("id"), Q.expect_between("duration", 0, 7200)], "raw_matches"),
+             Q.run_suite(merged, [Q.expect_not_null("matchid"), Q.expect_not_null("teamid"), Q.expect_between("duration", 300, 7200),
+                                  *SIDE_CHECKS], "merged"), grain(merged, "merged"),
+             Q.run_suite(done, [*[Q.expect_column_exists(c) for c in ("matchid", "teamid", "win")], Q.expect_column_count_between(10),
+                                *SIDE_CHECKS, *[Q.expect_not_null(c) for c in done.columns]], "processed"), grain(done, "processed"), monitor]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    out = cut_lineage(out)  # a row per expectation
+    passed = out.agg(F.min("success").alias("success"), F.sum(1 - F.col("success")).cast("bigint").alias("unexpected_count"),
+                     F.count(F.lit(1)).alias("element_count"))
+    return out.unionByName(passed.select(F.lit("all").alias("suite"), F.lit("all_checkpoints_passed").alias("expectation"),
+                                         F.lit(None).cast("string").alias("column_name"), "success", "unexpected_count", "element_count"))
 
 
 @query("short_rows_monitor", with_fixture("""

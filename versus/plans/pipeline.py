@@ -17,7 +17,7 @@ from ..operators import encoders as EN
 from ..operators import features as FE
 from ..operators import selection as SEL
 from ..operators import split as SP
-from ..operators.clean import clean_dataset
+from ..operators.clean import assert_group_frame, clean_dataset
 from ..operators.training import write_summary
 from ..sources import io as IO
 from .postgame import postgame_dataset
@@ -44,6 +44,7 @@ def build_postgame_features(spark: SparkSession, t: dict, out_dir: str, slots_pe
                             target: str = "win") -> tuple[DataFrame, dict]:
     merged = postgame_dataset(t["matches"], t["participants"], t["stats"], t["teamstats"], slots_per_side)
     curated = cut_lineage(SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS)))
+    assert_group_frame(curated, "curated post-game frame")
     enriched = FE.team_features(FE.player_features(curated))
     enc = EN.fit_target_encoding(enriched.where(F.col("split") == "train"), target=target)
     enriched = EN.apply_encoding(enriched, enc)
@@ -58,6 +59,7 @@ def build_pregame_features(spark: SparkSession, t: dict, out_dir: str, slots_per
                            target: str = "win") -> tuple[DataFrame, dict]:
     merged = pregame_dataset(t["matches"], t["participants"], t["stats"], t["teambans"], slots_per_side)
     curated = cut_lineage(SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS)))
+    assert_group_frame(curated, "curated pre-game frame")
     train = curated.where(F.col("split") == "train")
     champ = [f"champion_{i}" for i in range(1, 6) if f"champion_{i}" in curated.columns]
     te = EN.fit_target_encoding(train, target=target)
