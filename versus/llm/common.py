@@ -11,14 +11,31 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ensure_checkpoint_dir, table_path
 
-__all__ = ["cut_lineage", "with_small", "read", "shared_folder", "long_array", "id_text", "crc_mod", "unit_hash", "sized_batches"]
+__all__ = ["cut_lineage", "with_small", "read", "shared_folder", "long_array", "release", "small_batches", "id_text", "crc_mod", "unit_hash", "sized_batches"]
 
 #: Documents are handed to NumPy in pieces of about this many characters, so that
 #: a task's working set does not follow the Arrow batch (10,000 rows of any length).
 CHUNK_CHARS = 1 << 20
 
 
+#: Rows of an Arrow batch between Spark and Python; whole texts make Spark's 10,000 too large.
+ARROW_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session: JVM and Python each hold a batch of whole
+    texts per task, outside the heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
+def release() -> None:
+    """At the end of a task: its process lives on, its buffers need not."""
+    pa.default_memory_pool().release_unused()
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, for queries that hand whole texts to Python."""
+    small_batches(spark)
     return spark.read.parquet(table_path(sf_dir, name))
 
 

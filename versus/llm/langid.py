@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, sized_batches, unit_hash
+from .common import crc_mod, release, sized_batches, unit_hash
 
 BUCKETS = 1 << 14
 #: Documents of each language that are fitted, about (chosen by a hash of the id).
@@ -168,6 +168,7 @@ def predict_column(spark, model: LanguageModel, text: Column) -> Column:
                     else:
                         rows.append((UND, 0.0, [], []))
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "langs", "shares"])
+        release()
 
     return run(text)
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, release
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16_384
@@ -80,6 +80,7 @@ class Vocabulary:
     def forget(self) -> None:
         """Give back what is remembered; at the end of a task, as its process lives on."""
         self._memo, self._older = {}, {}
+        release()
 
     # ---- stretches ----
 

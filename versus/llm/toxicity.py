@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, cut_lineage, sized_batches, unit_hash
+from .common import crc_mod, cut_lineage, release, sized_batches, unit_hash
 
 #: Labelled documents of each class that are fitted, about (chosen by a hash of the id).
 PER_CLASS = 6000
@@ -322,6 +322,7 @@ def score_column(spark, model: ToxicityModel, text: Column) -> Column:
                     rows.append((m.score(x), [{"score": a, "first": b, "last": c} for a, b, c in found]))
             yield pd.DataFrame(rows, columns=["score", "passages"])
         m._scores = None  # the process lives on
+        release()
 
     return run(text)
 
