@@ -11,16 +11,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from versus.llm import langid, mixing, pieces, simhash, toxicity
-from versus.llm.common import cut_lineage, read, shared_folder, with_small
+from versus.llm.common import cut_lineage, read, shared_folder, small_batches
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents in which no language can be found: null texts and texts without a
     letter (predicted ``und``).  Everything passes if no labelled row is there to learn from."""
+    small_batches(spark)
     model = langid.fit(langid.training_rows(docs))
     if not model.langs:
         return docs
@@ -39,6 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each group of near duplicates (four-word
     shingles, four bits), one row of it where the id repeats.  Rows without an id cannot be
     named a copy of another and stay."""
+    small_batches(spark)
     groups = simhash.near_duplicates(docs, shingle=4, max_bits=4)
     kept = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count().withColumnsRenamed({"doc_id": "__id", "count": "__rows"})
     named = docs.join(kept, F.col("doc_id") == F.col("__id")).drop("__id")
@@ -65,8 +67,6 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if taken.filter("__rows > 1").isEmpty():
         return single.select(*docs.columns, every).drop("__copy")
     # rows told apart by place only: each takes its share, the first ones one more
-    from pyspark.sql import Window
-
     place = F.row_number().over(Window.partitionBy("doc_id", "source", "__rows", "__copies").orderBy(F.xxhash64("text")))
     shared = found.filter("__rows > 1").withColumn("__place", place)
     times = F.floor(F.col("__copies") / F.col("__rows")) + F.when(F.col("__place") <= F.col("__copies") % F.col("__rows"), 1).otherwise(0)
@@ -76,6 +76,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, a row for each part, with the checksum of what they decode to."""
+    small_batches(spark)
     parts = pieces.encode(docs, verify=True)
     return parts.select("doc_id", "part", "ids", F.size("ids").alias("n_tokens"), "decoded_crc32")
 
