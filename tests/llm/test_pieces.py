@@ -1,7 +1,6 @@
 import random
 import zlib
 
-import numpy as np
 import pytest
 
 from versus.llm import pieces
