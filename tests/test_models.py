@@ -4,7 +4,6 @@ scoring and streaming round trips."""
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from versus.operators import models as M
 from versus.operators import selection as SEL
