@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, extract, langid, lcp, mixing, pieces, sharding, simhash, toxicity
+from . import ann, extract, langid, lcp, licenses, mixing, pieces, sharding, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,13 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4).drop("fp")
 
 
+@query
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no path of their own: source and language are taken as directories."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licenses.scan(read(spark, sf_dir, "documents"), path)
+
+
 @query
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text against its edited text and the next document."""
