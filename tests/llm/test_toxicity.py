@@ -94,6 +94,17 @@ def test_unseen_endings_are_caught_by_their_stem(trained):
     assert model.score(model.passages(clean)[0]) < 0.5
 
 
+def test_every_occurrence_scores():
+    model = toxicity.ToxicityModel({"vileka": 3.0, "grumbat": 3.0, "grumbox": 3.0})
+    clean, bad = ["river"] * 100, ["vileka", "grumbat", "grumbox"]
+    _, found = model.passages(" ".join(clean + bad + clean + bad + clean))
+    assert sorted(x[1:] for x in found) == [(100, 102), (203, 205)]
+    apart = [w for b in bad for w in [b] + clean[:40]]  # first uses alone, too weak each
+    _, found = model.passages(" ".join(apart + clean + bad + clean))
+    assert [x[1:] for x in found] == [(223, 225)]
+    assert model.passages(" ".join(apart + clean))[1] == []
+
+
 def test_real_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

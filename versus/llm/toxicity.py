@@ -5,8 +5,9 @@ its log-odds ratio between toxic and clean training documents under informative
 Dirichlet priors (Monroe, Colaresi and Quinn, "Fightin' Words", 2008), shrunk to the
 near end of its confidence interval; units that then stay under ``LEAST`` score nothing,
 nor do leading letters that one word accounts for.
-A word takes its unit of largest shrunk score.  Counts are of documents, so a word
-scores where a text first has it; all other words have the drift ``-DRIFT``.
+A word takes its unit of largest shrunk score, at every place where a text has it; words
+without one have the drift ``-DRIFT``.  Only the log-odds count documents: how often clean
+texts repeat a word is in the token distribution and the fit of the calibration.
 
 *Passages.*  One linear scan (Ruzzo and Tompa, 1999) finds all disjoint maximal
 scoring segments of a text.
@@ -110,12 +111,8 @@ class ToxicityModel:
     def hits(self, words: list[str]) -> list[tuple[int, float]]:
         if self._scores is None or len(self._scores) > 100_000:
             self._scores = _WordScores(self.units)
-        score, seen, out = self._scores, set(), []
-        for i, s in enumerate([score[w] for w in words]):
-            if s and words[i] not in seen:
-                seen.add(words[i])
-                out.append((i, s))
-        return out
+        score = self._scores
+        return [(i, s) for i, s in enumerate([score[w] for w in words]) if s]
 
     def passages(self, text: str | None) -> tuple[float, list[tuple[float, int, int]]]:
         """-log p of the text, and its segments that are significant on their own (expected
@@ -144,8 +141,9 @@ def _log_odds(t: Column, c: Column, nt: int, nc: int, prior: float, z: float) ->
     share = (t + c) / F.lit(float(nt + nc)) * prior
     t1, c1 = t + share, c + share
     rest = prior + 0.5  # half a document more, as a unit may be in every document
-    delta = F.log(t1 / (F.lit(nt + rest) - t1)) - F.log(c1 / (F.lit(nc + rest) - c1))
-    sd = F.sqrt(1 / t1 + 1 / c1)
+    t0, c0 = F.lit(nt + rest) - t1, F.lit(nc + rest) - c1
+    delta = F.log(t1 / t0) - F.log(c1 / c0)
+    sd = F.sqrt(1 / t1 + 1 / c1 + 1 / t0 + 1 / c0)  # common words: the documents without them are the few
     return F.signum(delta) * F.greatest(F.abs(delta) - z * sd, F.lit(0.0))
 
 
