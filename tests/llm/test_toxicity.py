@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from versus.llm import toxicity
 
@@ -105,6 +106,24 @@ def test_every_occurrence_scores():
     assert model.passages(" ".join(apart + clean))[1] == []
 
 
+def test_repeated_ids_do_not_crowd_the_sample(spark):
+    rng = random.Random(9)
+    rows = [planted(rng, i, i % 2 == 0) for i in range(400)]
+    rows += [(1000, f"{rng.choice(WORDS)} {i}", 0.5, "s", 1) for i in range(3000)]  # two toxic ids of many texts
+    rows += [(1002, f"{rng.choice(WORDS)} " + "abcdefghij"[i % 10] * (i // 10 + 1), 0.5, "s", 1) for i in range(3000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(400)] + [(1000, 1), (1002, 1)], "doc_id long, toxic int")
+    got, sizes = toxicity.sample(docs, toxicity.label_rows(labels), "doc_id", "text", 300)
+    n = {r.toxic: r["count"] for r in got.groupBy("toxic").count().collect()}
+    assert sizes == {0: 200, 1: 202} and n[0] == 200 and 220 <= n[1] <= 380
+    assert got.filter("toxic = 1").filter(F.size(F.split("text", " ")) > 15).count() == 200
+    # one text on 500 rows of an id: once, not 500 * 500 times
+    same = docs.filter("doc_id < 400").unionByName(docs.filter("doc_id = 0").crossJoin(spark.range(500).select()))
+    got, _ = toxicity.sample(same, toxicity.label_rows(labels), "doc_id", "text", 6000)
+    assert got.count() == 400
+    assert any(u in BAD for u in toxicity.fit(docs, labels, per_class=300).units)
+
+
 def test_real_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

@@ -202,25 +202,49 @@ def label_rows(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxi
             .agg(F.min(label_col).alias("toxic"), F.max(label_col).alias("most")).filter("toxic = most").drop("most"))
 
 
+def sample(df: DataFrame, marks: DataFrame, id_col: str, text_col: str, per_class: int) -> tuple[DataFrame | None, dict[int, int]]:
+    """``(toxic, text)``, about ``per_class`` rows of each class, and the ids of each class; no
+    rows without both classes.
+
+    A row is a text of an id, once however often it repeats.  An id of ``m`` texts is taken
+    ``min(m, level)`` times (expected), with one level for the class, so no id crowds out others.
+    """
+    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
+    texts = texts.withColumn("key", F.xxhash64("text"))
+    pairs = cut_lineage(texts.select("doc_id", "key").join(marks, "doc_id").distinct())
+    owned = pairs.groupBy("doc_id", "toxic").agg(F.count("*").alias("m"))
+    sizes, levels = {}, {}
+    hist = owned.groupBy("toxic", "m").agg(F.count("*").alias("n")).collect()  # a few numbers: distinct m
+    for y in {r.toxic for r in hist}:
+        own = sorted((r.m, r.n) for r in hist if r.toxic == y)
+        sizes[y] = left = sum(n for _, n in own)
+        budget, levels[y] = float(per_class), float(own[-1][0])
+        for m, n in own:  # fewest texts first: whole while the even share of what is left allows it
+            if m * left > budget:
+                levels[y] = budget / left
+                break
+            budget, left = budget - m * n, left - n
+    if len(sizes) < 2:
+        return None, sizes
+    level = F.when(F.col("toxic") == 1, F.lit(levels[1])).otherwise(F.lit(levels[0]))
+    taken = pairs.join(owned.select("doc_id", "m"), "doc_id").filter(unit_hash(F.col("doc_id"), F.col("key"), seed=1) * F.col("m") < level)
+    # about 2 * per_class keys, so the texts meet them in a broadcast; equal rows become one before they move
+    found = texts.join(F.broadcast(taken.select("doc_id", "key", "toxic")), ["doc_id", "key"])
+    return found.select("doc_id", "toxic", "text").distinct().select("toxic", "text"), sizes
+
+
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         per_class: int = PER_CLASS, prior: float = 20.0, z: float = 3.0) -> ToxicityModel:
     """Learn from the rows of ``df`` that ``labels`` marks 0 or 1.
 
-    ``per_class`` bounds the documents read of each class: a document is taken when a
-    hash of its id is under ``per_class / rows of its class``.  Null texts are skipped.
+    ``per_class`` bounds the documents read of each class, by a hash of id and text; repeated
+    rows count once, and ids of many texts share evenly (``sample``).  Null texts are skipped.
     Without both classes the model has no units and every text gets the same low score.
     """
     spark = df.sparkSession
-    ids = df.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"))
-    marked = ids.join(label_rows(labels, id_col, label_col), "doc_id")
-    sizes = {r.toxic: r.n for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows at most
-    if len(sizes) < 2:
+    rows, sizes = sample(df, label_rows(labels, id_col, label_col), id_col, text_col, per_class)
+    if rows is None:
         return ToxicityModel({})
-    # the ids of the sample: a bounded number, so the texts meet them in a broadcast
-    share = F.when(F.col("toxic") == 1, F.lit(per_class / sizes[1])).otherwise(F.lit(per_class / sizes[0]))
-    sample = marked.filter(unit_hash(F.col("doc_id"), seed=1) < share)
-    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
-    rows = texts.join(F.broadcast(sample), "doc_id").select("toxic", "text")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
