@@ -37,6 +37,31 @@ def test_blocks_without_article_mark():
     assert extract.main_text(page) == clean(" ".join(["A heading", PARA, SHORT, PARA, PARA]))
 
 
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>T</title><meta charset=utf-8><body><p>{PARA}</p>",
+    f"<html><head><title>T</title><p>{PARA}</p>",
+    f"<head><title>T</title><link href=x><body><article><p>{PARA}</p></article></body>",
+    f"<body><form action=x><input name=q><article><p>{PARA}</p></article></form></body>",
+    f"<body><form action=x><div><p>{PARA}</p></div><input name=q></form></body>",
+    f"<body><nav><a href=1>Home</a><article><p>{PARA}</p></article></body>",
+    f"<body><div><nav><a href=1>Home</a></div><p>{PARA}</p></body>",
+    f"<body><nav><ul><li><a href=1>Home</a></ul><p>{PARA}</p></body></html>",
+    f"<body><article><aside><b>See</b></aside><p>{PARA}</p></article><footer>The end",
+])
+def test_articles_are_not_lost_with_what_surrounds_them(page):
+    assert extract.main_text(page) == clean(PARA)
+
+
+def test_excluded_parts_stay_excluded():
+    assert extract.main_text(f"<body><p>{PARA}</p><form><p>Your name</p></form><p>{PARA}</p></body>") == clean(PARA + PARA)
+    assert extract.main_text(f"<body><aside><article><p>{PARA}</p></article></aside></body>") == ""
+    assert extract.main_text(f"<body><p>{PARA}</p><footer>The end") == clean(PARA)
+
+
+def test_copyright_sign_in_a_long_block():
+    assert extract.main_text(f"<body><p>{PARA} &copy; {PARA}</p><p>&copy; 2020 The house</p></body>") == clean(f"{PARA} © {PARA}")
+
+
 def test_marked_article_keeps_its_short_and_foreign_blocks():
     page = f"""<body><header><h1>Site</h1></header><main><article><header><h1>Title</h1></header><p>One.<p>{'xq zz kk ' * 40}</p>
     <form>Name <input></form><aside>{PARA}</aside><table><tr><td>a<td>b &amp; c&nbsp;d</table><section class=comments><p>{PARA}</section></article></main>

@@ -1,9 +1,10 @@
 """Main text of web pages by two-pass block rules (after jusText, Pomikalek 2011).
 
 The page is read as a stream of tags and cut into blocks at block-level tags.  Parts
-that are never article text by what they are (scripts, styles, forms, menus, page
-headers and footers, sidebars, and elements named as adverts, notices or reader
-comments) give no blocks, only a border.
+that are never article text by what they are (scripts, styles, menus, page headers
+and footers, sidebars, and elements named as adverts, notices or reader comments) give
+no blocks, only a border.  So do forms and such parts left open to the end of the page
+or article, unless they hold the article or a block that the first pass calls good.
 
 *First pass*: a block's link density, length and stop-word density make it good, bad
 or ambiguous.  *Second pass*: ambiguous blocks inherit the label of the nearest decided
@@ -42,13 +43,15 @@ _BLOCKS = frozenset("""address article aside blockquote body caption center dd d
 figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th
 thead tr ul""".split())
 _NEVER = frozenset("""head title script style noscript template iframe object embed svg canvas math audio video map nav footer aside
-form button select option textarea input label menu dialog""".split())
+button select option textarea input label menu dialog""".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Names of classes, ids and roles (whole, or up to or from a hyphen or underscore) of parts that are no article text.
 _NAMED = frozenset("""ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies
 consent gdpr notice notices notification alert popup modal overlay sidebar sidebars complementary menu menus nav navbar navigation
 breadcrumb breadcrumbs pagination pager masthead topbar footer contentinfo copyright share sharing social related recommended
 newsletter subscribe subscription signup login search comment comments disqus replies respond reactions skip widget widgets""".split())
+_IN_HEAD = frozenset("base link meta title script style noscript template object".split())
+_TABLE = frozenset("table caption tbody thead tfoot tr td th".split())
 _KEEPS_NAME = frozenset("html body main article".split())
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -57,6 +60,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 class Block:
     inside: bool  # of the page's article
     heading: bool
+    soft: tuple[int, ...] = ()  # forms and parts left open around it, within the article
     text: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -78,23 +82,35 @@ def _named_away(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class _Blocks(HTMLParser):
-    """Blocks of a page; ``None`` stands for a border (an excluded part, an article's edge)."""
+    """Blocks of a page; ``None`` stands for a border (an excluded part, an article's edge),
+    a number for the edge of a form or of a part that is known to be left open."""
 
-    def __init__(self, article: str | None):
+    def __init__(self, article: str | None, known: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
         self.article = article
-        self.found: list[Block | None] = []
-        self.open: list[tuple[str, bool]] = []  # tag, excluded
+        self.known, self.left_open = known, set()  # start tags by number
+        self.found: list[Block | int | None] = []
+        self.open: list[tuple[str, bool, int]] = []  # tag, excluded, number of the start tag
+        self.soft: list[int] = []
+        self.tags = self.base = 0
         self.away = self.links = self.articles = 0
         self.heading = False
 
     def _cut(self, border: bool = False):
         if border and (not self.found or self.found[-1] is not None):
             self.found.append(None)
-        elif not border and self.found and self.found[-1] is not None and self.found[-1].text:
-            self.found.append(Block(self.articles > 0, self.heading))
+        elif not border and self.found and isinstance(self.found[-1], Block) and self.found[-1].text:
+            self.found.append(Block(self.articles > 0, self.heading, tuple(self.soft[self.base:])))
+
+    def _end_head(self, tag: str | None):
+        """The head ends at the body, or at the first text or tag that it cannot hold."""
+        names = [name for name, _, _ in self.open]
+        if "head" in names and (tag == "body" or names[-1] == "head" and tag not in _IN_HEAD):
+            self._close(names.index("head"))
 
     def handle_starttag(self, tag, attrs):
+        self.tags += 1
+        self._end_head(tag)
         if tag == "br":
             self.handle_data(" ")
         if tag in _VOID:
@@ -104,11 +120,18 @@ class _Blocks(HTMLParser):
         if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option"):
             self._implied_end(tag)
         away = tag in _NEVER or (tag == "header" and not self.articles) or _named_away(tag, attrs)
-        self.open.append((tag, away))
-        if away:
+        soft = not self.away and (tag == "form" and not away or self.tags in self.known)
+        away = away and not soft
+        self.open.append((tag, away, self.tags))
+        if soft:
+            self.soft.append(self.tags)
+            self.found.append(self.tags)
+        elif away:
             self.away += 1
             self._cut(border=True)
         elif tag == self.article:
+            if not self.articles:
+                self.base = len(self.soft)
             self.articles += 1
             self._cut(border=True)
         elif tag == "a":
@@ -127,13 +150,20 @@ class _Blocks(HTMLParser):
             if name in _BLOCKS and name not in ("p", "td", "th", "dt", "dd"):
                 return
 
-    def _close(self, i):
-        for name, away in reversed(self.open[i:]):
+    def _close(self, i, by: str | None = None):
+        for name, away, number in reversed(self.open[i:]):
             if away:
+                if name in _BLOCKS and by != name and by in ("body", "html", self.article):
+                    self.left_open.add(number)
                 self.away -= 1
                 self._cut(border=True)
+            elif number in self.soft:
+                self.soft.remove(number)
+                self.found.append(number)
             elif name == self.article:
                 self.articles -= 1
+                if not self.articles:
+                    self.base = 0
                 self._cut(border=True)
             elif name == "a":
                 self.links -= 1
@@ -144,23 +174,30 @@ class _Blocks(HTMLParser):
 
     def handle_endtag(self, tag):
         for i in range(len(self.open) - 1, -1, -1):
-            name, away = self.open[i]
+            name, away, _ = self.open[i]
             if name == tag:
-                self._close(i)
+                self._close(i, tag)
                 return
-            if tag not in _BLOCKS and name in _BLOCKS or away and tag not in ("body", "html", self.article):
+            within = name in _BLOCKS and tag in _BLOCKS and (name not in _TABLE or tag in _TABLE)
+            if tag not in _BLOCKS and name in _BLOCKS or away and not within and tag not in ("body", "html", self.article):
                 return  # an inline end does not close blocks, nor a stray end an excluded part
 
+    def close(self):
+        super().close()
+        self.left_open.update(number for name, away, number in self.open if away and name in _BLOCKS)
+
     def handle_data(self, data):
+        if self.away and data.strip():
+            self._end_head(None)
         if self.away:
             return
-        if not self.found or self.found[-1] is None:
+        if not self.found or not isinstance(self.found[-1], Block):
             if not data.strip():
                 return
             self.found.append(Block(self.articles > 0, self.heading))
         block = self.found[-1]
         if not block.text:
-            block.inside, block.heading = self.articles > 0, self.heading
+            block.inside, block.heading, block.soft = self.articles > 0, self.heading, tuple(self.soft[self.base:])
         block.text.append(data)
         if self.links:
             block.linked += len(data.strip())
@@ -173,7 +210,7 @@ def _label(text: str, block: Block, marked: bool) -> bool | None:
     n = len(text)
     if block.linked > MAX_LINK_DENSITY * n and (not marked or block.linked > 0.5 * n):
         return False
-    if not marked and "©" in text:
+    if not marked and "©" in text and n <= LONG:
         return False
     if n < SHORT or block.heading:
         return None
@@ -195,10 +232,18 @@ def main_text(html: str | None) -> str:
     parser = _Blocks(article)
     parser.feed(html)
     parser.close()
+    if parser.left_open:
+        parser = _Blocks(article, frozenset(parser.left_open))
+        parser.feed(html)
+        parser.close()
+    found = [(b, " ".join("".join(b.text).split()) if isinstance(b, Block) else "") for b in parser.found]
+    good = {x for b, t in found if t and b.soft and _label(t, b, False) for x in b.soft}
     blocks, texts = [], []
-    for b in parser.found:
-        t = " ".join("".join(b.text).split()) if b else ""
-        if b is None or t:
+    for b, t in found:
+        if b is None or (b not in good if isinstance(b, int) else t and not good.issuperset(b.soft)):
+            blocks.append(None)
+            texts.append("")
+        elif t:
             blocks.append(b)
             texts.append(t)
     marked = article is not None
