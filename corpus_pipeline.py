@@ -37,20 +37,19 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near duplicates (four-word
-    shingles, four bits), one row of it where the id repeats.  Rows without an id cannot be
-    named a copy of another and stay."""
+    """Keeps one row of each group of near duplicates (four-word shingles, four bits): that of
+    the smallest id, rows without an id last.  Groups come from the texts alone."""
     small_batches(spark)
-    groups = simhash.near_duplicates(docs, shingle=4, max_bits=4)
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count().withColumnsRenamed({"doc_id": "__id", "count": "__rows"})
-    named = docs.join(kept, F.col("doc_id") == F.col("__id")).drop("__id")
-    once = named.filter("__rows = 1").drop("__rows")
-    repeated = kept.filter("__rows > 1")
-    unnamed = docs.filter(F.col("doc_id").isNull())
-    if repeated.isEmpty():
-        return once.unionByName(unnamed)
-    more = named.filter("__rows > 1").drop("__rows").dropDuplicates(["doc_id"])
-    return once.unionByName(more).unionByName(unnamed)
+    kept = simhash.representatives(docs, shingle=4, max_bits=4)
+    kept = cut_lineage(kept.withColumnsRenamed({"doc_id": "__id", "h": "__h", "c": "__c", "rows": "__rows"}))
+    h, c = simhash.text_keys(F.col("text"))
+    named = docs.join(kept, [F.col("doc_id").eqNullSafe(F.col("__id")), h == F.col("__h"), c == F.col("__c")])
+    once = named.filter("__rows = 1").select(*docs.columns)
+    if kept.filter("__rows > 1").isEmpty():
+        return once
+    # rows equal in id and text
+    more = named.filter("__rows > 1").dropDuplicates(["__id", "__h", "__c"]).select(*docs.columns)
+    return once.unionByName(more)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,6 +103,17 @@ def test_stages_on_odd_rows(spark):
     assert {-9, 3, 4, 6} <= left
 
 
+def test_dedup_goes_by_text_not_by_id(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, fingerprint string"
+    copy = "a copy without any id that stands here many times over"
+    data = [(1, None), (2, ""), (None, "the man of the house and that"), (3, "the man"), (3, "the man"), (5, "12 34"), (6, "and of the"), (6, "and of that")]
+    data += [(None, copy)] * 50 + [(7, "and of the"), (8, "quite another text"), (None, "quite another text")]
+    docs = spark.createDataFrame([(i, t, None, "s", 1, 0.5, "x") for i, t in data], schema)
+    kept = sorted((r.doc_id or 0, r.text or "") for r in P.near_dedup(spark, docs, SF).collect())
+    assert kept == [(0, copy), (0, "the man of the house and that"), (1, ""), (3, "the man"), (5, "12 34"),
+                    (6, "and of that"), (6, "and of the"), (8, "quite another text")]
+
+
 def test_run_equals_the_stages(spark, stages):
     got = P.run(spark, SF)
     key = lambda r: (r.doc_id, r.part, r.decoded_crc32, zlib.crc32(bytes(str(r.ids), "ascii")))

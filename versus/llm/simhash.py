@@ -24,7 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, id_text, long_array
@@ -257,3 +257,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     own = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return (prints.join(named, "fp", "left")
             .select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), own.alias("component_id")))
+
+
+def text_keys(text: Column) -> list[Column]:
+    """Two hashes that stand for a text (null: empty) beside its id."""
+    whole = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(whole), F.crc32(whole)]
+
+
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                    max_bits: int = 4, cell: int = CELL) -> DataFrame:
+    """``(doc_id, h, c, rows)``, one row per group of linked fingerprints: its row of smallest id
+    (null ids last, then by ``text_keys``) and how many rows have that id and text.
+
+    Groups come from the texts alone: a shared id joins nothing, a missing one excludes nothing.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = [simhash(t.as_py(), shingle) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(fps, pa.int64())], ["doc_id", "h", "c", "fp"])
+
+    h, c = text_keys(F.col("text"))
+    rows = id_text(df, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text", h.alias("h"), c.alias("c"))
+    prints = cut_lineage(rows.mapInArrow(run, "doc_id long, h long, c long, fp long").groupBy("fp", "doc_id", "h", "c").agg(F.count("*").alias("rows")))
+    reps = prints.select("fp", F.col("fp").alias("rep")).distinct()
+    classes = connected_components(links(reps, max_bits, cell))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h", "c", "rows")).alias("first")
+    # one row a fingerprint before the groups meet, so a group's size is its fingerprints
+    best = prints.groupBy("fp").agg(first).join(classes, F.col("fp") == F.col("node"), "left")
+    best = best.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("first").alias("first"))
+    return best.select("first.doc_id", "first.h", "first.c", "first.rows")
