@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, extract, langid, lcp, licenses, mixing, pieces, sharding, simhash, toxicity
+from . import ann, extract, langid, lcp, licenses, mixing, pieces, sharding, simhash, toxicity, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, one row a part, and length and checksum of what they decode to."""
     return pieces.encode(read(spark, sf_dir, "documents"), verify=True).withColumn("n_tokens", F.size("ids"))
+
+
+@query
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five rules; a url that none fits is allowed."""
+    return urlfilter.judge(read(spark, sf_dir, "pages"), urlfilter.RULES)
+
+
+ORACLE["op12_url_filters"] = urlfilter.ORACLE
