@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, extract, langid, lcp, licenses, mixing, pieces, sharding, simhash, toxicity, urlfilter
+from . import ann, extract, langid, lcp, licenses, merkle, mixing, pieces, sharding, simhash, toxicity, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,15 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read(spark, sf_dir, "documents"), verify=True).withColumn("n_tokens", F.size("ids"))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree for each source; texts of even checksum lose their line feeds before they are verified."""
+    return merkle.verified(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_merkle_manifest"] = merkle.ORACLE
+
+
 @query
 def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five rules; a url that none fits is allowed."""

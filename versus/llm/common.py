@@ -92,3 +92,15 @@ def with_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner
         side = F.broadcast(side)
     cond = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in on]
     return df.join(side, cond, how).drop(*[f"__{k}" for k in on])
+
+
+#: DuckDB SQL: the table of the CRC-32 as a CTE of one row, to be cross joined where ``crc_sql``
+#: gives the unsigned CRC-32 of an ASCII text.
+CRC_TABLE_SQL = """crc_table AS (SELECT list(c ORDER BY i) AS crc_t FROM (SELECT i,
+  list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) t(i)))"""
+
+
+def crc_sql(text: str) -> str:
+    step = "xor(c >> 8, crc_t[1 + (xor(c, b) & 255)])"
+    codes = f"list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    return f"xor(list_reduce({codes}, lambda c, b: {step}, 4294967295), 4294967295)"
