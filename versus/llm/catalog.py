@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, extract, langid, lcp, licenses, merkle, mixing, pieces, sharding, simhash, toxicity, urlfilter
+from . import ann, dialogue, extract, langid, lcp, licenses, merkle, mixing, pieces, sharding, simhash, toxicity, urlfilter
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,12 @@ def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_url_filters"] = urlfilter.ORACLE
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, repaired."""
+    return dialogue.Repair(dialogue.damage(read(spark, sf_dir, "conversations")), present="here").conversations
+
+
+ORACLE["op13_conversation_repair"] = dialogue.ORACLE
