@@ -63,3 +63,36 @@ def test_exchange_budget(spark, key, limit):
     n = text.count("Exchange hashpartitioning") + text.count("Exchange rangepartitioning") + \
         text.count("Exchange SinglePartition")
     assert n <= limit, f"{key}: {n} shuffles"
+
+
+def final_plan(df) -> str:
+    """The plan as it ran, with the exchanges that were reused."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("key", ["postgame_dataset", "clean_dataset", "pregame_dataset", "team_features", "join_inner_stats"])
+def test_lines_are_scanned_and_shuffled_once(spark, key):
+    """All domain tables of a query rank the same exchange of the line items."""
+    text = final_plan(Q[key](spark, SMALL))
+    assert len(re.findall(r"FileScan parquet[^\n]*lineitem", text)) == 1
+    made = [line for line in text.splitlines() if "Exchange hashpartitioning(l_orderkey" in line]
+    assert sum("ReusedExchange" not in line for line in made) == 1 and len(made) == 2
+
+
+def test_top_and_bottom_share_their_input(spark):
+    assert "lineitem" not in plan(Q["top_bottom_k"](spark, SMALL))
+
+
+@pytest.mark.parametrize("key,tables", [("pregame_dataset_bucketed", 3), ("postgame_dataset_bucketed", 3)])
+def test_stored_groups_are_not_shuffled(spark, key, tables):
+    """Over tables bucketed by group: one scan of each, no exchange by a hash, also where no
+    side is small enough to be broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = final_plan(Q[key](spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("FileScan") == tables and text.count("SelectedBucketsCount") == tables
+    assert "Exchange" not in text

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ordered import exact_quantiles, quantile_table
 from .relational import with_small
 
@@ -58,8 +59,10 @@ def category_outcome_rate(members: DataFrame, category: str, target: str, names:
 def top_bottom_k(df: DataFrame, by: str, k: int = 20, tie: str = "category") -> DataFrame:
     """The k highest and k lowest rows by ``by`` (ties broken by ``tie``) (#75).
 
-    Each side is a TakeOrdered (per-partition top-k, then one merge of k rows).
+    Each side is a TakeOrdered (per-partition top-k, then one merge of k rows) over the
+    stored rows, so that what makes them runs once.
     """
+    df = cut_lineage(df)
     top = df.orderBy(F.col(by).desc(), F.col(tie).asc()).limit(k).withColumn("side", F.lit("top"))
     bottom = df.orderBy(F.col(by).asc(), F.col(tie).asc()).limit(k).withColumn("side", F.lit("bottom"))
     return top.unionByName(bottom)

@@ -8,6 +8,7 @@ side or model never ships more than k rows per map partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,18 +34,27 @@ def ranked_slot(df: DataFrame, keys: Sequence[str], order: Sequence, name: str,
     return out.where(F.col(name) <= max_slots) if max_slots else out
 
 
-def draft_slot(members: DataFrame, slots_per_side: int = 5, max_slots: int = MAX_DRAFT_SLOTS,
-               keys: Sequence[str] = KEYS) -> DataFrame:
-    """Canonical role, role rank, side-relative slot and draft position (#62, #80-#82)."""
+class DraftOrder(NamedTuple):
+    rows: DataFrame  # members with canonical_role, team_player_slot and role_rank
+    sort: list       # the draft order inside a side
+
+
+def draft_order(members: DataFrame, slots_per_side: int = 5) -> DraftOrder:
+    """Canonical role, role rank and side-relative slot of each member, and the order they draft in (#80-#82)."""
     raw = [c for c in ("position", "role") if c in members.columns]
     out = members.select(
         "*",
         normalize_role(*raw, slot="player", slots_per_side=slots_per_side).alias("canonical_role"),
         team_player_slot("player", slots_per_side).alias("team_player_slot"))
     out = out.withColumn("role_rank", role_rank("canonical_role"))
-    order = [F.col("role_rank").asc_nulls_last(), F.col("team_player_slot").asc_nulls_last(),
-             F.col("player").asc_nulls_last(), F.col("id").asc_nulls_last()]
-    return ranked_slot(out, keys, order, "draft_slot", max_slots)
+    return DraftOrder(out, [F.col(c).asc_nulls_last() for c in ("role_rank", "team_player_slot", "player", "id")])
+
+
+def draft_slot(members: DataFrame, slots_per_side: int = 5, max_slots: int = MAX_DRAFT_SLOTS,
+               keys: Sequence[str] = KEYS) -> DataFrame:
+    """Canonical role, role rank, side-relative slot and draft position (#62, #80-#82)."""
+    order = draft_order(members, slots_per_side)
+    return ranked_slot(order.rows, keys, order.sort, "draft_slot", max_slots)
 
 
 def ban_slot(teambans: DataFrame, max_slots: int = MAX_DRAFT_SLOTS, keys: Sequence[str] = KEYS,

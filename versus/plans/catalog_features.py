@@ -9,13 +9,16 @@ from ..operators import encoders as EN
 from ..operators import features as FE
 from ..operators import reshape as RS
 from ..operators import split as SP
+from ..operators.clean import violation_counts
+from ..operators.relational import assign_sides, detect_binary
 from ..sources.fixture import DEFAULT_SLOTS
-from .catalog_merge import stage_cleaned, stage_merged
-from .catalog_pregame import PREGAME_SQL
+from .catalog_merge import merged_select, stage_cleaned, stage_merged
+from .catalog_pregame import PREGAME_SQL, stage_pregame, stored_tables
 from .common import rnd, round_doubles
-from .pregame import add_pregame_features, pregame_dataset
-from .registry import query, tables, with_fixture
-from .sqlparts import CLEANED, MERGED, PM, SIDES
+from .postgame import postgame_sides
+from .pregame import add_pregame_features
+from .registry import ORACLE, query, with_fixture
+from .sqlparts import CLEANED, MERGED, PM, SIDES, STAT_FEATURES
 from ..session import cut_lineage
 
 U_MATCH = "(CAST(('0x' || SUBSTR(MD5(CAST(matchid AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) / 4294967296.0)"
@@ -26,6 +29,24 @@ SPLIT = f"CASE WHEN matchid IS NULL THEN NULL WHEN {U_MATCH} < 0.2 THEN 'test' W
 POST = PM + SIDES + MERGED + CLEANED
 
 
+# ---------------------------------------------------------------- flows over stored tables
+def _stored_postgame(spark, sf):
+    return stored_tables(spark, sf).run(lambda t, one_pass: postgame_sides(
+        assign_sides(t["members"], DEFAULT_SLOTS), t["matches"], t["teamstats"], detect_binary(t["members"], STAT_FEATURES)))
+
+
+@query("postgame_dataset_bucketed", with_fixture(PM + SIDES + MERGED + "\nSELECT " + merged_select("merged")))
+def q_postgame_dataset_bucketed(spark, sf):
+    """#103 over tables stored by group."""
+    return round_doubles(_stored_postgame(spark, sf))
+
+
+@query("integrity_report_bucketed", ORACLE["integrity_report"])
+def q_integrity_report_bucketed(spark, sf):
+    """#48 over tables stored by group: sides, checks and report without a shuffle by group."""
+    return violation_counts(_stored_postgame(spark, sf))
+
+
 # ---------------------------------------------------------------- splits
 @query("split_grouped", with_fixture(POST + f"\nSELECT matchid, teamid, {SPLIT} AS split FROM cleaned"))
 def q_split_grouped(spark, sf):
@@ -255,8 +276,7 @@ enc AS (
 def _stage_pregame_split(spark, sf):
     """The curated pre-game frame with its split, materialized once (it feeds
     every encoder fit and the apply step)."""
-    t = tables(spark, sf)
-    pg = pregame_dataset(t["matches"], t["participants"], t["stats"], t["teambans"], DEFAULT_SLOTS)
+    pg = stage_pregame(spark, sf)
     return cut_lineage(SP.split_grouped(pg))
 
 
@@ -310,8 +330,7 @@ def q_category_codes(spark, sf):
 SELECT matchid, teamid, CAST(COALESCE(n_bans, 0) AS DOUBLE) AS n_bans,
        CASE WHEN COALESCE(n_bans, 0) > 0 THEN 1 ELSE 0 END AS has_ban_data FROM pregame"""))
 def q_ban_flags(spark, sf):
-    t = tables(spark, sf)
-    pg = pregame_dataset(t["matches"], t["participants"], t["stats"], t["teambans"], DEFAULT_SLOTS)
+    pg = stage_pregame(spark, sf)
     n = F.coalesce(F.col("n_bans").cast("double"), F.lit(0.0))
     return pg.select("matchid", "teamid", n.alias("n_bans"), (n > 0).cast("int").alias("has_ban_data"))
 
@@ -352,8 +371,7 @@ SELECT matchid, teamid, CAST(len(list_filter({_CH_LIST}, lambda x: x IS NOT NULL
        CAST(len(list_distinct(list_filter({_CH_LIST}, lambda x: x IS NOT NULL))) AS BIGINT) AS unique_champion_count
 FROM pregame"""))
 def q_row_counts(spark, sf):
-    t = tables(spark, sf)
-    pg = pregame_dataset(t["matches"], t["participants"], t["stats"], t["teambans"], DEFAULT_SLOTS)
+    pg = stage_pregame(spark, sf)
     return RS.row_counts(pg, CHAMP).select("matchid", "teamid", "draft_size", "has_full_draft", "unique_champion_count")
 
 
@@ -364,8 +382,7 @@ ROLE_DIV_SQL = (f"CAST({' + '.join(f'CASE WHEN {x} <> {chr(39)}unknown{chr(39)}
 
 @query("role_diversity", with_fixture(PREGAME_SQL + f"\nSELECT matchid, teamid, {ROLE_DIV_SQL} FROM pregame"))
 def q_role_diversity(spark, sf):
-    t = tables(spark, sf)
-    pg = pregame_dataset(t["matches"], t["participants"], t["stats"], t["teambans"], DEFAULT_SLOTS)
+    pg = stage_pregame(spark, sf)
     return RS.role_diversity(pg, ROLES).select("matchid", "teamid", "role_known_count", "role_diversity")
 
 
@@ -373,8 +390,7 @@ def q_role_diversity(spark, sf):
     f"SELECT {c} AS champion FROM pregame" for c in CHAMP) + ") s"))
 def q_stack_columns(spark, sf):
     """champion_1..5 stacked into one column, NULLs kept (#71)."""
-    t = tables(spark, sf)
-    pg = pregame_dataset(t["matches"], t["participants"], t["stats"], t["teambans"], DEFAULT_SLOTS)
+    pg = stage_pregame(spark, sf)
     return RS.stack_columns(pg, CHAMP, "champion")
 
 

@@ -10,23 +10,28 @@ from ..operators import features as FE
 from ..operators import relational as R
 from ..sources.fixture import DEFAULT_SLOTS
 from .common import rnd, round_doubles
-from .postgame import member_rows, postgame_dataset
+from .postgame import postgame_sides
 from .registry import query, tables, with_fixture
 from .sqlparts import (CLEANED, MERGED, MERGED_COLUMNS, PM, SIDE_COLUMNS, SIDES, STAT_FEATURES)
 
 
 def stage_members(spark, sf):
-    t = tables(spark, sf)
-    return member_rows(t["participants"], t["stats"], DEFAULT_SLOTS)
+    return R.assign_sides(tables(spark, sf, wide=True)["members"], DEFAULT_SLOTS)
+
+
+def _binary(t) -> list[str]:
+    """Binary statistics, found without ranking the lines: the slots do not matter for them."""
+    members = t["members"].drop("id", "player")
+    return R.detect_binary(members, R.feature_columns_for_aggregation(members))
 
 
 def stage_sides(spark, sf):
-    return R.aggregate_sides(stage_members(spark, sf))
+    return R.aggregate_sides(stage_members(spark, sf), binary=_binary(tables(spark, sf, wide=True)))
 
 
 def stage_merged(spark, sf):
-    t = tables(spark, sf)
-    return postgame_dataset(t["matches"], t["participants"], t["stats"], t["teamstats"], DEFAULT_SLOTS)
+    t = tables(spark, sf, wide=True)
+    return postgame_sides(R.assign_sides(t["members"], DEFAULT_SLOTS), t["matches"], t["teamstats"], _binary(t))
 
 
 def stage_cleaned(spark, sf):
@@ -58,7 +63,7 @@ SELECT p.id, p.matchid, p.player, p.championid, p.position, p.role, s.win,
        {", ".join(rnd("s." + c) + " AS " + c for c in STAT_FEATURES)}
 FROM participants p JOIN stats s ON p.id = s.id"""))
 def q_join_inner_stats(spark, sf):
-    t = tables(spark, sf)
+    t = tables(spark, sf, wide=True)
     return round_doubles(R.join_inner_stats(t["participants"], t["stats"]))
 
 
@@ -113,7 +118,7 @@ def q_derive_group_label(spark, sf):
 SELECT s.matchid, s.teamid, s.win, t.firstblood, t.towerkills, t.dragonkills, t.baronkills
 FROM sides s LEFT JOIN ts t ON s.matchid = t.matchid AND s.teamid = t.teamid AND t.rn = 1"""))
 def q_join_left_dedup(spark, sf):
-    t = tables(spark, sf)
+    t = tables(spark, sf, wide=True)
     sides = R.derive_group_label(stage_members(spark, sf)).select("matchid", "teamid", "win")
     return R.join_left_dedup(sides, t["teamstats"])
 
@@ -134,17 +139,17 @@ def q_side_flag(spark, sf):
     return R.with_side_flag(sides)
 
 
-def _merged_select(src: str) -> str:
+def merged_select(src: str) -> str:
     dbl = set(c for c in SIDE_COLUMNS if c not in ("win", "participant_win_inconsistent"))
     return ", ".join(rnd(c) + " AS " + c if c in dbl else c for c in MERGED_COLUMNS) + f" FROM {src}"
 
 
-@query("postgame_dataset", with_fixture(PM + SIDES + MERGED + "\nSELECT " + _merged_select("merged")))
+@query("postgame_dataset", with_fixture(PM + SIDES + MERGED + "\nSELECT " + merged_select("merged")))
 def q_postgame_dataset(spark, sf):
     return round_doubles(stage_merged(spark, sf))
 
 
-@query("clean_dataset", with_fixture(PM + SIDES + MERGED + CLEANED + "\nSELECT " + _merged_select("cleaned")))
+@query("clean_dataset", with_fixture(PM + SIDES + MERGED + CLEANED + "\nSELECT " + merged_select("cleaned")))
 def q_clean_dataset(spark, sf):
     return round_doubles(stage_cleaned(spark, sf))
 

@@ -25,7 +25,7 @@ def _build(spark, sf, scope):
     def make():
         out_dir = f"{TR.artifact_root(spark)}/build/{uuid.uuid4().hex[:12]}"
         fn = build_postgame_features if scope == "postgame" else build_pregame_features
-        return fn(spark, tables(spark, sf), out_dir, DEFAULT_SLOTS)
+        return fn(spark, tables(spark, sf, wide=True), out_dir, DEFAULT_SLOTS)
 
     return fitted_once(spark, sf, _BUILDS, make, scope)
 

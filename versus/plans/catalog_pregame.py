@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from ..constants import KEYS, MAX_DRAFT_SLOTS, ROLE_ALIASES, ROLE_ORDER, SLOT_ROLE_FALLBACK
 from ..functions.scalars import normalize_role, role_rank, team_player_slot
 from ..operators import windows as W
-from ..operators.relational import assign_sides, join_inner_stats
+from ..operators.relational import assign_sides
 from ..operators.reshape import pivot_role, pivot_slots
-from ..sources.fixture import DEFAULT_SLOTS
-from .pregame import ban_frame, pregame_dataset
-from .registry import query, tables, with_fixture
+from ..sources.fixture import DEFAULT_SLOTS, has_hot_order
+from .pregame import ban_frame, pregame_sides
+from ..sources.layout import store
+from .registry import fitted_once, query, tables, with_fixture
 from .sqlparts import PM
 
 
@@ -58,10 +59,13 @@ banpiv AS (
   FROM bans GROUP BY matchid, teamid)"""
 
 
+def stage_pregame(spark, sf):
+    t = tables(spark, sf, wide=True)
+    return pregame_sides(t["members"], t["matches"], t["teambans"], DEFAULT_SLOTS, one_pass=not has_hot_order(spark, sf))
+
+
 def _members(spark, sf):
-    t = tables(spark, sf)
-    return assign_sides(join_inner_stats(t["participants"], t["stats"], stats_columns=["id", "win"]),
-                        DEFAULT_SLOTS)
+    return assign_sides(tables(spark, sf, wide=True)["members"], DEFAULT_SLOTS)
 
 
 @query("normalize_role", with_fixture(PM + f"""
@@ -138,7 +142,7 @@ def q_join_outer_pivots(spark, sf):
     """Draft slots FULL OUTER JOIN ban slots on the side key (#36)."""
     champ = pivot_slots(W.draft_slot(_members(spark, sf), DEFAULT_SLOTS), "draft_slot", "championid",
                         "champion", MAX_DRAFT_SLOTS)
-    bans = ban_frame(tables(spark, sf)["teambans"]).drop("n_bans")
+    bans = ban_frame(tables(spark, sf, wide=True)["teambans"]).drop("n_bans")
     return champ.join(bans, list(KEYS), "full")
 
 
@@ -168,6 +172,26 @@ pregame AS (
 
 @query("pregame_dataset", with_fixture(PREGAME_SQL + f"\nSELECT {', '.join(_PREGAME_COLS)} FROM pregame"))
 def q_pregame_dataset(spark, sf):
-    t = tables(spark, sf)
-    out = pregame_dataset(t["matches"], t["participants"], t["stats"], t["teambans"], DEFAULT_SLOTS)
+    out = stage_pregame(spark, sf)
+    return out.withColumn("participant_win_consistency", F.round("participant_win_consistency", 6))
+
+
+_STORED: dict = {}
+
+#: Group column of each stored table.
+GROUP_KEYS = {"members": "matchid", "matches": "id", "teamstats": "matchid", "teambans": "matchid"}
+
+
+def stored_tables(spark, sf):
+    """The domain tables bucketed by group, stored once for these files."""
+    def make():
+        t = tables(spark, sf, wide=True)
+        return store({name: t[name] for name in GROUP_KEYS}, GROUP_KEYS)
+    return fitted_once(spark, sf, _STORED, make)
+
+
+@query("pregame_dataset_bucketed", with_fixture(PREGAME_SQL + f"\nSELECT {', '.join(_PREGAME_COLS)} FROM pregame"))
+def q_pregame_dataset_bucketed(spark, sf):
+    """#104 over tables stored by group: one scan of each and no shuffle."""
+    out = stored_tables(spark, sf).run(lambda t, one_pass: pregame_sides(t["members"], t["matches"], t["teambans"], DEFAULT_SLOTS, one_pass=one_pass))
     return out.withColumn("participant_win_consistency", F.round("participant_win_consistency", 6))

@@ -18,10 +18,11 @@ from ..operators import features as FE
 from ..operators import selection as SEL
 from ..operators import split as SP
 from ..operators.clean import assert_group_frame, clean_dataset
+from ..operators.relational import assign_sides
 from ..operators.training import write_summary
 from ..sources import io as IO
-from .postgame import postgame_dataset
-from .pregame import add_pregame_features, pregame_dataset
+from .postgame import members_of, postgame_sides
+from .pregame import add_pregame_features, pregame_sides
 from ..session import cut_lineage
 
 PREGAME_SELECTED = [
@@ -42,7 +43,7 @@ def _write(spark: SparkSession, out: DataFrame, summary: dict, out_dir: str, sco
 
 def build_postgame_features(spark: SparkSession, t: dict, out_dir: str, slots_per_side: int = 5,
                             target: str = "win") -> tuple[DataFrame, dict]:
-    merged = postgame_dataset(t["matches"], t["participants"], t["stats"], t["teamstats"], slots_per_side)
+    merged = postgame_sides(assign_sides(members_of(t), slots_per_side), t["matches"], t["teamstats"])
     curated = cut_lineage(SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS)))
     assert_group_frame(curated, "curated post-game frame")
     enriched = FE.team_features(FE.player_features(curated))
@@ -57,7 +58,7 @@ def build_postgame_features(spark: SparkSession, t: dict, out_dir: str, slots_pe
 
 def build_pregame_features(spark: SparkSession, t: dict, out_dir: str, slots_per_side: int = 5,
                            target: str = "win") -> tuple[DataFrame, dict]:
-    merged = pregame_dataset(t["matches"], t["participants"], t["stats"], t["teambans"], slots_per_side)
+    merged = pregame_sides(members_of(t, ["id", "win"]), t["matches"], t["teambans"], slots_per_side)
     curated = cut_lineage(SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS)))
     assert_group_frame(curated, "curated pre-game frame")
     train = curated.where(F.col("split") == "train")

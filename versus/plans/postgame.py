@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -18,11 +18,26 @@ def member_rows(participants: DataFrame, stats: DataFrame, slots_per_side: int =
     return assign_sides(join_inner_stats(participants, stats), slots_per_side)
 
 
+def members_of(t: Mapping[str, DataFrame], stats_columns: Sequence[str] | None = None) -> DataFrame:
+    """Member rows with their statistics: the table ``members`` if there is one, else the join (#33)."""
+    if "members" in t:
+        return t["members"]
+    return join_inner_stats(t["participants"], t["stats"], stats_columns=stats_columns)
+
+
+def postgame_sides(members: DataFrame, matches: DataFrame, teamstats: DataFrame, binary: Sequence[str] | None = None) -> DataFrame:
+    """One row per (group, side) from member rows: #42/#44/#45 -> #34 -> #35 -> #23.
+
+    Everything is keyed by the group or by (group, side): members that come partitioned by
+    group (a rank over the group, a bucketed table) are not shuffled again.
+    """
+    sides = aggregate_sides(members, binary=binary)
+    merged = join_left_dimension(join_left_dedup(sides, teamstats), matches)
+    return with_side_flag(merged)
+
+
 def postgame_dataset(matches: DataFrame, participants: DataFrame, stats: DataFrame,
                      teamstats: DataFrame, slots_per_side: int = 5,
                      binary: Sequence[str] | None = None) -> DataFrame:
-    """#33 -> #42/#44/#45 -> #34 -> #35 -> #23 (#103)."""
-    sides = aggregate_sides(member_rows(participants, stats, slots_per_side), binary=binary)
-    merged = join_left_dedup(sides, teamstats)
-    merged = join_left_dimension(merged, matches)
-    return with_side_flag(merged)
+    """#33, then ``postgame_sides`` (#103)."""
+    return postgame_sides(member_rows(participants, stats, slots_per_side), matches, teamstats, binary)

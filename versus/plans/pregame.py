@@ -8,26 +8,40 @@ aggregate) ; then key joins and the group dimension.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import KEYS, MAX_DRAFT_SLOTS, ROLE_ORDER, UNKNOWN_ROLE
-from ..operators.relational import (derive_group_label, join_inner_stats, join_left_dimension,
-                                    with_side_flag, assign_sides)
+from ..operators.relational import (assign_sides, derive_group_label, join_inner_stats, join_left_dimension,
+                                    label_columns, with_side_flag)
 from ..operators.reshape import code_slot_columns, role_columns, slot_columns
-from ..operators.windows import ban_slot, draft_slot
+from ..operators.windows import ban_slot, draft_order, draft_slot
 
 
-def draft_frame(members: DataFrame, slots_per_side: int = 5, max_slots: int = MAX_DRAFT_SLOTS) -> DataFrame:
-    """Per side: champion_1..n, role_1..n and <role>_championid (#62, #64, #68, #69)."""
-    drafted = draft_slot(members, slots_per_side, max_slots)
+def _draft_columns(max_slots: int) -> list:
     # role_rank is a code for canonical_role (known roles 0..4, anything else
     # 99 = 'unknown'), so the role slots aggregate integers and map back
-    return drafted.groupBy(*KEYS).agg(
-        *slot_columns("draft_slot", "championid", "champion", max_slots),
-        *code_slot_columns("draft_slot", "role_rank", {v: k for k, v in ROLE_ORDER.items()}, "role",
-                           max_slots, UNKNOWN_ROLE),
-        *role_columns())
+    return [*slot_columns("draft_slot", "championid", "champion", max_slots),
+            *code_slot_columns("draft_slot", "role_rank", {v: k for k, v in ROLE_ORDER.items()}, "role",
+                               max_slots, UNKNOWN_ROLE),
+            *role_columns()]
+
+
+def draft_frame(members: DataFrame, slots_per_side: int = 5, max_slots: int = MAX_DRAFT_SLOTS) -> DataFrame:
+    """Per side: champion_1..n, role_1..n and <role>_championid (#62, #64, #68, #69)."""
+    return draft_slot(members, slots_per_side, max_slots).groupBy(*KEYS).agg(*_draft_columns(max_slots))
+
+
+def label_and_draft(members: DataFrame, slots_per_side: int = 5, max_slots: int = MAX_DRAFT_SLOTS) -> DataFrame:
+    """The side label over all members and the draft over the first ``max_slots`` (#45, #62, #64,
+    #68, #69) in one aggregate: members are read once.  A side must fit one task's sort."""
+    order = draft_order(members, slots_per_side)
+    w = Window.partitionBy(*KEYS).orderBy(*order.sort)
+    ranked = order.rows.withColumn("draft_slot", F.row_number().over(w))
+    drafted = F.col("draft_slot") <= max_slots
+    ranked = ranked.withColumns({"championid": F.when(drafted, F.col("championid")), "role_rank": F.when(drafted, F.col("role_rank")),
+                                 "canonical_role": F.when(drafted, F.col("canonical_role")), "draft_slot": F.when(drafted, F.col("draft_slot"))})
+    return ranked.groupBy(*KEYS).agg(*label_columns(), *_draft_columns(max_slots))
 
 
 def ban_frame(teambans: DataFrame, max_slots: int = MAX_DRAFT_SLOTS) -> DataFrame:
@@ -38,17 +52,30 @@ def ban_frame(teambans: DataFrame, max_slots: int = MAX_DRAFT_SLOTS) -> DataFram
         *slot_columns("ban_slot", "championid", "banned_champion", max_slots))
 
 
+def pregame_sides(members: DataFrame, matches: DataFrame, teambans: DataFrame, slots_per_side: int = 5,
+                  max_slots: int = MAX_DRAFT_SLOTS, one_pass: bool = False) -> DataFrame:
+    """One row per (group, side) from member rows with their outcome (#104).
+
+    ``one_pass`` reads the members once (``label_and_draft``); without it the label is a
+    map-side aggregate and the draft keeps ``max_slots`` rows a side before the shuffle, which
+    is the plan for sides too large for one task.
+    """
+    members = assign_sides(members, slots_per_side)
+    if one_pass:
+        merged = label_and_draft(members, slots_per_side, max_slots)
+    else:
+        merged = derive_group_label(members).join(draft_frame(members, slots_per_side, max_slots), list(KEYS), "left")
+    merged = join_left_dimension(merged.join(ban_frame(teambans, max_slots), list(KEYS), "left"), matches)
+    merged = merged.withColumn("n_bans", F.coalesce(F.col("n_bans"), F.lit(0)).cast("bigint"))
+    return with_side_flag(merged)
+
+
 def pregame_dataset(matches: DataFrame, participants: DataFrame, stats: DataFrame,
                     teambans: DataFrame, slots_per_side: int = 5,
                     max_slots: int = MAX_DRAFT_SLOTS) -> DataFrame:
-    members = assign_sides(join_inner_stats(participants, stats, stats_columns=["id", "win"]),
-                           slots_per_side)
-    label = derive_group_label(members)
-    merged = (label.join(draft_frame(members, slots_per_side, max_slots), list(KEYS), "left")
-              .join(ban_frame(teambans, max_slots), list(KEYS), "left"))
-    merged = join_left_dimension(merged, matches)
-    merged = merged.withColumn("n_bans", F.coalesce(F.col("n_bans"), F.lit(0)).cast("bigint"))
-    return with_side_flag(merged)
+    """#33, then ``pregame_sides`` (#104)."""
+    members = join_inner_stats(participants, stats, stats_columns=["id", "win"])
+    return pregame_sides(members, matches, teambans, slots_per_side, max_slots)
 
 
 def _present(df: DataFrame, prefix: str, n: int = MAX_DRAFT_SLOTS) -> list[str]:

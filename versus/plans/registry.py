@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.fixture import DEFAULT_SLOTS, DomainTables, fixture_sql
+from ..sources.fixture import DEFAULT_SLOTS, DomainTables, data_stamp, fixture_sql
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -28,18 +28,10 @@ def query(key: str, sql: str | None = None):
     return deco
 
 
-def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
-    """The six domain tables as lazy projections of the driver tables: a query plans
-    and reads only those it names, straight from the given Parquet."""
-    return DomainTables(spark, sf_dir, DEFAULT_SLOTS)
-
-
-def data_stamp(spark: SparkSession, sf_dir: str) -> tuple:
-    """(file, bytes, modification time) of everything in ``sf_dir``, listed by the file
-    system that Spark reads it with."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)))
+def tables(spark: SparkSession, sf_dir: str, wide: bool = False) -> Mapping[str, DataFrame]:
+    """The domain tables as lazy projections of the driver tables: a query plans and reads
+    only those it names, straight from the given Parquet; ``wide`` if it combines several."""
+    return DomainTables(spark, sf_dir, DEFAULT_SLOTS, wide)
 
 
 def fitted_once(spark: SparkSession, sf_dir: str, kept: dict, make, *more):

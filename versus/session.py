@@ -13,6 +13,8 @@ _JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # frames partitioned by group join on (group, side) as they lie; AQE splits what is skewed
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

@@ -39,32 +39,50 @@ def _case(col, mapping: dict, default=None):
     return expr.otherwise(F.lit(default))
 
 
+def data_stamp(spark: SparkSession, path: str) -> tuple:
+    """(file, bytes, modification time) under ``path``, by the file system that Spark reads it with."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)))
+
+
 #: Whether a table has an order beyond the threshold; decides between equal plans only.
 _HOT: dict[tuple, bool] = {}
 
 
-def members(spark: SparkSession, sf_dir: str, hot_threshold: int = 5_000_000) -> DataFrame:
-    """One row per line item with its member slot inside the order.
+def has_hot_order(spark: SparkSession, sf_dir: str, hot_threshold: int = 5_000_000) -> bool:
+    """Whether an order has more lines than one task should rank (one aggregate, once for these files)."""
+    from ..operators.ordered import has_hot_group
+    key = (sf_dir, data_stamp(spark, table_path(sf_dir, "lineitem")), hot_threshold)
+    if key not in _HOT:
+        _HOT[key] = has_hot_group(read_table(spark, sf_dir, "lineitem").select("l_orderkey"), ["l_orderkey"], hot_threshold)
+    return _HOT[key]
+
+
+def ranked_lines(spark: SparkSession, sf_dir: str, wide: bool = False, hot_threshold: int = 5_000_000) -> DataFrame:
+    """One row per line item of an order, with its member slot inside the order.
 
-    The slot is a per-order rank; ``group_rank`` keeps an order holding a
-    large share of all lines from landing in one task.
+    The slot is a per-order rank; ``group_rank`` keeps an order holding a large share of all
+    lines from landing in one task.  ``wide`` meets the parts before the lines are ranked and
+    names their columns last in the rank's order, where they cannot matter (a part key has
+    one part): every table made of these rows then shuffles the very same columns, so all
+    tables of a query share one scan and one exchange.
     """
-    from ..operators.ordered import group_rank, has_hot_group
+    from ..operators.ordered import group_rank
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
-    key = (sf_dir, hot_threshold)
-    if key not in _HOT:
-        _HOT[key] = has_hot_group(li, ["l_orderkey"], hot_threshold)
-    if _HOT[key]:
-        ranked = group_rank(li, "l_orderkey", list(_MEMBER_ORDER), "player", hot_threshold)
+        "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate").where(F.col("l_orderkey").isNotNull())
+    order = list(_MEMBER_ORDER)
+    if wide:
+        part = read_table(spark, sf_dir, "part").select("p_partkey", _brand_number().alias("championid"), "p_type")
+        li = li.join(part, li.l_partkey == part.p_partkey, "left")
+        order += ["p_partkey", "championid", "p_type"]
+    if has_hot_order(spark, sf_dir, hot_threshold):
+        ranked = group_rank(li, "l_orderkey", order, "player", hot_threshold)
     else:
-        w = Window.partitionBy("l_orderkey").orderBy(*_MEMBER_ORDER)
+        w = Window.partitionBy("l_orderkey").orderBy(*order)
         ranked = li.withColumn("player", F.row_number().over(w).cast("bigint"))
-    return ranked.select(
-        F.col("l_orderkey").alias("matchid"), "player",
-        "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        "l_linenumber", "l_returnflag", "l_linestatus")
+    return ranked.withColumnRenamed("l_orderkey", "matchid").drop("l_suppkey", "l_shipdate")
 
 
 def _brand_number(col="p_brand"):
@@ -76,52 +94,64 @@ def _side_of(player, slots):
 
 
 class DomainTables(Mapping):
-    """The domain tables by name, each planned when it is first asked for."""
+    """The domain tables by name, each planned when it is first asked for.
+
+    ``wide`` tables are for queries that combine several of them (see ``ranked_lines``); they
+    also offer ``members``, participants and their statistics in one projection, as both
+    are the same line item.
+    """
 
     NAMES = ("matches", "participants", "stats", "teamstats", "teambans", "champs")
 
-    def __init__(self, spark: SparkSession, sf_dir: str, slots: int = DEFAULT_SLOTS):
-        self.spark, self.sf_dir, self.slots = spark, sf_dir, slots
+    def __init__(self, spark: SparkSession, sf_dir: str, slots: int = DEFAULT_SLOTS, wide: bool = False):
+        self.spark, self.sf_dir, self.slots, self.wide = spark, sf_dir, slots, wide
         self._made: dict[str, DataFrame] = {}
 
     def __iter__(self):
-        return iter(self.NAMES)
+        return iter((*self.NAMES, "members") if self.wide else self.NAMES)
 
     def __len__(self):
-        return len(self.NAMES)
+        return len(list(iter(self)))
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self.NAMES:
+        if name not in list(iter(self)):
             raise KeyError(name)
         if name not in self._made:
             self._made[name] = getattr(self, f"_{name}")()
         return self._made[name]
 
     def _base(self) -> DataFrame:
-        return members(self.spark, self.sf_dir)
+        return ranked_lines(self.spark, self.sf_dir, self.wide)
 
     def _with_part(self) -> DataFrame:
-        part = read_table(self.spark, self.sf_dir, "part").select(
-            "p_partkey", _brand_number().alias("championid"), "p_type", "p_brand")
         base = self._base()
+        if self.wide:
+            return base.where(F.col("p_partkey").isNotNull())
+        part = read_table(self.spark, self.sf_dir, "part").select("p_partkey", _brand_number().alias("championid"), "p_type")
         return base.join(part, base.l_partkey == part.p_partkey, "inner")
 
+    def _member_columns(self) -> list:
+        return [(F.col("matchid") * 100 + F.col("player")).alias("id"), "matchid", "player", "championid",
+                _case(F.col("p_type"), POSITION_BY_TYPE, "none").alias("position"),
+                _case(F.col("l_returnflag"), ROLE_BY_FLAG, None).cast("string").alias("role")]
+
+    def _stat_columns(self) -> list:
+        return [(F.col("l_linestatus") == "O").cast("int").alias("win"),
+                F.col("l_quantity").alias("kills"),
+                F.col("l_linenumber").cast("double").alias("deaths"),
+                F.round(F.col("l_tax") * 100).cast("double").alias("assists"),
+                F.col("l_extendedprice").alias("goldearned"),
+                (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("goldspent"),
+                (F.col("l_returnflag") == "A").cast("double").alias("firstbloodkill")]
+
     def _participants(self) -> DataFrame:
-        return self._with_part().select(
-            (F.col("matchid") * 100 + F.col("player")).alias("id"), "matchid", "player", "championid",
-            _case(F.col("p_type"), POSITION_BY_TYPE, "none").alias("position"),
-            _case(F.col("l_returnflag"), ROLE_BY_FLAG, None).cast("string").alias("role"))
+        return self._with_part().select(*self._member_columns())
 
     def _stats(self) -> DataFrame:
-        return self._base().select(
-            (F.col("matchid") * 100 + F.col("player")).alias("id"),
-            (F.col("l_linestatus") == "O").cast("int").alias("win"),
-            F.col("l_quantity").alias("kills"),
-            F.col("l_linenumber").cast("double").alias("deaths"),
-            F.round(F.col("l_tax") * 100).cast("double").alias("assists"),
-            F.col("l_extendedprice").alias("goldearned"),
-            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("goldspent"),
-            (F.col("l_returnflag") == "A").cast("double").alias("firstbloodkill"))
+        return self._base().select((F.col("matchid") * 100 + F.col("player")).alias("id"), *self._stat_columns())
+
+    def _members(self) -> DataFrame:
+        return self._with_part().select(*self._member_columns(), *self._stat_columns())
 
     def _matches(self) -> DataFrame:
         return read_table(self.spark, self.sf_dir, "orders").select(
@@ -157,7 +187,7 @@ def fixture_sql(slots: int = DEFAULT_SLOTS) -> str:
   SELECT l_orderkey AS matchid,
          CAST(ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY {order}) AS BIGINT) AS player,
          l_partkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linenumber, l_returnflag, l_linestatus
-  FROM lineitem),
+  FROM lineitem WHERE l_orderkey IS NOT NULL),
 participants AS (
   SELECT b.matchid * 100 + b.player AS id, b.matchid, b.player,
          CAST(SUBSTR(p_brand, 7) AS BIGINT) AS championid,
