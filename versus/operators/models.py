@@ -1,7 +1,8 @@
 """Binary classifiers on Spark (#124-#135).
 
-* ``pyspark.ml`` estimators where Spark has one (logistic regression, random
-  forest, gradient-boosted trees, linear SVM);
+* ``pyspark.ml`` estimators where Spark has one that takes the same parameters (logistic
+  regression, random forest, linear SVM);
+* gradient-boosted trees are ``boosting.fit_boosted``;
 * the batch perceptron and the least-squares classifier are distributed
   aggregates (one aggregate per epoch / one Gram pass) with only k numbers on
   the driver;
@@ -20,8 +21,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..constants import SEED
 from ..functions.columns import split_leaky
+from .boosting import Boosted, fit_boosted
 from .relational import numeric_columns
 from .selection import gram
 
@@ -40,9 +41,11 @@ DEFAULTS = {
     "random_forest": {"n_estimators": 200, "max_depth": 12, "min_samples_split": 2, "min_samples_leaf": 1,
                       "class_weight": "balanced_subsample"},
     "xgboost": {"n_estimators": 300, "learning_rate": 0.05, "max_depth": 6, "subsample": 0.8,
-                "colsample_bytree": 0.8, "early_stopping_rounds": 30},
+                "colsample_bytree": 0.8, "reg_alpha": 0.0, "reg_lambda": 1.0, "min_child_weight": 1.0, "gamma": 0.0,
+                "early_stopping_rounds": 30},
     "lightgbm": {"n_estimators": 300, "learning_rate": 0.05, "num_leaves": 31, "min_child_samples": 20,
-                 "subsample": 0.8, "colsample_bytree": 0.8},
+                 "subsample": 0.8, "colsample_bytree": 0.8, "reg_alpha": 0.0, "reg_lambda": 0.0,
+                 "early_stopping_rounds": 30},
     "svm_linear": {"C": 1.0, "max_iter": 3000},
     "svm_rbf": {"C": 1.0, "gamma": "scale", "n_components": 200},
 }
@@ -218,22 +221,20 @@ def fit_random_forest(train: DataFrame, features: Sequence[str], target: str, n_
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], target: str, val: DataFrame | None = None,
-            n_estimators: int = 300, learning_rate: float = 0.05, max_depth: int = 6, subsample: float = 0.8,
-            colsample_bytree: float = 0.8, min_child_samples: int = 1, min_child_weight: float = 1.0,
-            gamma: float = 0.0, num_leaves: int | None = None, seed: int = SEED, name: str = "xgboost") -> FittedModel:
-    """Gradient-boosted trees with validation-based early stopping (#128, #129).
-    A leaf budget maps to depth ceil(log2(leaves)), the weight of a child to its
-    rows and the least loss reduction to the least gain; L1/L2 leaf penalties
-    have no counterpart in Spark."""
-    depth = int(np.ceil(np.log2(num_leaves))) if num_leaves else max_depth
-    data = train.withColumn("_is_val", F.lit(False))
-    if val is not None:
-        data = data.unionByName(val.withColumn("_is_val", F.lit(True)), allowMissingColumns=True)
-    gbt = GBTClassifier(featuresCol="features", labelCol=target, maxIter=n_estimators, stepSize=learning_rate,
-                        maxDepth=depth, subsamplingRate=subsample, featureSubsetStrategy=str(colsample_bytree),
-                        minInstancesPerNode=max(min_child_samples, int(np.ceil(min_child_weight))), minInfoGain=gamma, seed=seed,
-                        validationIndicatorCol="_is_val" if val is not None else None, validationTol=0.01)
-    return FittedModel(name, list(features), ml_model=gbt.fit(_assembled(data, features)))
+            n_estimators: int = 300, learning_rate: float = 0.05, max_depth: int | None = 6, subsample: float = 0.8,
+            colsample_bytree: float = 0.8, reg_alpha: float = 0.0, reg_lambda: float = 0.0, min_child_samples: int = 1,
+            min_child_weight: float = 0.0, gamma: float = 0.0, num_leaves: int | None = None, early_stopping_rounds: int = 0,
+            class_weight: str | None = None, seed: int = SEED, name: str = "xgboost") -> Boosted:
+    """Histogram boosting, by depth (#128) or, with a leaf budget, best leaf first (#129); ``val`` stops it
+    after ``early_stopping_rounds`` trees without a better log loss."""
+    weight = None
+    if class_weight == "balanced":
+        train, weight = balanced_weight(train, target, "_weight"), "_weight"
+        val = None if val is None else val.withColumn("_weight", F.lit(1.0))
+    return fit_boosted(train, features, target, val, n_estimators=n_estimators, learning_rate=learning_rate, num_leaves=num_leaves,
+                       max_depth=None if num_leaves else max_depth, subsample=subsample, colsample_bytree=colsample_bytree, reg_alpha=reg_alpha,
+                       reg_lambda=reg_lambda, gamma=gamma, min_child_samples=min_child_samples, min_child_weight=min_child_weight,
+                       early_stopping_rounds=early_stopping_rounds, seed=seed, weight=weight, name=name)
 
 
 def fit_linear_svm(train: DataFrame, features: Sequence[str], target: str, C: float = 1.0,
@@ -304,11 +305,10 @@ FITTERS = {
 
 
 def fit(name: str, train: DataFrame, features: Sequence[str], target: str, val: DataFrame | None = None,
-        **params) -> FittedModel:
+        **params) -> FittedModel | Boosted:
     """Fit a named model with its default hyper-parameters overridden by ``params``."""
     kw = dict(DEFAULTS.get(name, {}))
     kw.update(params)
     if name in ("xgboost", "lightgbm"):
-        kw.pop("early_stopping_rounds", None)
         return FITTERS[name](train, features, target, val=val, **kw)
     return FITTERS[name](train, features, target, **kw)

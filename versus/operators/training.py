@@ -19,8 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (GBTClassificationModel, LinearSVCModel, LogisticRegressionModel,
-                                       RandomForestClassificationModel)
+from pyspark.ml.classification import LinearSVCModel, LogisticRegressionModel, RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +27,7 @@ from ..constants import MIN_ACCURACY_DROP, MIN_ROC_AUC_DROP, SEED
 from ..session import ensure_checkpoint_dir
 from . import models as M
 from ..sources.io import read_existing
+from .boosting import Boosted
 from .clean import drop_by_pattern
 from .evaluate import classification_metrics
 
@@ -133,14 +133,20 @@ def shap_linear(frame: DataFrame, model: M.FittedModel, baseline: DataFrame | No
 
 
 # ---------------------------------------------------------------- persistence and logging
-def save_model(spark: SparkSession, model: M.FittedModel, path: str, target: str, scope: str,
+def save_model(spark: SparkSession, model: M.FittedModel | Boosted, path: str, target: str, scope: str,
                metrics: dict | None = None) -> str:
     """Model (ml writer or a coefficient table) plus one metadata row (#7)."""
+    if isinstance(model, Boosted):
+        kind, intercept = "boosted", model.base
+    else:
+        kind, intercept = ("linear" if model.ml_model is None else type(model.ml_model).__name__), model.intercept
     meta = {"name": model.name, "features": model.features, "target": target, "scope": scope, "seed": SEED,
-            "link": model.link, "threshold": model.threshold, "intercept": model.intercept,
+            "link": model.link, "threshold": model.threshold, "intercept": intercept,
             "params": {k: v for k, v in model.params.items() if isinstance(v, (int, float, str))},
-            "metrics": metrics or {}, "kind": type(model.ml_model).__name__ if model.ml_model is not None else "linear"}
-    if model.ml_model is not None:
+            "metrics": metrics or {}, "kind": kind}
+    if kind == "boosted":
+        spark.createDataFrame([(model.to_json(),)], "model string").write.mode("overwrite").parquet(_path_join(path, "boosted"))
+    elif kind != "linear":
         model.ml_model.write().overwrite().save(_path_join(path, "ml"))
     else:
         spark.createDataFrame([(c, float(w)) for c, w in zip(model.features, model.coef)],
@@ -151,12 +157,14 @@ def save_model(spark: SparkSession, model: M.FittedModel, path: str, target: str
 
 
 _ML_LOADERS = {"LogisticRegressionModel": LogisticRegressionModel, "RandomForestClassificationModel":
-               RandomForestClassificationModel, "GBTClassificationModel": GBTClassificationModel,
+               RandomForestClassificationModel,
                "LinearSVCModel": LinearSVCModel, "PipelineModel": PipelineModel}
 
 
-def load_model(spark: SparkSession, path: str) -> M.FittedModel:
+def load_model(spark: SparkSession, path: str) -> M.FittedModel | Boosted:
     meta = json.loads(spark.read.json(_path_join(path, "meta")).first()["meta"])
+    if meta["kind"] == "boosted":
+        return Boosted.from_json(spark.read.parquet(_path_join(path, "boosted")).first()["model"])
     fm = M.FittedModel(meta["name"], meta["features"], link=meta["link"], threshold=meta["threshold"],
                        intercept=meta["intercept"], params=dict(meta["params"]))
     if meta["kind"] == "linear":
