@@ -246,13 +246,17 @@ def fit_linear_svm(train: DataFrame, features: Sequence[str], target: str, C: fl
     return FittedModel("svm_linear", list(features), ml_model=svc.fit(_assembled(train, features)))
 
 
+def fourier_draws(k: int, n_components: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Directions (standard normal) and phases of the random Fourier features."""
+    rng = np.random.default_rng(seed)
+    return rng.normal(size=(k, n_components)), rng.uniform(0.0, 2 * np.pi, size=n_components)
+
+
 def fourier_map(features: Sequence[str], gamma: float, n_components: int, seed: int = SEED):
     """z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi), as a
     ``mapInPandas`` transform (NumPy on Arrow batches)."""
-    rng = np.random.default_rng(seed)
-    k = len(features)
-    W = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(k, n_components))
-    b = rng.uniform(0.0, 2 * np.pi, size=n_components)
+    W, b = fourier_draws(len(features), n_components, seed)
+    W = np.sqrt(2.0 * gamma) * W
     names = [f"rff_{i}" for i in range(n_components)]
     feats = list(features)
 

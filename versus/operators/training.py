@@ -15,7 +15,7 @@ import math
 import time
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import MIN_ACCURACY_DROP, MIN_ROC_AUC_DROP, SEED
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
+from . import manyfit as MF
 from . import models as M
 from ..sources.io import read_existing
 from .boosting import Boosted
 from .clean import drop_by_pattern
 from .evaluate import classification_metrics
+from .ordered import ordered_rank
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "brier_score", "log_loss")
 
@@ -64,6 +66,8 @@ SEARCH_SPACES = {
     "svm_linear": {"C": ("float", 0.001, 100.0, None, True)},
     "svm_rbf": {"C": ("float", 0.001, 100.0, None, True), "gamma": ("float", 0.0001, 10.0, None, True)},
 }
+#: Models that ``manyfit`` fits side by side.
+LINEAR = ("logistic_regression", "svm_linear", "svm_rbf")
 # fixed values: models and trials of a full search, and the learning curve's shares of the training rows
 TUNED_MODELS = ("random_forest", "svm_rbf", "xgboost", "lightgbm")
 TRIALS = 30
@@ -223,6 +227,26 @@ def evaluation_summary(metrics: DataFrame, model_name: str, split: str = "test")
 
 
 # ---------------------------------------------------------------- tuning
+def trial_bounds(frame: DataFrame, trials: DataFrame, model_name: str, split_col: str = "split") -> DataFrame:
+    """Trials with what they can use of the training rows of ``frame``: the rows a tree draws and the
+    leaves it can have at most, by its leaf size, depth and leaf budget (#153)."""
+    rows = frame.where(F.col(split_col) == "train").agg(F.count(F.lit(1)).alias("train_rows"))
+    out = with_one_row(trials, rows)
+    space = SEARCH_SPACES[model_name]
+    drawn = F.floor(F.col("train_rows") * (F.col("subsample") if "subsample" in space else F.lit(1.0)) + 0.5).cast("bigint")
+    bounds = [F.col("train_rows"), F.pow(F.lit(2.0), F.col("max_depth")) if "max_depth" in space else F.col("num_leaves").cast("double")]
+    least = next((c for c in ("min_samples_leaf", "min_child_samples") if c in space), None)
+    if least:
+        bounds.append(F.floor(F.col("tree_rows") / F.col(least)))
+    return out.withColumn("tree_rows", drawn).withColumn("most_leaves", F.least(*[b.cast("bigint") for b in bounds])).drop("train_rows")
+
+
+def with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
+    """The columns of a one-row frame beside every row, as literals (one job, no join)."""
+    row = one.first()
+    return df.select("*", *[F.lit(row[c]).alias(c) for c in one.columns])
+
+
 def sample_trials(spark: SparkSession, model_name: str, n_trials: int, seed: int = SEED) -> DataFrame:
     """Seeded random-search trial table: one row per trial, one column per
     parameter, values from md5 uniforms (#153)."""
@@ -259,26 +283,54 @@ def tune_models(frame: DataFrame, models: Sequence[str] = TUNED_MODELS, n_trials
     return max(runs, key=lambda r: r["best_value"])
 
 
+def _spec(model_name: str, params: dict) -> MF.Spec:
+    """The linear model behind a trial."""
+    if model_name == "logistic_regression":
+        return MF.Spec(C=params.get("C", 1.0), balanced=True)
+    return MF.Spec(C=params.get("C", 1.0), loss="hinge", gamma=params.get("gamma"))
+
+
+def trial_objectives(frame: DataFrame, model_name: str, trials: Sequence[dict], target: str = "win",
+                     features: Sequence[str] | None = None) -> DataFrame:
+    """Validation metric of every trial of a linear model (#154): all are fitted in one scan an iteration
+    and scored in one pass.  Returns (trial, params, value), ``value`` as in ``holdout_objective``."""
+    spark = frame.sparkSession
+    feats = list(features) if features is not None else M.extract_xy(frame, target, exclude=("split",))
+    params = [{k: v for k, v in t.items() if k != "trial"} for t in trials]
+    specs = [_spec(model_name, p) for p in params]
+    rows = MF.store(frame.where(F.col("split") == "train"), feats, target)
+    models, _ = MF.fit_many(rows, specs)
+    scored = MF.scores(frame.where(F.col("split") == "val"), rows, specs, models, target)
+    by_model = classification_metrics(scored, target, "pred", "score", group=["model"])
+    # a row a trial: the budget, not the data
+    names = spark.createDataFrame([(j, int(t["trial"]), json.dumps(p, sort_keys=True)) for j, (t, p) in enumerate(zip(trials, params))], "model int, trial bigint, params string")
+    return names.join(by_model, "model", "left").select("trial", "params", F.coalesce("roc_auc", "f1").alias("value"))
+
+
 def tuning_run(frame: DataFrame, model_name: str, n_trials: int = TRIALS, target: str = "win",
                log_path: str | None = None, features: Sequence[str] | None = None) -> dict:
     """Budgeted random search with resume: trials already in the log are
     skipped (left-anti on trial number); best = max_by over the log; refit with
-    the best parameters and score test once (#156)."""
+    the best parameters and score test once (#156).  The trials of a linear model share their
+    scans (``trial_objectives``)."""
     spark = frame.sparkSession
     trials = sample_trials(spark, model_name, n_trials)
     done = None
     if log_path:
         done = read_existing(spark, log_path)
     todo = trials.join(done.select("trial"), "trial", "left_anti") if done is not None else trials
-    params = list(SEARCH_SPACES[model_name])
-    for row in todo.orderBy("trial").collect():  # n_trials rows: the budget, not the data
-        p = {k: row[k] for k in params}
-        value = holdout_objective(frame, model_name, p, target, features)
-        rec = spark.createDataFrame([(int(row["trial"]), json.dumps(p), float(value))],
-                                    "trial bigint, params string, value double")
+    rows = [r.asDict() for r in todo.orderBy("trial").collect()]  # n_trials rows: the budget, not the data
+    if model_name in LINEAR:
+        batches = [trial_objectives(frame, model_name, rows, target, features)] if rows else []
+    else:
+        batches = (spark.createDataFrame([(int(r["trial"]), json.dumps({k: v for k, v in r.items() if k != "trial"}, sort_keys=True),
+                                           holdout_objective(frame, model_name, {k: v for k, v in r.items() if k != "trial"}, target, features))],
+                                         "trial bigint, params string, value double") for r in rows)
+    for found in batches:
+        found = cut_lineage(found)
         if log_path:
-            rec.write.mode("append").parquet(log_path)
-        done = rec if done is None else done.unionByName(rec)
+            found.write.mode("append").parquet(log_path)
+        done = found if done is None else done.unionByName(found)
     best = done.agg(F.max_by("params", "value").alias("params"), F.max("value").alias("value")).first()
     best_params = json.loads(best["params"])
     final = train_run(frame, model_name, target, features=features, **best_params)
@@ -321,19 +373,30 @@ def ablation_progressive(frame: DataFrame, model_name: str, target: str = "win",
 
 
 def learning_curve(frame: DataFrame, model_name: str, fractions: Sequence[float] = CURVE_FRACTIONS,
-                   target: str = "win", id_cols: Sequence[str] = ("matchid", "teamid"), **params) -> DataFrame:
+                   target: str = "win", id_cols: Sequence[str] = ("matchid", "teamid"), minimum: int = 64, **params) -> DataFrame:
     """For each fraction: fit on max(64, n*f) lowest-hash training rows (nested
-    samples), report train and validation error (#123)."""
-    from .split import nested_fraction
+    samples), report train and validation error (#123).  Rows are ranked once; the models of a
+    linear family are fitted and judged in shared scans, others one after the other."""
+    from .split import hash_unit
     spark = frame.sparkSession
     feats = M.extract_xy(frame, target, id_cols, ("split",))
-    train = frame.where(F.col("split") == "train")
+    train = frame.where(F.col("split") == "train").withColumn("_h", hash_unit(*id_cols, seed=SEED))
+    ranked = cut_lineage(ordered_rank(train, ["_h", *id_cols], name="_rank").drop("_h"))
+    n = ranked.count()
+    limits = [min(n, max(minimum, int(n * f))) for f in fractions]
     val = frame.where(F.col("split") == "val")
-    rows = []
-    for f in fractions:
-        sub = nested_fraction(train, f, id_cols)
-        model = M.fit(model_name, sub, feats, target, **params)
-        m_tr = classification_metrics(model.score(sub, [target]), target, "pred", None).first()
-        m_va = classification_metrics(model.score(val, [target]), target, "pred", None).first()
-        rows.append((float(f), sub.count(), 1 - m_tr["accuracy"], 1 - m_va["accuracy"]))
+    if model_name in LINEAR and params.get("gamma") != "scale":
+        both = ranked.withColumn("_use", F.lit(1)).unionByName(val.withColumn("_rank", F.lit(0)).withColumn("_use", F.lit(0)))
+        stored = MF.store(both, feats, target, F.col("_use"), F.col("_rank"))
+        specs = [replace(_spec(model_name, params), limit=limit) for limit in limits]
+        models, _ = MF.fit_many(stored, specs)
+        rows = [(float(f), int(a), wrong / max(a, 1.0), other / max(b, 1.0)) for f, (a, wrong, b, other) in zip(fractions, MF.errors(stored, specs, models))]
+    else:
+        rows = []
+        for f, limit in zip(fractions, limits):
+            sub = ranked.where(F.col("_rank") < limit).drop("_rank")
+            model = M.fit(model_name, sub, feats, target, **params)
+            m_tr = classification_metrics(model.score(sub, [target]), target, "pred", None).first()
+            m_va = classification_metrics(model.score(val, [target]), target, "pred", None).first()
+            rows.append((float(f), limit, 1 - m_tr["accuracy"], 1 - m_va["accuracy"]))
     return spark.createDataFrame(rows, "fraction double, rows bigint, train_error double, val_error double")

@@ -223,19 +223,39 @@ def _trial_sql(model: str, n: int) -> str:
             cols.append(f"CAST({v} AS BIGINT) AS {name}")
         else:
             cols.append(f"ROUND({v}, 6) AS {name}")
-    return f"SELECT trial, {', '.join(cols)} FROM range(0, {n}) t(trial)"
+    space = TR.SEARCH_SPACES[model]
+    drawn = f"CAST(FLOOR(n * {'subsample_' if 'subsample' in space else '1.0'} + 0.5) AS BIGINT)"
+    bounds = ["n", "CAST(POWER(2, max_depth) AS BIGINT)"] + ([f"CAST(FLOOR({drawn} / min_samples_leaf) AS BIGINT)"] if "min_samples_leaf" in space else [])
+    raw = [c if " AS subsample" not in c else c + ", " + c.replace("ROUND(", "", 1).replace(", 6) AS subsample", " AS subsample_") for c in cols]
+    out = ", ".join(space)
+    return with_fixture(POST + f""", tr AS (SELECT COUNT(*) AS n FROM cleaned WHERE {TRAIN}),
+t AS (SELECT trial, n, {', '.join(raw)} FROM range(0, {n}) t(trial), tr)
+SELECT trial, {out}, {drawn} AS tree_rows, LEAST({', '.join(bounds)}) AS most_leaves FROM t""")
+
+
+def _trials(spark, sf, model):
+    frame = SP.split_grouped(stage_cleaned(spark, sf))
+    return round_doubles(TR.trial_bounds(frame, TR.sample_trials(spark, model, 30), model))
 
 
 @query("sample_trials", _trial_sql("random_forest", 30))
 def q_sample_trials(spark, sf):
-    """Seeded random-search trials for the forest search space (#153)."""
-    return round_doubles(TR.sample_trials(spark, "random_forest", 30))
+    """Seeded random-search trials for the forest search space, with what each can use of the
+    training rows (#153)."""
+    return _trials(spark, sf, "random_forest")
 
 
 @query("sample_trials_log", _trial_sql("xgboost", 30))
 def q_sample_trials_log(spark, sf):
     """Trials with a log-uniform float and stepped ints (#153)."""
-    return round_doubles(TR.sample_trials(spark, "xgboost", 30))
+    return _trials(spark, sf, "xgboost")
+
+
+@query("linear_trials")
+def q_linear_trials(spark, sf):
+    """Thirty trials of the linear SVM with their validation metric, fitted in shared scans (#153, #154)."""
+    trials = [r.asDict() for r in TR.sample_trials(spark, "svm_linear", TR.TRIALS).orderBy("trial").collect()]
+    return TR.trial_objectives(processed(spark, sf)[0], "svm_linear", trials)
 
 
 @query("holdout_objective")
@@ -247,11 +267,11 @@ def q_holdout_objective(spark, sf):
 
 @query("tuning_run")
 def q_tuning_run(spark, sf):
-    """The full number of trials on the linear SVM with a resumable trial log; best refit
-    scored on test (#156). ``TR.tune_models`` runs them on all models."""
+    """The full number of trials on the kernel SVM, one of the tuned models, with a resumable
+    trial log; best refit scored on test (#156). ``TR.tune_models`` runs them on all models."""
     frame = processed(spark, sf)[0]
     log = f"{TR.artifact_root(spark)}/trials/{uuid.uuid4().hex[:12]}"
-    out = TR.tuning_run(frame, "svm_linear", log_path=log)
+    out = TR.tuning_run(frame, "svm_rbf", log_path=log)
     return spark.createDataFrame([(out["model"], int(out["trials"]), json.dumps(out["best_params"]),
                                    float(out["best_value"]))], "model string, trials bigint, best_params string, best_value double")
 
