@@ -14,6 +14,7 @@ from versus.operators import encoders as EN
 from versus.operators import evaluate as EV
 from versus.operators import relational as R
 from versus.operators import split as SP
+from versus.operators import stats as ST
 from versus.operators.ordered import exact_quantiles, ordered_prefix, ordered_rank
 
 
@@ -199,6 +200,8 @@ def test_category_codes_unseen_minus_one(spark):
     ({0: 500}, 7, {0: 7}),                         # a single class
     ({0: 3, 1: 3, 2: 3}, 8, {0: 3, 1: 3, 2: 2}),   # what the floors leave goes by room
     ({0: 50, None: 50}, 10, {0: 5, None: 5}),      # a NULL class is a class
+    ({0: 1000, 1: 3000, **{i: 1 for i in range(2, 52)}}, 100, {0: 24, 1: 26, **{i: 1 for i in range(2, 52)}}),  # the cap holds
+    ({0: 3, 1: 2, 2: 2, 3: 1}, 3, {0: 1, 1: 1, 2: 1, 3: 0}),  # more classes than the cap
 ])
 def test_class_quotas(spark, counts, cap, want):
     df = spark.createDataFrame(list(counts.items()), "y int, count long")
@@ -293,3 +296,17 @@ def test_group_rank_hot_group_matches_window(spark):
     exp = df.withColumn("e", F.row_number().over(Window.partitionBy("g").orderBy("a", "b")))
     j = got.join(exp, ["g", "a", "b"])
     assert j.count() == 3000 and j.where("r != e").count() == 0
+
+
+def test_kde_by_cells_equals_the_sum_over_all_values(spark):
+    rng = np.random.default_rng(8)
+    x = {"a": rng.normal(5, 2, 3000), "b": np.r_[rng.exponential(1.0, 500), 40.0], "one": np.array([3.0, 3.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in x.items() for v in vs] + [("a", None)], "g string, x double")
+    got = ST.kde_grid(df, "x", "g").toPandas()
+    for g in ("a", "b"):
+        v, part = x[g], got[got.g == g].sort_values("i")
+        bw = v.std(ddof=1) * len(v) ** -0.2
+        grid = np.linspace(v.min() - 3 * bw, v.max() + 3 * bw, 200)
+        want = np.exp(-0.5 * ((grid[:, None] - v) / bw) ** 2).sum(axis=1) / (bw * np.sqrt(2 * np.pi) * len(v))
+        assert np.allclose(part.grid, grid) and np.abs(part.density - want).max() < 1e-5 * want.max()
+    assert got[got.g == "one"].density.isna().all() and len(got) == 600

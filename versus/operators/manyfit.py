@@ -28,7 +28,7 @@ from ..session import cut_lineage
 from .models import FittedModel, fourier_draws, fourier_map
 
 DRIVER_PARTS = 32        # up to so many partial sums a model are added by the driver, more by Spark
-ROWS_PER_PART = 200_000
+CELLS_PER_PART = 25_000_000  # rows of a part times the columns that all models see of a row
 _PACKED = "x binary, y binary, rank binary, use binary"
 _SUMS = "model int, v binary"
 
@@ -55,9 +55,13 @@ class Rows:
     seed: int = SEED
 
 
-def store(frame: DataFrame, features: Sequence[str], target: str, use: Column | None = None, rank: Column | None = None, seed: int = SEED) -> Rows:
-    """Pack the rows, an Arrow batch a block; NULL features count as 0 (as in every linear model here)."""
+def store(frame: DataFrame, features: Sequence[str], target: str, use: Column | None = None, rank: Column | None = None,
+          specs: Sequence[Spec] = (), seed: int = SEED) -> Rows:
+    """Pack the rows, an Arrow batch a block; NULL features count as 0 (as in every linear model here).
+    ``specs``, if known, bound the work of a part."""
     k = len(features)
+    width = sum(k if s.gamma is None else s.n_components for s in specs) or k
+    rows_per_part = max(1000, CELLS_PER_PART // max(width, 1))
     src = frame.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"f{i}") for i, c in enumerate(features)],
                        F.col(target).cast("double").alias("y"), (F.lit(0) if rank is None else rank).cast("long").alias("rank"),
                        (F.lit(1) if use is None else use.cast("int")).alias("use"))
@@ -70,7 +74,7 @@ def store(frame: DataFrame, features: Sequence[str], target: str, use: Column |
                 yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], names=["x", "y", "rank", "use"])
 
     n = frame.count()
-    blocks = cut_lineage(src.coalesce(max(1, -(-n // ROWS_PER_PART))).mapInArrow(pack, _PACKED))
+    blocks = cut_lineage(src.coalesce(max(1, -(-n // rows_per_part))).mapInArrow(pack, _PACKED))
     return Rows(blocks, list(features), blocks.rdd.getNumPartitions(), seed)
 
 

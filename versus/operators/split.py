@@ -49,22 +49,46 @@ def split_stratified(df: DataFrame, target: str, id_cols: Sequence[str], test_si
 
 
 def class_quotas(counts: DataFrame, target: str, cap: int, count: str = "count") -> DataFrame:
-    """(target, quota) for a sample of ``cap`` rows from one row per class.
-
-    Every class starts with the floor of its share, one row at least. What that
-    leaves of the cap goes one row each to the classes by falling room; what it
-    takes beyond the cap is taken back one row each by falling quota. A single
-    class, or a NULL class, is a class like any other.
+    """(target, quota) for a sample of exactly min(``cap``, rows) rows from one row per class.
+
+    Every class starts with the floor of its share, one row at least. What that leaves of the cap
+    goes in whole rounds of one row to every class with room, least room first to run out; what
+    it takes beyond the cap comes off the largest quotas, down to a common level of at least
+    one row. With more classes than the cap the classes with the most rows keep one row each. A
+    single class, or a NULL class, is a class like any other. The table has a row a class; it is
+    ordered in one task.
     """
     whole, n = Window.partitionBy(), F.col(count)
-    base = counts.select(target, n, F.greatest(F.lit(1), F.floor(n * cap / F.sum(n).over(whole))).alias("_base"))
-    by_room = Window.orderBy((n - F.col("_base")).desc(), F.col(target).asc_nulls_last())
-    by_size = Window.orderBy(F.col("_base").desc(), F.col(target).asc_nulls_last())
-    free = F.lit(cap) - F.sum("_base").over(whole)
-    ranked = base.select("*", free.alias("_free"), F.row_number().over(by_room).alias("_room"), F.row_number().over(by_size).alias("_size"))
-    step = (F.when(F.col("_room") <= F.col("_free"), 1)
-            .when((F.col("_size") <= -F.col("_free")) & (F.col("_base") > 1), -1).otherwise(0))
-    return ranked.select(target, F.least(n, F.col("_base") + step).alias("quota"))
+    base = counts.select(target, n.alias("_n"), F.greatest(F.lit(1), F.floor(n * cap / F.sum(n).over(whole))).alias("_base"))
+    base = base.select("*", (F.lit(cap) - F.sum("_base").over(whole)).alias("_free"), F.count(F.lit(1)).over(whole).alias("_k"))
+
+    # taking back: the level L with sum(min(quota, L)) = cap, the rest one row each above it
+    rising = Window.orderBy("_base", F.col(target).asc_nulls_last())
+    up_to = rising.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    place = F.row_number().over(rising)
+    kept = base.select("*", F.sum("_base").over(up_to).alias("_sum"), place.alias("_i"))
+    # quotas of place 1..i stay whole while cutting all later ones to this one's level still exceeds no cap
+    kept = kept.withColumn("_stays", F.col("_sum") + (F.col("_k") - F.col("_i")) * F.col("_base") <= cap)
+    kept = kept.select("*", F.sum(F.when(F.col("_stays"), F.col("_base"))).over(whole).alias("_whole"), F.count_if("_stays").over(whole).alias("_m"))
+    spread = F.col("_k") - F.col("_m")
+    rest = F.lit(cap) - F.coalesce("_whole", F.lit(0))
+    level = F.floor(rest / spread)
+    by_size = F.row_number().over(Window.partitionBy("_stays").orderBy(F.col("_n").desc(), F.col(target).asc_nulls_last()))
+    cut = F.when(F.col("_stays"), F.col("_base")).otherwise(level + (by_size <= rest - level * spread).cast("bigint"))
+
+    # giving: the same by room
+    room = F.col("_n") - F.col("_base")
+    kept = kept.withColumn("_room", room).withColumn("_cut", cut)
+    by_room = Window.orderBy("_room", F.col(target).asc_nulls_last())
+    given = kept.select("*", F.sum("_room").over(by_room.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_rsum"),
+                        F.row_number().over(by_room).alias("_ri"))
+    given = given.withColumn("_full", F.col("_rsum") + (F.col("_k") - F.col("_ri")) * F.col("_room") <= F.col("_free"))
+    given = given.select("*", F.sum(F.when(F.col("_full"), F.col("_room"))).over(whole).alias("_filled"), F.count_if("_full").over(whole).alias("_rm"))
+    rspread, rrest = F.col("_k") - F.col("_rm"), F.col("_free") - F.coalesce("_filled", F.lit(0))
+    rounds = F.floor(rrest / rspread)
+    extra = F.row_number().over(Window.partitionBy("_full").orderBy(F.col("_room").desc(), F.col(target).asc_nulls_last())) <= rrest - rounds * rspread
+    more = F.when(F.col("_full"), F.col("_room")).otherwise(rounds + extra.cast("bigint"))
+    return given.select(target, F.when(F.col("_free") < 0, F.col("_cut")).otherwise(F.least(F.col("_n"), F.col("_base") + more)).cast("bigint").alias("quota"))
 
 
 def stratified_cap(df: DataFrame, target: str, id_cols: Sequence[str], cap: int | None,

@@ -112,28 +112,41 @@ def box_stats(df: DataFrame, column: str, group: str) -> DataFrame:
     return wide.join(whisk, "feature").withColumnRenamed("feature", group)
 
 
-def kde_grid(df: DataFrame, column: str, group: str, gridsize: int = 200, cut: float = 3.0) -> DataFrame:
+def kde_grid(df: DataFrame, column: str, group: str, gridsize: int = 200, cut: float = 3.0, cells_per_bandwidth: int = 200,
+             reach: float = 8.5) -> DataFrame:
     """Gaussian KDE per group on an even grid, Scott bandwidth n^(-1/5) * std (#58).
 
-    Values are pre-aggregated per (group, distinct value); every distinct value
-    contributes to the fixed-size grid (explode of ``gridsize`` points, summed
-    map-side), so the work is linear in distinct values.
+    Linear binning: a value gives its weight to the two ends of its cell, in proportion, and
+    only cells meet the grid, each the points within ``reach`` bandwidths (beyond, a kernel is
+    below 1e-15 of its peak). With cells of a 200th of the bandwidth the density is off by at
+    most 1 / (8 * 200^2), 3e-6, of a kernel's peak. The cells number range / bandwidth * 200,
+    which grows with n^(1/5); rows and distinct values do not matter beyond the one aggregate.
+    A group without spread has NULL densities.
     """
     base = df.select(F.col(group).alias("g"), F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
     stats = base.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
                                   F.min("x").alias("mn"), F.max("x").alias("mx"))
     stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     stats = stats.withColumn("lo", F.col("mn") - cut * F.col("bw")).withColumn("hi", F.col("mx") + cut * F.col("bw"))
-    counted = base.groupBy("g", "x").agg(F.count(F.lit(1)).alias("c"))
-    j = with_small(counted, stats, "g")
-    step = (F.col("hi") - F.col("lo")) / (gridsize - 1)
-    pts = j.select("g", "x", "c", "n", "bw", "lo", step.alias("step"),
-                   F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("i"))
-    grid = F.col("lo") + F.col("i") * F.col("step")
-    z = (grid - F.col("x")) / F.col("bw")
-    dens = F.col("c") * F.exp(-0.5 * z * z) / (F.col("bw") * math.sqrt(2 * math.pi))
-    return pts.groupBy(F.col("g").alias(group), "i").agg(
-        F.max(grid).alias("grid"), (F.sum(dens) / F.max("n")).alias("density"))
+    stats = cut_lineage(stats.withColumn("step", (F.col("hi") - F.col("lo")) / (gridsize - 1)).select("g", "n", "bw", "lo", "mn", "step"))  # a row a group
+    width = F.col("bw") / cells_per_bandwidth
+    placed = with_small(base.where(F.col("g").isNotNull()), stats.where(F.col("bw") > 0).drop("n"), "g")
+    placed = placed.withColumn("_p", (F.col("x") - F.col("mn")) / width).withColumn("_c", F.floor("_p").cast("bigint"))
+    share = F.col("_p") - F.col("_c")
+    # the weights of a cell's two ends by cell first, so that rows are not doubled
+    cells = placed.groupBy("g", "_c").agg(F.count(F.lit(1)).cast("double").alias("_n"), F.sum(share).alias("_s"))
+    ends = F.array(F.struct(F.col("_c").alias("c"), (F.col("_n") - F.col("_s")).alias("w")), F.struct((F.col("_c") + 1).alias("c"), F.col("_s").alias("w")))
+    cells = cells.select("g", F.explode(ends).alias("e")).groupBy("g", "e.c").agg(F.sum("e.w").alias("w"))
+    near = with_small(cells, stats, "g").withColumn("x", F.col("mn") + F.col("c") * width)
+    first = F.greatest(F.lit(0), F.ceil((F.col("x") - reach * F.col("bw") - F.col("lo")) / F.col("step")))
+    last = F.least(F.lit(gridsize - 1), F.floor((F.col("x") + reach * F.col("bw") - F.col("lo")) / F.col("step")))
+    near = near.where(first <= last).select("g", "x", "w", "bw", "lo", "step", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("i"))
+    z = (F.col("lo") + F.col("i") * F.col("step") - F.col("x")) / F.col("bw")
+    sums = near.groupBy(F.col("g").alias("_g"), F.col("i").alias("_i")).agg(F.sum(F.col("w") * F.exp(-0.5 * z * z) / (F.col("bw") * math.sqrt(2 * math.pi))).alias("_d"))
+    points = stats.select("*", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("i"))
+    out = points.join(sums, F.col("g").eqNullSafe(F.col("_g")) & (F.col("i") == F.col("_i")), "left")
+    density = F.when(F.col("bw") > 0, F.coalesce("_d", F.lit(0.0)) / F.col("n"))
+    return out.select(F.col("g").alias(group), "i", (F.col("lo") + F.col("i") * F.col("step")).alias("grid"), density.alias("density"))
 
 
 def schema_profile(df: DataFrame, samples: int = 3) -> DataFrame:

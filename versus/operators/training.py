@@ -298,7 +298,7 @@ def trial_objectives(frame: DataFrame, model_name: str, trials: Sequence[dict],
     feats = list(features) if features is not None else M.extract_xy(frame, target, exclude=("split",))
     params = [{k: v for k, v in t.items() if k != "trial"} for t in trials]
     specs = [_spec(model_name, p) for p in params]
-    rows = MF.store(frame.where(F.col("split") == "train"), feats, target)
+    rows = MF.store(frame.where(F.col("split") == "train"), feats, target, specs=specs)
     models, _ = MF.fit_many(rows, specs)
     scored = MF.scores(frame.where(F.col("split") == "val"), rows, specs, models, target)
     by_model = classification_metrics(scored, target, "pred", "score", group=["model"])
@@ -387,8 +387,8 @@ def learning_curve(frame: DataFrame, model_name: str, fractions: Sequence[float]
     val = frame.where(F.col("split") == "val")
     if model_name in LINEAR and params.get("gamma") != "scale":
         both = ranked.withColumn("_use", F.lit(1)).unionByName(val.withColumn("_rank", F.lit(0)).withColumn("_use", F.lit(0)))
-        stored = MF.store(both, feats, target, F.col("_use"), F.col("_rank"))
         specs = [replace(_spec(model_name, params), limit=limit) for limit in limits]
+        stored = MF.store(both, feats, target, F.col("_use"), F.col("_rank"), specs)
         models, _ = MF.fit_many(stored, specs)
         rows = [(float(f), int(a), wrong / max(a, 1.0), other / max(b, 1.0)) for f, (a, wrong, b, other) in zip(fractions, MF.errors(stored, specs, models))]
     else:

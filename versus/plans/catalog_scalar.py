@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..constants import SIDES as SIDE_IDS
 from ..functions import scalars as S
 from ..operators import clean as C
 from ..operators import relational as R
@@ -88,10 +89,10 @@ def q_drop_null_keys(spark, sf):
     return C.drop_null_keys(tables(spark, sf)["participants"].select("id", "player", "role"), ["id", "role"])
 
 
-@query("valid_side_filter", with_fixture(PM + " SELECT id, teamid FROM pm WHERE teamid IN (100)"))
+@query("valid_side_filter", with_fixture(PM + " SELECT id, teamid FROM pm WHERE teamid IN (100, 200)"))
 def q_valid_side_filter(spark, sf):
     m = stage_members(spark, sf).select("id", "teamid")
-    return C.valid_side_filter(m, [100])
+    return C.valid_side_filter(m, SIDE_IDS)
 
 
 @query("safe_ratio", """
