@@ -77,11 +77,6 @@ class Vocabulary:
             out[i] = 0.0 if 0x80 <= byte < 0xC0 else self.unknown
         return out
 
-    def forget(self) -> None:
-        """Give back what is remembered; at the end of a task, as its process lives on."""
-        self._memo, self._older = {}, {}
-        release()
-
     # ---- stretches ----
 
     def byte_ids(self, char: str) -> list[int]:
@@ -182,8 +177,13 @@ class Vocabulary:
 
     def check(self, part: int, ids: np.ndarray) -> tuple[int, int]:
         """Characters and checksum of the text that ids decode to."""
-        text = self.part_text(part, ids.tolist())
-        return len(text), zlib.crc32(text.encode())
+        raw = self.decode(ids.tolist())
+        raw = raw[1:] if part == 0 else raw
+        try:
+            return len(raw.decode()), zlib.crc32(raw)
+        except UnicodeDecodeError:
+            text = self.part_text(part, ids.tolist())
+            return len(text), zlib.crc32(text.encode())
 
     # ---- chunks ----
 
@@ -318,7 +318,7 @@ def _giant_states(chunks: DataFrame, path: str, k: int) -> DataFrame:
             for key, part, size, s in zip(*(c.to_pylist() for c in batch.columns)):
                 m = vocab.transfer(s, size).ravel()
                 yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([part], pa.int32()), pa.array([m.tolist()], pa.list_(pa.float64()))], ["key", "at", "m"])
-        vocab.forget()
+        release()
 
     shape = "key string, at int, m array<double>"
     levels = [cut_lineage(chunks.select("key", "part", "size", "piece").mapInArrow(transfers, shape))]
@@ -375,13 +375,13 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         v = vocabulary(path)
         for batch in batches:
             yield from _listed(v, batch, verify)
-        v.forget()
+        release()
 
     shape = "part int, ids array<int>" + (", decoded_chars int, decoded_crc32 long" if verify else "")
     small = rows.filter(~giant).mapInArrow(whole, f"doc_id {dict(rows.dtypes)['doc_id']}, {shape}")
 
     # giant texts are known by their content: equal ones are encoded once
-    large = rows.filter(giant).withColumn("key", F.sha2("text", 256))
+    large = cut_lineage(rows.filter(giant).withColumn("key", F.sha2("text", 256)))
     # one text a key: duplicates are dropped by key before the texts are cut
     distinct = large.groupBy("key").agg(F.first("text").alias("text"))
     chunks = cut_lineage(_chunks(distinct, chunk, look))
@@ -398,7 +398,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
                     chars, crc = v.check(part, ids)
                     cols += [pa.array([chars], pa.int32()), pa.array([crc], pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols, ["key", *names])
-        v.forget()
+        release()
 
     names = [c.split()[0] for c in shape.split(", ")]
     encoded = placed.mapInArrow(between, f"key string, {shape}")
