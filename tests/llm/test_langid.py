@@ -55,13 +55,57 @@ def test_em_is_at_the_likelihood_maximum(model):
         assert like(q) < like(p)
 
 
-def test_mixture_and_batches_agree(model):
+def test_results_do_not_depend_on_the_batch(model):
     docs, m = model
-    texts = [r.text for r in docs.select("text").limit(60).collect()]
+    texts = [r.text for r in docs.select("text").limit(400).collect()]
+    texts += ["the and of that with " * 20 + "dans pour elle est une " * 20, "x", "", "é", texts[0] + texts[1]]
     together, _ = m.infer(texts)
     alone = np.concatenate([m.infer([t])[0] for t in texts])
-    assert np.abs(together - alone).max() < 0.05
-    assert (together.argmax(1) == alone.argmax(1)).all()
+    assert (together == alone).all()
+    backwards, _ = m.infer(texts[::-1])
+    assert (together == backwards[::-1]).all()
+
+
+def test_bounded_search_equals_every_set(model):
+    """The chosen set has the largest penalised likelihood of all nested sets."""
+    docs, m = model
+    texts = [r.text for r in docs.select("text").limit(40).collect()]
+    texts += [a + " " + b for a, b in zip(texts[::2], texts[1::2])]
+
+    def value(t, keep):
+        p = np.exp(m.logp[langid.trigrams(t)][:, keep])
+        pi = np.full(len(keep), 1 / len(keep))
+        for _ in range(300):
+            pi = (pi * p / (p @ pi)[:, None]).mean(axis=0)
+        return np.log(p @ pi).sum() - len(keep) * m.penalty * np.log(len(p) + 1), pi
+
+    shares, ok = m.infer(texts)
+    for t, s, good in zip(texts, shares, ok):
+        if good:
+            _, pi = value(t, list(range(len(m.langs))))
+            order = np.argsort(-pi, kind="stable")
+            best = max(value(t, list(order[:k]))[0] for k in range(1, len(m.langs) + 1))
+            assert value(t, list(np.flatnonzero(s)))[0] > best - 0.5
+
+
+def test_equal_languages_tie_to_the_first():
+    m = langid.LanguageModel(["aa", "bb"], np.full((langid.BUCKETS, 2), -np.log(langid.BUCKETS)))
+    (p,), _ = m.infer(["some words of either"])
+    assert p.tolist() == [1.0, 0.0]
+
+
+def test_sample_is_bounded_whatever_the_ids(spark, monkeypatch):
+    rows = [(i, f"the words of number {n} and that", "en") for n, i in enumerate([None] * 300 + [7] * 300)]
+    rows += [(None, f"les mots dans une page {n}", "fr") for n in range(300)] + [(9, "das ist ein Satz", "de")] * 500 + [(1, "nada", None), (2, None, "es")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    m = langid.fit(df, per_lang=50)
+    assert m.langs == ["de", "en", "fr"]
+    weight = 1 / np.exp(m.logp).min(axis=0)  # trigrams seen, in units of the smoothing
+    one = len(langid.trigrams("das ist ein Satz")) + langid.BUCKETS * 0.5
+    assert weight[0] * 0.5 == pytest.approx(one)  # the repeated text counts once
+    for i, text in ((1, "the words of number 100 and that"), (2, "les mots dans une page 100")):
+        read = (weight[i] * 0.5 - langid.BUCKETS * 0.5) / len(langid.trigrams(text))
+        assert 20 < read < 90
 
 
 SCHEMA = "doc_id long, text string, lang string, lang_pred int, score string"

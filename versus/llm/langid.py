@@ -8,7 +8,7 @@ largest log-likelihood less ``penalty * log(trigrams)`` for each language.  Afte
 Lui, Lau and Baldwin, "Automatic Detection and Language Identification of
 Multilingual Documents" (2014).
 
-At scale: fitting reads a bounded sample (``per_lang`` documents of a language);
+At scale: fitting reads a bounded sample (``per_lang`` texts of a language);
 the model is languages x ``BUCKETS`` numbers.  Prediction is one pass over the
 whole texts without a shuffle, vectorised over many documents at a time.
 """
@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, release, sized_batches, unit_hash
+from .common import crc_mod, release, sized_batches, unit_hash, with_small
 
 BUCKETS = 1 << 14
-#: Documents of each language that are fitted, about (chosen by a hash of the id).
+#: Documents of each language that are fitted, about (chosen by a hash of the text).
 PER_LANG = 4000
 UND = "und"
 
@@ -47,6 +47,23 @@ def has_letter(text: str | None) -> bool:
     return any(map(str.isalpha, text or ""))
 
 
+def _mixture(pi: np.ndarray, p: np.ndarray, c: np.ndarray, doc: np.ndarray, start: np.ndarray, total: np.ndarray,
+             rounds: int) -> np.ndarray:
+    """Weights (text x language) after expectation-maximisation; each text stops by its own change,
+    so that its result does not depend on the texts beside it."""
+    moving = np.ones(len(total), bool)
+    for _ in range(rounds):
+        joint = pi[doc] * p
+        joint *= (c / joint.sum(axis=1))[:, None]
+        new = np.add.reduceat(joint, start, axis=0) / total[:, None]
+        change = np.abs(new - pi).max(axis=1)
+        pi = np.where(moving[:, None], new, pi)
+        moving &= change >= 1e-3
+        if not moving.any():
+            break
+    return pi
+
+
 @dataclass
 class LanguageModel:
     """``logp``: trigram bucket x language, natural logarithms."""
@@ -57,7 +74,11 @@ class LanguageModel:
 
     def infer(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Proportions (text x language, zero outside the chosen set) and whether the
-        text has any letter; without letters the proportions are all zero."""
+        text has any letter; without letters the proportions are all zero.
+
+        Sets of every size are searched, for each text until the bound on its likelihood rules
+        larger ones out; of sets (or languages) that tie, the smaller (or first) is taken.
+        Equal texts get equal results whatever texts stand beside them."""
         n, m = len(texts), len(self.langs)
         out, ok = np.zeros((n, m)), np.array([has_letter(t) for t in texts], bool)
         if not m or not ok.any():
@@ -80,36 +101,38 @@ class LanguageModel:
         p = np.exp(logp - top)
         base = np.add.reduceat(c * top[:, 0], start)
 
-        def fit(pi: np.ndarray, p: np.ndarray, rounds: int) -> np.ndarray:
-            for _ in range(rounds):
-                joint = pi[doc] * p
-                joint *= (c / joint.sum(axis=1))[:, None]
-                new = np.add.reduceat(joint, start, axis=0) / total[:, None]
-                done = np.abs(new - pi).max() < 1e-3
-                pi = new
-                if done:
-                    break
-            return pi
-
-        full = fit(np.full((len(sizes), m), 1.0 / m), p, 12)
+        full = _mixture(np.full((len(sizes), m), 1.0 / m), p, c, doc, start, total, 12)
+        # no set of languages can have a likelihood above this one: weights q instead of full gain
+        # at most total * log(sum q * gain), by Jensen's inequality
+        mixed = np.maximum((full[doc] * p).sum(axis=1), 1e-300)
+        gain = np.add.reduceat(p * (c / mixed)[:, None], start, axis=0) / total[:, None]
+        bound = base + np.add.reduceat(c * np.log(mixed), start) + total * np.log(np.maximum(gain.max(axis=1), 1.0))
         order = np.argsort(-full, axis=1, kind="stable")
-        rows = np.arange(len(doc))
+        cost = self.penalty * np.log(total + 1)
         best = np.full(len(sizes), -np.inf)
         pick = np.zeros((len(sizes), m))
+        live = np.arange(len(sizes))  # texts for which a larger set may still be the best
         for k in range(1, m + 1):
-            langs = order[:, :k]
-            pk = np.take_along_axis(p, langs[doc], axis=1) if k < m else p[rows[:, None], langs[doc]]
-            start_pi = np.take_along_axis(full, langs, axis=1) + 1e-9
-            pi = fit(start_pi / start_pi.sum(axis=1, keepdims=True), pk, 8) if k > 1 else np.ones((len(sizes), 1))
-            like = base + np.add.reduceat(c * np.log((pi[doc] * pk).sum(axis=1) + 1e-300), start)
-            value = like - k * self.penalty * np.log(total + 1)
-            better = value > best
-            if not better.any():
+            if not len(live):
                 break
-            best = np.where(better, value, best)
-            at = np.flatnonzero(better)
+            rows = np.flatnonzero(np.isin(doc, live)) if len(live) < len(sizes) else np.arange(len(doc))
+            n_k = sizes[live]
+            start_k = np.cumsum(n_k) - n_k
+            doc_k = np.repeat(np.arange(len(live)), n_k)
+            langs = order[live, :k]
+            pk, ck = np.take_along_axis(p[rows], langs[doc_k], axis=1), c[rows]
+            pi = np.take_along_axis(full[live], langs, axis=1) + 1e-9
+            pi = pi / pi.sum(axis=1, keepdims=True)
+            if k > 1:
+                pi = _mixture(pi, pk, ck, doc_k, start_k, total[live], 8)
+            like = base[live] + np.add.reduceat(ck * np.log((pi[doc_k] * pk).sum(axis=1) + 1e-300), start_k)
+            value = like - k * cost[live]
+            better = value > best[live]
+            at = live[better]
+            best[at] = value[better]
             pick[at] = 0
-            np.put_along_axis(pick, langs, np.where(better[:, None], pi, np.take_along_axis(pick, langs, axis=1)), axis=1)
+            pick[at[:, None], langs[better]] = pi[better]
+            live = live[bound[live] - (k + 1) * cost[live] > best[live]]
         out[ok] = pick
         return out, ok
 
@@ -118,16 +141,16 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
         per_lang: int = PER_LANG, smooth: float = 0.5) -> LanguageModel:
     """Learn from the labelled rows of ``df`` (null labels and texts are skipped).
 
-    ``per_lang`` bounds the documents read of each language: a row is taken when a
-    hash of its id is under ``per_lang / rows of its language``.  No labelled row
-    gives a model without languages, which predicts ``und``.
+    ``per_lang`` bounds the texts read of each language: a text is taken, once however often
+    it repeats, when a hash of it is under ``per_lang / distinct texts of its language``; ids
+    play no part.  No labelled row gives a model without languages, which predicts ``und``.
+    The model on the driver has languages x ``BUCKETS`` numbers.
     """
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    rows = rows.filter(F.col("lang").isNotNull())
-    # one row a language
-    share = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    taken = (rows.filter(F.col("text").isNotNull()).join(F.broadcast(share), "lang")
-             .filter(unit_hash(F.col("doc_id"), seed=9) * F.col("n") < per_lang).select("lang", "text"))
+    rows = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = rows.withColumn("key", F.xxhash64("text"))
+    share = rows.groupBy("lang", "key").agg(F.lit(1).alias("one")).groupBy("lang").agg(F.count("*").alias("n"))
+    taken = (with_small(rows, share, ["lang"]).filter(unit_hash(F.col("key"), seed=9) * F.col("n") < per_lang)
+             .select("lang", "text").distinct())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
