@@ -3,7 +3,7 @@ import zlib
 
 import pytest
 
-from versus.llm import sharding
+from versus.llm import common, sharding
 from versus.llm.catalog import QUERIES
 
 
@@ -72,3 +72,10 @@ def test_edge_cases_and_a_hot_record(spark):
     assert [r.size for r in got if r.doc_id == 2] == [100_016]
     assert sorted(r.size for r in got if r.doc_id is None) == [16, 16]
     assert sharding.shard(spark.createDataFrame([], SCHEMA), 5).count() == 0
+
+
+def test_places_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(common.numbered, "__defaults__", (64,))
+    df = spark.createDataFrame([(7, "copy")] * 300 + [(i, "x" * (i % 9)) for i in range(500)] + [(None, None)] * 5, "doc_id long, text string")
+    got = [sorted((r.doc_id or -1, r.size, r.shard, r.slot) for r in sharding.shard(df.repartition(n), 5, n_slots=128).collect()) for n in (2, 5)]
+    assert got[0] == got[1] and len(got[0]) == 805

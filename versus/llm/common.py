@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ensure_checkpoint_dir, table_path
 
-__all__ = ["cut_lineage", "with_small", "read", "shared_folder", "long_array", "release", "small_batches", "id_text", "crc_mod", "unit_hash", "sized_batches"]
+__all__ = ["cut_lineage", "with_small", "numbered", "read", "shared_folder", "long_array", "release", "small_batches", "id_text", "crc_mod", "unit_hash", "sized_batches"]
 
 #: Documents are handed to NumPy in pieces of about this many characters, so that
 #: a task's working set does not follow the Arrow batch (10,000 rows of any length).
@@ -94,6 +94,22 @@ def with_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner
     return df.join(side, cond, how).drop(*[f"__{k}" for k in on])
 
 
+#: Equal rows that one row of counts stands for at a time.
+BLOCK = 10_000
+
+
+def numbered(counted: DataFrame, n: str, number: str, block: int = BLOCK) -> DataFrame:
+    """Each row of ``counted`` as many times as its column ``n`` says, numbered from 0 in the long
+    column ``number``.  Large counts are cut into blocks that are spread over all tasks first."""
+    counted = cut_lineage(counted)
+    at, size = "__block", F.lit(block).cast("long")
+    few = counted.filter(F.col(n) <= block).withColumn(at, F.lit(0).cast("long"))
+    many = counted.filter(F.col(n) > block).withColumn(at, F.explode(F.expr(f"sequence(0L, (`{n}` - 1) div {block}L)")))
+    both = few.unionByName(many.repartition(*counted.columns, at))
+    last = F.least(F.col(n), (F.col(at) + 1) * size) - 1
+    return both.withColumn(number, F.explode(F.sequence(F.col(at) * size, last))).drop(n, at)
+
+
 #: DuckDB SQL: the table of the CRC-32 as a CTE of one row, to be cross joined where ``crc_sql``
 #: gives the unsigned CRC-32 of an ASCII text.
 CRC_TABLE_SQL = """crc_table AS (SELECT list(c ORDER BY i) AS crc_t FROM (SELECT i,

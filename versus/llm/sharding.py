@@ -9,7 +9,7 @@ and only the records of the moved slots change their shard.  The law kept is
 
 At scale: texts are read once, for their length and checksum.  What is broadcast is
 the map, ``n_slots`` rows by construction.  A record that occurs many times over is
-salted, so that no slot grows with it; a row's place in its shard is its slot's offset
+salted by its number, so that no slot grows with it; a row's place in its shard is its slot's offset
 plus its place in the slot, never a window over a shard.
 """
 
@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, shared_folder, with_small
+from .common import cut_lineage, numbered, shared_folder
 
 SLOTS = 4096
 HEADER = 16
@@ -31,16 +31,17 @@ def records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_slo
     """``(doc_id, size, text_crc32, virtual_slot)``, one row per row of ``df``.
 
     ``size`` is the UTF-8 bytes of the text (null: none) plus ``HEADER``; a null text has
-    the checksum of the empty one.  Rows equal in id and checksum are salted.
+    the checksum of the empty one.  Rows equal in all three are salted with their number among
+    each other, so a record's slots do not depend on partitions or order; equal texts of
+    different ids lie in different slots.  They are counted before they move and numbered
+    from the count, in blocks (``common.numbered``), so no task holds a record that repeats without end.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + HEADER).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    rows = cut_lineage(rows)
-    again = rows.groupBy("doc_id", "text_crc32").count().filter("count > 1")
-    rows = with_small(rows, again, ["doc_id", "text_crc32"], "left")
-    salt = F.when(F.col("count").isNull(), F.lit(0)).otherwise(F.monotonically_increasing_id())
-    slot = F.pmod(F.xxhash64("doc_id", "text_crc32", salt), F.lit(n_slots)).cast("int")
-    return cut_lineage(rows.select("doc_id", "size", "text_crc32", slot.alias("virtual_slot")))
+    key = ["doc_id", "size", "text_crc32"]
+    rows = numbered(rows.groupBy(*key).agg(F.count("*").alias("n")), "n", "salt")
+    slot = F.pmod(F.xxhash64("doc_id", "text_crc32", "salt"), F.lit(n_slots)).cast("int")
+    return cut_lineage(rows.select(*key, slot.alias("virtual_slot")))
 
 
 def slot_sizes(rows: DataFrame) -> DataFrame:
