@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from tools.oracle_check import digest
-from versus.llm import mixing
+from versus.llm import common, mixing
 from versus.llm.catalog import ORACLE, QUERIES
 
 
@@ -102,3 +102,26 @@ def test_edge_cases(spark):
     assert mixing.mix(df.limit(0)).count() == 0
     blank = mixing.mix(df.filter("doc_id < 3")).collect()
     assert {(r.target, r.taken) for r in blank} == {(0.0, 0)}
+
+
+def test_repeated_rows_and_rows_without_ids_equal_sequential_sampling(spark, monkeypatch):
+    """Rows of one id share a key, the shorter first; equal rows are counted off in blocks."""
+    monkeypatch.setattr(common.numbered, "__defaults__", (64,))
+    rng = random.Random(5)
+    rows = [(7, "r " * 9, "a")] * 700 + [(None, "n " * rng.randint(0, 12), "a") for _ in range(400)]
+    rows += [(i, "w " * rng.randint(0, 30), rng.choice("ab")) for i in range(10, 300)] + [(i, "v " * 20, "b") for i in range(300, 900)]
+    rng.shuffle(rows)
+    out = [sorted((r.doc_id or -1, r.source, r.size, r.copies) for r in mixing.mix(
+        spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(n), bins=8).collect()) for n in (2, 5)]
+    assert out[0] == out[1]
+    want, words = [], {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in "ab"}
+    for name, target in zip("ab", reshare([words["a"], words["b"]], [5, 2], 3)):
+        epochs, before, order = int(target // words[name]), 0, []
+        for i, t, s in rows:
+            if s == name:
+                u = (int(hashlib.md5(f"{'' if i is None else i}:8".encode()).hexdigest()[:12], 16) + 0.5) / 2 ** 48
+                order.append((-math.log(u), -1 if i is None else i, len(t.split())))
+        for _, i, size in sorted(order):
+            want.append((i, name, size, epochs + int(size > 0 and before + size / 2 <= target - epochs * words[name])))
+            before += size
+    assert out[0] == sorted(want)

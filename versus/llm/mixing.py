@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, with_small
+from .common import cut_lineage, numbered, with_small
 
 WORD = r"[^\x20\x09-\x0D]+"
 CYCLE = (5, 2, 1)
@@ -69,31 +69,36 @@ def mix(df: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id",
 
     ``size`` counts words (null and empty texts: 0, taken 0); ``copies`` is how often the
     mix has the document, ``taken`` its words.  ``weights`` (``doc_id, weight``; missing
-    or null: 1) scale the keys.  A null source is a source; rows without an id share one
-    ``u``; equal rows are told apart in the order only by chance and are interchangeable.
+    or null: 1) scale the keys.  A null source is a source.  Rows without an id, and rows of
+    one id, share one key; of these, the shorter come first.  Rows equal in id, source and
+    size are interchangeable: they move as one row with their number, and are counted off
+    after their place in the running sum is known, so no repeated row makes a bin grow.
     """
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
+    rows = rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n"))
     if weights is not None:
         rows = rows.join(weights.select("doc_id", "weight"), "doc_id", "left")
     else:
         rows = rows.withColumn("weight", F.lit(1.0))
     key = -F.log(unit_md5(F.col("doc_id"), seed)) / F.coalesce("weight", F.lit(1.0))
     rows = rows.withColumn("key", key).withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * bins).cast("int"))
-    rows = cut_lineage(rows.select("doc_id", "source", "size", "key", "bin"))
+    rows = cut_lineage(rows.select("doc_id", "source", "size", "n", "key", "bin"))
 
-    sums = cut_lineage(rows.groupBy("source", "bin").agg(F.sum("size").alias("words")))
+    words = F.col("size") * F.col("n")
+    sums = cut_lineage(rows.groupBy("source", "bin").agg(F.sum(words).alias("words")))
     aims = targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), cycle, max_repeat)
     earlier = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("source", "bin", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
 
     inside = Window.partitionBy("source", "bin").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    rows = rows.withColumn("before", F.coalesce(F.sum(words).over(inside), F.lit(0)))
     rows = with_small(rows, offsets, ["source", "bin"])
     rows = with_small(rows, aims, ["source"])
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    rows = rows.select("doc_id", "source", "size", "n", "source_size", "target", epochs.alias("epochs"), (F.col("offset") + F.col("before")).alias("before"))
+    rows = numbered(rows, "n", "number")
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    middle = F.col("offset") + F.col("before") + F.col("size") / 2
-    rows = rows.withColumn("epochs", epochs)
+    middle = F.col("before") + F.col("number") * F.col("size") + F.col("size") / 2
     rows = rows.withColumn("copies", F.col("epochs") + F.when((F.col("size") > 0) & (middle <= rest), 1).otherwise(0))
     return rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
