@@ -20,11 +20,11 @@ from versus.llm.common import cut_lineage, read, shared_folder, small_batches
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents in which no language can be found: null texts and texts without a
-    letter (predicted ``und``).  Everything passes if no labelled row is there to learn from."""
+    letter (predicted ``und``), also if no labelled row is there to learn from."""
     small_batches(spark)
     model = langid.fit(langid.training_rows(docs))
     if not model.langs:
-        return docs
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = docs.withColumn("__lang", langid.predict_column(spark, model, F.col("text")))
     return found.filter(F.col("__lang.lang_pred") != langid.UND).drop("__lang")
 
