@@ -310,3 +310,23 @@ def test_kde_by_cells_equals_the_sum_over_all_values(spark):
         want = np.exp(-0.5 * ((grid[:, None] - v) / bw) ** 2).sum(axis=1) / (bw * np.sqrt(2 * np.pi) * len(v))
         assert np.allclose(part.grid, grid) and np.abs(part.density - want).max() < 1e-5 * want.max()
     assert got[got.g == "one"].density.isna().all() and len(got) == 600
+
+
+def test_lookup_many_sent_or_shuffled(spark, monkeypatch):
+    """The dictionary's way to the rows does not change them; NULL, unseen and repeated rows included."""
+    from versus.operators import relational as R
+    rows = [("a", "x", 1), ("b", None, 2), (None, "y", 3), ("a", "x", 1), ("unseen", "a", 4)]
+    df = spark.createDataFrame(rows, "p string, q string, n int")
+    words = spark.createDataFrame([("p", "a", 1.0), ("p", "b", 2.0), ("q", "x", 3.0), ("q", "a", 4.0), ("q", None, 9.0)],
+                                  "feature string, category string, value double")
+    asked = [R.Lookup("p", F.col("p"), "vp", -1.0), R.Lookup("q", F.col("q"), "vq", -2.0), R.Lookup("q", F.col("p"), "n", 0.5)]
+    want = sorted([("a", "x", 1.0, 3.0, 4.0), ("b", None, 2.0, -2.0, 0.5), (None, "y", -1.0, -2.0, 0.5),
+                   ("a", "x", 1.0, 3.0, 4.0), ("unseen", "a", -1.0, 4.0, 0.5)], key=str)
+    for limits in ((200_000, 64 << 20), (0, 64 << 20), (200_000, 0)):
+        monkeypatch.setattr(R, "BROADCAST_LOOKUP_ROWS", limits[0])
+        monkeypatch.setattr(R, "BROADCAST_LOOKUP_BYTES", limits[1])
+        out = R.lookup_many(df, asked, words)
+        assert out.columns == ["p", "q", "vp", "vq", "n"]
+        assert sorted(map(tuple, out.collect()), key=str) == want
+        assert R.lookup_many(df.limit(0), asked, words).count() == 0
+        assert {tuple(r) for r in R.lookup_many(df, asked, words.limit(0)).select("vp", "vq", "n").collect()} == {(-1.0, -2.0, 0.5)}

@@ -96,3 +96,13 @@ def test_stored_groups_are_not_shuffled(spark, key, tables):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert text.count("FileScan") == tables and text.count("SelectedBucketsCount") == tables
     assert "Exchange" not in text
+
+
+def test_all_encoders_meet_the_rows_in_one_dictionary(spark):
+    """One broadcast of one dictionary serves every column read (a second, of its keys alone, those that
+    the query does not read); only the opponent difference shuffles."""
+    text = final_plan(Q["pregame_features"](spark, SMALL))
+    made = [line for line in text.splitlines() if "Exchange" in line and "ReusedExchange" not in line]
+    assert sum("BroadcastExchange" in line for line in made) <= 2
+    assert sum("BroadcastExchange" not in line for line in made) == 1
+    assert "SortMergeJoin" not in text and "NestedLoop" not in text

@@ -1,28 +1,30 @@
 """Fitted encoders as artifact tables (#96-#100).
 
 Fitting is one aggregate over the training rows (columns unpivoted into
-(feature, category) so all encoders fit in one ``groupBy``). Applying is a
-left join per encoded column against the small artifact; AQE broadcasts it
-from its measured size and falls back to a shuffle join otherwise.
+(feature, category) so all encoders fit in one ``groupBy``). Applying
+(``encode_all``) puts all fitted tables into one dictionary, unique by
+construction, and meets it with ``lookup_many``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import ENCODER_CANDIDATES, TARGET, TE_SMOOTHING
 from .ordered import ordered_rank
-from .relational import lookup_with_default
+from .relational import Lookup, lookup_many
 from ..session import cut_lineage
 
 
 @dataclass
 class Encoding:
-    """A fitted lookup: long table (feature, category, value) plus defaults."""
+    """A fitted lookup: long table (feature, category, value) with unique keys, plus defaults."""
     table: DataFrame
     prior: float
     columns: list
@@ -62,12 +64,7 @@ def apply_encoding(df: DataFrame, enc: Encoding, suffix: str = "_winrate_te",
                    fallback: str = "champion_signal_prior") -> DataFrame:
     """``<col><suffix>`` per encoded column, unseen/NULL -> prior; when nothing
     was encoded a constant ``fallback`` column holds the prior (#98)."""
-    out = df
-    sizes = {r["feature"]: r["count"] for r in enc.table.groupBy("feature").count().collect()}  # one row per column
-    for c in enc.columns:
-        t = enc.table.where(F.col("feature") == c).select("category", "value")
-        out = lookup_with_default(out.withColumn("_cat", F.col(c).cast("string")), "_cat", t,
-                                  c + suffix, enc.prior, n_entries=sizes.get(c, 0)).drop("_cat")
+    out = encode_all(df, te=enc, suffix=suffix)
     if not enc.columns:
         out = out.withColumn(fallback, F.lit(enc.prior))
     return out
@@ -90,14 +87,7 @@ def fit_pick_rate(train: DataFrame, columns: Sequence[str]) -> Encoding:
 
 
 def apply_pick_rate(df: DataFrame, enc: Encoding, suffix: str = "_pick_rate") -> DataFrame:
-    out = df
-    if not enc.columns:
-        return out
-    n = enc.table.count()
-    for c in enc.columns:
-        out = lookup_with_default(out.withColumn("_cat", F.col(c).cast("double").cast("string")), "_cat",
-                                  enc.table, c + suffix, enc.prior, n_entries=n).drop("_cat")
-    return out
+    return encode_all(df, pick=enc, pick_suffix=suffix)
 
 
 def fit_category_codes(train: DataFrame, column: str, unknown: str = "unknown") -> DataFrame:
@@ -110,12 +100,47 @@ def fit_category_codes(train: DataFrame, column: str, unknown: str = "unknown")
 def apply_category_codes(df: DataFrame, column: str, output: str, codes: DataFrame,
                          unknown: str = "unknown") -> DataFrame:
     """String column -> code, unseen -> -1; numeric columns pass through, NULL -> -1 (#100)."""
-    from pyspark.sql import types as T
-    if column not in df.columns:
-        return df
-    dtype = df.schema[column].dataType
-    if isinstance(dtype, (T.NumericType,)):
-        return df.withColumn(output, F.coalesce(F.col(column).cast("double"), F.lit(-1.0)))
-    out = df.withColumn("_cat", F.coalesce(F.col(column).cast("string"), F.lit(unknown)))
-    return lookup_with_default(out, "_cat", codes, output, -1).drop("_cat").withColumn(
-        output, F.col(output).cast("int"))
+    return encode_all(df, codes={column: (output, codes)}, unknown=unknown)
+
+
+def is_number(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.NumericType)
+
+
+def fit_codes(train: DataFrame, outputs: dict[str, str]) -> dict[str, tuple[str, DataFrame | None]]:
+    """Codes of every present column of ``outputs`` (column -> output); numeric ones need none (#100)."""
+    return {c: (o, None if is_number(train, c) else fit_category_codes(train, c))
+            for c, o in outputs.items() if c in train.columns}
+
+
+def encode_all(df: DataFrame, te: Encoding | None = None, pick: Encoding | None = None,
+               codes: dict[str, tuple[str, DataFrame | None]] | None = None, suffix: str = "_winrate_te",
+               pick_suffix: str = "_pick_rate", unknown: str = "unknown") -> DataFrame:
+    """All fitted encoders at once (#98-#100): one dictionary of (encoder and column, category) -> value.
+
+    Unseen or NULL categories take the encoder's prior, unseen code levels -1; numeric code
+    columns pass through (NULL: -1).
+    """
+    tables, asked, numbers = [], [], []
+    if te is not None and te.columns:
+        tables.append(te.table.select(F.concat(F.lit("te "), "feature").alias("feature"), "category", "value"))
+        asked += [Lookup(f"te {c}", F.col(c).cast("string"), c + suffix, te.prior) for c in te.columns]
+    if pick is not None and pick.columns:
+        tables.append(pick.table.select(F.lit("pick").alias("feature"), "category", "value"))
+        asked += [Lookup("pick", F.col(c).cast("double").cast("string"), c + pick_suffix, pick.prior) for c in pick.columns]
+    whole = []
+    for c, (output, table) in (codes or {}).items():
+        if c not in df.columns:
+            continue
+        if is_number(df, c):
+            numbers.append(F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(output))
+            continue
+        tables.append(table.select(F.lit(f"code {c}").alias("feature"), "category", F.col("value").cast("double").alias("value")))
+        asked.append(Lookup(f"code {c}", F.coalesce(F.col(c).cast("string"), F.lit(unknown)), output, -1.0))
+        whole.append(output)
+    out = df
+    if asked:
+        out = lookup_many(df, asked, reduce(DataFrame.unionByName, tables))
+    for o in whole:
+        out = out.withColumn(o, F.col(o).cast("int"))
+    return out.select("*", *numbers) if numbers else out

@@ -12,8 +12,9 @@ Design notes for scale:
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -209,6 +210,7 @@ def left_join_on_condition(runs: DataFrame, params: DataFrame, metrics: DataFram
             .join(m, runs.run_id == m._m_run, "left").drop("_p_run", "_m_run"))
 
 
+BROADCAST_LOOKUP_BYTES = 64 << 20  # of the keys' text in a dictionary that is sent to every task
 BROADCAST_LOOKUP_ROWS = 200_000  # (key, value) rows that are sent to every task; more meet in a shuffle
 
 
@@ -234,3 +236,43 @@ def lookup_with_default(df: DataFrame, column: str, table: DataFrame, output: st
     right = F.broadcast(t) if n <= BROADCAST_LOOKUP_ROWS else t
     joined = df.join(right, df[column].cast(t.schema["_lk"].dataType) == right["_lk"], "left")
     return joined.withColumn(output, F.coalesce(F.col("_lv"), F.lit(default))).drop("_lk", "_lv")
+
+
+class Lookup(NamedTuple):
+    """``output`` of a row is the dictionary's value for (``feature``, ``key``), else ``default``."""
+    feature: str
+    key: Column  # string
+    output: str
+    default: float
+
+
+def lookup_many(df: DataFrame, lookups: Sequence[Lookup], dictionary: DataFrame) -> DataFrame:
+    """Many lookups in one dictionary (feature, category, value), unique by its first two columns (#102).
+
+    Up to ``BROADCAST_LOOKUP_ROWS`` entries of ``BROADCAST_LOOKUP_BYTES`` in all (counted first), the
+    dictionary is built and sent once, and every lookup probes this one table without a shuffle. Beyond it the rows are stacked as (row, lookup, key), meet the
+    dictionary in one shuffle join and come back as one row by one aggregate, whatever the number
+    of lookups; NULL keys do not move. Both ways give the same values, row for row.
+    """
+    if not lookups:
+        return df
+    entries = cut_lineage(dictionary.where(F.col("category").isNotNull()).select(
+        F.struct(F.col("feature"), F.col("category")).alias("_lk"), F.col("value").cast("double").alias("_lv")))
+    size = entries.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("_lk.category")).alias("bytes")).first()
+    kept = df.columns
+    if size["n"] <= BROADCAST_LOOKUP_ROWS and (size["bytes"] or 0) <= BROADCAST_LOOKUP_BYTES:
+        out, small = df, F.broadcast(entries)
+        for i, x in enumerate(lookups):
+            out = out.withColumn(f"_k{i}", F.struct(F.lit(x.feature).alias("feature"), x.key.alias("category")))
+        for i in range(len(lookups)):
+            out = out.join(small.withColumnsRenamed({"_lk": f"_e{i}", "_lv": f"_v{i}"}), F.col(f"_k{i}") == F.col(f"_e{i}"), "left")
+    else:
+        rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+        asked = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(x.feature).alias("feature"), x.key.alias("category"))
+                          for i, x in enumerate(lookups)])
+        asked = rows.select("_row", F.inline(F.filter(asked, lambda a: a["category"].isNotNull())))
+        met = asked.select("_row", "at", F.struct("feature", "category").alias("_lk")).join(entries, "_lk")
+        back = met.groupBy("_row").agg(*[F.max(F.when(F.col("at") == i, F.col("_lv"))).alias(f"_v{i}") for i in range(len(lookups))])
+        out = rows.join(back, "_row", "left")
+    new = {x.output: F.coalesce(F.col(f"_v{i}"), F.lit(float(x.default))).alias(x.output) for i, x in enumerate(lookups)}
+    return out.select(*[c for c in kept if c not in new], *new.values())

@@ -16,7 +16,7 @@ from .catalog_merge import merged_select, stage_cleaned, stage_merged
 from .catalog_pregame import PREGAME_SQL, stage_pregame, stored_tables
 from .common import rnd, round_doubles
 from .postgame import postgame_sides
-from .pregame import add_pregame_features
+from .pregame import CODES, add_pregame_features
 from .registry import ORACLE, query, with_fixture
 from .sqlparts import CLEANED, MERGED, PM, SIDES, STAT_FEATURES
 from ..session import cut_lineage
@@ -280,14 +280,17 @@ def _stage_pregame_split(spark, sf):
     return cut_lineage(SP.split_grouped(pg))
 
 
+def _fit_te(spark, sf):
+    pg = _stage_pregame_split(spark, sf)
+    return pg, EN.fit_target_encoding(pg.where(F.col("split") == "train"), TE_COLS)
+
+
 def _fit_all(spark, sf):
     pg = _stage_pregame_split(spark, sf)
     train = pg.where(F.col("split") == "train")
     te = EN.fit_target_encoding(train, TE_COLS)
     pick = EN.fit_pick_rate(train, CHAMP)
-    plat = EN.fit_category_codes(train, "platformid")
-    season = EN.fit_category_codes(train, "seasonid")
-    return pg, te, pick, plat, season
+    return pg, te, pick, EN.fit_codes(train, CODES)
 
 
 @query("target_encode", with_fixture(ENC_SQL + f"\nSELECT category, {rnd('value')} AS value FROM te WHERE feature = 'champion_1'"))
@@ -307,7 +310,7 @@ def q_target_encode_multi(spark, sf):
 @query("apply_encoding", with_fixture(ENC_SQL + "\nSELECT matchid, teamid, split, " +
                                       ", ".join(f"{rnd(c + '_winrate_te')} AS {c}_winrate_te" for c in TE_COLS) + " FROM enc"))
 def q_apply_encoding(spark, sf):
-    pg, te, *_ = _fit_all(spark, sf)
+    pg, te = _fit_te(spark, sf)
     out = EN.apply_encoding(pg, te)
     return round_doubles(out.select("matchid", "teamid", "split", *[c + "_winrate_te" for c in TE_COLS]))
 
@@ -320,9 +323,8 @@ def q_pick_rate(spark, sf):
 
 @query("category_codes", with_fixture(ENC_SQL + "\nSELECT matchid, teamid, platform_code, season_code FROM enc"))
 def q_category_codes(spark, sf):
-    pg, _, _, plat, season = _fit_all(spark, sf)
-    out = EN.apply_category_codes(pg, "platformid", "platform_code", plat)
-    out = EN.apply_category_codes(out, "seasonid", "season_code", season)
+    pg = _stage_pregame_split(spark, sf)
+    out = EN.encode_all(pg, codes=EN.fit_codes(pg.where(F.col("split") == "train"), CODES))
     return out.select("matchid", "teamid", "platform_code", "season_code")
 
 
@@ -357,7 +359,7 @@ def _row_stats_sql(cols, names):
     [c + "_winrate_te" for c in CHAMP], {"avg": "wr_avg", "min": "wr_min", "max": "wr_max", "std": "wr_std",
                                          "span": "wr_span"})) + " FROM enc"))
 def q_row_stats(spark, sf):
-    pg, te, *_ = _fit_all(spark, sf)
+    pg, te = _fit_te(spark, sf)
     out = RS.row_stats(EN.apply_encoding(pg, te), [c + "_winrate_te" for c in CHAMP], "wr")
     return round_doubles(out.select("matchid", "teamid", "wr_avg", "wr_min", "wr_max", "wr_std", "wr_span"))
 
@@ -438,6 +440,5 @@ for _c in PREGAME_FEATURES:
 @query("pregame_features", with_fixture(_PGF_SQL + "\nSELECT matchid, teamid, split, win, " + ", ".join(_PGF_SELECT) + " FROM feat"))
 def q_pregame_features(spark, sf):
     """Encoders fitted on train, then the full draft feature set on every split (#102)."""
-    pg, te, pick, plat, season = _fit_all(spark, sf)
-    out = add_pregame_features(EN.apply_encoding(pg, te), pick, te.prior, plat, season)
+    out = add_pregame_features(*_fit_all(spark, sf))
     return round_doubles(out.select("matchid", "teamid", "split", "win", *PREGAME_FEATURES))

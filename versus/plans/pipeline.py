@@ -22,7 +22,7 @@ from ..operators.relational import assign_sides
 from ..operators.training import write_summary
 from ..sources import io as IO
 from .postgame import members_of, postgame_sides
-from .pregame import add_pregame_features, pregame_sides
+from .pregame import CODES, add_pregame_features, pregame_sides
 from ..session import cut_lineage
 
 PREGAME_SELECTED = [
@@ -65,9 +65,7 @@ def build_pregame_features(spark: SparkSession, t: dict, out_dir: str, slots_per
     champ = [f"champion_{i}" for i in range(1, 6) if f"champion_{i}" in curated.columns]
     te = EN.fit_target_encoding(train, target=target)
     pick = EN.fit_pick_rate(train, champ)
-    plat = EN.fit_category_codes(train, "platformid")
-    season = EN.fit_category_codes(train, "seasonid")
-    enriched = add_pregame_features(EN.apply_encoding(curated, te), pick, te.prior, plat, season)
+    enriched = add_pregame_features(curated, te, pick, EN.fit_codes(train, CODES))
     selected = [c for c in ([f"{c}_winrate_te" for c in champ] + [f"{c}_pick_rate" for c in champ]
                             + PREGAME_SELECTED) if c in enriched.columns]
     out, _, summary = SEL.fit_transform_splits(enriched, selected, target, min_features_after_vif=5)

@@ -82,22 +82,26 @@ def _present(df: DataFrame, prefix: str, n: int = MAX_DRAFT_SLOTS) -> list[str]:
     return [f"{prefix}_{i}" for i in range(1, n + 1) if f"{prefix}_{i}" in df.columns]
 
 
-def add_pregame_features(df: DataFrame, pick, prior: float, platform_codes: DataFrame | None,
-                         season_codes: DataFrame | None) -> DataFrame:
-    """Draft features (#72-#74, #99-#101) and three opponent differences (#102).
+#: Columns that become codes, and the codes' names.
+CODES = {"platformid": "platform_code", "seasonid": "season_code"}
 
-    ``df`` already carries the ``*_winrate_te`` columns of the fitted target
-    encoding; ``pick`` is the fitted pick-rate encoding, ``prior`` the target
-    encoding prior.
+
+def add_pregame_features(df: DataFrame, te, pick, codes: dict) -> DataFrame:
+    """Draft features (#72-#74, #98-#101) and three opponent differences (#102).
+
+    ``te`` and ``pick`` are the fitted target and pick-rate encodings, ``codes`` the fitted
+    category codes; one dictionary of all of them meets the rows once.
     """
-    from ..operators.encoders import apply_category_codes, apply_pick_rate
+    from ..operators.encoders import encode_all
     from ..operators.features import diff_vs_opponent
     from ..operators.reshape import role_diversity, row_counts, row_stats
 
     champ = _present(df, "champion")
     bans = _present(df, "banned_champion")
     roles = _present(df, "role")
-    out = apply_pick_rate(df, pick)
+    out, prior = encode_all(df, te, pick, codes), te.prior
+    if not te.columns:
+        out = out.withColumn("champion_signal_prior", F.lit(prior))
     te = [f"{c}_winrate_te" for c in champ if f"{c}_winrate_te" in out.columns]
     picks = [f"{c}_pick_rate" for c in champ if f"{c}_pick_rate" in out.columns]
     ban_te = [f"{c}_winrate_te" for c in bans if f"{c}_winrate_te" in out.columns]
@@ -130,8 +134,4 @@ def add_pregame_features(df: DataFrame, pick, prior: float, platform_codes: Data
     if "n_bans" in out.columns:
         out = out.withColumn("n_bans", F.coalesce(F.col("n_bans").cast("double"), F.lit(0.0)))
         out = out.withColumn("has_ban_data", (F.col("n_bans") > 0).cast("int"))
-    if platform_codes is not None:
-        out = apply_category_codes(out, "platformid", "platform_code", platform_codes)
-    if season_codes is not None:
-        out = apply_category_codes(out, "seasonid", "season_code", season_codes)
     return diff_vs_opponent(out, ["team_avg_champ_wr", "team_max_champ_wr", "team_avg_pick_rate"])
