@@ -13,6 +13,12 @@ associatively, ``FAN`` neighbours at a time, up a tree; the best border states a
 handed down the tree again; then every chunk is segmented for itself between its two
 border states.  Chunks of one text are rows of their own throughout.
 
+*Ties.*  Of the segmentations of best score the one is taken whose last piece is the
+shortest, then whose last but one is, and so on.  A transfer matrix carries, beside the
+scores, the order of the entry states by this rule for every exit state; the order is
+combined with the scores, so a text's ids do not depend on where it is cut.  Scores are
+rounded to multiples of 2**-20, so that their sums are exact (up to 2**33) in any order.
+
 *Inside a chunk* no piece crosses a border between two characters that are neighbours
 in no piece (such as the one before a space), so the chunk falls into short stretches,
 whose best segmentations are remembered.  Only the first and last stretch meet border
@@ -44,6 +50,7 @@ FAN = 64
 _UNKNOWN = -10.0  # below the lowest score, for each unknown character
 _SPACE = "▁"
 _NO = float("-inf")
+_GRAIN = 2.0 ** 20
 _REMEMBER = 100_000
 
 
@@ -95,8 +102,8 @@ class Vocabulary:
 
     def forward(self, s: str, entry: list[float], end: int) -> tuple[list[float], list]:
         """Best scores of reaching each position of ``s[:end]`` and of up to ``longest - 1``
-        characters of look-ahead; ``entry[i]`` is the score of beginning at ``i``.
-        Ties go to the shorter last piece."""
+        characters of look-ahead; ``entry[i]`` is the score of beginning at ``i``, one place only.
+        Ties go to the shorter last piece, which comes later."""
         best = [_NO] * (len(s) + 1)
         best[:min(len(entry), len(s) + 1)] = entry[:len(s) + 1]
         back: list = [None] * (len(s) + 1)
@@ -106,7 +113,7 @@ class Vocabulary:
                 continue
             for k, score, ids in self.steps(s, i, len(s)):
                 v = here + score
-                if v > best[i + k] or (v == best[i + k] and back[i + k] is not None and k < back[i + k][0]):
+                if v >= best[i + k]:
                     best[i + k], back[i + k] = v, (k, ids)
         return best, back
 
@@ -188,27 +195,54 @@ class Vocabulary:
     # ---- chunks ----
 
     def transfer(self, s: str, size: int) -> np.ndarray:
-        """``m[i, j]``: best score from entry state ``i`` to exit state ``j`` of the chunk
-        ``s[:size]``; ``s`` goes on for up to ``longest - 1`` characters of look-ahead."""
+        """``m[0, i, j]``: best score from entry state ``i`` to exit state ``j`` of the chunk
+        ``s[:size]``; ``m[1, i, j]``: place of ``i`` among the entry states of ``j`` by the tie rule.
+        ``s`` goes on for up to ``longest - 1`` characters of look-ahead."""
         k = self.longest
-        m = np.full((k, k), _NO)
+        m = np.full((2, k, k), _NO)
         ends = np.cumsum([len(w) for w in self.stretches(s)])
         free = [0, *ends[ends <= size].tolist()]
-        head = next((e for e in free if e >= min(k - 1, size)), size)  # beyond every entry state
-        tail = max((e for e in free if e >= head), default=size)
+        head = next((e for e in free if e >= min(k - 1, size)), None)  # beyond every entry state
+        entries = range(min(k, size + 1))
+        if head is None:  # no free border inside: one pass from each entry to every exit
+            passes = [self.forward(s, [_NO] * i + [0.0], size) for i in entries]
+            for i, (best, _) in enumerate(passes):
+                m[0, i] = _exits(best, size, k)
+            m[1] = np.stack([_order([back for _, back in passes], size + j, k) for j in range(k)], axis=1)
+            return m
+        tail = max(e for e in free if e >= head)
         middle = self.total(s[head:tail])
-        base, _ = self.forward(s[tail:], [0.0], size - tail)
-        out = [base[size - tail + j] if size - tail + j < len(base) else _NO for j in range(k)]
-        for i in range(min(k, size + 1)):
-            first, _ = self.forward(s[:head], [_NO] * i + [0.0], head) if tail > head or head < size else (None, None)
-            if first is not None:
-                m[i] = [first[head] + middle + x for x in out]
-            else:  # no free border inside: one pass from this entry to every exit
-                whole, _ = self.forward(s, [_NO] * i + [0.0], size)
-                m[i] = [whole[size + j] if size + j < len(whole) else _NO for j in range(k)]
+        out = _exits(self.forward(s[tail:], [0.0], size - tail)[0], size - tail, k) + middle
+        passes = [self.forward(s[:head], [_NO] * i + [0.0], head) for i in entries]
+        for i, (best, _) in enumerate(passes):
+            m[0, i] = best[head] + out
+        m[1] = _order([back for _, back in passes], head, k)[:, None]
         return m
 
 
+def _exits(best: list[float], size: int, k: int) -> np.ndarray:
+    """Scores of the ``k`` exit states of a pass over ``size`` characters."""
+    return np.array([best[size + j] if size + j < len(best) else _NO for j in range(k)])
+
+
+def _order(passes: list[list], at: int, k: int) -> np.ndarray:
+    """Places of ``k`` entry states by the tie rule, given the ``back`` of the pass from each:
+    the first difference from ``at`` leftwards decides, and the border further right wins.  A
+    piece that reaches over the chunk's beginning is longer than any other."""
+    def borders(i: int) -> list[float]:
+        if i >= len(passes) or at >= len(passes[i]):
+            return [np.inf]
+        back, p, out = passes[i], at, []
+        while back[p] is not None:
+            p -= back[p][0]
+            out.append(-p)
+        return [*out, np.inf]
+
+    place = np.empty(k)
+    place[sorted(range(k), key=borders)] = np.arange(k)
+    return place
+
+
 def _free_borders(pieces: dict[str, tuple[int, float]]) -> re.Pattern:
     """A pattern whose matches are the stretches between borders that no piece crosses:
     before a space that follows another character, on both sides of white space that no
@@ -250,7 +284,7 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
             text.append(b"")
         else:
             plain = name.replace(_SPACE, " ")
-            pieces[plain] = (i, float(sp.get_score(i)))
+            pieces[plain] = (i, round(sp.get_score(i) * _GRAIN) / _GRAIN)
             text.append(plain.encode())
     if min(bytes_at) < 0:
         raise ValueError("the vocabulary has no byte pieces")
@@ -264,20 +298,30 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     return vocab
 
 
+def _through(scores: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """``best[..., j]``: the middle state (axis -2) of best score, ties by its place before exit ``j``."""
+    return np.where(scores == scores.max(axis=-2, keepdims=True), places, np.inf).argmin(axis=-2)
+
+
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Max-plus product of two transfer matrices."""
-    return (a[:, :, None] + b[None, :, :]).max(axis=1)
+    """Max-plus product of two transfer matrices with the order of their entry states: what
+    follows the middle state decides, then what precedes it."""
+    k = a.shape[1]
+    scores = a[0][:, :, None] + b[0][None, :, :]
+    middle = _through(scores, b[1])
+    entry, leave = np.ogrid[:k, :k]
+    order = b[1][middle, leave] * k + a[1][entry, middle]
+    return np.stack([scores.max(axis=1), order.argsort(axis=0, kind="stable").argsort(axis=0).astype(float)])
 
 
 def border_states(matrices: list[np.ndarray], entry: int, leave: int) -> list[int]:
-    """Best states at the borders of consecutive chunks: entry, the inner ones, exit.
-    Ties go to the smallest state."""
-    score = np.full(matrices[0].shape[0], _NO)
+    """Best states at the borders of consecutive chunks: entry, the inner ones, exit."""
+    score = np.full(matrices[0].shape[1], _NO)
     score[entry] = 0.0
     came = []
     for m in matrices:
-        step = score[:, None] + m
-        came.append(step.argmax(axis=0))
+        step = score[:, None] + m[0]
+        came.append(_through(step, m[1]))
         score = step.max(axis=0)
     states = [leave]
     for c in reversed(came):
@@ -328,9 +372,9 @@ def _giant_states(chunks: DataFrame, path: str, k: int) -> DataFrame:
 
     def product(table: pa.Table) -> pa.Table:  # at most FAN rows
         rows = table.sort_by("at").to_pylist()
-        m = np.array(rows[0]["m"]).reshape(k, k)
+        m = np.array(rows[0]["m"]).reshape(2, k, k)
         for r in rows[1:]:
-            m = combine(m, np.array(r["m"]).reshape(k, k))
+            m = combine(m, np.array(r["m"]).reshape(2, k, k))
         return pa.table({"key": [rows[0]["key"]], "at": pa.array([rows[0]["at"] // FAN], pa.int32()), "m": pa.array([m.ravel().tolist()], pa.list_(pa.float64()))})
 
     while most >= FAN:
@@ -339,7 +383,7 @@ def _giant_states(chunks: DataFrame, path: str, k: int) -> DataFrame:
 
     def hand_down(table: pa.Table) -> pa.Table:  # at most FAN rows
         rows = table.sort_by("at").to_pylist()
-        states = border_states([np.array(r["m"]).reshape(k, k) for r in rows], rows[0]["enter"], rows[0]["leave"])
+        states = border_states([np.array(r["m"]).reshape(2, k, k) for r in rows], rows[0]["enter"], rows[0]["leave"])
         return pa.table({"key": [r["key"] for r in rows], "at": pa.array([r["at"] for r in rows], pa.int32()),
                          "enter": pa.array(states[:-1], pa.int32()), "leave": pa.array(states[1:], pa.int32())})
 
@@ -360,7 +404,8 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     a part decode to, worked out where the ids are.
 
     One row for a text of fewer than ``2 * chunk`` characters, else one for each chunk
-    (a giant text's ids never sit in one row).  A null or empty text has
+    (a giant text's ids never sit in one row).  The ids of all parts together are the same
+    for every ``chunk``.  A null or empty text has
     one part without ids; repeated rows repeat.  Rows without an id keep the null.
     """
     vocab = vocabulary(path)
