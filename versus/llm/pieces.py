@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, release
+from .common import cut_lineage, release, with_small
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16_384
@@ -314,6 +314,15 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.stack([scores.max(axis=1), order.argsort(axis=0, kind="stable").argsort(axis=0).astype(float)])
 
 
+def _packed(m: np.ndarray) -> bytes:
+    """A transfer matrix as bytes: scores, then places in two bytes each."""
+    return m[0].tobytes() + m[1].astype(np.int16).tobytes()
+
+
+def _unpacked(raw: bytes, k: int) -> np.ndarray:
+    return np.stack([np.frombuffer(raw, np.float64, k * k), np.frombuffer(raw, np.int16, k * k, 8 * k * k)]).reshape(2, k, k)
+
+
 def border_states(matrices: list[np.ndarray], entry: int, leave: int) -> list[int]:
     """Best states at the borders of consecutive chunks: entry, the inner ones, exit."""
     score = np.full(matrices[0].shape[1], _NO)
@@ -360,11 +369,11 @@ def _giant_states(chunks: DataFrame, path: str, k: int) -> DataFrame:
         vocab = vocabulary(path)
         for batch in batches:
             for key, part, size, s in zip(*(c.to_pylist() for c in batch.columns)):
-                m = vocab.transfer(s, size).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([part], pa.int32()), pa.array([m.tolist()], pa.list_(pa.float64()))], ["key", "at", "m"])
+                m = _packed(vocab.transfer(s, size))
+                yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([part], pa.int32()), pa.array([m], pa.binary())], ["key", "at", "m"])
         release()
 
-    shape = "key string, at int, m array<double>"
+    shape = "key string, at int, m binary"
     levels = [cut_lineage(chunks.select("key", "part", "size", "piece").mapInArrow(transfers, shape))]
     most = levels[0].agg(F.max("at")).first()[0]
     if most is None:
@@ -372,10 +381,10 @@ def _giant_states(chunks: DataFrame, path: str, k: int) -> DataFrame:
 
     def product(table: pa.Table) -> pa.Table:  # at most FAN rows
         rows = table.sort_by("at").to_pylist()
-        m = np.array(rows[0]["m"]).reshape(2, k, k)
+        m = _unpacked(rows[0]["m"], k)
         for r in rows[1:]:
-            m = combine(m, np.array(r["m"]).reshape(2, k, k))
-        return pa.table({"key": [rows[0]["key"]], "at": pa.array([rows[0]["at"] // FAN], pa.int32()), "m": pa.array([m.ravel().tolist()], pa.list_(pa.float64()))})
+            m = combine(m, _unpacked(r["m"], k))
+        return pa.table({"key": [rows[0]["key"]], "at": pa.array([rows[0]["at"] // FAN], pa.int32()), "m": pa.array([_packed(m)], pa.binary())})
 
     while most >= FAN:
         levels.append(cut_lineage(levels[-1].groupBy("key", F.floor(F.col("at") / FAN).alias("up")).applyInArrow(product, shape)))
@@ -383,7 +392,7 @@ def _giant_states(chunks: DataFrame, path: str, k: int) -> DataFrame:
 
     def hand_down(table: pa.Table) -> pa.Table:  # at most FAN rows
         rows = table.sort_by("at").to_pylist()
-        states = border_states([np.array(r["m"]).reshape(2, k, k) for r in rows], rows[0]["enter"], rows[0]["leave"])
+        states = border_states([_unpacked(r["m"], k) for r in rows], rows[0]["enter"], rows[0]["leave"])
         return pa.table({"key": [r["key"] for r in rows], "at": pa.array([r["at"] for r in rows], pa.int32()),
                          "enter": pa.array(states[:-1], pa.int32()), "leave": pa.array(states[1:], pa.int32())})
 
@@ -431,7 +440,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     distinct = large.groupBy("key").agg(F.first("text").alias("text"))
     chunks = cut_lineage(_chunks(distinct, chunk, look))
     states = _giant_states(chunks, path, vocab.longest)
-    placed = chunks.join(states, ["key", "part"]).select("key", "part", "size", "enter", "leave", "piece")
+    placed = with_small(chunks, states, ["key", "part"]).select("key", "part", "size", "enter", "leave", "piece")
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
@@ -447,7 +456,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
 
     names = [c.split()[0] for c in shape.split(", ")]
     encoded = placed.mapInArrow(between, f"key string, {shape}")
-    return small.unionByName(large.select("doc_id", "key").join(encoded, "key").select("doc_id", *names))
+    return small.unionByName(with_small(encoded, large.select("key", "doc_id"), ["key"]).select("doc_id", *names))
 
 
 def _listed(v: Vocabulary, batch: pa.RecordBatch, verify: bool) -> Iterator[pa.RecordBatch]:
