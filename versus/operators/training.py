@@ -197,19 +197,36 @@ def load_preprocessor(spark: SparkSession, path: str) -> list:
 
 def log_run(spark: SparkSession, root: str, run_id: str, experiment: str, model_name: str, scope: str,
             params: dict, metrics: DataFrame, fit_seconds: float) -> None:
-    """Append the run, its parameters and its metrics (long) to Parquet tables (#9)."""
-    now = time.time()
-    spark.createDataFrame([(run_id, experiment, model_name, scope, float(now), float(fit_seconds))],
-                          "run_id string, experiment string, model string, scope string, created_at double, "
-                          "fit_seconds double").write.mode("append").parquet(_path_join(root, "runs"))
-    spark.createDataFrame([(run_id, k, str(v)) for k, v in params.items()] or [(run_id, "none", "")],
-                          "run_id string, key string, value string").write.mode("append").parquet(
-        _path_join(root, "params"))
-    long = metrics.select("split", F.explode(F.array(*[
+    """Append the run, its parameters and its metrics (long) to the run log (#9).
+
+    Each call writes a version of its own: a folder in each of the three tables, then one row of the
+    manifest, whose single file appears by one rename.  Writers share no folder, so they do not disturb
+    each other; a version without its manifest row, as a killed writer leaves it, is never read.
+    """
+    version, now = f"v{uuid.uuid4().hex}", time.time()
+
+    def write(rows: DataFrame, table: str) -> None:
+        rows.write.parquet(_path_join(root, table, f"version={version}"))
+
+    write(spark.createDataFrame([(run_id, experiment, model_name, scope, float(now), float(fit_seconds))],
+                                "run_id string, experiment string, model string, scope string, created_at double, "
+                                "fit_seconds double"), "runs")
+    write(spark.createDataFrame([(run_id, k, str(v)) for k, v in params.items()] or [(run_id, "none", "")],
+                                "run_id string, key string, value string"), "params")
+    write(metrics.select("split", F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in METRICS
         if m in metrics.columns])).alias("m")).select(
-        F.lit(run_id).alias("run_id"), F.concat_ws("_", "split", "m.metric").alias("key"), F.col("m.value").alias("value"))
-    long.write.mode("append").parquet(_path_join(root, "metrics"))
+        F.lit(run_id).alias("run_id"), F.concat_ws("_", "split", "m.metric").alias("key"), F.col("m.value").alias("value")),
+        "metrics")
+    write(spark.createDataFrame([(run_id, float(now))], "run_id string, written_at double").coalesce(1), "manifest")
+
+
+def read_log(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """``runs``, ``params`` or ``metrics`` of the run log: the rows of finished versions; of a run
+    logged more than once, those of the latest (#9)."""
+    latest = (spark.read.parquet(_path_join(root, "manifest")).groupBy("run_id")
+              .agg(F.max_by("version", F.struct("written_at", "version")).alias("version")))
+    return spark.read.parquet(_path_join(root, table)).join(latest, ["run_id", "version"], "left_semi").drop("version")
 
 
 def write_summary(spark: SparkSession, payload: dict, path: str) -> None:

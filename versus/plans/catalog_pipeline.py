@@ -69,13 +69,13 @@ def q_save_model(spark, sf):
 
 @query("log_run")
 def q_log_run(spark, sf):
-    """Append run, params and long metrics to Parquet tables; read this run back (#9)."""
+    """Log run, params and long metrics under one version; read this run back (#9)."""
     frame = processed(spark, sf)[0]
     res = TR.train_run(frame, "linear_regression_classifier", "win")
     root = f"{TR.artifact_root(spark)}/runs-{uuid.uuid4().hex[:8]}"
     TR.log_run(spark, root, res.run_id, "01-baselines", "linear_regression_classifier", "postgame",
                {"ridge_alpha": 0.0}, res.metrics, res.fit_seconds)
-    return spark.read.parquet(f"{root}/metrics").where(F.col("run_id") == res.run_id)
+    return TR.read_log(spark, root, "metrics").where(F.col("run_id") == res.run_id)
 
 
 @query("expect_columns_match_set", with_fixture("\n" + _static("raw_matches", "columns_match_set", None, True, "matches")))
