@@ -18,6 +18,8 @@ rows, meet by leaf and feature block and come to the driver, which chooses the s
 * The pass of a tree's root also takes the validation log loss of the trees before: after
   ``early_stopping_rounds`` trees without a better one the best number of trees is kept.
 * Rows and columns are drawn anew for every tree, rows by a hash of (row, tree).
+* A finished tree is added to the margins once: the moved blocks are kept by the executors for the
+  passes of the next tree, and stored every ``REFRESH`` trees, which bounds what a lost one repeats.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ MISSING = 0          # bin of NULL and NaN
 FEATURE_BLOCK = 32   # features of one histogram row
 DRIVER_PARTS = 32    # up to so many partial histograms a leaf are added by the driver, more by Spark
 ROWS_PER_PART = 200_000
+ROWS_PER_CORE = 20_000   # rows that are worth a task of their own while cores are free
 REFRESH = 25         # trees between two stored margins
 
 
@@ -179,17 +182,10 @@ def _read(batch: pa.RecordBatch, k: int) -> Iterator[tuple]:
         yield got["x"].reshape(-1, k), got["y"], got["w"], got["key"], got["val"].astype(bool), got["m"]
 
 
-def _margins(x: np.ndarray, m: np.ndarray, trees: list) -> np.ndarray:
-    out = m.copy()
-    for t in trees:
-        out += np.asarray(t.value)[t.leaves(x)]
-    return out
-
-
-def _histograms(blocks: DataFrame, k: int, trees: list, tree: Tree, slots: dict, columns: np.ndarray, n_bins: int,
-                number: int, subsample: float, seed: int, parts: int) -> tuple[dict, tuple[float, float]]:
+def _histograms(blocks: DataFrame, k: int, tree: Tree, slots: dict, columns: np.ndarray, n_bins: int,
+                number: int, subsample: float, seed: int, parts: int, with_loss: bool) -> tuple[dict, tuple[float, float]]:
     """(gradient, Hessian, count) by slot, column and bin, of the leaves ``slots`` (leaf -> slot) of ``tree``; and
-    loss and weight of the validation rows before this tree."""
+    ``with_loss`` loss and weight of the validation rows before this tree."""
     n_blocks = -(-len(columns) // FEATURE_BLOCK)
 
     def scan(batches):
@@ -200,19 +196,20 @@ def _histograms(blocks: DataFrame, k: int, trees: list, tree: Tree, slots: dict,
             lookup[leaf] = slot
         for batch in batches:
             for x, y, w, key, val, m in _read(batch, k):
-                margin = _margins(x, m, trees)
-                if val.any():
-                    loss += [float((w[val] * np.logaddexp(0.0, np.where(y[val] > 0.5, -margin[val], margin[val]))).sum()), float(w[val].sum())]
-                slot = lookup[tree.leaves(x)]
-                use = (slot >= 0) & ~val
+                if with_loss and val.any():
+                    loss += [float((w[val] * np.logaddexp(0.0, np.where(y[val] > 0.5, -m[val], m[val]))).sum()), float(w[val].sum())]
+                use = ~val
                 if subsample < 1.0:
                     use &= _unit(key, number, seed) < subsample
                 rows = np.flatnonzero(use)
-                p = 1.0 / (1.0 + np.exp(-margin[rows]))
-                g, h, at = w[rows] * (p - y[rows]), w[rows] * p * (1 - p), slot[rows].astype(np.int64) * n_bins
+                slot = lookup[tree.leaves(x[rows])]
+                rows, slot = rows[slot >= 0], slot[slot >= 0]
+                bins = np.ascontiguousarray(x[rows].T)
+                p = 1.0 / (1.0 + np.exp(-m[rows]))
+                g, h, at = w[rows] * (p - y[rows]), w[rows] * p * (1 - p), slot.astype(np.int64) * n_bins
                 size = len(slots) * n_bins
                 for j, c in enumerate(columns):
-                    idx = at + x[rows, c]
+                    idx = at + bins[c]
                     for i, v in enumerate((g, h, None)):
                         total[:, j, :, i] += np.bincount(idx, weights=v, minlength=size).reshape(len(slots), n_bins)
         out = [(-1, 0, loss.tobytes())]
@@ -363,13 +360,15 @@ def fit_boosted(train: DataFrame, features: Sequence[str], target: str, val: Dat
     frame = train.select(*need, *ids, F.lit(False).alias("_is_val"))
     if val is not None:
         frame = frame.unionByName(val.select(*need, *ids, F.lit(True).alias("_is_val")))
-    parts = max(1, -(-mean.n // ROWS_PER_PART))
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-mean.n // ROWS_PER_PART), min(-(-mean.n // ROWS_PER_CORE), cores))
     blocks = cut_lineage(_blocks(frame.coalesce(parts), feats, target, edges, weight, base))
     parts = blocks.rdd.getNumPartitions()
     growth = Growth(num_leaves, max_depth, learning_rate, reg_alpha, reg_lambda, gamma, min_child_samples, min_child_weight)
     n_bins = 2 + max((len(e) for e in edges), default=0)
     rng, n_columns = np.random.default_rng(seed), max(1, int(round(colsample_bytree * k)))
-    trees, fresh, gains, losses, kept_gains = [], [], np.zeros(k), [], []
+    trees, gains, losses, kept_gains = [], np.zeros(k), [], []
+    older = None  # kept blocks that the next pass still reads
     patience = early_stopping_rounds if val is not None else 0
     best = (float("inf"), 0)
     for number in range(n_estimators + 1):
@@ -379,7 +378,8 @@ def fit_boosted(train: DataFrame, features: Sequence[str], target: str, val: Dat
         last = number == n_estimators
         if last and not patience:
             break
-        measured, loss = _histograms(blocks, k, fresh, root, {0: 0}, columns[:1] if last else columns, n_bins, number, subsample, seed, parts)
+        measured, loss = _histograms(blocks, k, root, {0: 0}, columns[:1] if last else columns, n_bins, number, subsample, seed, parts, bool(patience))
+        older = _release(older)
         if patience and loss[1] > 0:
             losses.append(loss[0] / loss[1])
             if losses[-1] < best[0]:
@@ -389,27 +389,40 @@ def fit_boosted(train: DataFrame, features: Sequence[str], target: str, val: Dat
         if last:
             break
 
-        def measure(tree, leaves, columns=columns, number=number):
-            return _histograms(blocks, k, fresh, tree, {leaf: i for i, leaf in enumerate(leaves)}, columns, n_bins, number, subsample, seed, parts)[0]
+        def measure(tree, leaves, blocks=blocks, columns=columns, number=number):
+            return _histograms(blocks, k, tree, {leaf: i for i, leaf in enumerate(leaves)}, columns, n_bins, number, subsample, seed, parts, False)[0]
 
         tree = grow(measured[0], measure, columns, growth, gains)
         if len(tree.feature) == 1:
             break
         trees.append(tree)
         kept_gains.append(gains.copy())
-        fresh.append(tree)
-        if len(fresh) == REFRESH:
-            blocks, fresh = cut_lineage(blocks.mapInArrow(_moved(k, fresh), _BLOCK)), []
+        moved = blocks.mapInArrow(_moved(k, tree), _BLOCK)
+        if len(trees) % REFRESH == 0:
+            moved = cut_lineage(moved)
+            _release(blocks)
+        else:
+            moved, older = moved.persist(), blocks
+        blocks = moved
+    _release(older)
+    _release(blocks)
     n = best[1] if patience and losses else len(trees)
     return Boosted(name, feats, edges, base, trees[:n], kept_gains[n - 1] if n else np.zeros(k),
                    {"trees": n, "grown": len(trees), "learning_rate": learning_rate, "num_leaves": num_leaves, "max_depth": max_depth, "reg_alpha": reg_alpha,
                     "reg_lambda": reg_lambda, "early_stopping_rounds": early_stopping_rounds, "val_losses": losses})
 
 
-def _moved(k: int, trees: list):
-    """The same blocks with the trees added to their margins."""
+def _release(blocks: DataFrame | None) -> None:
+    """Let the executors forget blocks that they keep."""
+    if blocks is not None and blocks.is_cached:
+        blocks.unpersist()
+
+
+def _moved(k: int, tree: Tree):
+    """The same blocks with the tree added to their margins."""
     def move(batches):
+        value = np.asarray(tree.value)
         for batch in batches:
-            m = [_margins(x, m, trees).tobytes() for x, _, _, _, _, m in _read(batch, k)]
+            m = [(m + value[tree.leaves(x)]).tobytes() for x, _, _, _, _, m in _read(batch, k)]
             yield batch.set_column(batch.schema.get_field_index("m"), "m", pa.array(m, pa.binary()))
     return move
