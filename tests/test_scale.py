@@ -2,8 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from versus.operators import boosting as B
+from versus.operators import models as M
 
 
 def test_a_boosting_pass_does_not_walk_the_trees_before_it(spark, monkeypatch):
@@ -22,3 +24,9 @@ def test_a_boosting_pass_does_not_walk_the_trees_before_it(spark, monkeypatch):
     for n, loss in enumerate(model.params["val_losses"][:len(model.trees) + 1]):
         m = B.Boosted("b", ["a", "b"], model.edges, model.base, model.trees[:n], model.gains).margins(x)
         assert loss == pytest.approx(float(np.logaddexp(0, np.where(y == 1, -m, m)).mean()), rel=1e-9)
+
+
+def test_a_forest_keeps_the_nodes_of_its_rows(spark):
+    df = spark.range(60).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 2).cast("int").alias("win"))
+    fit = M.fit_random_forest(df, ["a"], "win", n_estimators=3, max_depth=3).ml_model
+    assert fit.getCacheNodeIds()
