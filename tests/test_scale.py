@@ -6,6 +6,69 @@ from pyspark.sql import functions as F
 
 from versus.operators import boosting as B
 from versus.operators import models as M
+from versus.operators import selection as SEL
+from versus.plans import catalog_features, catalog_merge, catalog_models, catalog_stats
+from versus.plans.registry import tables
+
+
+@pytest.fixture(scope="module")
+def sf(spark, tmp_path_factory):
+    """Orders of four lines, all parts known."""
+    d = str(tmp_path_factory.mktemp("tables"))
+    n = F.col("id")
+    li = spark.range(1600).select(
+        (n / 4).cast("bigint").alias("l_orderkey"), (n % 7).alias("l_partkey"), (n % 5).alias("l_suppkey"), (n % 50 + 1).cast("double").alias("l_quantity"),
+        (n * 37 % 1000 + 1).cast("double").alias("l_extendedprice"), F.lit(0.05).alias("l_discount"), ((n % 9) / 100).alias("l_tax"), (n % 4 + 1).alias("l_linenumber"),
+        F.when(n % 3 == 0, "A").when(n % 3 == 1, "R").otherwise("N").alias("l_returnflag"),
+        F.when((n % 4 < 2) == (n % 8 < 4), "O").otherwise("F").alias("l_linestatus"), F.lit("1995-01-01").cast("date").alias("l_shipdate"))
+    li.coalesce(1).write.parquet(f"{d}/lineitem.parquet")
+    spark.range(400).select(n.alias("o_orderkey"), F.lit("1-URGENT").alias("o_orderpriority"), F.lit("1995-01-01").cast("date").alias("o_orderdate"),
+                            (n + 1000.5).alias("o_totalprice")).coalesce(1).write.parquet(f"{d}/orders.parquet")
+    spark.range(7).select(n.alias("p_partkey"), F.concat(F.lit("Brand#"), n + 11).alias("p_brand"), F.lit("PROMO").alias("p_type")).coalesce(1).write.parquet(f"{d}/part.parquet")
+    return d
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sides_meet_as_they_lie_in_any_session(spark, sf):
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    spark.conf.set(key, "true")
+    try:
+        tables(spark, sf)
+        assert spark.conf.get(key) == "false" or spark.sparkContext.getConf().contains(key)
+    finally:
+        spark.conf.set(key, "false")
+
+
+def test_post_game_lines_carry_no_part_columns(spark, sf):
+    exchanges = [line for line in _plan(catalog_merge.stage_merged(spark, sf)).splitlines() if "p_type" in line or "p_brand" in line]
+    assert not exchanges
+    wide = tables(spark, sf, wide=True)
+    lean = tables(spark, sf, wide=True, picks=False)
+    cols = lean["members"].columns
+    assert sorted(wide["members"].select(cols).collect()) == sorted(lean["members"].collect())
+
+
+@pytest.mark.parametrize("module, query", [(catalog_models, "q_linear_regression_1d"), (catalog_models, "q_score_batch"), (catalog_models, "q_score_stream"),
+                                           (catalog_stats, "q_robust_scale"), (catalog_features, "q_stratified_cap")])
+def test_cleaned_rows_are_built_once_and_stored(spark, sf, monkeypatch, module, query):
+    built, stored = [], []
+    make, cut = module.stage_cleaned, module.cut_lineage
+    monkeypatch.setattr(module, "stage_cleaned", lambda *a: built.append(1) or make(*a))
+    monkeypatch.setattr(module, "cut_lineage", lambda df: stored.append(1) or cut(df))
+    assert getattr(module, query)(spark, sf).count() > 0
+    assert len(built) == len(stored) == 1
+
+
+def test_scaling_of_stored_rows_makes_no_copy(spark, monkeypatch):
+    df = spark.range(200).select((F.col("id") * 7 % 31).cast("double").alias("a"), F.when(F.col("id") % 5 > 0, F.col("id") % 2).cast("double").alias("b"))
+    copies, cut = [], SEL.cut_lineage
+    monkeypatch.setattr(SEL, "cut_lineage", lambda d: copies.append(1) or cut(d))
+    want = SEL.scaling_artifact(df, ["a", "b"]).collect()
+    assert len(copies) == 1
+    assert SEL.scaling_artifact(df, ["a", "b"], stored=True).collect() == want and len(copies) == 1
 
 
 def test_a_boosting_pass_does_not_walk_the_trees_before_it(spark, monkeypatch):

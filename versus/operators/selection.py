@@ -220,7 +220,7 @@ def binary_columns(df: DataFrame, columns: Sequence[str]) -> list:
 
 
 def scaling_artifact(train: DataFrame, columns: Sequence[str], iqr_factor: float = OUTLIER_IQR_FACTOR,
-                     robust_share: float = ROBUST_OUTLIER_SHARE) -> DataFrame:
+                     robust_share: float = ROBUST_OUTLIER_SHARE, stored: bool = False) -> DataFrame:
     """Fit the preprocessing on the training rows (#112-#115).
 
     Returns (feature, kind, impute, center, scale): binary columns impute the
@@ -229,11 +229,12 @@ def scaling_artifact(train: DataFrame, columns: Sequence[str], iqr_factor: float
     values get robust scaling (median, IQR); the rest standard scaling (mean,
     population std). Both scalings are fitted on median-filled values. NaN
     counts as NULL; zero scales become 1; an all-NULL column is filled with 0.
+    ``stored`` tells that ``train`` is a projection of stored rows, which need no second copy.
     """
     spark = train.sparkSession
     cols = list(columns)
     clean = train.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
-    clean = cut_lineage(clean)  # read by several aggregates
+    clean = clean if stored else cut_lineage(clean)  # read by several aggregates
     at = {c: f"c{i}" for i, c in enumerate(cols)}
     # one aggregate: rows, binary detection, mean and sum of squares about it
     exprs = [F.count(F.lit(1)).alias("rows")]
@@ -298,12 +299,12 @@ def fit_transform_splits(frame: DataFrame, feature_cols: Sequence[str], target:
                          id_cols: Sequence[str] = ("matchid", "teamid"), split_col: str = "split",
                          correlation_threshold: float = CORRELATION_THRESHOLD,
                          vif_threshold: float = VIF_THRESHOLD,
-                         min_features_after_vif: int = MIN_FEATURES_AFTER_VIF):
+                         min_features_after_vif: int = MIN_FEATURES_AFTER_VIF, stored: bool = False):
     """Correlation filter -> VIF filter -> PCA diagnostic -> scaling groups ->
     fit on train, transform all splits with one select (#116).
 
     Returns (transformed frame with ``[ids, split, features..., target]``,
-    artifact DataFrame, summary dict).
+    artifact DataFrame, summary dict). ``stored`` tells that ``frame`` is a projection of stored rows.
     """
     from .relational import numeric_columns
     numeric = set(numeric_columns(frame))
@@ -311,7 +312,8 @@ def fit_transform_splits(frame: DataFrame, feature_cols: Sequence[str], target:
     # the fit statistics read the training rows, the transform reads all rows:
     # cut the lineage of the narrow projection once (reliable checkpoint in
     # spark.checkpoint.dir) and derive both from it
-    frame = cut_lineage(frame.select(*id_cols, split_col, *candidate, target))
+    frame = frame.select(*id_cols, split_col, *candidate, target)
+    frame = frame if stored else cut_lineage(frame)
     train = frame.where(F.col(split_col) == "train").select(*candidate, target)
     # without gaps every Gram below is a sub-block of the first one (same rows),
     # so one pass serves correlation, VIF and PCA
@@ -326,7 +328,7 @@ def fit_transform_splits(frame: DataFrame, feature_cols: Sequence[str], target:
     vif_keep, vif_drop, scores = drop_high_vif(g2, vif_threshold, min_features_after_vif)
     g3 = g2.subset(vif_keep)
     pca = pca_components_95(g3)
-    artifact = scaling_artifact(train, vif_keep)
+    artifact = scaling_artifact(train, vif_keep, stored=True)
     rows = artifact.collect()  # one row per selected feature
     out = _transform(frame, rows, id_cols, split_col, target)
     summary = {

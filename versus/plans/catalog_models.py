@@ -30,14 +30,24 @@ from .sqlparts import CLEANED, MERGED, PM, SIDES
 
 POST = PM + SIDES + MERGED + CLEANED
 _FITTED: dict = {}
+_RAW: dict = {}
 
 
-def processed(spark, sf):
-    """[ids, split, selected scaled features..., win], fitted on train once."""
+def raw_features(spark, sf):
+    """[ids, split, candidate features..., win] stored once, and the candidates."""
     def make():
         frame = post_feature_frame(spark, sf)
         feats = select_candidates(frame.drop("split"))
-        out, artifact, summary = SEL.fit_transform_splits(frame, feats, "win")
+        return cut_lineage(frame.select("matchid", "teamid", "split", *feats, "win")), feats
+
+    return fitted_once(spark, sf, _RAW, make)
+
+
+def processed(spark, sf):
+    """[ids, split, selected scaled features..., win], fitted on train once."""
+    def make():
+        frame, feats = raw_features(spark, sf)
+        out, artifact, summary = SEL.fit_transform_splits(frame, feats, "win", stored=True)
         return cut_lineage(out), artifact.collect(), summary, feats
 
     return fitted_once(spark, sf, _FITTED, make)
@@ -117,7 +127,7 @@ def q_evaluate_scope(spark, sf):
     TR.save_model(spark, TR.train_run(out, "logistic_regression", "win").model, f"{root}/model", "win", "postgame")
     TR.save_preprocessor(spark, rows, f"{root}/preprocessor")
     model, fitted = TR.load_model(spark, f"{root}/model"), TR.load_preprocessor(spark, f"{root}/preprocessor")
-    raw = post_feature_frame(spark, sf).where(F.col("split") == "test")
+    raw = raw_features(spark, sf)[0].where(F.col("split") == "test")
     scored = score_batch(raw, model, fitted, [r["feature"] for r in fitted], keep=["matchid", "teamid", "win"])
     return classification_metrics(scored.withColumnRenamed("label", "pred").withColumnRenamed("probability", "score"),
                                   "win", "pred", "score")
@@ -176,6 +186,7 @@ FROM cleaned WHERE {TRAIN}"""))
 def q_linear_regression_1d(spark, sf):
     """Least-squares classifier with one feature: intercept and slope from the Gram pass (#126)."""
     train = SP.split_grouped(stage_cleaned(spark, sf)).where(F.col("split") == "train")
+    train = cut_lineage(train.select("kills_sum", "win"))  # the Gram pass reads it twice
     m = M.fit_linear_regression_classifier(train, ["kills_sum"], "win")
     return round_doubles(spark.createDataFrame([(float(m.intercept), float(m.coef[0]))], "intercept double, slope double"))
 
@@ -189,7 +200,7 @@ SELECT matchid, teamid, ROUND(p, 4) AS probability, CASE WHEN p >= 0.5 THEN 1 EL
 def q_score_batch(spark, sf):
     """Score every cleaned row with the 1-feature linear model; missing model
     columns would be 0.0; label at p >= 0.5; confidence = max(p, 1 - p) (#171)."""
-    cleaned = stage_cleaned(spark, sf)
+    cleaned = cut_lineage(stage_cleaned(spark, sf).select("matchid", "teamid", "kills_sum", "win"))  # fitted on and scored
     train = SP.split_grouped(cleaned).where(F.col("split") == "train")
     m = M.fit_linear_regression_classifier(train, ["kills_sum"], "win")
     out = score_batch(cleaned, m, None, ["kills_sum"], keep=["matchid", "teamid"])
@@ -199,8 +210,9 @@ def q_score_batch(spark, sf):
 @query("score_stream")
 def q_score_stream(spark, sf):
     """The batch scorer on a Structured Streaming file source (availableNow), read back (#172)."""
-    cleaned = stage_cleaned(spark, sf).select("matchid", "teamid", "kills_sum", "deaths_sum")
-    train = SP.split_grouped(stage_cleaned(spark, sf)).where(F.col("split") == "train")
+    stored = cut_lineage(stage_cleaned(spark, sf).select("matchid", "teamid", "kills_sum", "deaths_sum", "win"))  # fitted on and scored
+    cleaned = stored.drop("win")
+    train = SP.split_grouped(stored).where(F.col("split") == "train")
     m = M.fit_linear_regression_classifier(train, ["kills_sum", "deaths_sum"], "win")
     root = f"{TR.artifact_root(spark)}/stream/{uuid.uuid4().hex[:12]}"
     cleaned.repartition(4).write.mode("overwrite").parquet(f"{root}/in")

@@ -185,7 +185,7 @@ GROUP_KEYS = {"members": "matchid", "matches": "id", "teamstats": "matchid", "te
 def stored_tables(spark, sf):
     """The domain tables bucketed by group, stored once for these files."""
     def make():
-        t = tables(spark, sf, wide=True)
+        t = tables(spark, sf, wide=True).stored()
         return store({name: t[name] for name in GROUP_KEYS}, GROUP_KEYS)
     return fitted_once(spark, sf, _STORED, make)
 

@@ -424,10 +424,12 @@ def q_robust_scale(spark, sf):
     """(x - median) / IQR fitted on train with exact quantiles (#114)."""
     from ..operators.ordered import exact_quantiles
     from ..operators.selection import apply_scaling
-    q = {r["p"]: r["value"] for r in exact_quantiles(_train(spark, sf), ["goldearned_sum"], [0.25, 0.5, 0.75]).collect()}
+    cleaned = cut_lineage(stage_cleaned(spark, sf).select("matchid", "teamid", "goldearned_sum"))  # fitted on and scaled
+    train = SP.split_grouped(cleaned).where(F.col("split") == "train")
+    q = {r["p"]: r["value"] for r in exact_quantiles(train, ["goldearned_sum"], [0.25, 0.5, 0.75], materialize=False).collect()}
     iqr = q[0.75] - q[0.25]
     art = {"feature": "goldearned_sum", "kind": "robust", "impute": q[0.5], "center": q[0.5], "scale": iqr or 1.0}
-    return round_doubles(apply_scaling(stage_cleaned(spark, sf), [art], keep=["matchid", "teamid"]))
+    return round_doubles(apply_scaling(cleaned, [art], keep=["matchid", "teamid"]))
 
 
 @query("impute", with_fixture(POST + f"""

@@ -68,11 +68,12 @@ def store(tables: Mapping[str, DataFrame], keys: Mapping[str, str], members: str
     spark = tables[members].sparkSession
     root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/layout/{uuid.uuid4().hex}"
     tag = f"grouped_{uuid.uuid4().hex[:12]}"
-    sizes = cut_lineage(tables[members].groupBy(F.col(keys[members]).alias("_group")).agg(F.count(F.lit(1)).alias("_n")))
-    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    sizes = tables[members].groupBy(F.col(keys[members]).alias("_group")).agg(F.count(F.lit(1)).alias("_n"))
+    large = (F.col("_n") > hot_rows) & F.col("_group").isNotNull()
+    # one small answer; the sizes themselves are not stored
+    total, any_hot = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max(large), F.lit(False))).first()
     n = buckets or bucket_count(total)
-    hot = sizes.where((F.col("_n") > hot_rows) & F.col("_group").isNotNull()).select("_group")
-    any_hot = not hot.isEmpty()
+    hot = cut_lineage(sizes.where(large).select("_group")) if any_hot else None
     cold_names, hot_names = {}, {}
     for name, df in tables.items():
         key = keys[name]
