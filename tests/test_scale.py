@@ -93,3 +93,22 @@ def test_a_forest_keeps_the_nodes_of_its_rows(spark):
     df = spark.range(60).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 2).cast("int").alias("win"))
     fit = M.fit_random_forest(df, ["a"], "win", n_estimators=3, max_depth=3).ml_model
     assert fit.getCacheNodeIds()
+
+
+def test_fourier_features_need_no_column_each(spark):
+    rows = [(i, None if i % 11 == 0 else float(i % 13 - 6), float("nan") if i % 17 == 0 else i / 50, i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, win int").repartition(3)
+    transform, names = M.fourier_map(["a", "b"], 0.3, 20)
+    want = {r["id"]: [r[n] for n in names] for r in transform(df).collect()}
+    got = M.fourier_vectors(df.withColumn("win", F.col("id").cast("int")), ["a", "b"], "win", 0.3, 20)
+    assert got.columns == ["features", "win"]
+    for r in got.collect():
+        assert list(r["features"]) == pytest.approx(want[r["win"]], abs=1e-12)
+    model = M.fit_rbf_svm(df, ["a", "b"], "win", gamma=0.3, n_components=20)
+    w, b = model.ml_model.coefficients.toArray(), model.ml_model.intercept
+    scored = model.score(df, ["id", "win"])
+    assert "rff_0" not in scored._jdf.queryExecution().analyzed().toString()
+    for r in scored.collect():
+        margin = float(np.dot(want[r["id"]], w) + b)
+        assert r["margin"] == pytest.approx(margin, abs=1e-9) and r["score"] == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-9)
+        assert r["pred"] == int(margin > 0)

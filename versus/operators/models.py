@@ -21,9 +21,10 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+import pyarrow as pa
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,6 +103,10 @@ class FittedModel:
 
     def score(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         keep = list(keep)
+        if isinstance(self.ml_model, LinearSVCModel) and self.transform is not None and "n_components" in self.params:
+            out = fourier_margin(df, keep, self, self.ml_model.coefficients.toArray(), float(self.ml_model.intercept))
+            score = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
+            return out.select(*keep, "margin", score.alias("score"), (F.col("margin") > self.ml_model.getThreshold()).cast("int").alias("pred"))
         src = self.transform(df) if self.transform else df
         feats = self.params.get("model_features", self.features)
         if self.ml_model is None:
@@ -276,6 +281,51 @@ def fourier_map(features: Sequence[str], gamma: float, n_components: int, seed:
     return apply, names
 
 
+def _fourier_values(batch: pa.RecordBatch, features: Sequence[str], W: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The Fourier features of an Arrow batch, NULL and NaN as 0, a few hundred rows at a time so that they stay in cache."""
+    cols = [batch.column(batch.schema.get_field_index(f)).cast(pa.float64()).to_numpy(zero_copy_only=False) for f in features]
+    x = np.nan_to_num(np.column_stack(cols), copy=False, nan=0.0, posinf=np.inf, neginf=-np.inf) if cols else np.empty((batch.num_rows, 0))
+    z = x @ W
+    for at in range(0, len(z), 256):
+        part = z[at:at + 256]
+        part += b
+        np.cos(part, out=part)
+        part *= np.sqrt(2.0 / len(b))
+    return z
+
+
+def fourier_vectors(df: DataFrame, features: Sequence[str], target: str, gamma: float, n_components: int, seed: int = SEED) -> DataFrame:
+    """(features vector, target) of every row: ``fourier_map`` without a column for each component."""
+    W, b = fourier_draws(len(features), n_components, seed)
+    W, feats = np.sqrt(2.0 * gamma) * W, list(features)
+
+    def apply(batches):
+        for batch in batches:
+            z = _fourier_values(batch, feats, W, b)
+            ends = np.arange(0, z.size + 1, n_components, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(z.ravel())), batch.column(batch.schema.get_field_index(target))],
+                                             names=["z", target])
+
+    out = df.select(*feats, target).mapInArrow(apply, f"z array<double>, `{target}` {df.schema[target].dataType.simpleString()}")
+    return out.select(array_to_vector("z").alias("features"), target)
+
+
+def fourier_margin(df: DataFrame, keep: Sequence[str], model: FittedModel, coef: np.ndarray, intercept: float) -> DataFrame:
+    """``keep`` and the margin of a linear model over Fourier features, which leave no task."""
+    W, b = fourier_draws(len(model.features), int(model.params["n_components"]), int(model.params.get("seed", SEED)))
+    W, feats, w = np.sqrt(2.0 * float(model.params["gamma"])) * W, [f"_x{i}" for i in range(len(model.features))], np.asarray(coef, dtype=float)
+    keep = list(keep)
+
+    def apply(batches):
+        for batch in batches:
+            m = _fourier_values(batch, feats, W, b) @ w + intercept
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(m)], names=[*keep, "margin"])
+
+    schema = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in keep) + "margin double"
+    src = df.select(*keep, *[F.col(c).cast("double").alias(f) for c, f in zip(model.features, feats)])
+    return src.mapInArrow(apply, schema)
+
+
 def fit_rbf_svm(train: DataFrame, features: Sequence[str], target: str, C: float = 1.0,
                 gamma: str | float = "scale", n_components: int = 200, seed: int = SEED, **_) -> FittedModel:
     """RBF-kernel SVM re-aimed as random Fourier features + linear SVM (#131).
@@ -292,7 +342,7 @@ def fit_rbf_svm(train: DataFrame, features: Sequence[str], target: str, C: float
     n = train.count()
     svc = LinearSVC(featuresCol="features", labelCol=target, regParam=1.0 / (C * n), maxIter=1000,
                     standardization=False)
-    model = svc.fit(_assembled(transform(train), names))
+    model = svc.fit(fourier_vectors(train, feats, target, float(gamma), n_components, seed))
     return FittedModel("svm_rbf", feats, ml_model=model, transform=transform,
                        params={"gamma": gamma, "n_components": n_components, "seed": seed, "model_features": names})
 
