@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from versus.operators import boosting as B
 from versus.operators import models as M
 from versus.operators import selection as SEL
-from versus.plans import catalog_features, catalog_merge, catalog_models, catalog_stats
+from versus.operators.clean import clean_dataset
+from versus.plans import catalog_features, catalog_merge, catalog_models, catalog_pipeline, catalog_stats
 from versus.plans.registry import tables
 
 
@@ -62,6 +63,51 @@ def test_cleaned_rows_are_built_once_and_stored(spark, sf, monkeypatch, module,
     assert len(built) == len(stored) == 1
 
 
+def test_cleaned_rows_stay_where_their_sides_lie(spark, sf):
+    """Lines are shuffled by order once; no other exchange carries sides, also where nothing is broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        cleaned = catalog_merge.stage_cleaned(spark, sf)
+        rows = cleaned.collect()
+    finally:
+        spark.conf.set(key, before)
+    text = _plan(cleaned).split("== Initial Plan ==")[0]
+    above = text.split("HashAggregate")[0]
+    assert rows and "Window" in above and "Exchange" not in above
+
+
+def test_rows_without_nulls_in_their_keys_need_no_fill(spark):
+    df = spark.createDataFrame([(1, 100, 1, None), (1, 200, 0, 2.0), (1, 200, 0, 2.0), (2, 100, 1, 1.0), (3, 100, 1, 4.0), (3, 200, 1, 4.0)],
+                               "matchid long, teamid long, win int, kills_sum double")
+    want = sorted(clean_dataset(df).collect())
+    assert [tuple(r) for r in want] == [(1, 100, 1, 0.0), (1, 200, 0, 2.0)]
+    assert sorted(clean_dataset(df, never_null=("matchid", "teamid")).collect()) == want
+    # a NULL key is filled unless it is named
+    gap = spark.createDataFrame([(None, 100, 1, 1.0), (None, 200, 0, 1.0)], df.schema)
+    assert sorted(r.matchid for r in clean_dataset(gap).collect()) == [0, 0]
+
+
+def test_stored_lines_are_read_by_the_columns_of_each_table(spark, sf):
+    stored, lines = tables(spark, sf, wide=True).stored(), tables(spark, sf, wide=True)
+    assert "ReadSchema" in _plan(stored["teamstats"]) and "l_extendedprice" not in _plan(stored["teamstats"])
+    for name in ("members", "teamstats", "teambans"):
+        assert stored[name].columns == lines[name].columns
+        assert sorted(map(repr, stored[name].collect())) == sorted(map(repr, lines[name].collect()))
+
+
+def test_the_post_game_build_ranks_lean_lines_and_no_probe_does(spark, sf, monkeypatch):
+    asked, built = [], []
+    monkeypatch.setattr(catalog_pipeline, "_BUILDS", {})
+    make = catalog_pipeline.tables
+    monkeypatch.setattr(catalog_pipeline, "tables", lambda *a, **kw: asked.append(kw) or make(*a, **kw))
+    monkeypatch.setattr(catalog_pipeline, "build_postgame_features", lambda *a, **kw: built.append(kw) or (None, {}))
+    catalog_pipeline._build(spark, sf, "postgame")
+    assert asked == [{"wide": True, "picks": False}]
+    assert built == [{"binary": ["firstbloodkill"]}]
+
+
 def test_scaling_of_stored_rows_makes_no_copy(spark, monkeypatch):
     df = spark.range(200).select((F.col("id") * 7 % 31).cast("double").alias("a"), F.when(F.col("id") % 5 > 0, F.col("id") % 2).cast("double").alias("b"))
     copies, cut = [], SEL.cut_lineage

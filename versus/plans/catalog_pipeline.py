@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..operators import training as TR
 from ..sources.fixture import DEFAULT_SLOTS
-from .catalog_merge import stage_merged
+from .catalog_merge import binary_stats, stage_merged
 from .catalog_models import processed
 from .catalog_stats import MATCH_COLS, _count_row, _static, _unique_row
 from .pipeline import build_postgame_features, build_pregame_features
@@ -24,8 +24,10 @@ _BUILDS: dict = {}
 def _build(spark, sf, scope):
     def make():
         out_dir = f"{TR.artifact_root(spark)}/build/{uuid.uuid4().hex[:12]}"
-        fn = build_postgame_features if scope == "postgame" else build_pregame_features
-        return fn(spark, tables(spark, sf, wide=True), out_dir, DEFAULT_SLOTS)
+        if scope == "pregame":
+            return build_pregame_features(spark, tables(spark, sf, wide=True), out_dir, DEFAULT_SLOTS)
+        t = tables(spark, sf, wide=True, picks=False)
+        return build_postgame_features(spark, t, out_dir, DEFAULT_SLOTS, binary=binary_stats(t))
 
     return fitted_once(spark, sf, _BUILDS, make, scope)
 

@@ -8,10 +8,12 @@ by (scope, split) plus gzip CSV per split and a JSON summary.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import MIN_DURATION_SECONDS
+from ..constants import KEYS, MIN_DURATION_SECONDS
 from ..functions.columns import select_candidates
 from ..operators import encoders as EN
 from ..operators import features as FE
@@ -42,9 +44,10 @@ def _write(spark: SparkSession, out: DataFrame, summary: dict, out_dir: str, sco
 
 
 def build_postgame_features(spark: SparkSession, t: dict, out_dir: str, slots_per_side: int = 5,
-                            target: str = "win") -> tuple[DataFrame, dict]:
-    merged = postgame_sides(assign_sides(members_of(t), slots_per_side), t["matches"], t["teamstats"])
-    curated = cut_lineage(SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS)))
+                            target: str = "win", binary: Sequence[str] | None = None) -> tuple[DataFrame, dict]:
+    """``binary`` names the binary statistics if they are known (else one more pass over the members finds them)."""
+    merged = postgame_sides(assign_sides(members_of(t), slots_per_side), t["matches"], t["teamstats"], binary)
+    curated = cut_lineage(SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS, never_null=KEYS)))
     assert_group_frame(curated, "curated post-game frame")
     enriched = FE.team_features(FE.player_features(curated))
     enc = EN.fit_target_encoding(enriched.where(F.col("split") == "train"), target=target)
@@ -59,7 +62,7 @@ def build_postgame_features(spark: SparkSession, t: dict, out_dir: str, slots_pe
 def build_pregame_features(spark: SparkSession, t: dict, out_dir: str, slots_per_side: int = 5,
                            target: str = "win") -> tuple[DataFrame, dict]:
     merged = pregame_sides(members_of(t, ["id", "win"]), t["matches"], t["teambans"], slots_per_side)
-    curated = cut_lineage(SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS)))
+    curated = cut_lineage(SP.split_grouped(clean_dataset(merged, MIN_DURATION_SECONDS, never_null=KEYS)))
     assert_group_frame(curated, "curated pre-game frame")
     train = curated.where(F.col("split") == "train")
     champ = [f"champion_{i}" for i in range(1, 6) if f"champion_{i}" in curated.columns]
