@@ -158,3 +158,15 @@ def test_fourier_features_need_no_column_each(spark):
         margin = float(np.dot(want[r["id"]], w) + b)
         assert r["margin"] == pytest.approx(margin, abs=1e-9) and r["score"] == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-9)
         assert r["pred"] == int(margin > 0)
+
+
+def test_the_processed_frame_is_read_by_columns(spark, sf, monkeypatch):
+    """Raw and processed features are stored in columns, and a fit that names one column reads that one."""
+    monkeypatch.setattr(catalog_models, "_RAW", {})
+    monkeypatch.setattr(catalog_models, "_FITTED", {})
+    out, rows, _, feats = catalog_models.processed(spark, sf)
+    raw = catalog_models.raw_features(spark, sf)[0]
+    for frame, names in ((raw, feats), (out, [r["feature"] for r in rows])):
+        assert set(frame.columns) == {"matchid", "teamid", "split", *names, "win"} and frame.count() > 0
+        read = _plan(frame.select("win"))
+        assert "ReadSchema: struct<win" in read and names[0] not in read.split("ReadSchema")[1]

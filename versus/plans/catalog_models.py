@@ -3,7 +3,7 @@
 Fitted models cannot be checked against SQL (rows-only), except where the
 fit has a closed SQL form (1-feature least squares) and for the trial table.
 The processed feature frame is fitted once per session and sf directory and
-its lineage cut with ``checkpoint()`` (reliable, in ``spark.checkpoint.dir``).
+stored as Parquet in ``spark.checkpoint.dir``, as every fit and score reads it by columns.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from ..operators import training as TR
 from ..operators.evaluate import classification_metrics
 from ..operators.scoring import score_batch
 from ..functions.columns import select_candidates
-from ..session import cut_lineage
+from ..session import cut_lineage, store_columns
 from ..streaming.scoring import read_scored, score_stream
 from .catalog_merge import stage_cleaned
 from .catalog_stats import TRAIN, post_feature_frame
@@ -38,7 +38,7 @@ def raw_features(spark, sf):
     def make():
         frame = post_feature_frame(spark, sf)
         feats = select_candidates(frame.drop("split"))
-        return cut_lineage(frame.select("matchid", "teamid", "split", *feats, "win")), feats
+        return store_columns(frame.select("matchid", "teamid", "split", *feats, "win")), feats
 
     return fitted_once(spark, sf, _RAW, make)
 
@@ -48,7 +48,7 @@ def processed(spark, sf):
     def make():
         frame, feats = raw_features(spark, sf)
         out, artifact, summary = SEL.fit_transform_splits(frame, feats, "win", stored=True)
-        return cut_lineage(out), artifact.collect(), summary, feats
+        return store_columns(out), artifact.collect(), summary, feats
 
     return fitted_once(spark, sf, _FITTED, make)
 
