@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from versus.operators import boosting as B
+from versus.operators import evaluate as E
 from versus.operators import models as M
 from versus.operators import selection as SEL
 from versus.operators.clean import clean_dataset
@@ -170,3 +171,20 @@ def test_the_processed_frame_is_read_by_columns(spark, sf, monkeypatch):
         assert set(frame.columns) == {"matchid", "teamid", "split", *names, "win"} and frame.count() > 0
         read = _plan(frame.select("win"))
         assert "ReadSchema: struct<win" in read and names[0] not in read.split("ReadSchema")[1]
+
+
+def test_buckets_of_the_metrics_move_no_real_number_but_the_score(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    score, label = rng.random(500).round(2), rng.integers(0, 2, 500)
+    rows = [("a" if i % 3 else "b", float(s), int(y), int(s >= 0.5)) for i, (s, y) in enumerate(zip(score, label))]
+    # gaps: a label that is not there counts nowhere, a prediction that is not there is wrong
+    df = spark.createDataFrame([*rows, ("a", 0.25, None, 0), ("a", 0.25, 1, None), ("b", 0.0, 1, 0), ("b", 1.0, 0, 1)], "g string, score double, label int, pred int")
+    moved, prefix = [], E.ordered_prefix
+    monkeypatch.setattr(E, "ordered_prefix", lambda d, *a, **kw: moved.append(d) or prefix(d, *a, **kw))
+    got = {r["g"]: r for r in E.classification_metrics(df, group=["g"]).collect()}
+    real = [c for c in moved[0].columns if c not in ("g", "s") and moved[0].where(F.col(c) != F.round(c)).count()]
+    assert len(moved) == 1 and real == []
+    for r in E.counting_metrics(df, group=["g"]).collect():
+        assert got[r["g"]]["f1"] == pytest.approx(r["f1"], rel=1e-12)
+        assert got[r["g"]]["brier_score"] == pytest.approx(r["brier_score"], rel=1e-12)
+        assert got[r["g"]]["log_loss"] == pytest.approx(r["log_loss"], rel=1e-12)

@@ -94,9 +94,10 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
 
     Rows collapse to one bucket per (group, clipped score) carrying positives,
     negatives and the additive pieces of every counting metric (tp, fp, fn,
-    correct, Brier and log-loss sums); running counts over the buckets give
-    AUC and average precision; a final per-group aggregate sums everything.
-    No join between metric families.
+    correct, squared labels); running counts over the buckets give AUC and average
+    precision; a final per-group aggregate sums everything.  Brier and log loss
+    follow from a bucket's score and counts there, so a bucket moves no real number but its
+    score.  No join between metric families.
     """
     if not score:
         return counting_metrics(df, label, pred, None, group)
@@ -105,15 +106,17 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
     buckets = df.groupBy(*group, s.alias("s")).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"),
         F.sum(y * p).alias("tp"), F.sum((1 - y) * p).alias("fp"), F.sum(y * (1 - p)).alias("fn"),
-        F.sum(F.when(y == p, 1.0).otherwise(0.0)).alias("correct"),
-        F.sum((s - y) * (s - y)).alias("sq"), F.sum(y * F.log(s) + (1 - y) * F.log(1 - s)).alias("ll"))
+        F.sum(F.when(y == p, 1.0).otherwise(0.0)).alias("correct"), F.sum(y * y).alias("yy"))
     c = ordered_prefix(buckets, ["s"], ["pos", "neg"], group, descending=True)
+    at, pos, neg = F.col("s"), F.col("pos"), F.col("neg")
+    sq = pos * (1 - at) * (1 - at) + neg * at * at + (F.col("yy") - pos)  # the sum of (s - y)^2
+    ll = pos * F.log(at) + neg * F.log(1 - at)
     neg_below = F.col("tot_neg") - F.col("cum_neg")
     precision_at = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     agg = c.groupBy(*group).agg(
         F.sum("tp").alias("_tp"), F.sum("fp").alias("_fp"), F.sum("fn").alias("_fn"),
         F.sum("correct").alias("_ok"), F.sum(F.col("pos") + F.col("neg")).alias("_n"),
-        F.sum("sq").alias("_sq"), F.sum("ll").alias("_ll"),
+        F.sum(sq).alias("_sq"), F.sum(ll).alias("_ll"),
         F.sum(F.col("pos") * (neg_below + 0.5 * F.col("neg"))).alias("_u"),
         F.sum(F.col("pos") * precision_at).alias("_ap"),
         F.max("tot_pos").alias("_p"), F.max("tot_neg").alias("_q"))
