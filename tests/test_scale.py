@@ -8,6 +8,7 @@ from versus.operators import boosting as B
 from versus.operators import evaluate as E
 from versus.operators import models as M
 from versus.operators import selection as SEL
+from versus.operators import training as TR
 from versus.operators.clean import clean_dataset
 from versus.plans import catalog_features, catalog_merge, catalog_models, catalog_pipeline, catalog_stats
 from versus.plans.registry import tables
@@ -188,3 +189,10 @@ def test_buckets_of_the_metrics_move_no_real_number_but_the_score(spark, monkeyp
         assert got[r["g"]]["f1"] == pytest.approx(r["f1"], rel=1e-12)
         assert got[r["g"]]["brier_score"] == pytest.approx(r["brier_score"], rel=1e-12)
         assert got[r["g"]]["log_loss"] == pytest.approx(r["log_loss"], rel=1e-12)
+
+
+def test_the_summary_ranks_the_scores_of_a_run_once(spark, sf, monkeypatch):
+    seen, make = [], TR.evaluation_summary
+    monkeypatch.setattr(TR, "evaluation_summary", lambda m, *a: seen.append(_plan(m)) or make(m, *a))
+    assert catalog_models.q_evaluation_summary(spark, sf).count() == 1
+    assert len(seen) == 3 and not any("Exchange" in p or "Window" in p for p in seen)
