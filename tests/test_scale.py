@@ -196,3 +196,24 @@ def test_the_summary_ranks_the_scores_of_a_run_once(spark, sf, monkeypatch):
     monkeypatch.setattr(TR, "evaluation_summary", lambda m, *a: seen.append(_plan(m)) or make(m, *a))
     assert catalog_models.q_evaluation_summary(spark, sf).count() == 1
     assert len(seen) == 3 and not any("Exchange" in p or "Window" in p for p in seen)
+
+
+def test_gram_needs_no_aggregate_by_column(spark):
+    """Means and ranges come from one pass whose plan does not grow with the columns; gaps and whole batches agree."""
+    rng = np.random.default_rng(2)
+    a = rng.normal(3.0, 2.0, (240, 3))
+    a[:, 2] = 7.5
+    rows = [[None if (i + j) % 5 == 0 and i > 120 else float(v) for j, v in enumerate(r)] for i, r in enumerate(a)]
+    rows += [[float("nan"), float("inf"), 7.5], [float("-inf"), None, None]]
+    df = spark.createDataFrame(rows, "a double, b double, c double").withColumn("d", F.lit(None).cast("double")).repartition(3)
+    x = SEL._finite_filled(df, ["a", "b", "c", "d"], None)
+    mean, constant = SEL._heads(x, 4)
+    m = np.array([[np.nan if v is None else v for v in r] for r in rows])
+    m = np.where(np.isfinite(m), m, np.nan)
+    assert mean == pytest.approx([*np.nanmean(m, axis=0), 0.0]) and list(constant) == [False, False, True, True]
+    g, here = SEL.gram(df, ["a", "b", "c", "d"]), np.isfinite(np.column_stack([m, np.full(len(m), np.nan)]))
+    assert g.count == pytest.approx((here.T.astype(float) @ here))
+    both = here[:, 0] & here[:, 1]
+    assert g.correlation()[0, 1] == pytest.approx(np.corrcoef(m[both, 0], m[both, 1])[0, 1])
+    whole = spark.createDataFrame([[float(v) for v in r] for r in a[:, :2]], "a double, b double").repartition(3)
+    assert SEL.gram(whole, ["a", "b"]).centred == pytest.approx(np.cov(a[:, :2].T) * 239)

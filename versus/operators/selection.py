@@ -2,7 +2,7 @@
 
 One Gram pass serves correlation, VIF and the PCA diagnostic: every task
 folds its rows into k x k blocks of pairwise sums (NumPy inside
-``mapInPandas``, Arrow batches), the blocks are summed with one
+``mapInArrow``, Arrow batches), the blocks are summed with one
 ``groupBy(i, j)``, and only the k x k result (bounded by the feature count,
 never by the rows) reaches the driver for the small linear algebra.
 Correlation is pairwise complete; VIF and PCA take median-filled columns.
@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,6 +94,34 @@ def _finite_filled(df: DataFrame, columns: Sequence[str], fill: dict | None) ->
     return df.select(*out)
 
 
+def _batch(batch: pa.RecordBatch) -> np.ndarray:
+    """The batch as rows x columns; NULL is NaN."""
+    return np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+
+
+def _heads(x: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean of each column (0 without values), and whether its smallest value is its largest.
+
+    One pass of NumPy over Arrow batches: an aggregate with three functions a column is too long to be compiled.
+    """
+    def scan(batches):
+        n, total, lo, hi = np.zeros(k), np.zeros(k), np.full(k, np.inf), np.full(k, -np.inf)
+        for batch in batches:
+            a = _batch(batch)
+            here = np.isfinite(a)
+            n += here.sum(axis=0)
+            total += np.where(here, a, 0.0).sum(axis=0)
+            lo = np.minimum(lo, np.where(here, a, np.inf).min(axis=0, initial=np.inf))
+            hi = np.maximum(hi, np.where(here, a, -np.inf).max(axis=0, initial=-np.inf))
+        yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), *map(pa.array, (n, total, lo, hi))], names=["i", "n", "t", "lo", "hi"])
+
+    mean, constant = np.zeros(k), np.ones(k, bool)
+    parts = x.mapInArrow(scan, "i int, n double, t double, lo double, hi double").where("n > 0")
+    for r in parts.groupBy("i").agg(F.sum("n").alias("n"), F.sum("t").alias("t"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect():  # k rows
+        mean[r["i"]], constant[r["i"]] = r["t"] / r["n"], r["lo"] == r["hi"]
+    return mean, constant
+
+
 def gram(df: DataFrame, columns: Sequence[str], fill: dict | None = None) -> Gram:
     """Two jobs whatever the number of columns: means and ranges, then per-partition
     blocks of pairwise sums (NumPy on Arrow batches), added up by (i, j).
@@ -104,27 +132,28 @@ def gram(df: DataFrame, columns: Sequence[str], fill: dict | None = None) -> Gra
     cols = list(columns)
     k = len(cols)
     x = _finite_filled(df, cols, fill)
-    names = [f"c{i}" for i in range(k)]
-    stats = [f(F.col(c)).alias(f"{name}_{c}") for c in names for name, f in (("m", F.avg), ("lo", F.min), ("hi", F.max))]
-    head = x.agg(F.count(F.lit(1)).alias("n"), *stats).first()
-    shift = np.array([0.0 if head[f"m_{c}"] is None else head[f"m_{c}"] for c in names])
-    constant = np.array([head[f"lo_{c}"] == head[f"hi_{c}"] for c in names], bool)
+    shift, constant = _heads(x, k) if k else (np.zeros(0), np.zeros(0, bool))
 
     def block(batches):
         acc = np.zeros((4, k, k))
-        for pdf in batches:
-            a = pdf[names].to_numpy(dtype="float64") - shift
+        for batch in batches:
+            a = _batch(batch) - shift
             here = np.isfinite(a)
-            a = np.where(here, a, 0.0)
-            w = here.astype("float64")
-            acc += np.stack([w.T @ w, a.T @ w, (a * a).T @ w, a.T @ a])
-        i, j = np.indices((k, k))
-        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "w": acc[0].ravel(), "t": acc[1].ravel(),
-                            "q": acc[2].ravel(), "p": acc[3].ravel()})
+            if here.all():  # without gaps every row counts for every pair
+                acc[0] += len(a)
+                acc[1] += a.sum(axis=0)[:, None]
+                acc[2] += (a * a).sum(axis=0)[:, None]
+                acc[3] += a.T @ a
+            else:
+                a = np.where(here, a, 0.0)
+                w = here.astype("float64")
+                acc += np.stack([w.T @ w, a.T @ w, (a * a).T @ w, a.T @ a])
+        i, j = np.indices((k, k), dtype="int32")
+        yield pa.RecordBatch.from_arrays([pa.array(v.ravel()) for v in (i, j, *acc)], names=["i", "j", *"wtqp"])
 
     out = np.zeros((4, k, k))
     if k:
-        sums = x.mapInPandas(block, "i int, j int, w double, t double, q double, p double").groupBy("i", "j")
+        sums = x.mapInArrow(block, "i int, j int, w double, t double, q double, p double").groupBy("i", "j")
         for r in sums.agg(*[F.sum(c).alias(c) for c in "wtqp"]).collect():  # k * k rows
             out[:, r["i"], r["j"]] = r["w"], r["t"], r["q"], r["p"]
     return Gram(cols, shift, *out, constant)
