@@ -8,6 +8,7 @@ from versus.operators import boosting as B
 from versus.operators import evaluate as E
 from versus.operators import models as M
 from versus.operators import selection as SEL
+from versus.operators import split as SP
 from versus.operators import training as TR
 from versus.operators.clean import clean_dataset
 from versus.plans import catalog_features, catalog_merge, catalog_models, catalog_pipeline, catalog_stats
@@ -217,3 +218,21 @@ def test_gram_needs_no_aggregate_by_column(spark):
     assert g.correlation()[0, 1] == pytest.approx(np.corrcoef(m[both, 0], m[both, 1])[0, 1])
     whole = spark.createDataFrame([[float(v) for v in r] for r in a[:, :2]], "a double, b double").repartition(3)
     assert SEL.gram(whole, ["a", "b"]).centred == pytest.approx(np.cov(a[:, :2].T) * 239)
+
+
+def test_a_capped_sample_ranks_the_first_cells_of_its_classes_only(spark, monkeypatch):
+    """The rows kept are the first of the whole rank, NULL class, ties of the hash and classes beyond the cap included."""
+    rows = [(i, i % 3, None if i % 50 == 0 else int(i % 10 == 1)) for i in range(20000)] + [(5, 2, 1)] * 3
+    df = spark.createDataFrame(rows, "id long, part long, y int").repartition(5)
+    h = df.withColumn("_h", SP.hash_unit("id"))
+    for cap in (40, 700, 2):
+        quotas = {r.y: r.quota for r in SP.class_quotas(df.groupBy("y").count(), "y", cap).collect()}
+        by = {}
+        for r in sorted(h.collect(), key=lambda r: (r._h, r.id)):
+            by.setdefault(r.y, []).append((r.id, r.part, r.y))
+        ranked, rank = [], SP.ordered_rank
+        monkeypatch.setattr(SP, "ordered_rank", lambda d, *a, **kw: ranked.append(d.count()) or rank(d, *a, **kw))
+        got = sorted(map(tuple, SP.stratified_cap(df, "y", ["id"], cap).collect()), key=repr)
+        monkeypatch.setattr(SP, "ordered_rank", rank)
+        assert got == sorted([r for y, own in by.items() for r in own[:quotas[y]]], key=repr) and len(got) == cap
+        assert ranked[0] <= cap + 3 * 25  # a cell holds 5 of 20,000 rows
