@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from versus.operators import boosting as B
 from versus.operators import evaluate as E
 from versus.operators import models as M
+from versus.operators import ordered as O
 from versus.operators import selection as SEL
 from versus.operators import split as SP
 from versus.operators import training as TR
@@ -236,3 +237,17 @@ def test_a_capped_sample_ranks_the_first_cells_of_its_classes_only(spark, monkey
         monkeypatch.setattr(SP, "ordered_rank", rank)
         assert got == sorted([r for y, own in by.items() for r in own[:quotas[y]]], key=repr) and len(got) == cap
         assert ranked[0] <= cap + 3 * 25  # a cell holds 5 of 20,000 rows
+
+
+@pytest.mark.parametrize("cells", [1, 8, 4096])
+def test_groups_are_counted_by_themselves_only_where_a_cell_is_full(spark, monkeypatch, cells):
+    """Forty groups of nine rows, one with a NULL key."""
+    df = spark.range(9 * 40).select(F.when(F.col("id") % 40 > 0, F.col("id") % 40).alias("k"), F.lit(None).cast("string").alias("t"))
+    grouped, group = [], type(df).groupBy
+    monkeypatch.setattr(type(df), "groupBy", lambda self, *by: grouped.append([str(c) for c in by]) or group(self, *by))
+    monkeypatch.setattr(O, "GROUP_CELLS", cells, raising=False)
+    for threshold in (360, 9, 8, 0):
+        assert O.has_hot_group(df, ["k", "t"], threshold) is (threshold < 9)
+        assert ["k", "t"] not in grouped or threshold < 360
+    assert not O.has_hot_group(df.where("false"), ["k"], 0)
+    assert O.has_hot_group(df.where("k is null"), ["k"], 8) and not O.has_hot_group(df.where("k is null"), ["k"], 9)
