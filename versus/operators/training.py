@@ -119,6 +119,11 @@ def feature_importance(spark: SparkSession, model: M.FittedModel, top: int | Non
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+def split_metrics(metrics: DataFrame) -> dict:
+    """The metric rows of a run by split, as its metadata keeps them (a row a split)."""
+    return {r["split"]: {m: r[m] for m in METRICS if m in metrics.columns} for r in metrics.collect()}
+
+
 def shap_linear(frame: DataFrame, model: M.FittedModel, baseline: DataFrame | None = None) -> DataFrame:
     """Exact additive attributions of a linear margin: coef * (x - mean); returns
     the mean |attribution| per feature (#151). Means come from ``baseline``
@@ -165,8 +170,13 @@ _ML_LOADERS = {"LogisticRegressionModel": LogisticRegressionModel, "RandomForest
                "LinearSVCModel": LinearSVCModel, "PipelineModel": PipelineModel}
 
 
+def load_metadata(spark: SparkSession, path: str) -> dict:
+    """The metadata that ``save_model`` wrote: name, features, target, scope, seed, metrics."""
+    return json.loads(spark.read.json(_path_join(path, "meta")).first()["meta"])
+
+
 def load_model(spark: SparkSession, path: str) -> M.FittedModel | Boosted:
-    meta = json.loads(spark.read.json(_path_join(path, "meta")).first()["meta"])
+    meta = load_metadata(spark, path)
     if meta["kind"] == "boosted":
         return Boosted.from_json(spark.read.parquet(_path_join(path, "boosted")).first()["model"])
     fm = M.FittedModel(meta["name"], meta["features"], link=meta["link"], threshold=meta["threshold"],

@@ -3,6 +3,7 @@ data-quality expectations under their inventory names."""
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import functions as F
@@ -59,14 +60,17 @@ def q_scope_comparison(spark, sf):
 
 @query("save_model")
 def q_save_model(spark, sf):
-    """Persist model + metadata (features, target, scope, seed, metrics); read the metadata back (#7)."""
+    """Persist model + metadata (features, target, scope, seed, metrics of every split); read model and
+    metadata back (#7)."""
     frame = processed(spark, sf)[0]
     res = TR.train_run(frame, "perceptron", "win")
     path = f"{TR.artifact_root(spark)}/models/{res.run_id}"
-    TR.save_model(spark, res.model, path, "win", "postgame", {"note": "test metrics in the run log"})
-    loaded = TR.load_model(spark, path)
-    return spark.createDataFrame([(loaded.name, len(loaded.features), float(loaded.intercept))],
-                                 "model string, features int, intercept double")
+    TR.save_model(spark, res.model, path, "win", "postgame", TR.split_metrics(res.metrics))
+    loaded, meta = TR.load_model(spark, path), TR.load_metadata(spark, path)
+    return spark.createDataFrame([(loaded.name, len(loaded.features), float(loaded.intercept), meta["target"], meta["scope"], meta["seed"],
+                                   meta["features"], json.dumps(meta["metrics"], sort_keys=True))],
+                                 "model string, features int, intercept double, target string, scope string, seed int, "
+                                 "feature_columns array<string>, metrics string")
 
 
 @query("log_run")
