@@ -8,6 +8,12 @@ written as a generator that yields the point it wants evaluated; the points of a
 are not done go into the next pass, line searches included.  So a search takes as many passes
 as its slowest model, whatever their number.
 
+A hinge model over Fourier features has a kink a row, at which L-BFGS crawls.  It is minimised by Newton's
+method instead: the kinks are rounded (softplus), less from stage to stage, until the rounding itself adds next to
+nothing to the loss, which bounds the distance to the least loss; a pass adds up the rounded loss, its
+gradient and its Hessian (components x components, whatever the rows).  A large fit starts from the
+solution over one row in ``SAMPLE``; it ends on all rows.
+
 A model may take only the rows below a rank (nested samples of a learning curve), weigh the
 classes of its rows equally, and see the rows through random Fourier features (one shared
 projection, scaled by each model's gamma), computed in the pass and stored nowhere.
@@ -28,6 +34,11 @@ from ..session import cut_lineage
 from .models import FittedModel, fourier_draws, fourier_map
 
 DRIVER_PARTS = 32        # up to so many partial sums a model are added by the driver, more by Spark
+DRIVER_BYTES = 1 << 26   # and up to so many bytes of them
+SAMPLE = 16              # one row in so many finds where a large Newton fit starts
+SAMPLED_FROM = 50_000    # rows of a large fit
+ROWS_PER_CORE = 20_000   # rows under Fourier features that are worth a task of their own while cores are free
+CHUNK = 2048             # rows whose Fourier features are in memory at a time
 CELLS_PER_PART = 25_000_000  # rows of a part times the columns that all models see of a row
 _PACKED = "x binary, y binary, rank binary, use binary"
 _SUMS = "model int, v binary"
@@ -74,7 +85,11 @@ def store(frame: DataFrame, features: Sequence[str], target: str, use: Column |
                 yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], names=["x", "y", "rank", "use"])
 
     n = frame.count()
-    blocks = cut_lineage(src.coalesce(max(1, -(-n // rows_per_part))).mapInArrow(pack, _PACKED))
+    if any(_curved(s) for s in specs):  # a pass over Fourier features is work for all cores, dealt evenly
+        src = src.repartition(max(1, min(-(-n // ROWS_PER_CORE), frame.sparkSession.sparkContext.defaultParallelism)))
+    else:
+        src = src.coalesce(max(1, -(-n // rows_per_part)))
+    blocks = cut_lineage(src.mapInArrow(pack, _PACKED))
     return Rows(blocks, list(features), blocks.rdd.getNumPartitions(), seed)
 
 
@@ -85,9 +100,14 @@ def _each(batches, k: int):
             yield x.reshape(-1, k), y, rank, use == 1
 
 
-def _added(found: DataFrame, parts: int) -> dict[int, np.ndarray]:
-    """The vectors of each model, added."""
-    if parts > DRIVER_PARTS:
+def _curved(spec: Spec) -> bool:
+    """Whether Newton's method fits the model."""
+    return spec.loss == "hinge" and spec.gamma is not None
+
+
+def _added(found: DataFrame, parts: int, size: int = 0) -> dict[int, np.ndarray]:
+    """The vectors of each model, added; ``size`` bytes a part, if they are many."""
+    if parts > DRIVER_PARTS or parts * size > DRIVER_BYTES:
         def add(table: pa.Table) -> pa.Table:
             total = sum(np.frombuffer(v.as_buffer()) for v in table.column("v"))
             return pa.table({"model": table.column("model")[:1], "v": pa.array([total.tobytes()], pa.binary())})
@@ -203,6 +223,90 @@ def lbfgs(start: np.ndarray, max_iter: int, tol: float, memory: int = 10) -> Gen
     return x
 
 
+def _bends(rows: Rows, specs: dict[int, Spec], classes: dict, asked: dict[int, tuple]) -> dict[int, tuple]:
+    """(weight, rounded loss, loss, gradient, Hessian) of every point asked for, summed in one pass; ``asked`` has
+    (point, width of the rounding, take one row in so many) by model."""
+    wanted, k = {j: specs[j] for j in asked}, len(rows.features)
+    steps = {step: {j: wanted[j] for j in asked if asked[j][2] == step} for step in {a[2] for a in asked.values()}}
+    views = {step: _views(own, k, rows.seed) for step, own in steps.items()}
+
+    def scan(batches):
+        total = {j: [np.zeros(3), np.zeros(len(p)), np.zeros((len(p), len(p)))] for j, (p, _, _) in asked.items()}
+        for x, y, rank, use in _each(batches, k):
+            for step, view in views.items():
+                for at in range(0, len(x), CHUNK * step):
+                    part = slice(at, at + CHUNK * step, step)
+                    sign = np.where(y[part] > 0.5, 1.0, -1.0)
+                    for j, z in view(x[part]):
+                        point, width, _ = asked[j]
+                        w = _weights(wanted[j], y[part], rank[part], use[part], classes[j])
+                        u = 1.0 - sign * (z @ point[:-1] + point[-1])
+                        slope = 1.0 / (1.0 + np.exp(np.clip(-u / width, -700.0, 700.0)))
+                        rounded = width * np.logaddexp(0.0, u / width)
+                        s, (sums, gradient, hessian) = -w * slope * sign, total[j]
+                        sums += [w.sum(), w @ rounded, w @ np.maximum(u, 0.0)]
+                        gradient += np.append(s @ z, s.sum())
+                        bend = w * slope * (1.0 - slope)
+                        bent = np.flatnonzero(bend > 1e-7)  # the others' share of the Hessian is nothing to a step
+                        v = np.column_stack([z[bent], np.ones(len(bent))]) * np.sqrt(bend[bent] / width)[:, None]
+                        hessian += v.T @ v
+        out = [np.concatenate([sums, gradient, hessian[np.triu_indices(len(gradient))]]) for sums, gradient, hessian in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in out], pa.binary())], names=["model", "v"])
+
+    size = sum(4 * len(p) * (len(p) + 3) for p, _, _ in asked.values())
+    got, out = _added(rows.blocks.mapInArrow(scan, _SUMS), rows.parts, size), {}
+    for j, (p, _, _) in asked.items():
+        d = len(p)
+        v = got.get(j, np.zeros(3 + d + d * (d + 1) // 2))
+        hessian = np.zeros((d, d))
+        hessian[np.triu_indices(d)] = v[3 + d:]
+        out[j] = (float(v[0]), float(v[1]), float(v[2]), v[3:3 + d], hessian + np.triu(hessian, 1).T)
+    return out
+
+
+def newton(start: np.ndarray, penalty: float, sampled: bool, tol: float = 5e-6, most: int = 300) -> Generator[tuple, tuple, np.ndarray]:
+    """Minimise mean hinge loss + penalty / 2 |w|^2, the intercept free; yields (point, width of the rounding, take
+    one row in so many), is sent the sums of ``_bends``, returns the best point.
+
+    The rounded loss is nowhere below the loss, so what rounding adds at its minimum is also about the most that the
+    loss there can be above the least; the last stage is that where it adds less than ``tol`` of the loss.
+    """
+    x, passes = start, 0
+    ridge = np.append(np.full(len(x) - 1, penalty), 0.0)
+
+    def seen(sent, x):
+        n, rounded, loss, g, h = sent
+        flat = np.append(x[:-1], 0.0)
+        n, extra = max(n, 1.0), penalty / 2 * float(flat @ flat)
+        return rounded / n + extra, loss / n + extra, g / n + penalty * flat, h / n + np.diag(ridge)
+
+    stages = [(4.0 ** -i, SAMPLE) for i in range(3)] if sampled else []
+    for width, step in stages + [(4.0 ** -i, 1) for i in range(2 if sampled else 0, 11)]:
+        f, plain, g, h = seen((yield x, width, step), x)
+        passes += 1
+        while passes < most:
+            d = -np.linalg.solve(h + 1e-9 * np.eye(len(x)), g)
+            gain = -float(g @ d)
+            last = step == 1 and f - plain <= tol * f
+            if not gain > (2 * tol if last else 1e-4) * f:
+                break
+            t = 1.0
+            while True:
+                new = x + t * d
+                f2, plain2, g2, h2 = seen((yield new, width, step), new)
+                passes += 1
+                if f2 <= f - 1e-4 * t * gain or t < 1e-6 or passes >= most:
+                    break
+                slope = float(g2 @ d)
+                t *= min(max(gain / (gain + slope), 0.1), 0.7) if slope > 0 else 0.5
+            if f2 >= f:
+                break
+            x, f, plain, g, h = new, f2, plain2, g2, h2
+        if step == 1 and f - plain <= tol * f:
+            break
+    return x
+
+
 def fit_many(rows: Rows, specs: Sequence[Spec], max_iter: int = 200, tol: float = 1e-7) -> tuple[list[FittedModel], int]:
     """All models fitted side by side, and the passes over the rows that took.
 
@@ -213,20 +317,36 @@ def fit_many(rows: Rows, specs: Sequence[Spec], max_iter: int = 200, tol: float
     classes = {j: tuple(((a + b) / (2 * c)) if c else 0.0 for c in (a, b)) for j, (a, b) in enumerate(counts)}
     sizes = {j: max(a + b, 1.0) for j, (a, b) in enumerate(counts)}
     table = dict(enumerate(specs))
-    k = len(rows.features)
-    runs = {j: lbfgs(np.zeros((k if s.gamma is None else s.n_components) + 1), max_iter, tol) for j, s in table.items()}
-    points, found, passes = {j: next(r) for j, r in runs.items()}, {}, 1
-    while points:
-        sums, passes = _sums(rows, table, classes, points), passes + 1
-        for j, x in list(points.items()):
+    k, found, passes = len(rows.features), {}, 1
+
+    def run(runs: dict, measure) -> int:
+        points, done = {j: next(r) for j, r in runs.items()}, 0
+        while points:
+            sums, done = measure(points), done + 1
+            for j in list(points):
+                try:
+                    points[j] = runs[j].send(sums(j, points[j]))
+                except StopIteration as end:
+                    found[j] = end.value
+                    del points[j]
+        return done
+
+    def slopes(points):
+        sums = _sums(rows, table, classes, points)
+
+        def told(j, x):
             n, reg = sizes[j], 1.0 / (table[j].C * sizes[j])
             got = sums.get(j, np.zeros(len(x) + 1))
             flat = np.append(x[:-1], 0.0)
-            try:
-                points[j] = runs[j].send((got[0] / n + reg / 2 * float(flat @ flat), got[1:] / n + reg * flat))
-            except StopIteration as end:
-                found[j] = end.value
-                del points[j]
+            return got[0] / n + reg / 2 * float(flat @ flat), got[1:] / n + reg * flat
+        return told
+
+    def bends(points):
+        sums = _bends(rows, table, classes, points)
+        return lambda j, _: sums[j]
+
+    passes += run({j: lbfgs(np.zeros((k if s.gamma is None else s.n_components) + 1), max_iter, tol) for j, s in table.items() if not _curved(s)}, slopes)
+    passes += run({j: newton(np.zeros(s.n_components + 1), 1.0 / (s.C * sizes[j]), sizes[j] >= SAMPLED_FROM) for j, s in table.items() if _curved(s)}, bends)
     return [_model(rows, s, found[j]) for j, s in table.items()], passes
 
 

@@ -23,8 +23,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression, RandomForestClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.util import Identifiable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -328,8 +331,8 @@ def fourier_margin(df: DataFrame, keep: Sequence[str], model: FittedModel, coef:
 
 def fit_rbf_svm(train: DataFrame, features: Sequence[str], target: str, C: float = 1.0,
                 gamma: str | float = "scale", n_components: int = 200, seed: int = SEED, **_) -> FittedModel:
-    """RBF-kernel SVM re-aimed as random Fourier features + linear SVM (#131).
-    gamma='scale' = 1 / (k * Var(X)) over all entries, from the Gram pass."""
+    """RBF-kernel SVM re-aimed as random Fourier features + linear SVM, fitted by ``manyfit``'s Newton
+    passes (#131).  gamma='scale' = 1 / (k * Var(X)) over all entries, from the Gram pass."""
     feats = list(features)
     if gamma == "scale":
         g = gram(train, feats)
@@ -338,13 +341,19 @@ def fit_rbf_svm(train: DataFrame, features: Sequence[str], target: str, C: float
         second = float((np.diag(g.raw) / max(g.n, 1)).mean())
         var = second - total_mean ** 2
         gamma = 1.0 / (k * var) if var > 0 else 1.0
+    from . import manyfit as MF  # which imports this module
     transform, names = fourier_map(feats, float(gamma), n_components, seed)
-    n = train.count()
-    svc = LinearSVC(featuresCol="features", labelCol=target, regParam=1.0 / (C * n), maxIter=1000,
-                    standardization=False)
-    model = svc.fit(fourier_vectors(train, feats, target, float(gamma), n_components, seed))
-    return FittedModel("svm_rbf", feats, ml_model=model, transform=transform,
-                       params={"gamma": gamma, "n_components": n_components, "seed": seed, "model_features": names})
+    spec = MF.Spec(C=C, loss="hinge", gamma=float(gamma), n_components=n_components)
+    (fitted,), passes = MF.fit_many(MF.store(train, feats, target, specs=[spec], seed=seed), [spec])
+    return FittedModel("svm_rbf", feats, ml_model=_svc_model(train, fitted.coef, fitted.intercept), transform=transform,
+                       params={"gamma": gamma, "n_components": n_components, "seed": seed, "model_features": names, "passes": passes})
+
+
+def _svc_model(df: DataFrame, coef: np.ndarray, intercept: float) -> LinearSVCModel:
+    """A ``LinearSVCModel`` of given coefficients."""
+    jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
+    return LinearSVCModel(jvm.org.apache.spark.ml.classification.LinearSVCModel(Identifiable()._randomUID().replace("Identifiable", "LinearSVC"),
+                                                                                _py2java(sc, Vectors.dense(list(map(float, coef)))), float(intercept)))
 
 
 FITTERS = {
