@@ -1,13 +1,14 @@
 """Binary classifiers on Spark (#124-#135).
 
 * ``pyspark.ml`` estimators where Spark has one that takes the same parameters (logistic
-  regression, random forest, linear SVM);
+  regression, linear SVM);
+* the random forest is grown by ``forest.fit_forest`` into Spark's own model;
 * gradient-boosted trees are ``boosting.fit_boosted``;
 * the batch perceptron and the least-squares classifier are distributed
   aggregates (one aggregate per epoch / one Gram pass) with only k numbers on
   the driver;
 * the RBF SVM is re-aimed as random Fourier features (Rahimi & Recht, 2007)
-  computed with NumPy inside ``mapInPandas`` and a linear SVM on top.
+  computed with NumPy on Arrow batches and a linear SVM on top, fitted by ``manyfit``.
 
 Every fitted model scores with ``score(df)`` -> ``score`` (probability of
 class 1, or the sigmoid of the margin), ``margin`` and ``pred``.
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from ..constants import SEED
 from ..functions.columns import split_leaky
 from .boosting import Boosted, fit_boosted
+from .forest import Votes, fit_forest, voted
 from .relational import numeric_columns
 from .selection import gram
 
@@ -74,14 +76,18 @@ def _assembled(df: DataFrame, features: Sequence[str], out: str = "features") ->
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def balanced_weight(df: DataFrame, target: str, name: str = "weight") -> DataFrame:
-    """n / (2 * n_class) per row; class counts from one small aggregate."""
+def class_weights(df: DataFrame, target: str) -> dict:
+    """n / (classes * n_class) by class, from one small aggregate."""
     counts = {r[0]: r[1] for r in df.groupBy(target).count().collect()}
     n = sum(counts.values())
     k = max(len(counts), 1)
-    w = {c: n / (k * m) for c, m in counts.items()}
+    return {c: n / (k * m) for c, m in counts.items()}
+
+
+def balanced_weight(df: DataFrame, target: str, name: str = "weight") -> DataFrame:
+    """The weight of each row's class."""
     expr = F.lit(1.0)
-    for c, v in w.items():
+    for c, v in class_weights(df, target).items():
         expr = F.when(F.col(target) == c, F.lit(v)).otherwise(expr)
     return df.withColumn(name, expr)
 
@@ -97,6 +103,7 @@ class FittedModel:
     threshold: float = 0.5
     params: dict = field(default_factory=dict)
     transform: Any = None  # optional feature map applied before the linear part / ml model
+    votes: Votes | None = None  # a forest's trees as arrays, which score as ml_model does
 
     def margin_expr(self):
         expr = F.lit(float(self.intercept))
@@ -110,6 +117,8 @@ class FittedModel:
             out = fourier_margin(df, keep, self, self.ml_model.coefficients.toArray(), float(self.ml_model.intercept))
             score = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
             return out.select(*keep, "margin", score.alias("score"), (F.col("margin") > self.ml_model.getThreshold()).cast("int").alias("pred"))
+        if self.votes is not None:
+            return voted(df, keep, self.features, self.votes)
         src = self.transform(df) if self.transform else df
         feats = self.params.get("model_features", self.features)
         if self.ml_model is None:
@@ -219,14 +228,15 @@ def fit_random_forest(train: DataFrame, features: Sequence[str], target: str, n_
                       max_depth: int = 12, min_samples_split: int = 2, min_samples_leaf: int = 1,
                       class_weight: str | None = "balanced_subsample", seed: int = SEED) -> FittedModel:
     """Spark bounds a node by its children, so ``min_samples_split`` rows in a node are
-    asked for as half of them in each child (#127).  Each row's node in each tree is kept from
-    level to level instead of being found from the root again; few levels need no checkpoint."""
+    asked for as half of them in each child (#127).  The trees are grown by ``forest.fit_forest``, a pass a
+    level for all of them; the model is Spark's own."""
     least = max(min_samples_leaf, -(-min_samples_split // 2))
-    data = balanced_weight(train, target) if class_weight else train.withColumn("weight", F.lit(1.0))
     rf = RandomForestClassifier(featuresCol="features", labelCol=target, weightCol="weight", numTrees=n_estimators,
                                 maxDepth=max_depth, minInstancesPerNode=least, seed=seed,
                                 featureSubsetStrategy="sqrt", cacheNodeIds=True, checkpointInterval=-1)
-    return FittedModel("random_forest", list(features), ml_model=rf.fit(_assembled(data, features)))
+    weights = class_weights(train, target) if class_weight else {}
+    model, votes = fit_forest(train, features, target, rf, weights)
+    return FittedModel("random_forest", list(features), ml_model=model, votes=votes)
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], target: str, val: DataFrame | None = None,
