@@ -18,6 +18,8 @@ rows, meet by leaf and feature block and come to the driver, which chooses the s
 * The pass of a tree's root also takes the validation log loss of the trees before: after
   ``early_stopping_rounds`` trees without a better one the best number of trees is kept.
 * Rows and columns are drawn anew for every tree, rows by a hash of (row, tree).
+* Rows that fit one task are boosted in one: it holds the blocks and deals their rows to a process for each core
+  of its executor, so a tree costs no job.  More rows (``ONE_TASK_BYTES``) take the passes above.
 * A finished tree is added to the margins once: the moved blocks are kept by the executors for the
   passes of the next tree, and stored every ``REFRESH`` trees, which bounds what a lost one repeats.
 """
@@ -26,6 +28,8 @@ from __future__ import annotations
 
 import heapq
 import json
+import multiprocessing
+import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -44,6 +48,7 @@ DRIVER_PARTS = 32    # up to so many partial histograms a leaf are added by the
 ROWS_PER_PART = 200_000
 ROWS_PER_CORE = 20_000   # rows that are worth a task of their own while cores are free
 REFRESH = 25         # trees between two stored margins
+ONE_TASK_BYTES = 400_000_000  # binned rows, labels, weights, keys and margins that one task may hold
 
 
 @dataclass
@@ -77,6 +82,27 @@ class Tree:
         return at
 
 
+    def add_to(self, out: np.ndarray, x: np.ndarray) -> None:
+        """Add the value of each row's leaf to ``out``; ``x`` has the binned rows as columns."""
+        leaf, value = np.asarray(self.feature) < 0, np.asarray(self.value, dtype=np.float64)
+        feature = np.where(leaf, 0, self.feature)
+        shift = (~leaf & ~np.asarray(self.missing_left, dtype=bool)).astype(np.uint8)  # a missing value, 0, becomes the largest
+        cut = np.where(leaf, 255, np.asarray(self.bin) - shift).astype(np.uint8)
+        own = np.arange(len(leaf))
+        child = np.stack([np.where(leaf, own, self.left), np.where(leaf, own, self.right)], axis=1).ravel()
+        deep, level = 0, [0]
+        while level := [c for n in level if not leaf[n] for c in (self.left[n], self.right[n])]:
+            deep += 1
+        for at in range(0, x.shape[1], 16_384):
+            values = np.ascontiguousarray(x[:, at:at + 16_384])
+            width, values = values.shape[1], values.ravel()
+            base, node = np.arange(width), np.zeros(width, np.int64)
+            for _ in range(deep):
+                b = values.take(feature.take(node) * width + base) - shift.take(node)
+                node = child.take(2 * node + (b > cut.take(node)))
+            out[at:at + width] += value.take(node)
+
+
 @dataclass
 class Boosted:
     """A fitted model with the interface of ``models.FittedModel``."""
@@ -92,10 +118,10 @@ class Boosted:
     link: str = "sigmoid"
 
     def margins(self, values: np.ndarray) -> np.ndarray:
-        x = bin_values(values, self.edges)
-        out = np.full(len(x), self.base)
+        x = np.ascontiguousarray(bin_values(values, self.edges).T)
+        out = np.full(x.shape[1], self.base)
         for t in self.trees:
-            out += np.asarray(t.value)[t.leaves(x)]
+            t.add_to(out, x)
         return out
 
     def score(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -233,6 +259,152 @@ def _histograms(blocks: DataFrame, k: int, tree: Tree, slots: dict, columns: np.
     return whole, (float(loss[0]), float(loss[1]))
 
 
+class _Share:
+    """Some of the rows, held by a process: what ``_histograms`` finds in a pass, without one."""
+
+    def __init__(self, k: int, parts: Sequence[tuple]):
+        x, self.y, self.w, self.key, self.val, self.m = (np.concatenate(c) for c in zip(*parts)) if parts else \
+            (np.empty((0, k), np.uint8), np.empty(0), np.empty(0), np.empty(0, np.int64), np.empty(0, bool), np.empty(0))
+        self.x = np.ascontiguousarray(x.T)
+
+    def root(self, columns: np.ndarray, n_bins: int, number: int, subsample: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """Histogram of all drawn rows; loss and weight of the validation rows."""
+        val = np.flatnonzero(self.val)
+        loss = np.array([(self.w[val] * np.logaddexp(0.0, np.where(self.y[val] > 0.5, -self.m[val], self.m[val]))).sum(), self.w[val].sum()])
+        use = ~self.val
+        if subsample < 1.0:
+            use &= _unit(self.key, number, seed) < subsample
+        rows = np.flatnonzero(use)
+        p, w = 1.0 / (1.0 + np.exp(-self.m[rows])), self.w[rows]
+        self.pull, self.bins, self.n_bins = w * (p - self.y[rows]) + 1j * (w * p * (1 - p)), {int(c): self.x[c].take(rows) for c in columns}, n_bins
+        self.rows = {0: np.arange(len(rows))}
+        return self._histogram(0), loss
+
+    def _histogram(self, node: int) -> np.ndarray:
+        rows = self.rows[node]
+        pull, out = self.pull.take(rows), np.empty((len(self.bins), self.n_bins, 3))
+        for j, b in enumerate(self.bins.values()):
+            b = b.take(rows).astype(np.int64)
+            both = np.zeros(self.n_bins, complex)
+            np.add.at(both, b, pull)  # gradient and Hessian at once
+            out[j, :, 0], out[j, :, 1], out[j, :, 2] = both.real, both.imag, np.bincount(b, minlength=self.n_bins)
+        return out
+
+    def leaves(self, tree: Tree, leaves: Sequence[int]) -> np.ndarray:
+        """Histograms of leaves of a tentative tree."""
+        parents = {c: n for n in range(len(tree.left)) if tree.left[n] >= 0 for c in (tree.left[n], tree.right[n])}
+        for leaf in leaves:
+            todo = [leaf]
+            while todo[-1] not in self.rows:
+                todo.append(parents[todo[-1]])
+            for node in reversed(todo[1:]):
+                rows, b = self.rows[node], self.bins[tree.feature[node]].take(self.rows[node])
+                goes_left = b <= tree.bin[node]
+                if not tree.missing_left[node]:
+                    goes_left &= b != MISSING
+                self.rows[tree.left[node]], self.rows[tree.right[node]] = rows[goes_left], rows[~goes_left]
+        return np.stack([self._histogram(leaf) for leaf in leaves])
+
+    def move(self, tree: Tree) -> None:
+        """Add a finished tree to the margins."""
+        tree.add_to(self.m, self.x)
+
+
+def _serve(share: _Share, ours, others) -> None:
+    for c in others:
+        c.close()  # so that the end of the task's process is seen here
+    while True:
+        try:
+            name, args = ours.recv()
+        except EOFError:
+            return
+        ours.send(getattr(share, name)(*args))
+
+
+class _Crew:
+    """All rows, in shares of a process each; answers are added."""
+
+    def __init__(self, k: int, parts: list, processes: int):
+        if processes <= 1:
+            self.alone, self.pipes, self.staff = _Share(k, parts), [], []
+            return
+        rows = np.cumsum([0, *[len(p[1]) for p in parts]])
+        ends = [int(rows[-1]) * i // processes for i in range(processes + 1)]
+        fork, self.alone, self.pipes, self.staff = multiprocessing.get_context("fork"), None, [], []
+        for a, b in zip(ends, ends[1:]):
+            own = [tuple(v[max(a - s, 0):b - s] for v in p) for p, s, e in zip(parts, rows, rows[1:]) if s < b and e > a]
+            mine, theirs = fork.Pipe()
+            self.staff.append(fork.Process(target=lambda own=own, theirs=theirs, others=[*self.pipes, mine]: _serve(_Share(k, own), theirs, others), daemon=True))
+            self.staff[-1].start()
+            theirs.close()
+            self.pipes.append(mine)
+
+    def ask(self, name: str, *args) -> list:
+        if self.alone is not None:
+            return [getattr(self.alone, name)(*args)]
+        for p in self.pipes:
+            p.send((name, args))
+        return [p.recv() for p in self.pipes]
+
+    def close(self) -> None:
+        for p in self.pipes:
+            p.close()
+        for p in self.staff:
+            p.join()
+
+
+class _OneTask:
+    """The passes of ``_boost`` inside a task."""
+
+    def __init__(self, crew: _Crew, n_bins: int, subsample: float, seed: int):
+        self.crew, self.n_bins, self.subsample, self.seed = crew, n_bins, subsample, seed
+
+    def root(self, columns, number):
+        found = self.crew.ask("root", columns, self.n_bins, number, self.subsample, self.seed)
+        return sum(h for h, _ in found), sum(v for _, v in found)
+
+    def leaves(self, tree, leaves, columns, number):
+        return dict(zip(leaves, sum(self.crew.ask("leaves", tree, leaves))))
+
+    def move(self, tree, number):
+        self.crew.ask("move", tree)
+
+
+class _Passes:
+    """The passes of ``_boost`` as jobs over blocks."""
+
+    def __init__(self, blocks: DataFrame, k: int, n_bins: int, subsample: float, seed: int, with_loss: bool):
+        self.blocks, self.k, self.shape, self.with_loss = blocks, k, (n_bins, subsample, seed, blocks.rdd.getNumPartitions()), with_loss
+        self.older = None  # kept blocks that the next pass still reads
+
+    def _histograms(self, tree, slots, columns, number, with_loss):
+        n_bins, subsample, seed, parts = self.shape
+        return _histograms(self.blocks, self.k, tree, slots, columns, n_bins, number, subsample, seed, parts, with_loss)
+
+    def root(self, columns, number):
+        root = Tree()
+        root.add(0.0)
+        found, loss = self._histograms(root, {0: 0}, columns, number, self.with_loss)
+        self.older = _release(self.older)
+        return found[0], loss
+
+    def leaves(self, tree, leaves, columns, number):
+        return self._histograms(tree, {leaf: i for i, leaf in enumerate(leaves)}, columns, number, False)[0]
+
+    def move(self, tree, number):
+        moved = self.blocks.mapInArrow(_moved(self.k, tree), _BLOCK)
+        if number % REFRESH == 0:
+            moved = cut_lineage(moved)
+            _release(self.blocks)
+        else:
+            moved, self.older = moved.persist(), self.blocks
+        self.blocks = moved
+
+    def close(self):
+        _release(self.older)
+        _release(self.blocks)
+
+
 @dataclass(frozen=True)
 class Growth:
     """What shapes a tree."""
@@ -363,53 +535,67 @@ def fit_boosted(train: DataFrame, features: Sequence[str], target: str, val: Dat
     cores = train.sparkSession.sparkContext.defaultParallelism
     parts = max(1, -(-mean.n // ROWS_PER_PART), min(-(-mean.n // ROWS_PER_CORE), cores))
     blocks = cut_lineage(_blocks(frame.coalesce(parts), feats, target, edges, weight, base))
-    parts = blocks.rdd.getNumPartitions()
     growth = Growth(num_leaves, max_depth, learning_rate, reg_alpha, reg_lambda, gamma, min_child_samples, min_child_weight)
     n_bins = 2 + max((len(e) for e in edges), default=0)
-    rng, n_columns = np.random.default_rng(seed), max(1, int(round(colsample_bytree * k)))
-    trees, gains, losses, kept_gains = [], np.zeros(k), [], []
-    older = None  # kept blocks that the next pass still reads
     patience = early_stopping_rounds if val is not None else 0
+    rounds = (k, n_estimators, max(1, int(round(colsample_bytree * k))), seed, growth, patience)
+    rows = blocks.agg(F.sum("rows")).first()[0] or 0
+    if rows * (k + 60) <= ONE_TASK_BYTES:
+        trees, kept_gains, losses, best = _in_one_task(blocks, k, n_bins, subsample, seed, rounds, rows)
+    else:
+        passes = _Passes(blocks, k, n_bins, subsample, seed, bool(patience))
+        trees, kept_gains, losses, best = _boost(passes, *rounds)
+        passes.close()
+    n = best[1] if patience and losses else len(trees)
+    return Boosted(name, feats, edges, base, trees[:n], kept_gains[n - 1] if n else np.zeros(k),
+                   {"trees": n, "grown": len(trees), "learning_rate": learning_rate, "num_leaves": num_leaves, "max_depth": max_depth, "reg_alpha": reg_alpha,
+                    "reg_lambda": reg_lambda, "early_stopping_rounds": early_stopping_rounds, "val_losses": losses})
+
+
+def _boost(passes, k: int, n_estimators: int, n_columns: int, seed: int, growth: Growth, patience: int) -> tuple[list[Tree], list, list, tuple]:
+    """(trees, gains by feature after each, validation losses, the least of them and its number of trees)."""
+    rng = np.random.default_rng(seed)
+    trees, gains, losses, kept_gains = [], np.zeros(k), [], []
     best = (float("inf"), 0)
     for number in range(n_estimators + 1):
         columns = np.sort(rng.choice(k, n_columns, replace=False)) if n_columns < k else np.arange(k)
-        root = Tree()
-        root.add(0.0)
         last = number == n_estimators
         if last and not patience:
             break
-        measured, loss = _histograms(blocks, k, root, {0: 0}, columns[:1] if last else columns, n_bins, number, subsample, seed, parts, bool(patience))
-        older = _release(older)
+        root, loss = passes.root(columns[:1] if last else columns, number)
         if patience and loss[1] > 0:
-            losses.append(loss[0] / loss[1])
+            losses.append(float(loss[0] / loss[1]))
             if losses[-1] < best[0]:
                 best = (losses[-1], number)
             elif number - best[1] >= patience:
                 break
         if last:
             break
-
-        def measure(tree, leaves, blocks=blocks, columns=columns, number=number):
-            return _histograms(blocks, k, tree, {leaf: i for i, leaf in enumerate(leaves)}, columns, n_bins, number, subsample, seed, parts, False)[0]
-
-        tree = grow(measured[0], measure, columns, growth, gains)
+        tree = grow(root, lambda draft, leaves, columns=columns, number=number: passes.leaves(draft, leaves, columns, number), columns, growth, gains)
         if len(tree.feature) == 1:
             break
         trees.append(tree)
         kept_gains.append(gains.copy())
-        moved = blocks.mapInArrow(_moved(k, tree), _BLOCK)
-        if len(trees) % REFRESH == 0:
-            moved = cut_lineage(moved)
-            _release(blocks)
-        else:
-            moved, older = moved.persist(), blocks
-        blocks = moved
-    _release(older)
-    _release(blocks)
-    n = best[1] if patience and losses else len(trees)
-    return Boosted(name, feats, edges, base, trees[:n], kept_gains[n - 1] if n else np.zeros(k),
-                   {"trees": n, "grown": len(trees), "learning_rate": learning_rate, "num_leaves": num_leaves, "max_depth": max_depth, "reg_alpha": reg_alpha,
-                    "reg_lambda": reg_lambda, "early_stopping_rounds": early_stopping_rounds, "val_losses": losses})
+        passes.move(tree, len(trees))
+    return trees, kept_gains, losses, best
+
+
+def _in_one_task(blocks: DataFrame, k: int, n_bins: int, subsample: float, seed: int, rounds: tuple, rows: int) -> tuple:
+    """``_boost`` in one task, by as many processes as its executor has cores."""
+    sc = blocks.sparkSession.sparkContext
+    executors = sc._jsc.sc().getExecutorMemoryStatus().size()
+    cores = sc.defaultParallelism // max(executors - (0 if (sc.master or "").startswith("local[") or sc.master == "local" else 1), 1)
+    processes = max(1, min(cores, rows // ROWS_PER_CORE))
+
+    def run(batches):
+        crew = _Crew(k, [part for batch in batches for part in _read(batch, k)], processes)
+        try:
+            done = _boost(_OneTask(crew, n_bins, subsample, seed), *rounds)
+        finally:
+            crew.close()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(done)], pa.binary())], names=["done"])
+
+    return pickle.loads(blocks.coalesce(1).mapInArrow(run, "done binary").first().done)
 
 
 def _release(blocks: DataFrame | None) -> None:
