@@ -89,6 +89,17 @@ def test_as_good_as_spark_and_equal_on_any_partitioning(frame):
     assert all(np.array_equal(p, q) for s, t in zip(a, b) for p, q in zip(s[:5], t[:5]))
 
 
+def test_many_open_nodes_take_more_passes(frame, monkeypatch):
+    _, df = frame
+    whole = M.fit_random_forest(df, FEATS, "win", n_estimators=4, max_depth=5).votes.trees
+    passes, level = [], FO._level
+    monkeypatch.setattr(FO, "_level", lambda *a: passes.append(a[2]) or level(*a))
+    monkeypatch.setattr(FO, "CELLS", 3 * 2 * FO.MAX_BINS * 2)
+    parts = M.fit_random_forest(df, FEATS, "win", n_estimators=4, max_depth=5).votes.trees
+    assert passes[:4] == [0, 1, 2, 2]
+    assert all(np.array_equal(p, q) for s, t in zip(whole, parts) for p, q in zip(s[:5], t[:5]))
+
+
 def test_draws_and_one_class(frame):
     keys = np.arange(40_000, dtype=np.int64) * 7919
     draws = np.concatenate([FO.bags(keys, g, 42) for g in range(3)])

@@ -34,6 +34,7 @@ from .boosting import quantile_edges
 MAX_BINS = 32
 ROWS_PER_PART = 500_000
 ROWS_PER_CORE = 20_000   # rows that are worth a task of their own while cores are free
+CELLS = 1 << 22          # counts of a tree that a pass may hold
 CHUNK = 16_384           # rows that walk together: their nodes stay in cache
 _FOUND = np.dtype([("feature", "<i2"), ("bin", "<i2"), ("gain", "<f8"), ("n", "<i8", 2), ("left", "<i8", 2)])
 
@@ -239,11 +240,20 @@ def fit_forest(train: DataFrame, features: Sequence[str], target: str, rf: Rando
     m, least, depth = int(np.ceil(np.sqrt(k))), rf.getMinInstancesPerNode(), rf.getMaxDepth()
     w = np.array([float(weights.get(0, 1.0)), float(weights.get(1, 1.0))])
     trees = [Grown() for _ in range(rf.getNumTrees())]
+    most = max(1, CELLS // (m * MAX_BINS * 2))
     for level in range(depth):
-        found = _level(blocks, trees, level, k, m, w, least, seed)
-        for t, tree in enumerate(trees):
-            if len(tree.open):
-                tree.split(found[t], least, level + 1 == depth) if t in found else tree.split(np.array([(-1, 0, -1.0, 0, 0)], _FOUND), least, True)  # no rows at all
+        opened, found = [t.open for t in trees], [[] for _ in trees]
+        for at in range(0, max(map(len, opened)), most):  # one pass unless trees are very deep
+            for tree, nodes in zip(trees, opened):
+                tree.open = nodes[at:at + most]
+            got = _level(blocks, trees, level, k, m, w, least, seed)
+            for t, tree in enumerate(trees):
+                if len(tree.open):  # without any rows there is nothing to split
+                    found[t].append(got.get(t, np.array([(-1, 0, -1.0, 0, 0)] * len(tree.open), _FOUND)))
+        for tree, nodes, own in zip(trees, opened, found):
+            tree.open = nodes
+            if own:
+                tree.split(np.concatenate(own), least, level + 1 == depth)
         if not any(len(t.open) for t in trees):
             break
     return _native(train, rf, trees, edges, w, k)
